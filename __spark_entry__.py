@@ -76,6 +76,7 @@ def _ts_lit(expr: str) -> str:
 K = "cast(json_extract_string(props, '$.k') as bigint)"
 REC = "case when event_type <> 'signup' then epoch_us(ts) * 1000 end"
 DEL = "case when event_type = 'error' then true end"
+JSON_NUM = "case when {0} = floor({0}) then cast(cast({0} as bigint) as varchar) else cast({0} as varchar) end"
 L1, L2 = "cast(1700000000000000000 as bigint)", "cast(1700000100000000000 as bigint)"
 
 
@@ -222,7 +223,8 @@ from nation""",
                 ("prop", EV + "event_id", "cast(event_id as varchar)", "number", None),
                 ("prop", EV + "type", "event_type", "string", "event_type is not null"),
                 ("prop", EV + "k", f"cast({K} as varchar)", "number", f"{K} is not null"),
-                ("prop", EV + "value", "cast(value as varchar)", "number", "value is not null"),
+                # a JSON number keeps no int/float distinction: 27.0 is written 27
+                ("prop", EV + "value", JSON_NUM.format("value"), "number", "value is not null"),
                 ("ref", EV + "user", f"concat('{US}', user_id)", "string", None),
             ],
             "events",
