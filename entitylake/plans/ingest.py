@@ -13,6 +13,9 @@ that sync alone and switches both with one manifest commit (K4).
 
 from __future__ import annotations
 
+import logging
+import time
+from contextlib import contextmanager
 from dataclasses import replace
 
 from pyspark import StorageLevel
@@ -29,6 +32,14 @@ from entitylake.sinks.store import TableState, TableStore
 from entitylake.sources.entity_files import read_stage
 
 ORDER_COLS = ("_file", "_ix", "_elem")
+log = logging.getLogger("entitylake.ingest")
+
+
+@contextmanager
+def _step(name: str):
+    t0 = time.perf_counter()
+    yield
+    log.info("%s %.3fs", name, time.perf_counter() - t0)
 
 
 def _staged_rows(store: TableStore, ds: DatasetDefinition, files: list[str], load_ns: int) -> DataFrame:
@@ -68,26 +79,33 @@ def ingest_incremental(
     if batch_key in st.keys():
         return st  # committed before: replay is a no-op
     stage = f"{loc}/_stage/inc/{batch_key}"
-    write_stage(entities, stage, order_by=order_by)  # K1
+    with _step("stage"):
+        write_stage(entities, stage, order_by=order_by)  # K1
     files = fs.list_files(spark, stage)
     if not files:
-        return st  # empty batch loads nothing
+        return st
     rows = _staged_rows(store, ds, files, load_ns).persist(StorageLevel.MEMORY_AND_DISK)
+    if rows.isEmpty():  # empty batch loads nothing
+        rows.unpersist()
+        return st
     try:
         cols = [f.name for f in schema]
         log_path = f"{loc}/log/{batch_key}"
-        rows.select(*cols).write.mode("overwrite").parquet(log_path)  # K3
+        with _step("log"):
+            rows.select(*cols).write.mode("overwrite").parquet(log_path)  # K3
         latest_paths = dict(st.latest_paths)
         if st.latest:
             newest_path = f"{stage}/_newest"
-            _newest(rows, cols, st.buckets).write.mode("overwrite").partitionBy("_bucket").parquet(newest_path)
+            with _step("newest"):
+                _newest(rows, cols, st.buckets).write.mode("overwrite").partitionBy("_bucket").parquet(newest_path)
             hit = _bucket_dirs(store, newest_path)
             batch = spark.read.schema(schema).parquet(*hit.values()).withColumn(
                 "_bucket", bucket_of(F.col("id"), st.buckets)
             )
             current = store.read_buckets(st, sorted(hit))
             out = f"{loc}/latest/{batch_key}"
-            merge_latest(current, batch).write.mode("overwrite").partitionBy("_bucket").parquet(out)  # J1
+            with _step("merge"):
+                merge_latest(current, batch).write.mode("overwrite").partitionBy("_bucket").parquet(out)  # J1
             latest_paths.update(_bucket_dirs(store, out))
     finally:
         rows.unpersist()
