@@ -22,7 +22,9 @@ def write_stage(
     """
     df = entities
     if order_by:
-        df = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+        if df.rdd.getNumPartitions() > 1:  # a single partition is ordered by a local sort
+            df = df.repartitionByRange(*order_by)
+        df = df.sortWithinPartitions(*order_by)
     (
         df.select(entity_json(df).alias("value"))
         .write.mode("overwrite")
