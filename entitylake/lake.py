@@ -74,10 +74,16 @@ class Lake:
         return ds
 
     def write_incremental(
-        self, name: str, entities: DataFrame, load_ns: int, batch_key: str, order_by: tuple[str, ...] | None = None
+        self,
+        name: str,
+        entities: DataFrame,
+        load_ns: int,
+        batch_key: str,
+        order_by: tuple[str, ...] | None = None,
+        stage: bool = True,
     ) -> TableState:
         ds = self._write_ds(name)
-        return ingest_incremental(self.store, ds, entities, load_ns, batch_key, self.latest_active(ds), order_by)
+        return ingest_incremental(self.store, ds, entities, load_ns, batch_key, self.latest_active(ds), order_by, stage)
 
     def full_sync(self, name: str, sync_id: str) -> FullSync:
         ds = self._write_ds(name)

@@ -49,6 +49,24 @@ def _staged_rows(store: TableStore, ds: DatasetDefinition, files: list[str], loa
     return entities_to_rows(staged, ds, load_ns, keep=("_erec", *ORDER_COLS))
 
 
+def _direct_rows(ds: DatasetDefinition, entities: DataFrame, load_ns: int, arrival: tuple[str, ...]) -> DataFrame:
+    """Rows straight from an entity frame whose source is already durable.
+
+    The entity goes through the same JSON form the stage would hold, so the
+    mapping sees exactly what a staged load sees.
+    """
+    from entitylake.operators.outgoing import entity_json
+
+    f, pos = arrival
+    staged = entities.select(
+        F.parse_json(entity_json(entities)).alias(ENTITY_COLUMN),
+        F.col(f).cast("string").alias("_file"),
+        F.col(pos).alias("_ix"),
+        F.lit(0).alias("_elem"),
+    ).withColumn("_erec", F.try_variant_get(F.col(ENTITY_COLUMN), "$.recorded", "bigint"))
+    return entities_to_rows(staged, ds, load_ns, keep=("_erec", *ORDER_COLS))
+
+
 def _newest(rows: DataFrame, schema_cols: list[str], buckets: int) -> DataFrame:
     newest = newest_per_id(rows, "_erec", ORDER_COLS).select(*schema_cols)
     return newest.withColumn("_bucket", bucket_of(F.col("id"), buckets))
@@ -70,42 +88,52 @@ def ingest_incremental(
     batch_key: str,
     latest: bool = False,
     order_by: tuple[str, ...] | None = None,
+    stage: bool = True,
 ) -> TableState:
-    """I4: load one batch of entities into the log (and latest) table."""
+    """I4: load one batch of entities into the log (and latest) table.
+
+    ``stage=False`` skips K1/S6 for sources that are durable and replayable on
+    their own (a streaming landing file); ``order_by`` must then name the
+    (file, position) arrival columns.
+    """
     spark = store.spark
     loc = store.location(ds)
     schema = table_schema(ds)
     st = store.open(loc, schema, latest)
     if batch_key in st.keys():
         return st  # committed before: replay is a no-op
-    stage = f"{loc}/_stage/inc/{batch_key}"
-    with _step("stage"):
-        write_stage(entities, stage, order_by=order_by)  # K1
-    files = fs.list_files(spark, stage)
-    if not files:
-        return st
-    rows = _staged_rows(store, ds, files, load_ns).persist(StorageLevel.MEMORY_AND_DISK)
-    if rows.isEmpty():  # empty batch loads nothing
-        rows.unpersist()
-        return st
+    stage_path = f"{loc}/_stage/inc/{batch_key}"
+    if stage:
+        with _step("stage"):
+            write_stage(entities, stage_path, order_by=order_by)  # K1
+        files = fs.list_files(spark, stage_path)
+        if not files:
+            return st
+        rows = _staged_rows(store, ds, files, load_ns)
+    else:
+        if not order_by or len(order_by) != 2:
+            raise ValueError("an unstaged batch needs (file, position) arrival columns")
+        rows = _direct_rows(ds, entities, load_ns, tuple(order_by))
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         cols = [f.name for f in schema]
+        if st.latest:
+            # buckets hit by the batch: at most ``buckets`` small ints; none = empty batch
+            hit = sorted(r[0] for r in rows.select(bucket_of(F.col("id"), st.buckets)).distinct().collect())
+            if not hit:
+                return st
+        elif rows.isEmpty():  # empty batch loads nothing
+            return st
         log_path = f"{loc}/log/{batch_key}"
         with _step("log"):
             rows.select(*cols).write.mode("overwrite").parquet(log_path)  # K3
         latest_paths = dict(st.latest_paths)
         if st.latest:
-            newest_path = f"{stage}/_newest"
-            with _step("newest"):
-                _newest(rows, cols, st.buckets).write.mode("overwrite").partitionBy("_bucket").parquet(newest_path)
-            hit = _bucket_dirs(store, newest_path)
-            batch = spark.read.schema(schema).parquet(*hit.values()).withColumn(
-                "_bucket", bucket_of(F.col("id"), st.buckets)
-            )
-            current = store.read_buckets(st, sorted(hit))
+            current = store.read_buckets(st, hit)
             out = f"{loc}/latest/{batch_key}"
             with _step("merge"):
-                merge_latest(current, batch).write.mode("overwrite").partitionBy("_bucket").parquet(out)  # J1
+                merged = merge_latest(current, _newest(rows, cols, st.buckets))  # W1 + J1
+                merged.write.mode("overwrite").partitionBy("_bucket").parquet(out)
             latest_paths.update(_bucket_dirs(store, out))
     finally:
         rows.unpersist()
