@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from entitylake.model import LATEST_SUFFIX, DatasetDefinition
-from entitylake.plans.ingest import FullSync, ingest_incremental
+from entitylake.plans.ingest import FullSync, compact, ingest_incremental
 from entitylake.plans.read import EntityPage, changes, read_entities
 from entitylake.sinks import fs
 from entitylake.sinks.store import TableState, TableStore, normalise
@@ -25,12 +25,13 @@ class Lake:
         definitions: dict[str, DatasetDefinition] | None = None,
         latest_default: bool = False,
         buckets: int = 64,
+        delta_rows_max: int = 2_000_000,
     ):
         self.spark = spark
         self.database, self.schema = database, schema
         self.definitions = dict(definitions or {})
         self.latest_default = latest_default
-        self.store = TableStore(spark, root, buckets)
+        self.store = TableStore(spark, root, buckets, delta_rows_max)
 
     # -- definitions ----------------------------------------------------------
     def define(self, ds: DatasetDefinition) -> DatasetDefinition:
@@ -89,6 +90,10 @@ class Lake:
         ds = self._write_ds(name)
         return FullSync(self.store, ds, sync_id, self.latest_active(ds))
 
+    def compact(self, name: str) -> TableState | None:
+        """Fold pending latest-table deltas into the base buckets."""
+        return compact(self.store, self._write_ds(name))
+
     def log(self, name: str) -> DataFrame:
         return self.store.read_log(self.store.location(self.dataset(name)))
 

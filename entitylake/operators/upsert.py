@@ -1,4 +1,4 @@
-"""Upsert into the latest table (J1), one hash bucket at a time.
+"""Upsert into the latest table (J1): bucketed copy-on-write plus merge-on-read deltas.
 
 MERGE semantics: a batch row replaces the stored row with the same id
 unconditionally (even a newer one), unmatched rows are inserted, nothing is
@@ -8,6 +8,9 @@ The latest table is stored as ``_bucket = pmod(xxhash64(id), N)`` directories.
 Only buckets hit by the batch are read and rewritten; both sides are shuffled
 once on ``_bucket`` and the newest-wins choice is a window inside each bucket,
 so the write emits one file set per bucket without a second exchange.
+
+Between compactions a batch only writes its newest rows as a delta; readers
+apply pending deltas with a broadcast anti join (``apply_deltas``).
 """
 
 from __future__ import annotations
@@ -36,6 +39,20 @@ def merge_latest(current: DataFrame | None, batch: DataFrame) -> DataFrame:
     return ranked.where(keep).drop("_rn", "_src")
 
 
-def anti_join_upsert(current: DataFrame, batch: DataFrame) -> DataFrame:
-    """Reference formulation of J1 for un-bucketed frames: anti join + union."""
-    return current.join(batch.select("id"), "id", "left_anti").unionByName(batch)
+def newest_delta_rows(deltas: DataFrame) -> DataFrame:
+    """Across pending deltas (each already one row per id) the last batch wins; NULL ids all stay."""
+    w = Window.partitionBy("id").orderBy(F.col("_seq").desc())
+    ranked = deltas.withColumn("_rn", F.row_number().over(w))
+    return ranked.where((F.col("_rn") == 1) | F.col("id").isNull()).drop("_rn", "_seq")
+
+
+def apply_deltas(base: DataFrame, deltas: DataFrame, broadcast_ids: bool) -> DataFrame:
+    """Merge-on-read J1: base rows not replaced by a delta, plus the newest delta rows.
+
+    The delta id set is small by construction (compaction bounds it), so the
+    anti join is a broadcast hash join: the base is scanned, never shuffled.
+    """
+    ids = deltas.select("id").where(F.col("id").isNotNull())
+    if broadcast_ids:
+        ids = F.broadcast(ids)
+    return base.join(ids, "id", "left_anti").unionByName(newest_delta_rows(deltas))

@@ -1,8 +1,10 @@
 """Incremental ingest (I4) and full sync.
 
 Incremental: batch -> stage (K1) -> staged scan (S6/S7) -> log append (K3)
--> newest per id (W1) -> bucket-wise upsert into latest (J1) -> one manifest
-commit.  A batch is keyed: replaying a committed key is a no-op and replaying an
+-> newest per id (W1) written as a latest-table delta -> one manifest commit.
+Deltas are applied on read (J1, merge-on-read) until their rows exceed the
+store's bound; then they are folded into the hash buckets they hit
+(copy-on-write J1) in the same commit.  A batch is keyed: replaying a committed key is a no-op and replaying an
 uncommitted one overwrites its own directories, so retries (task, job or
 ``foreachBatch`` replays) never duplicate rows.
 
@@ -25,13 +27,14 @@ from pyspark.sql import functions as F
 from entitylake.model import ENTITY_COLUMN, DatasetDefinition
 from entitylake.operators.dedup import newest_per_id
 from entitylake.operators.incoming import entities_to_rows, table_schema
-from entitylake.operators.upsert import bucket_of, merge_latest
+from entitylake.operators.upsert import bucket_of, merge_latest, newest_delta_rows
 from entitylake.sinks import fs
 from entitylake.sinks.stage import write_stage
 from entitylake.sinks.store import TableState, TableStore
 from entitylake.sources.entity_files import read_stage
 
 ORDER_COLS = ("_file", "_ix", "_elem")
+MAX_DELTAS = 64  # pending latest deltas before a compaction, bounds the read-side union
 log = logging.getLogger("entitylake.ingest")
 
 
@@ -117,32 +120,53 @@ def ingest_incremental(
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         cols = [f.name for f in schema]
-        if st.latest:
-            # buckets hit by the batch: at most ``buckets`` small ints; none = empty batch
-            hit = sorted(r[0] for r in rows.select(bucket_of(F.col("id"), st.buckets)).distinct().collect())
-            if not hit:
-                return st
-        elif rows.isEmpty():  # empty batch loads nothing
+        n_rows = rows.count()  # materialises the batch once
+        if n_rows == 0:  # empty batch loads nothing
             return st
         log_path = f"{loc}/log/{batch_key}"
         with _step("log"):
             rows.select(*cols).write.mode("overwrite").parquet(log_path)  # K3
-        latest_paths = dict(st.latest_paths)
+        deltas = list(st.deltas)
         if st.latest:
-            current = store.read_buckets(st, hit)
-            out = f"{loc}/latest/{batch_key}"
-            with _step("merge"):
-                merged = merge_latest(current, _newest(rows, cols, st.buckets))  # W1 + J1
-                merged.write.mode("overwrite").partitionBy("_bucket").parquet(out)
-            latest_paths.update(_bucket_dirs(store, out))
+            delta_path = f"{loc}/latest/deltas/{batch_key}"
+            with _step("delta"):
+                newest_per_id(rows, "_erec", ORDER_COLS).select(*cols).write.mode("overwrite").parquet(delta_path)  # W1
+            seq = max([d["seq"] for d in deltas], default=0) + 1
+            deltas.append({"key": batch_key, "path": delta_path, "seq": seq, "rows": int(n_rows)})
     finally:
         rows.unpersist()
     new = replace(
         st,
         version=st.version + 1,
         log=[*st.log, {"key": batch_key, "path": log_path, "load_ns": int(load_ns)}],
-        latest_paths=latest_paths,
+        deltas=deltas,
     )
+    if new.latest and (new.delta_rows() > store.delta_rows_max or len(new.deltas) > MAX_DELTAS):
+        new = _compacted(store, loc, new, batch_key)
+    return store.commit(loc, new)
+
+
+def _compacted(store: TableStore, loc: str, st: TableState, key: str) -> TableState:
+    """Fold pending deltas into the base buckets they hit (copy-on-write J1)."""
+    if not st.deltas:
+        return st
+    newest = newest_delta_rows(store.read_deltas(st)).withColumn("_bucket", bucket_of(F.col("id"), st.buckets))
+    hit = sorted(r[0] for r in newest.select("_bucket").distinct().collect())  # at most ``buckets`` ints
+    out = f"{loc}/latest/base-{key}"
+    with _step("compact"):
+        merge_latest(store.read_buckets(st, hit), newest).write.mode("overwrite").partitionBy("_bucket").parquet(out)
+    paths = dict(st.latest_paths)
+    paths.update(_bucket_dirs(store, out))
+    return replace(st, latest_paths=paths, deltas=[])
+
+
+def compact(store: TableStore, ds: DatasetDefinition) -> TableState | None:
+    """Compact the latest table now (one manifest commit)."""
+    loc = store.location(ds)
+    st = store.state(loc)
+    if st is None or not st.deltas:
+        return st
+    new = _compacted(store, loc, replace(st, version=st.version + 1), f"v{st.version + 1:08d}")
     return store.commit(loc, new)
 
 
@@ -200,5 +224,5 @@ class FullSync:
             log = [{"key": f"fs-{self.sync_id}", "path": f"{base}/log", "load_ns": int(load_ns)}]
         else:
             log = []
-        new = replace(st, version=st.version + 1, log=log, latest_paths=latest_paths, sync=None)
+        new = replace(st, version=st.version + 1, log=log, latest_paths=latest_paths, sync=None, deltas=[])
         return self.store.commit(self.loc, new)

@@ -111,3 +111,26 @@ def test_required_and_bad_cast_fail(spark, tmp):
     lake.define(DatasetDefinition("c", incoming=bad))
     with pytest.raises(Exception):
         lake.write_incremental("c", _ents(spark, [("a", 1, "not-a-number", 1)]), 1, "b1")
+
+
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("mode", ["compact-each-batch", "deltas-only", "explicit-compact"])
+def test_merge_on_read_equals_copy_on_write(spark, tmp, mode):
+    max_rows = 1 if mode == "compact-each-batch" else 10**9
+    lake = Lake(spark, tmp + "/lake", latest_default=True, buckets=4, delta_rows_max=max_rows)
+    lake.define(DatasetDefinition("t", incoming=MAP_V))
+    b1 = [("a", 5, "a5", 1), ("b", None, "b0", 2), (None, 1, "n1", 3), ("c", 1, "c1", 4)]
+    b2 = [("a", 1, "a-late", 1), (None, 2, "n2", 2), ("d", 1, "d1", 3)]
+    b3 = [("c", 9, "c9", 1), ("a", 2, "a-last", 2)]
+    for i, b in enumerate((b1, b2, b3)):
+        lake.write_incremental("t", _ents(spark, b), 100 + i, f"b{i}", ("_arrival",))
+    st = lake.state("t")
+    assert (len(st.deltas) == 0) == (mode == "compact-each-batch")
+    if mode == "explicit-compact":
+        lake.compact("t")
+        assert lake.state("t").deltas == [] and lake.state("t").latest_paths
+    got = sorted(((r.id or ""), r.v, r.recorded) for r in lake.latest("t").collect())
+    assert got == sorted([("a", "a-last", 102), ("b", "b0", 100), ("c", "c9", 102), ("d", "d1", 101),
+                          ("", "n1", 100), ("", "n2", 101)])
