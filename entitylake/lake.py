@@ -26,12 +26,13 @@ class Lake:
         latest_default: bool = False,
         buckets: int = 64,
         delta_rows_max: int = 2_000_000,
+        log_compact_batches: int = 256,
     ):
         self.spark = spark
         self.database, self.schema = database, schema
         self.definitions = dict(definitions or {})
         self.latest_default = latest_default
-        self.store = TableStore(spark, root, buckets, delta_rows_max)
+        self.store = TableStore(spark, root, buckets, delta_rows_max, log_compact_batches)
 
     # -- definitions ----------------------------------------------------------
     def define(self, ds: DatasetDefinition) -> DatasetDefinition:

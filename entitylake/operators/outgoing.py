@@ -52,6 +52,8 @@ def mapped_columns(mapping: OutgoingMapping, columns: list[str]) -> list[str]:
 def rows_to_entities(df: DataFrame, mapping: OutgoingMapping | None) -> DataFrame:
     """Project rows to the entity frame (id, recorded, deleted, refs, props)."""
     mapping = mapping or OutgoingMapping(map_all=True)
+    if not mapping.property_mappings and not mapping.map_all:  # D7: an empty list reads `*`
+        mapping = OutgoingMapping(mapping.base_uri, mapping.constructions, (), True)
     df = df.select(*mapped_columns(mapping, df.columns))
     df = apply_constructions(df, mapping)
     base = mapping.base_uri

@@ -143,9 +143,25 @@ def ingest_incremental(
     )
     if new.latest and (new.delta_rows() > store.delta_rows_max or len(new.deltas) > MAX_DELTAS):
         new = _compacted(store, loc, new, batch_key)
+    if sum(1 for b in new.log if "keys" not in b) >= store.log_compact_batches:
+        new = _log_compacted(store, loc, new, batch_key)
     return store.commit(loc, new)
 
 
+def _log_compacted(store: TableStore, loc: str, st: TableState, key: str) -> TableState:
+    """Merge the uncompacted log batch directories into one segment (tiered).
+
+    Rows are rewritten as they are (``recorded`` already holds each batch's
+    load time); small files are packed by the scan's split planning.
+    """
+    small = [b for b in st.log if "keys" not in b]
+    seg = f"{loc}/log/seg-{key}"
+    with _step("log-compact"):
+        store.spark.read.schema(st.schema).parquet(*[b["path"] for b in small]).write.mode("overwrite").parquet(seg)
+    entry = {"key": f"seg-{key}", "path": seg, "load_ns": None, "keys": [b["key"] for b in small]}
+    return replace(st, log=[b for b in st.log if "keys" in b] + [entry])
+
+
 def _compacted(store: TableStore, loc: str, st: TableState, key: str) -> TableState:
     """Fold pending deltas into the base buckets they hit (copy-on-write J1)."""
     if not st.deltas:

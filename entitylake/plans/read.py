@@ -18,7 +18,7 @@ from entitylake.sources.tables import to_entities
 
 
 @dataclass
-class Window:
+class SinceWindow:
     rows: DataFrame  # source rows inside (since, bound]
     token: str  # continuation token for the next request
 
@@ -42,7 +42,7 @@ def high_water_mark(rows: DataFrame, column: str, after: str | None = None) -> D
     )
 
 
-def since_window(rows: DataFrame, column: str, token: str = "", limit: int = 0) -> Window:
+def since_window(rows: DataFrame, column: str, token: str = "", limit: int = 0) -> SinceWindow:
     """I1 / I2 with L1: rows in ``(token, bound]`` and the next token.
 
     Without a limit the bound is the window's MAX.  With a limit the bound is
@@ -60,8 +60,8 @@ def since_window(rows: DataFrame, column: str, token: str = "", limit: int = 0)
         bound = lower.agg(F.max(column).alias("_m"))
     row = bound.select(F.col("_m").cast("string").alias("m"), token_column(F.col("_m"), dtype).alias("t")).first()
     if row is None or row["m"] is None:  # I2: nothing new -> same token, no rows (D4: "" stays "")
-        return Window(rows.where(F.lit(False)), token)
-    return Window(lower.where(F.col(column) <= F.lit(row["m"]).cast(dtype)), row["t"])
+        return SinceWindow(rows.where(F.lit(False)), token)
+    return SinceWindow(lower.where(F.col(column) <= F.lit(row["m"]).cast(dtype)), row["t"])
 
 
 def read_entities(rows: DataFrame, ds: DatasetDefinition, token: str = "", limit: int = 0) -> EntityPage:

@@ -23,7 +23,7 @@ from entitylake.model import (
     SourceConfig,
     Construction,
 )
-from entitylake.plans.read import EntityPage, high_water_mark, read_entities, since_window
+from entitylake.plans.read import EntityPage, changes, high_water_mark, read_entities, since_window
 from entitylake.session import scratch_dir
 from entitylake.sinks import fs
 from entitylake.sinks.feed import read_feed, write_feed
@@ -227,23 +227,22 @@ ORDERS_OUT = OutgoingMapping(
 
 
 def changes_paged_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """I3 + L1: follow continuation tokens until a page comes back empty."""
+    """I3 + L1: follow continuation tokens until the token stops moving."""
     ds = DatasetDefinition(
         "orders", SourceConfig(path=f"{sf_dir}/orders.parquet", since_column="o_orderdate"), outgoing=ORDERS_OUT
     )
     orders = _t(spark, sf_dir, "orders")
     token, pages = "", []
     while True:
-        win = since_window(orders, "o_orderdate", token, CHANGES_PAGE_ROWS)
-        if win.token == token:
+        page = changes(orders, ds, token, CHANGES_PAGE_ROWS)
+        if page.token == token:  # nothing new
             break
-        pages.append(win.rows)
-        token = win.token
-    rows = pages[0]
+        pages.append(page.entities.select("id"))
+        token = page.token
+    out = pages[0]
     for p in pages[1:]:
-        rows = rows.unionByName(p)
-    page = read_entities(rows, DatasetDefinition(ds.name, SourceConfig(), outgoing=ORDERS_OUT))
-    return page.entities.select("id")
+        out = out.unionByName(p)
+    return out
 
 
 # --- S5, P16 ----------------------------------------------------------------

@@ -75,3 +75,10 @@ def test_outer_array_stripped_and_malformed_aborts(spark, tmp):
         f.write('{"id":"a"}\n{bad\n')
     with pytest.raises(Exception):
         read_stage(spark, tmp + "/bad.json.gz").collect()
+
+
+def test_duplicate_json_keys_abort_the_load(spark, tmp):
+    with gzip.open(tmp + "/dup.json.gz", "wt") as f:
+        f.write('{"id":"a","props":{"k":1,"k":2}}\n')
+    with pytest.raises(Exception):
+        read_stage(spark, tmp + "/dup.json.gz").collect()

@@ -91,3 +91,10 @@ def test_malformed_raw_json_goes_to_rejects(spark):
     page = read_entities(df, DatasetDefinition("raw", SourceConfig(raw_column="ENTITY")))
     assert [r.id for r in page.entities.collect()] == ["1"]
     assert page.rejects.count() == 3
+
+
+def test_empty_mapping_list_reads_every_column(spark):
+    df = spark.createDataFrame([("1", "x:y")], "a string, b string")
+    e = read_entities(df, DatasetDefinition("x", outgoing=OutgoingMapping())).entities
+    row = json.loads(e.select(entity_json(F.col("*")).alias("j")).first().j)
+    assert row == {"refs": {}, "props": {"a": "1", "b": "x:y"}}  # values with ':' stay as they are
