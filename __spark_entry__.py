@@ -51,6 +51,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dedup_batch": _q(w.dedup_batch),
         "latest_from_log": _q(w.latest_from_log),
         "upsert_latest": _q(w.upsert_latest),
+        "upsert_latest_compacted": _q(w.upsert_latest_compacted),
+        "log_compacted": _q(w.log_compacted),
+        "staged_row_order": _q(w.staged_row_order),
         "full_sync_replace": _q(w.full_sync_replace),
         "full_sync_restart": _q(w.full_sync_restart),
         "entity_feed": _q(w.entity_feed),
@@ -207,6 +210,16 @@ select {_events_log_cols(f"concat('{EV}', event_id)", 'events_log', 'recorded_')
             "events_latest",
             f"case b when 1 then {L1} else {L2} end",
         ),
+        "upsert_latest_compacted": _two_level_latest(
+            "case when ts < timestamp '2024-01-16 00:00:00' then 1 else 2 end",
+            "events_latest",
+            f"case b when 1 then {L1} else {L2} end",
+        ),
+        "log_compacted": f"""
+select {_events_log_cols(f"concat('{EV}', event_id)", 'events_weekly',
+                         "cast(1700000000000000000 as bigint) + cast(floor(datediff('day', date '2024-01-01', cast(ts as date)) / 7) as bigint)")}
+from events""",
+        "staged_row_order": f"select concat('{OR}', o_orderkey) as id, cast(0 as bigint) as key_gap, true as within_cap from orders",
         "full_sync_replace": _customers(),
         "full_sync_restart": _customers(),
         "entity_feed": f"""

@@ -380,6 +380,59 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.latest("events_latest")
 
 
+def upsert_latest_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 through copy-on-write compaction after every batch (delta bound of one row)."""
+    lake = _lake(spark, "upsert-compacted", latest_default=True, delta_rows_max=1)
+    lake.define(DatasetDefinition("events_latest", incoming=_events_mapping()))
+    _two_batches(spark, sf_dir, lake, "events_latest")
+    assert not lake.state("events_latest").deltas
+    return lake.latest("events_latest")
+
+
+def log_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 over weekly batches with tiered log compaction every two batches."""
+    lake = _lake(spark, "log-weekly", log_compact_batches=2)
+    lake.define(DatasetDefinition("events_weekly", incoming=_events_mapping()))
+    ev = event_entities(_t(spark, sf_dir, "events"), id_of="event")
+    week = F.floor(F.datediff(F.col("_ts").cast("date"), F.lit("2024-01-01").cast("date")) / 7)
+    ev = ev.withColumn("_week", week)
+    weeks = sorted(r[0] for r in ev.select("_week").distinct().collect())  # one batch per week: a handful
+    for wk in weeks:
+        lake.write_incremental("events_weekly", ev.where(F.col("_week") == wk), LOAD_NS_1 + wk, f"w{wk}", ("_arrival",))
+    return lake.log("events_weekly")
+
+
+def staged_row_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + S7: staged files keep arrival order and hold at most ``per_file`` rows."""
+    from pyspark.sql import Window
+
+    per_file = 1000
+    o = _t(spark, sf_dir, "orders")
+    ents = o.select(
+        F.concat(F.lit(ORDER), F.col("o_orderkey")).alias("id"),
+        F.lit(None).cast("bigint").alias("recorded"),
+        F.lit(False).alias("deleted"),
+        variant_object([]).alias("refs"),
+        variant_object([(ORDER + "key", F.col("o_orderkey"))]).alias("props"),
+        F.col("o_orderkey").alias("_arrival"),
+    )
+    path = scratch_dir(spark, "stage-order")
+    write_stage(ents, path, order_by=("_arrival",), per_file=per_file)
+    st = read_stage(spark, path).select(
+        F.variant_get("entity", "$.id", "string").alias("id"),
+        F.variant_get("entity", f'$.props["{ORDER}key"]', "bigint").alias("key"),
+        "_file",
+        "_ix",
+    )
+    in_file = Window.partitionBy("_file")  # a file holds at most ``per_file`` rows
+    row = F.row_number().over(in_file.orderBy("_ix"))
+    return st.select(
+        "id",
+        (F.col("key") - F.min("key").over(in_file) + 1 - row).alias("key_gap"),
+        (F.count(F.lit(1)).over(in_file) <= per_file).alias("within_cap"),
+    )
+
+
 # --- I5, I6, K4 --------------------------------------------------------------
 CUSTOMER_IN = IncomingMapping(
     property_mappings=(
