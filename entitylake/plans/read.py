@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from entitylake.functions.tokens import decode_token, token_column, token_literal, typed_literal
 from entitylake.model import DatasetDefinition
@@ -54,7 +55,7 @@ def since_window(rows: DataFrame, column: str, token: str = "", limit: int = 0)
     after = decode_token(token)
     lower = rows if after is None else rows.where(F.col(column) > typed_literal(after, dtype))
     if limit and limit > 0:
-        firsts = lower.select(column).where(F.col(column).isNotNull()).orderBy(column).limit(limit)
+        firsts = narrowed(lower, column, limit).select(column).orderBy(column).limit(limit)
         bound = firsts.agg(F.max(column).alias("_m"))
     else:
         bound = lower.agg(F.max(column).alias("_m"))
@@ -64,6 +65,49 @@ def since_window(rows: DataFrame, column: str, token: str = "", limit: int = 0)
     return SinceWindow(lower.where(F.col(column) <= F.lit(row["m"]).cast(dtype)), row["t"])
 
 
+# Geometric grid of quantile fractions used to narrow a page's upper bound.
+_GRID = [min(1.0, 10 ** (e / 4)) for e in range(-48, 1)]
+_ACCURACY = 100_000
+_NARROWABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def narrowed(lower: DataFrame, column: str, n: int, final_rows: int | None = None) -> DataFrame:
+    """Non-null rows of ``lower`` cut to a range that still holds its ``n`` smallest values.
+
+    A top-n over a whole table ships ``n`` rows from every partition into one
+    task.  Instead, aggregation jobs (an exact count plus approximate
+    quantiles on a geometric grid, both partial-aggregated) lower the upper
+    bound until the range holds at most ``final_rows`` rows (default: a few
+    pages).  Each lowered bound is pushed to the scan, so later rounds read
+    little.  The exact top-n then runs on the small range only.  String
+    columns, which have no quantiles, keep the plain top-n.
+    """
+    col = F.col(column)
+    rng = lower.where(col.isNotNull())
+    dtype = lower.schema[column].dataType
+    if not isinstance(dtype, _NARROWABLE):
+        return rng
+    final_rows = final_rows or max(4 * n, 100_000)
+    cur, prev = rng, None
+    for _ in range(8):
+        row = cur.agg(
+            F.count(F.lit(1)).alias("c"),
+            F.percentile_approx(col, _GRID, _ACCURACY).cast("array<string>").alias("q"),
+        ).first()
+        c, qs = row["c"], row["q"]
+        if prev is not None and c < n:  # the sketch undershot: the last range that held n rows
+            return prev
+        if c <= final_rows or qs is None:
+            break
+        # smallest grid point whose rank, less the sketch error, still covers n rows
+        need = (1.05 * n + 2 * c / _ACCURACY) / c
+        pick = next((q for p, q in zip(_GRID, qs) if p >= need), None)
+        if pick is None or pick == qs[-1]:
+            break
+        prev, cur = cur, rng.where(col <= F.lit(pick).cast(dtype))
+    return cur
+
+
 def read_entities(rows: DataFrame, ds: DatasetDefinition, token: str = "", limit: int = 0) -> EntityPage:
     """The ``entities`` request: window (if a since column is set), limit, map."""
     since = ds.source.since_column

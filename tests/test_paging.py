@@ -41,3 +41,26 @@ def test_null_since_values_are_never_returned(spark):
     seen, _ = _page_all(df, "s", 1)
     assert set(seen) == {1}
     assert since_window(df, "s").rows.where(F.col("s").isNull()).count() == 0
+
+
+def test_narrowed_bound_equals_plain_top_n(spark):
+    from entitylake.plans.read import narrowed
+
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    for n in (1, 7, 50, 333):
+        for col in ("ts", "event_id"):
+            plain = ev.select(col).orderBy(col).limit(n).agg(F.max(col)).first()[0]
+            cut = narrowed(ev, col, n, final_rows=n + 5)
+            assert cut.count() >= n
+            fast = cut.select(col).orderBy(col).limit(n).agg(F.max(col)).first()[0]
+            assert fast == plain, (col, n)
+
+
+def test_paging_with_narrowing_every_page(spark, monkeypatch):
+    import entitylake.plans.read as rd
+
+    orig = rd.narrowed
+    monkeypatch.setattr(rd, "narrowed", lambda lower, column, n, final_rows=None: orig(lower, column, n, n + 3))
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    seen, pages = _page_all(orders, "o_orderdate", 200)
+    assert len(seen) == orders.count() and set(seen.values()) == {1}
