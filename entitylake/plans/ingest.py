@@ -45,8 +45,8 @@ def _step(name: str):
     log.info("%s %.3fs", name, time.perf_counter() - t0)
 
 
-def _staged_rows(store: TableStore, ds: DatasetDefinition, files: list[str], load_ns: int) -> DataFrame:
-    staged = read_stage(store.spark, files).withColumn(
+def _staged_rows(store: TableStore, ds: DatasetDefinition, stage: str, load_ns: int) -> DataFrame:
+    staged = read_stage(store.spark, stage).withColumn(
         "_erec", F.try_variant_get(F.col(ENTITY_COLUMN), "$.recorded", "bigint")
     )
     return entities_to_rows(staged, ds, load_ns, keep=("_erec", *ORDER_COLS))
@@ -109,10 +109,7 @@ def ingest_incremental(
     if stage:
         with _step("stage"):
             write_stage(entities, stage_path, order_by=order_by)  # K1
-        files = fs.list_files(spark, stage_path)
-        if not files:
-            return st
-        rows = _staged_rows(store, ds, files, load_ns)
+        rows = _staged_rows(store, ds, stage_path, load_ns)
     else:
         if not order_by or len(order_by) != 2:
             raise ValueError("an unstaged batch needs (file, position) arrival columns")
@@ -223,12 +220,12 @@ class FullSync:
         """Build log + latest from this sync alone and switch both at once (K4)."""
         spark = self.store.spark
         st = self._check_open()
-        files = [f for b in fs.list_names(spark, self.stage) if b.isdigit() for f in fs.list_files(spark, f"{self.stage}/{b}")]
+        batches = [b for b in fs.list_names(spark, self.stage) if b.isdigit()]
         cols = [f.name for f in self.schema]
         base = f"{self.loc}/fs/{self.sync_id}"
         latest_paths: dict[int, str] = {}
-        if files:
-            rows = _staged_rows(self.store, self.ds, files, load_ns).persist(StorageLevel.MEMORY_AND_DISK)
+        if batches:
+            rows = _staged_rows(self.store, self.ds, self.stage, load_ns).persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 rows.select(*cols).write.mode("overwrite").parquet(f"{base}/log")
                 if st.latest:

@@ -60,6 +60,20 @@ def write_text_exclusive(spark: SparkSession, path: str, text: str) -> bool:
     return bool(fs.rename(tmp, p))
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file (write a temp file, then rename over the old one)."""
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.tmp")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    fs.delete(p, False)
+    fs.rename(tmp, p)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
     stream = fs.open(p)

@@ -80,11 +80,13 @@ def payload_entities(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 def read_stage(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """S6 + S7: staged NDJSON(.gz) -> ``entity`` variant + file metadata.
 
+    ``paths`` are files or stage folders (read recursively).
+
     Malformed lines abort the read; a line holding a JSON array is unpacked
     into its elements (outer array stripped).  ``_ix`` rises with the row's
     position inside its file (files are read whole: gzip does not split).
     """
-    text = spark.read.option("mode", "FAILFAST").text(paths)
+    text = spark.read.option("mode", "FAILFAST").option("recursiveFileLookup", True).text(paths)
     scanned = text.select(
         F.parse_json(F.col("value")).alias("_v"),
         F.col("_metadata.file_path").alias("_file"),
