@@ -95,6 +95,10 @@ class Lake:
         """Fold pending latest-table deltas into the base buckets."""
         return compact(self.store, self._write_ds(name))
 
+    def vacuum(self, name: str, keep_versions: int = 10) -> list[str]:
+        """Delete superseded data directories and old manifests of a dataset."""
+        return self.store.vacuum(self.store.location(self.dataset(name)), keep_versions)
+
     def log(self, name: str) -> DataFrame:
         return self.store.read_log(self.store.location(self.dataset(name)))
 

@@ -99,3 +99,8 @@ def set_mtime(spark: SparkSession, path: str, millis: int) -> None:
 def mkdirs(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.mkdirs(p)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

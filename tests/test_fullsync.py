@@ -77,3 +77,24 @@ def test_manifest_versions_are_exclusive(spark, tmp):
     st = lake.state("t")
     with pytest.raises(CommitConflict):
         lake.store.commit(lake.store.location(lake.dataset("t")), st)
+
+
+def test_vacuum_keeps_results_and_drops_superseded_data(spark, tmp):
+    import os
+
+    lake = Lake(spark, tmp + "/lake", latest_default=True, buckets=4, delta_rows_max=2, log_compact_batches=2)
+    lake.define(DatasetDefinition("t", incoming=MAP_V))
+    for i in range(4):
+        lake.write_incremental("t", _ents(spark, [(f"k{i % 2}", f"v{i}")]), 10 + i, f"b{i}")
+    sync = lake.full_sync("t", "s1")
+    sync.start()
+    sync.add(_ents(spark, [("k0", "synced")]))
+    sync.commit(99)
+    lake.write_incremental("t", _ents(spark, [("k1", "after")]), 100, "b9")
+    before_log, before_latest = _ids(lake.log("t")), _ids(lake.latest("t"))
+    deleted = lake.vacuum("t", keep_versions=1)
+    assert deleted and all(not os.path.exists(p.replace("file:", "")) for p in deleted)
+    assert _ids(lake.log("t")) == before_log == [("k0", "synced", 99), ("k1", "after", 100)]
+    assert _ids(lake.latest("t")) == before_latest == [("k0", "synced", 99), ("k1", "after", 100)]
+    assert not os.path.exists(f"{tmp}/lake/DB/PUBLIC/T/log/b0")
+    assert lake.state("t").version >= 1
