@@ -55,8 +55,7 @@ def since_window(rows: DataFrame, column: str, token: str = "", limit: int = 0)
     after = decode_token(token)
     lower = rows if after is None else rows.where(F.col(column) > typed_literal(after, dtype))
     if limit and limit > 0:
-        firsts = narrowed(lower, column, limit).select(column).orderBy(column).limit(limit)
-        bound = firsts.agg(F.max(column).alias("_m"))
+        bound = page_bound(lower, column, limit)
     else:
         bound = lower.agg(F.max(column).alias("_m"))
     row = bound.select(F.col("_m").cast("string").alias("m"), token_column(F.col("_m"), dtype).alias("t")).first()
@@ -68,44 +67,55 @@ def since_window(rows: DataFrame, column: str, token: str = "", limit: int = 0)
 # Geometric grid of quantile fractions used to narrow a page's upper bound.
 _GRID = [min(1.0, 10 ** (e / 4)) for e in range(-48, 1)]
 _ACCURACY = 100_000
+TOP_N_GATHER_MAX = 10_000_000  # rows a plain top-n may gather into its final task
 _NARROWABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
-def narrowed(lower: DataFrame, column: str, n: int, final_rows: int | None = None) -> DataFrame:
-    """Non-null rows of ``lower`` cut to a range that still holds its ``n`` smallest values.
+def page_bound(lower: DataFrame, column: str, n: int, final_rows: int | None = None) -> DataFrame:
+    """One row ``_m``: the largest of the ``n`` smallest non-null since values.
 
     A top-n over a whole table ships ``n`` rows from every partition into one
-    task.  Instead, aggregation jobs (an exact count plus approximate
-    quantiles on a geometric grid, both partial-aggregated) lower the upper
-    bound until the range holds at most ``final_rows`` rows (default: a few
-    pages).  Each lowered bound is pushed to the scan, so later rounds read
-    little.  The exact top-n then runs on the small range only.  String
-    columns, which have no quantiles, keep the plain top-n.
+    task; that is fine while ``n`` x partitions stays under
+    ``TOP_N_GATHER_MAX`` (known from planning, no job).  Beyond it,
+    aggregation jobs (exact count and MAX, then approximate
+    quantiles on a geometric grid, all partial-aggregated) lower the upper
+    bound until the range holds at most ``final_rows`` rows (default: the
+    larger of four pages and 1M rows).  Each lowered bound is pushed to the
+    scan.  The exact top-n then runs on that range only, and not at all when
+    the range holds no more than ``n`` rows.  String columns, which have no
+    quantiles, keep the plain top-n.
     """
     col = F.col(column)
     rng = lower.where(col.isNotNull())
+
+    def top_n(df: DataFrame) -> DataFrame:
+        return df.select(column).orderBy(column).limit(n).agg(F.max(column).alias("_m"))
+
     dtype = lower.schema[column].dataType
     if not isinstance(dtype, _NARROWABLE):
-        return rng
-    final_rows = final_rows or max(4 * n, 100_000)
+        return top_n(rng)
+    if final_rows is None and n * rng.rdd.getNumPartitions() <= TOP_N_GATHER_MAX:
+        return top_n(rng)  # the top-n gathers at most n rows per input partition: bounded here
+    final_rows = final_rows or max(4 * n, 1_000_000)
     cur, prev = rng, None
     for _ in range(8):
-        row = cur.agg(
-            F.count(F.lit(1)).alias("c"),
-            F.percentile_approx(col, _GRID, _ACCURACY).cast("array<string>").alias("q"),
-        ).first()
-        c, qs = row["c"], row["q"]
+        row = cur.agg(F.count(F.lit(1)).alias("c"), F.max(col).cast("string").alias("m")).first()
+        c = row["c"]
         if prev is not None and c < n:  # the sketch undershot: the last range that held n rows
-            return prev
-        if c <= final_rows or qs is None:
+            return top_n(prev)
+        if c <= n:  # the whole range is the page
+            return lower.sparkSession.createDataFrame([(row["m"],)], "_m string").select(F.col("_m").cast(dtype))
+        if c <= final_rows:
             break
+        # only a range too large for a bounded top-n pays for a quantile sketch
+        qs = cur.agg(F.percentile_approx(col, _GRID, _ACCURACY).cast("array<string>")).first()[0]
         # smallest grid point whose rank, less the sketch error, still covers n rows
         need = (1.05 * n + 2 * c / _ACCURACY) / c
         pick = next((q for p, q in zip(_GRID, qs) if p >= need), None)
         if pick is None or pick == qs[-1]:
             break
         prev, cur = cur, rng.where(col <= F.lit(pick).cast(dtype))
-    return cur
+    return top_n(cur)
 
 
 def read_entities(rows: DataFrame, ds: DatasetDefinition, token: str = "", limit: int = 0) -> EntityPage:
