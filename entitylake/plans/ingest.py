@@ -21,7 +21,7 @@ from contextlib import contextmanager
 from dataclasses import replace
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from entitylake.model import ENTITY_COLUMN, DatasetDefinition
@@ -116,12 +116,13 @@ def ingest_incremental(
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         cols = [f.name for f in schema]
-        n_rows = rows.count()  # materialises the batch once
-        if n_rows == 0:  # empty batch loads nothing
-            return st
         log_path = f"{loc}/log/{batch_key}"
-        with _step("log"):
-            rows.select(*cols).write.mode("overwrite").parquet(log_path)  # K3
+        seen = Observation(f"batch-{batch_key}")
+        with _step("log"):  # K3; the row count rides along with the write
+            rows.select(*cols).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(log_path)
+        n_rows = seen.get["rows"]
+        if n_rows == 0:  # empty batch loads nothing (its empty folder is left to vacuum)
+            return st
         deltas = list(st.deltas)
         if st.latest:
             delta_path = f"{loc}/latest/deltas/{batch_key}"
