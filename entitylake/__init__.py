@@ -6,6 +6,7 @@ configurable mappings, loaded into append-only log tables and newest-version
 work is expressed as DataFrame / SQL / Structured Streaming operators.
 """
 
+from entitylake.lake import Lake
 from entitylake.model import (
     Construction,
     DatasetDefinition,
@@ -22,6 +23,7 @@ __all__ = [
     "DatasetDefinition",
     "IncomingMapping",
     "IncomingPropertyMapping",
+    "Lake",
     "OutgoingMapping",
     "OutgoingPropertyMapping",
     "SourceConfig",

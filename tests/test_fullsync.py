@@ -98,3 +98,22 @@ def test_vacuum_keeps_results_and_drops_superseded_data(spark, tmp):
     assert _ids(lake.latest("t")) == before_latest == [("k0", "synced", 99), ("k1", "after", 100)]
     assert not os.path.exists(f"{tmp}/lake/DB/PUBLIC/T/log/b0")
     assert lake.state("t").version >= 1
+
+
+def test_manifest_hint_stale_missing_or_torn(spark, tmp):
+    import os
+
+    lake = Lake(spark, tmp + "/lake")
+    lake.define(DatasetDefinition("t", incoming=MAP_V))
+    for i in range(3):
+        lake.write_incremental("t", _ents(spark, [(f"k{i}", "v")]), i, f"b{i}")
+    hint = f"{tmp}/lake/DB/PUBLIC/T/_manifest/_last"
+    assert open(hint).read().strip() == "3" and lake.state("t").version == 3
+    with open(hint, "w") as f:
+        f.write("1")  # stale: newer versions are probed
+    assert lake.state("t").version == 3
+    with open(hint, "w") as f:
+        f.write("not-a-number")  # torn: fall back to listing
+    assert lake.state("t").version == 3
+    os.remove(hint)  # missing: listing
+    assert lake.state("t").version == 3
