@@ -58,6 +58,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "full_sync_restart": _q(w.full_sync_restart),
         "entity_feed": _q(w.entity_feed),
         "convention_roundtrip": _q(w.convention_roundtrip),
+        "log_since_read": _q(w.log_since_read),
         "stream_ingest": _q(w.stream_ingest),
     }
 
@@ -242,6 +243,10 @@ from nation""",
             ],
             "events",
         ),
+        "log_since_read": f"""
+select concat('{US}', user_id) as id, event_id, {_tok("'1700000000000000000'")} as after_token,
+       {_tok("'1700000100000000000'")} as token
+from events where ts >= timestamp '2024-01-16 00:00:00'""",
         "stream_ingest": _two_level_latest(
             "dense_rank() over (order by cast(ts as date)) - 1",
             "events_stream",

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from entitylake.functions.uris import fill_template, property_uri
 from entitylake.functions.variants import empty_object, variant_object
@@ -92,9 +93,13 @@ def decode_raw_entities(df: DataFrame, column: str, strict: bool = False) -> tup
     (the source row's column text plus a reason) instead of silently becoming an
     empty entity; with ``strict=True`` a malformed row fails the job instead.
     """
-    raw = F.col(column).cast("string")
-    parsed = F.parse_json(raw) if strict else F.try_parse_json(raw)
-    staged = df.select(raw.alias("_raw"), parsed.alias("_v"))
+    field = next((f for f in df.schema.fields if f.name.lower() == column.lower()), None)
+    if field is not None and isinstance(field.dataType, T.VariantType):  # stored entities: already parsed
+        staged = df.select(F.lit(None).cast("string").alias("_raw"), F.col(column).alias("_v"))
+    else:
+        raw = F.col(column).cast("string")
+        parsed = F.parse_json(raw) if strict else F.try_parse_json(raw)
+        staged = df.select(raw.alias("_raw"), parsed.alias("_v"))
     good = staged.where(F.col("_v").isNotNull() & (F.schema_of_variant("_v").startswith("OBJECT")))
     bad = staged.where(F.col("_v").isNull() | ~F.schema_of_variant("_v").startswith("OBJECT"))
     v = F.col("_v")

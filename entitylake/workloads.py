@@ -536,6 +536,30 @@ def convention_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_entities(page.entities)
 
 
+def log_since_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I1 over a log table: a consumer reads after each load and follows the token."""
+    lake = _lake(spark, "log-since")
+    lake.define(DatasetDefinition("events_log_raw"))
+    lake.define(
+        DatasetDefinition(
+            "events_log_feed",
+            SourceConfig(database="DB", schema="PUBLIC", table_name="EVENTS_LOG_RAW", raw_column="entity", since_column="recorded"),
+        )
+    )
+    ev = event_entities(_t(spark, sf_dir, "events"))
+    split = F.lit(SPLIT_TS).cast("timestamp_ntz")
+    lake.write_incremental("events_log_raw", ev.where(F.col("_ts") < split), LOAD_NS_1, "b1", ("_arrival",))
+    first = lake.entities("events_log_feed")  # everything so far, token = first load time
+    lake.write_incremental("events_log_raw", ev.where(F.col("_ts") >= split), LOAD_NS_2, "b2", ("_arrival",))
+    second = lake.entities("events_log_feed", since=first.token)  # only the second load
+    return second.entities.select(
+        "id",
+        F.variant_get("props", f'$["{EVENT}event_id"]', "bigint").alias("event_id"),
+        F.lit(first.token).alias("after_token"),
+        F.lit(second.token).alias("token"),
+    )
+
+
 # --- I4 via Structured Streaming ----------------------------------------------
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from entitylake.streaming.landing import ingest_stream
