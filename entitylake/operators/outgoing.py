@@ -6,6 +6,8 @@ the scan to the mapped columns and the mapping runs inside the scan's stage.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,15 +20,23 @@ RAW_ENTITY_DDL = "id string, recorded bigint, deleted boolean, refs variant, pro
 
 
 def apply_constructions(df: DataFrame, mapping: OutgoingMapping) -> DataFrame:
-    """``replace(source, old, new)`` overrides the same-named column."""
+    """P1 as a frame: ``replace(source, old, new)`` overrides the same-named column."""
+    exprs = construction_columns(df.columns, mapping)
+    return df.select(*[exprs[n].alias(n) for n in exprs])
+
+
+def construction_columns(columns: list[str], mapping: OutgoingMapping) -> dict[str, Column]:
+    """Column expressions after P1, in source order plus new constructed names."""
+    exprs: dict[str, Column] = {n: F.col(n) for n in columns}
     for c in mapping.constructions:
         src, old, new = c.args
-        df = df.withColumn(c.property, F.replace(F.col(src).cast("string"), F.lit(old), F.lit(new)))
-    return df
+        base = exprs.get(src, F.col(src))
+        exprs[c.property] = F.replace(base.cast("string"), F.lit(old), F.lit(new))
+    return exprs
 
 
-def _value(pm: OutgoingPropertyMapping) -> Column:
-    v = F.col(pm.property)
+def _value(pm: OutgoingPropertyMapping, exprs: dict[str, Column]) -> Column:
+    v = exprs.get(pm.property, F.col(pm.property))
     if pm.datatype:
         v = v.cast(spark_type(pm.datatype))
     if pm.default_value is not None:
@@ -37,7 +47,11 @@ def _value(pm: OutgoingPropertyMapping) -> Column:
 
 
 def mapped_columns(mapping: OutgoingMapping, columns: list[str]) -> list[str]:
-    """The source columns a mapping reads, in mapping order."""
+    """The source columns a mapping reads, in mapping order.
+
+    Informational: the mapping is one projection, so Catalyst prunes the scan
+    to exactly these columns (``ReadSchema``) by itself.
+    """
     if mapping.map_all or not mapping.property_mappings:
         return list(columns)
     needed: list[str] = []
@@ -51,22 +65,35 @@ def mapped_columns(mapping: OutgoingMapping, columns: list[str]) -> list[str]:
 
 
 def rows_to_entities(df: DataFrame, mapping: OutgoingMapping | None) -> DataFrame:
-    """Project rows to the entity frame (id, recorded, deleted, refs, props)."""
+    """Project rows to the entity frame (id, recorded, deleted, refs, props).
+
+    One ``select``: constructions are substituted into the value expressions.
+    The projection only depends on the mapping and the input column names, so
+    it is built once and reused by every request on the same dataset.
+    """
     mapping = mapping or OutgoingMapping(map_all=True)
     if not mapping.property_mappings and not mapping.map_all:  # D7: an empty list reads `*`
         mapping = OutgoingMapping(mapping.base_uri, mapping.constructions, (), True)
-    df = df.select(*mapped_columns(mapping, df.columns))
-    df = apply_constructions(df, mapping)
+    try:
+        cols = _projection(mapping, tuple(df.columns))
+    except TypeError:  # an unhashable default value: build without the cache
+        cols = _projection.__wrapped__(mapping, tuple(df.columns))
+    return df.select(*cols)
+
+
+@lru_cache(maxsize=256)
+def _projection(mapping: OutgoingMapping, columns: tuple[str, ...]) -> tuple[Column, ...]:
+    exprs = construction_columns(list(columns), mapping)
     base = mapping.base_uri
 
     props: dict[str, Column] = {}
     refs: dict[str, Column] = {}
     ident: Column = F.lit(None).cast("string")
     if mapping.map_all:  # P6: every column, identity and reference columns too
-        for name in df.columns:
-            props[property_uri(base, name)] = F.col(name)
+        for name, expr in exprs.items():
+            props[property_uri(base, name)] = expr
     for pm in mapping.property_mappings:  # explicit mappings on top
-        v = _value(pm)
+        v = _value(pm, exprs)
         if pm.uri_value_pattern:
             v = fill_template(pm.uri_value_pattern, v)
         if pm.is_identity:
@@ -77,7 +104,7 @@ def rows_to_entities(df: DataFrame, mapping: OutgoingMapping | None) -> DataFram
             refs[key] = v.cast("string")
         else:
             props[key] = v
-    return df.select(
+    return (
         ident.alias("id"),
         F.lit(None).cast("bigint").alias("recorded"),
         F.lit(False).alias("deleted"),

@@ -18,11 +18,14 @@ def write_stage(
     """Write one batch.  Overwrites ``path`` so a retried batch is idempotent.
 
     ``order_by`` names arrival columns: the batch is then range-partitioned and
-    sorted on them so part-file order plus line order is the arrival order.
+    sorted on them so part-file order plus line order is the arrival order
+    (a single input partition only needs the local sort).
     """
     df = entities
     if order_by:
-        df = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+        if df.rdd.getNumPartitions() > 1:  # known from planning; one partition needs no exchange
+            df = df.repartitionByRange(*order_by)
+        df = df.sortWithinPartitions(*order_by)
     (
         df.select(entity_json(df).alias("value"))
         .write.mode("overwrite")

@@ -8,6 +8,8 @@ split (multi-line JSON).
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,18 +52,28 @@ def _expand_props(props: Column, ns: Column) -> Column:
     return F.to_variant_object(F.transform_keys(m, lambda k, v: expand(k, ns)))
 
 
-def expand_namespaces(entities: DataFrame, ns: Column) -> DataFrame:
-    """Expand prefixes in id, prop keys, ref keys and ref values."""
-    return entities.select(
+@lru_cache(maxsize=16)
+def _expansion(ns_column: str) -> tuple[Column, ...]:
+    """The P16 projection, built once (its lambdas are costly to construct)."""
+    ns = F.coalesce(F.col(ns_column), F.create_map().cast("map<string,string>"))
+    return (
         expand(F.col("id"), ns).alias("id"),
-        "recorded",
-        "deleted",
+        F.col("recorded"),
+        F.col("deleted"),
         _expand_refs(F.col("refs"), ns).alias("refs"),
         _expand_props(F.col("props"), ns).alias("props"),
-        *[c for c in entities.columns if c.startswith("_")],
     )
 
 
+def expand_namespaces(entities: DataFrame, ns_column: str) -> DataFrame:
+    """Expand prefixes in id, prop keys, ref keys and ref values.
+
+    ``ns_column`` holds each row's prefix -> URI map (NULL = no context).
+    """
+    extra = [c for c in entities.columns if c.startswith("_") and c != ns_column]
+    return entities.select(*_expansion(ns_column), *extra)
+
+
 def payload_entities(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """S5 + P16: entity frame of payload files, expanded, with arrival columns."""
     raw = read_payloads(spark, paths)
@@ -73,8 +85,7 @@ def payload_entities(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     if n_files <= BROADCAST_CONTEXT_FILES:  # size bound: one small map per file
         contexts = F.broadcast(contexts)
     joined = entities.join(contexts, "_file", "left")
-    ns = F.coalesce(F.col("_ns"), F.create_map().cast("map<string,string>"))
-    return expand_namespaces(joined, ns).select("id", "recorded", "deleted", "refs", "props", *ARRIVAL)
+    return expand_namespaces(joined, "_ns").select("id", "recorded", "deleted", "refs", "props", *ARRIVAL)
 
 
 def read_stage(spark: SparkSession, paths: list[str] | str) -> DataFrame:
