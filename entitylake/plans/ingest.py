@@ -31,11 +31,12 @@ from entitylake.operators.outgoing import entity_json
 from entitylake.operators.upsert import bucket_of, merge_latest, newest_delta_rows
 from entitylake.sinks import fs
 from entitylake.sinks.stage import write_stage
-from entitylake.sinks.store import TableState, TableStore
+from entitylake.sinks.store import CommitConflict, TableState, TableStore
 from entitylake.sources.entity_files import read_stage
 
 ORDER_COLS = ("_file", "_ix", "_elem")
 MAX_DELTAS = 64  # pending latest deltas before a compaction, bounds the read-side union
+COMMIT_ATTEMPTS = 5
 log = logging.getLogger("entitylake.ingest")
 
 
@@ -132,17 +133,26 @@ def ingest_incremental(
             deltas.append({"key": batch_key, "path": delta_path, "seq": seq, "rows": int(n_rows)})
     finally:
         rows.unpersist()
-    new = replace(
-        st,
-        version=st.version + 1,
-        log=[*st.log, {"key": batch_key, "path": log_path, "load_ns": int(load_ns)}],
-        deltas=deltas,
-    )
-    if new.latest and (new.delta_rows() > store.delta_rows_max or len(new.deltas) > MAX_DELTAS):
-        new = _compacted(store, loc, new, batch_key)
-    if sum(1 for b in new.log if "keys" not in b) >= store.log_compact_batches:
-        new = _log_compacted(store, loc, new, batch_key)
-    return store.commit(loc, new)
+    log_entry = {"key": batch_key, "path": log_path, "load_ns": int(load_ns)}
+    delta_entry = deltas[-1] if len(deltas) > len(st.deltas) else None
+    for _ in range(COMMIT_ATTEMPTS):
+        new = replace(st, version=st.version + 1, log=[*st.log, log_entry])
+        if delta_entry is not None:
+            seq = max([d["seq"] for d in st.deltas], default=0) + 1
+            new.deltas = [*st.deltas, {**delta_entry, "seq": seq}]
+        if new.latest and (new.delta_rows() > store.delta_rows_max or len(new.deltas) > MAX_DELTAS):
+            new = _compacted(store, loc, new, batch_key)
+        if sum(1 for b in new.log if "keys" not in b) >= store.log_compact_batches:
+            new = _log_compacted(store, loc, new, batch_key)
+        try:
+            return store.commit(loc, new)
+        except CommitConflict:
+            # another writer committed first: our data folders are keyed by the
+            # batch, so re-apply the entries on top of the newer state
+            st = store.state(loc)
+            if batch_key in st.keys():
+                return st
+    raise CommitConflict(f"gave up committing batch {batch_key} of {loc} after {COMMIT_ATTEMPTS} attempts")
 
 
 def _log_compacted(store: TableStore, loc: str, st: TableState, key: str) -> TableState:

@@ -146,3 +146,25 @@ def test_log_compaction_keeps_rows_and_replay_keys(spark, tmp):
     lake.write_incremental("t", _ents(spark, [("dup", 1, "x", 1)]), 99, "b1")  # compacted key: replay no-op
     rows = sorted((r.id, r.recorded) for r in lake.log("t").collect())
     assert rows == [(f"id{i}", 10 + i) for i in range(7)]
+
+
+def test_concurrent_commit_is_retried_on_the_newer_state(spark, tmp):
+    a = Lake(spark, tmp + "/lake", latest_default=True, buckets=4)
+    b = Lake(spark, tmp + "/lake", latest_default=True, buckets=4)
+    for lake in (a, b):
+        lake.define(DatasetDefinition("t", incoming=MAP_V))
+    a.write_incremental("t", _ents(spark, [("x", 1, "x0", 1)]), 1, "b0")
+    real_commit = a.store.commit
+    raced = []
+
+    def racing_commit(loc, state):
+        if not raced:  # another writer commits the same version first
+            raced.append(True)
+            b.write_incremental("t", _ents(spark, [("y", 1, "y-from-b", 1)]), 2, "from-b")
+        return real_commit(loc, state)
+
+    a.store.commit = racing_commit
+    a.write_incremental("t", _ents(spark, [("x", 2, "x-from-a", 1)]), 3, "from-a")
+    assert raced and {"b0", "from-a", "from-b"} <= a.state("t").keys()
+    assert sorted((r.id, r.v) for r in a.latest("t").collect()) == [("x", "x-from-a"), ("y", "y-from-b")]
+    assert a.log("t").count() == 3
