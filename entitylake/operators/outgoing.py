@@ -123,12 +123,14 @@ def decode_raw_entities(df: DataFrame, column: str, strict: bool = False) -> tup
     field = next((f for f in df.schema.fields if f.name.lower() == column.lower()), None)
     if field is not None and isinstance(field.dataType, T.VariantType):  # stored entities: already parsed
         staged = df.select(F.lit(None).cast("string").alias("_raw"), F.col(column).alias("_v"))
+        is_object = F.schema_of_variant("_v").startswith("OBJECT")
     else:
         raw = F.col(column).cast("string")
         parsed = F.parse_json(raw) if strict else F.try_parse_json(raw)
         staged = df.select(raw.alias("_raw"), parsed.alias("_v"))
-    good = staged.where(F.col("_v").isNotNull() & (F.schema_of_variant("_v").startswith("OBJECT")))
-    bad = staged.where(F.col("_v").isNull() | ~F.schema_of_variant("_v").startswith("OBJECT"))
+        is_object = F.ltrim(F.col("_raw")).startswith("{")  # valid JSON starting with '{' is an object
+    good = staged.where(F.col("_v").isNotNull() & is_object)
+    bad = staged.where(F.col("_v").isNull() | ~is_object)
     v = F.col("_v")
     entities = good.select(
         F.try_variant_get(v, "$.id", "string").alias("id"),

@@ -34,7 +34,7 @@ from entitylake.sinks.stage import write_stage
 from entitylake.sinks.store import CommitConflict, TableState, TableStore
 from entitylake.sources.entity_files import read_stage
 
-ORDER_COLS = ("_file", "_ix", "_elem")
+ORDER_COLS = ("_file", "_blk", "_ix", "_elem")  # arrival: file, split, row, array element
 MAX_DELTAS = 64  # pending latest deltas before a compaction, bounds the read-side union
 COMMIT_ATTEMPTS = 5
 log = logging.getLogger("entitylake.ingest")
@@ -64,6 +64,7 @@ def _direct_rows(ds: DatasetDefinition, entities: DataFrame, load_ns: int, arriv
     staged = entities.select(
         F.parse_json(entity_json(entities)).alias(ENTITY_COLUMN),
         F.col(f).cast("string").alias("_file"),
+        F.lit(0).cast("bigint").alias("_blk"),
         F.col(pos).alias("_ix"),
         F.lit(0).alias("_elem"),
     ).withColumn("_erec", F.try_variant_get(F.col(ENTITY_COLUMN), "$.recorded", "bigint"))

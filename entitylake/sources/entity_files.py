@@ -94,17 +94,18 @@ def read_stage(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     ``paths`` are files or stage folders (read recursively).
 
     Malformed lines abort the read; a line holding a JSON array is unpacked
-    into its elements (outer array stripped).  ``_ix`` rises with the row's
-    position inside its file (files are read whole: gzip does not split).
+    into its elements (outer array stripped).  A row's position in its file is
+    ``(_blk, _ix)``: the split's start offset, then a counter that rises along
+    the split (gzip files are never split; plain files may be).
     """
     text = spark.read.option("mode", "FAILFAST").option("recursiveFileLookup", True).text(paths)
     scanned = text.select(
         F.parse_json(F.col("value")).alias("_v"),
+        F.ltrim(F.col("value")).startswith("[").alias("_arr"),  # cheap: no walk over the value
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_modification_time").alias("_fts"),
+        F.col("_metadata.file_block_start").alias("_blk"),
         F.monotonically_increasing_id().alias("_ix"),
     )
-    elems = F.when(
-        F.schema_of_variant("_v").startswith("ARRAY"), F.col("_v").cast("array<variant>")
-    ).otherwise(F.array(F.col("_v")))
-    return scanned.select(F.posexplode(elems).alias("_elem", ENTITY_COLUMN), "_file", "_fts", "_ix")
+    elems = F.when(F.col("_arr"), F.col("_v").cast("array<variant>")).otherwise(F.array(F.col("_v")))
+    return scanned.select(F.posexplode(elems).alias("_elem", ENTITY_COLUMN), "_file", "_fts", "_blk", "_ix")

@@ -348,10 +348,11 @@ def dedup_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.try_variant_get("entity", "$.recorded", "bigint").alias("recorded"),
         F.variant_get("entity", f'$.props["{EVENT}event_id"]', "bigint").alias("event_id"),
         "_file",
+        "_blk",
         "_ix",
         "_elem",
     )
-    return newest_per_id(staged, "recorded", ("_file", "_ix", "_elem")).select("id", "recorded", "event_id")
+    return newest_per_id(staged, "recorded", ("_file", "_blk", "_ix", "_elem")).select("id", "recorded", "event_id")
 
 
 def latest_from_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -422,10 +423,11 @@ def staged_row_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.variant_get("entity", "$.id", "string").alias("id"),
         F.variant_get("entity", f'$.props["{ORDER}key"]', "bigint").alias("key"),
         "_file",
+        "_blk",
         "_ix",
     )
     in_file = Window.partitionBy("_file")  # a file holds at most ``per_file`` rows
-    row = F.row_number().over(in_file.orderBy("_ix"))
+    row = F.row_number().over(in_file.orderBy("_blk", "_ix"))
     return st.select(
         "id",
         (F.col("key") - F.min("key").over(in_file) + 1 - row).alias("key_gap"),

@@ -82,3 +82,26 @@ def test_duplicate_json_keys_abort_the_load(spark, tmp):
         f.write('{"id":"a","props":{"k":1,"k":2}}\n')
     with pytest.raises(Exception):
         read_stage(spark, tmp + "/dup.json.gz").collect()
+
+
+def test_plain_stage_files_keep_row_order_across_splits(spark, tmp):
+    from pyspark.sql import Window
+
+    df = spark.range(0, 3000).select(
+        F.concat(F.lit("e"), F.col("id")).alias("id"),
+        F.lit(None).cast("bigint").alias("recorded"),
+        F.lit(False).alias("deleted"),
+        F.parse_json(F.lit("{}")).alias("refs"),
+        F.to_variant_object(F.create_map(F.lit("n"), F.col("id").cast("variant"))).alias("props"),
+        F.col("id").alias("_arrival"),
+    )
+    write_stage(df, tmp + "/plain", order_by=("_arrival",), compression="none")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")  # force several splits per file
+    try:
+        st = read_stage(spark, tmp + "/plain").select(F.variant_get("entity", "$.props.n", "bigint").alias("n"), "_file", "_blk", "_ix")
+        assert st.rdd.getNumPartitions() > 2
+        w = Window.orderBy("_file", "_blk", "_ix")
+        got = [r.n for r in st.select("n", F.row_number().over(w).alias("r")).orderBy("r").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == list(range(3000))
