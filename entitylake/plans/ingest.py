@@ -37,6 +37,7 @@ from entitylake.sources.entity_files import read_stage
 ORDER_COLS = ("_file", "_blk", "_ix", "_elem")  # arrival: file, split, row, array element
 MAX_DELTAS = 64  # pending latest deltas before a compaction, bounds the read-side union
 COMMIT_ATTEMPTS = 5
+REPLAY_KEYS = 100_000  # batch keys remembered for replay detection across log segments
 log = logging.getLogger("entitylake.ingest")
 
 
@@ -167,7 +168,13 @@ def _log_compacted(store: TableStore, loc: str, st: TableState, key: str) -> Tab
     with _step("log-compact"):
         store.spark.read.schema(st.schema).parquet(*[b["path"] for b in small]).write.mode("overwrite").parquet(seg)
     entry = {"key": f"seg-{key}", "path": seg, "load_ns": None, "keys": [b["key"] for b in small]}
-    return replace(st, log=[b for b in st.log if "keys" in b] + [entry])
+    segments = [dict(b) for b in st.log if "keys" in b] + [entry]
+    # replay detection remembers the newest REPLAY_KEYS batch keys; older segments forget theirs
+    budget = REPLAY_KEYS
+    for b in reversed(segments):
+        b["keys"] = b["keys"][-budget:] if budget > 0 else []
+        budget -= len(b["keys"])
+    return replace(st, log=segments)
 
 
 def _compacted(store: TableStore, loc: str, st: TableState, key: str) -> TableState:
