@@ -7,12 +7,16 @@ split points are the fixed values of ``entitylake.workloads``.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from entitylake import workloads as w
-from entitylake.session import ensure_checkpoint_dir
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))  # also when loaded by file path
+
+from entitylake import workloads as w  # noqa: E402
+from entitylake.session import ensure_checkpoint_dir  # noqa: E402
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
