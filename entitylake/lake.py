@@ -27,12 +27,15 @@ class Lake:
         buckets: int = 64,
         delta_rows_max: int = 2_000_000,
         log_compact_batches: int = 256,
+        broadcast_bytes_max: int | None = None,
     ):
         self.spark = spark
         self.database, self.schema = database, schema
         self.definitions = dict(definitions or {})
         self.latest_default = latest_default
         self.store = TableStore(spark, root, buckets, delta_rows_max, log_compact_batches)
+        if broadcast_bytes_max is not None:
+            self.store.broadcast_bytes_max = broadcast_bytes_max
 
     # -- definitions ----------------------------------------------------------
     def define(self, ds: DatasetDefinition) -> DatasetDefinition:

@@ -5,12 +5,16 @@ unconditionally (even a newer one), unmatched rows are inserted, nothing is
 deleted, and NULL ids never match (they are always inserted).
 
 The latest table is stored as ``_bucket = pmod(xxhash64(id), N)`` directories.
-Only buckets hit by the batch are read and rewritten; both sides are shuffled
-once on ``_bucket`` and the newest-wins choice is a window inside each bucket,
-so the write emits one file set per bucket without a second exchange.
-
 Between compactions a batch only writes its newest rows as a delta; readers
-apply pending deltas with a broadcast anti join (``apply_deltas``).
+apply pending deltas with a broadcast anti join (``apply_deltas``).  The store
+keeps the pending delta ids under a byte bound, so that broadcast is checked.
+
+A compaction rewrites only the buckets the deltas hit.  While the delta ids fit
+the broadcast bound (``fold_deltas``), the base rows of those buckets are only
+scanned, anti-joined against the broadcast ids and written back: the base is
+never shuffled, only the delta rows are (once, on ``_bucket``).  Beyond the
+bound (one very large batch), both sides are shuffled once on ``_bucket`` and
+the newest-wins choice is a window inside each bucket (``merge_latest``).
 """
 
 from __future__ import annotations
@@ -39,6 +43,33 @@ def merge_latest(current: DataFrame | None, batch: DataFrame) -> DataFrame:
     return ranked.where(keep).drop("_rn", "_src")
 
 
+def newest_per_bucket(deltas: DataFrame, buckets: int) -> DataFrame:
+    """Newest delta row per id, partitioned by ``_bucket`` (one shuffle of the delta rows).
+
+    Each delta holds at most one row per id, so no id is hot here; NULL ids all stay.
+    """
+    fresh = deltas.withColumn("_bucket", bucket_of(F.col("id"), buckets)).repartition("_bucket")
+    w = Window.partitionBy("_bucket", "id").orderBy(F.col("_seq").desc())
+    ranked = fresh.withColumn("_rn", F.row_number().over(w))
+    return ranked.where((F.col("_rn") == 1) | F.col("id").isNull()).drop("_rn", "_seq")
+
+
+def fold_deltas(base: DataFrame | None, deltas: DataFrame, buckets: int, broadcast_ids: bool) -> DataFrame:
+    """Copy-on-write J1: the hit buckets' base rows merged with the pending deltas.
+
+    With ``broadcast_ids`` (delta ids within the store's byte bound) the base is
+    filtered map-side by a broadcast anti join and never shuffled; otherwise
+    both sides go through ``merge_latest``.  The result carries ``_bucket``.
+    """
+    newest = newest_per_bucket(deltas, buckets)
+    if base is None:
+        return newest
+    if not broadcast_ids:
+        return merge_latest(base, newest)
+    ids = F.broadcast(deltas.select("id").where(F.col("id").isNotNull()))
+    return base.join(ids, "id", "left_anti").unionByName(newest)
+
+
 def newest_delta_rows(deltas: DataFrame) -> DataFrame:
     """Across pending deltas (each already one row per id) the last batch wins; NULL ids all stay."""
     w = Window.partitionBy("id").orderBy(F.col("_seq").desc())
@@ -49,8 +80,10 @@ def newest_delta_rows(deltas: DataFrame) -> DataFrame:
 def apply_deltas(base: DataFrame, deltas: DataFrame, broadcast_ids: bool) -> DataFrame:
     """Merge-on-read J1: base rows not replaced by a delta, plus the newest delta rows.
 
-    The delta id set is small by construction (compaction bounds it), so the
-    anti join is a broadcast hash join: the base is scanned, never shuffled.
+    The delta id set is small by construction (compaction keeps its estimated
+    size under the store's byte bound), so the anti join is a broadcast hash
+    join: the base is scanned, never shuffled.  Without a known size the join
+    is left to the planner (sort-merge, or AQE's runtime broadcast).
     """
     ids = deltas.select("id").where(F.col("id").isNotNull())
     if broadcast_ids:

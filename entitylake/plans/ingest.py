@@ -28,7 +28,7 @@ from entitylake.model import ENTITY_COLUMN, DatasetDefinition
 from entitylake.operators.dedup import newest_per_id
 from entitylake.operators.incoming import entities_to_rows, table_schema
 from entitylake.operators.outgoing import entity_json
-from entitylake.operators.upsert import bucket_of, merge_latest, newest_delta_rows
+from entitylake.operators.upsert import bucket_of, fold_deltas
 from entitylake.sinks import fs
 from entitylake.sinks.stage import write_stage
 from entitylake.sinks.store import CommitConflict, TableState, TableStore
@@ -129,10 +129,16 @@ def ingest_incremental(
         deltas = list(st.deltas)
         if st.latest:
             delta_path = f"{loc}/latest/deltas/{batch_key}"
+            sized = Observation(f"delta-{batch_key}")  # rows and id bytes bound the read-side broadcast
+            size_cols = (F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length("id")), F.lit(0)).alias("id_bytes"))
             with _step("delta"):
-                newest_per_id(rows, "_erec", ORDER_COLS).select(*cols).write.mode("overwrite").parquet(delta_path)  # W1
+                newest = newest_per_id(rows, "_erec", ORDER_COLS).select(*cols)  # W1
+                newest.observe(sized, *size_cols).write.mode("overwrite").parquet(delta_path)
             seq = max([d["seq"] for d in deltas], default=0) + 1
-            deltas.append({"key": batch_key, "path": delta_path, "seq": seq, "rows": int(n_rows)})
+            size = sized.get
+            deltas.append(
+                {"key": batch_key, "path": delta_path, "seq": seq, "rows": int(size["rows"]), "id_bytes": int(size["id_bytes"])}
+            )
     finally:
         rows.unpersist()
     log_entry = {"key": batch_key, "path": log_path, "load_ns": int(load_ns)}
@@ -142,7 +148,7 @@ def ingest_incremental(
         if delta_entry is not None:
             seq = max([d["seq"] for d in st.deltas], default=0) + 1
             new.deltas = [*st.deltas, {**delta_entry, "seq": seq}]
-        if new.latest and (new.delta_rows() > store.delta_rows_max or len(new.deltas) > MAX_DELTAS):
+        if store.needs_compaction(new, MAX_DELTAS):
             new = _compacted(store, loc, new, batch_key)
         if sum(1 for b in new.log if "keys" not in b) >= store.log_compact_batches:
             new = _log_compacted(store, loc, new, batch_key)
@@ -178,14 +184,21 @@ def _log_compacted(store: TableStore, loc: str, st: TableState, key: str) -> Tab
 
 
 def _compacted(store: TableStore, loc: str, st: TableState, key: str) -> TableState:
-    """Fold pending deltas into the base buckets they hit (copy-on-write J1)."""
+    """Fold pending deltas into the base buckets they hit (copy-on-write J1).
+
+    Within the broadcast bound the base buckets are scanned and filtered
+    map-side, never shuffled; a larger delta set (one huge batch) takes the
+    shuffle merge.
+    """
     if not st.deltas:
         return st
-    newest = newest_delta_rows(store.read_deltas(st)).withColumn("_bucket", bucket_of(F.col("id"), st.buckets))
-    hit = sorted(r[0] for r in newest.select("_bucket").distinct().collect())  # at most ``buckets`` ints
+    deltas = store.read_deltas(st)
+    hit_col = bucket_of(F.col("id"), st.buckets).alias("_bucket")
+    hit = sorted(r[0] for r in deltas.select(hit_col).distinct().collect())  # at most ``buckets`` ints
     out = f"{loc}/latest/base-{key}"
     with _step("compact"):
-        merge_latest(store.read_buckets(st, hit), newest).write.mode("overwrite").partitionBy("_bucket").parquet(out)
+        merged = fold_deltas(store.read_buckets(st, hit), deltas, st.buckets, store.can_broadcast(st))
+        merged.write.mode("overwrite").partitionBy("_bucket").parquet(out)
     paths = dict(st.latest_paths)
     paths.update(_bucket_dirs(store, out))
     return replace(st, latest_paths=paths, deltas=[])

@@ -116,10 +116,12 @@ def test_required_and_bad_cast_fail(spark, tmp):
 import pytest  # noqa: E402
 
 
-@pytest.mark.parametrize("mode", ["compact-each-batch", "deltas-only", "explicit-compact"])
+@pytest.mark.parametrize("mode", ["compact-each-batch", "compact-shuffle", "deltas-only", "explicit-compact"])
 def test_merge_on_read_equals_copy_on_write(spark, tmp, mode):
     max_rows = 1 if mode == "compact-each-batch" else 10**9
-    lake = Lake(spark, tmp + "/lake", latest_default=True, buckets=4, delta_rows_max=max_rows)
+    # a zero byte bound: nothing is broadcast, every commit compacts through the shuffle merge
+    max_bytes = 0 if mode == "compact-shuffle" else None
+    lake = Lake(spark, tmp + "/lake", latest_default=True, buckets=4, delta_rows_max=max_rows, broadcast_bytes_max=max_bytes)
     lake.define(DatasetDefinition("t", incoming=MAP_V))
     b1 = [("a", 5, "a5", 1), ("b", None, "b0", 2), (None, 1, "n1", 3), ("c", 1, "c1", 4)]
     b2 = [("a", 1, "a-late", 1), (None, 2, "n2", 2), ("d", 1, "d1", 3)]
@@ -127,7 +129,7 @@ def test_merge_on_read_equals_copy_on_write(spark, tmp, mode):
     for i, b in enumerate((b1, b2, b3)):
         lake.write_incremental("t", _ents(spark, b), 100 + i, f"b{i}", ("_arrival",))
     st = lake.state("t")
-    assert (len(st.deltas) == 0) == (mode == "compact-each-batch")
+    assert (len(st.deltas) == 0) == mode.startswith("compact-")
     if mode == "explicit-compact":
         lake.compact("t")
         assert lake.state("t").deltas == [] and lake.state("t").latest_paths
@@ -168,3 +170,21 @@ def test_concurrent_commit_is_retried_on_the_newer_state(spark, tmp):
     assert raced and {"b0", "from-a", "from-b"} <= a.state("t").keys()
     assert sorted((r.id, r.v) for r in a.latest("t").collect()) == [("x", "x-from-a"), ("y", "y-from-b")]
     assert a.log("t").count() == 3
+
+
+def test_delta_sizes_recorded_and_fold_never_shuffles_the_base(spark, tmp):
+    from entitylake.operators.upsert import bucket_of, fold_deltas
+
+    lake = Lake(spark, tmp + "/lake", latest_default=True, buckets=4)
+    lake.define(DatasetDefinition("t", incoming=MAP_V))
+    lake.write_incremental("t", _ents(spark, [("a", 1, "a1", 1), ("a", 2, "a2", 2), ("bb", 1, "b", 3)]), 1, "b1")
+    (d,) = lake.state("t").deltas
+    assert (d["rows"], d["id_bytes"]) == (2, 3)
+    assert lake.store.can_broadcast(lake.state("t"))
+    base = spark.createDataFrame([("a", "old"), ("z", "z")], "id string, v string")
+    base = base.withColumn("_bucket", bucket_of(F.col("id"), 4))
+    deltas = spark.createDataFrame([("a", "new", 1)], "id string, v string, _seq int")
+    plan = fold_deltas(base, deltas, 4, True)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1  # the delta rows only
+    got = sorted((r.id, r.v) for r in fold_deltas(base, deltas, 4, True).collect())
+    assert got == [("a", "new"), ("z", "z")]
