@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,6 +16,31 @@ def empty_object() -> Column:
     return F.parse_json(F.lit("{}"))
 
 
+# Spark's JSON parsers stop after the first value and ignore what follows
+# ('{"a":1} junk' parses as {"a":1}).  Text is therefore parsed inside a wrapper
+# '[' text ',"<end>"]': it is exactly one JSON value when the wrapper parses to
+# two elements and the second is the end marker.
+_END = "\\u0001end of value"  # JSON escape in the wrapper text
+_END_VALUE = "\x01end of value"  # the same string once parsed
+
+
+def parse_whole_json(df: DataFrame, text: str, out: str, strict: bool, error: str = "malformed JSON") -> DataFrame:
+    """``df`` plus variant column ``out``: ``text`` parsed, rejecting anything after the value.
+
+    NULL text gives NULL.  Not strict: malformed text gives NULL; strict: it
+    fails the job with ``error``.  The wrapper is parsed once, in its own
+    projection (an expensive column is not inlined into its three uses).
+    """
+    wrapped = F.concat(F.lit("["), F.col(text), F.lit(',"' + _END + '"]'))
+    step = df.withColumn("_wjson", F.try_parse_json(wrapped))
+    v = F.col("_wjson")
+    whole = (F.try_variant_get(v, "$[1]", "string") == F.lit(_END_VALUE)) & F.try_variant_get(v, "$[2]", "variant").isNull()
+    value = F.when(F.col(text).isNull(), F.lit(None).cast("variant")).when(whole, F.variant_get(v, "$[0]", "variant"))
+    if strict:
+        value = value.otherwise(F.raise_error(F.concat(F.lit(error + ": "), F.substring(F.col(text), 1, 200))))
+    return step.withColumn(out, value).drop("_wjson")
+
+
 def to_variant(c: Column) -> Column:
     return c.cast("variant")
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from entitylake.functions.uris import fill_template, property_uri
-from entitylake.functions.variants import empty_object, variant_object
+from entitylake.functions.variants import empty_object, parse_whole_json, variant_object
 from entitylake.model import OutgoingMapping, OutgoingPropertyMapping, spark_type
 
 RAW_ENTITY_DDL = "id string, recorded bigint, deleted boolean, refs variant, props variant"
@@ -125,9 +125,8 @@ def decode_raw_entities(df: DataFrame, column: str, strict: bool = False) -> tup
         staged = df.select(F.lit(None).cast("string").alias("_raw"), F.col(column).alias("_v"))
         is_object = F.schema_of_variant("_v").startswith("OBJECT")
     else:
-        raw = F.col(column).cast("string")
-        parsed = F.parse_json(raw) if strict else F.try_parse_json(raw)
-        staged = df.select(raw.alias("_raw"), parsed.alias("_v"))
+        raw = df.select(F.col(column).cast("string").alias("_raw"))
+        staged = parse_whole_json(raw, "_raw", "_v", strict, "malformed entity json")  # trailing text is malformed too
         is_object = F.ltrim(F.col("_raw")).startswith("{")  # valid JSON starting with '{' is an object
     good = staged.where(F.col("_v").isNotNull() & is_object)
     bad = staged.where(F.col("_v").isNull() | ~is_object)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entitylake.functions.uris import expand
-from entitylake.functions.variants import empty_object
+from entitylake.functions.variants import empty_object, parse_whole_json
 from entitylake.model import CONTEXT_ID, ENTITY_COLUMN, PAYLOAD_SCHEMA
 
 # A namespace context is one small map per payload file.  Up to this many files
@@ -99,8 +99,9 @@ def read_stage(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     the split (gzip files are never split; plain files may be).
     """
     text = spark.read.option("mode", "FAILFAST").option("recursiveFileLookup", True).text(paths)
-    scanned = text.select(
-        F.parse_json(F.col("value")).alias("_v"),
+    parsed = parse_whole_json(text, "value", "_v", True, "malformed staged line")  # trailing text aborts too
+    scanned = parsed.select(
+        "_v",
         F.ltrim(F.col("value")).startswith("[").alias("_arr"),  # cheap: no walk over the value
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_modification_time").alias("_fts"),

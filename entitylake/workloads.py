@@ -105,7 +105,8 @@ def raw_entity_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 (+D9): raw JSON column -> entities; error events carry malformed JSON."""
     ents = event_entities(_t(spark, sf_dir, "events"))
     text = F.to_json(F.struct("id", "recorded", "deleted", "refs", "props"))
-    raw = ents.select(F.when(F.col("props").isNotNull() & (F.col("deleted")), F.substring(text, 1, 25)).otherwise(text).alias("ENTITY"))
+    broken = F.concat(F.lit("{"), text)  # the whole entity text behind a stray brace: not JSON
+    raw = ents.select(F.when(F.col("props").isNotNull() & (F.col("deleted")), broken).otherwise(text).alias("ENTITY"))
     ds = DatasetDefinition("events_raw", SourceConfig(raw_column="ENTITY"))
     page = read_entities(raw, ds)
     e = page.entities
@@ -397,8 +398,8 @@ def log_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = event_entities(_t(spark, sf_dir, "events"), id_of="event")
     week = F.floor(F.datediff(F.col("_ts").cast("date"), F.lit("2024-01-01").cast("date")) / 7)
     ev = ev.withColumn("_week", week)
-    weeks = sorted(r[0] for r in ev.select("_week").distinct().collect())  # one batch per week: a handful
-    for wk in weeks:
+    span = ev.agg(F.min("_week").alias("lo"), F.max("_week").alias("hi")).first()  # one batch per week: a handful
+    for wk in range(int(span["lo"]), int(span["hi"]) + 1):
         lake.write_incremental("events_weekly", ev.where(F.col("_week") == wk), LOAD_NS_1 + wk, f"w{wk}", ("_arrival",))
     return lake.log("events_weekly")
 

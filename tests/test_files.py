@@ -75,6 +75,10 @@ def test_outer_array_stripped_and_malformed_aborts(spark, tmp):
         f.write('{"id":"a"}\n{bad\n')
     with pytest.raises(Exception):
         read_stage(spark, tmp + "/bad.json.gz").collect()
+    with gzip.open(tmp + "/trailing.json.gz", "wt") as f:
+        f.write('{"id":"a"}\n{"id":"b"} {"id":"c"}\n')
+    with pytest.raises(Exception, match="malformed staged line"):
+        read_stage(spark, tmp + "/trailing.json.gz").collect()
 
 
 def test_duplicate_json_keys_abort_the_load(spark, tmp):

@@ -93,6 +93,15 @@ def test_malformed_raw_json_goes_to_rejects(spark):
     assert page.rejects.count() == 3
 
 
+def test_trailing_text_after_raw_json_is_rejected(spark):
+    # Spark's JSON parsers stop after the first value; the trailing text must not be dropped silently
+    texts = ['{"id": "ok"} ', '{"id": "1"} junk', '{"id": "2"}{"id": "3"}', '{"id": "4"},', '{"id": "5"}}']
+    df = spark.createDataFrame([(t,) for t in texts], "ENTITY string")
+    page = read_entities(df, DatasetDefinition("raw", SourceConfig(raw_column="ENTITY")))
+    assert [r.id for r in page.entities.collect()] == ["ok"]
+    assert sorted(r.raw for r in page.rejects.collect()) == sorted(texts[1:])
+
+
 def test_empty_mapping_list_reads_every_column(spark):
     df = spark.createDataFrame([("1", "x:y")], "a string, b string")
     e = read_entities(df, DatasetDefinition("x", outgoing=OutgoingMapping())).entities
