@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,6 +69,22 @@ _GRID = [min(1.0, 10 ** (e / 4)) for e in range(-48, 1)]
 _ACCURACY = 100_000
 TOP_N_GATHER_MAX = 10_000_000  # rows a plain top-n may gather into its final task
 _NARROWABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+_KEY_BYTES = 7  # string order key: the first 7 UTF-8 bytes as a non-negative bigint
+
+
+def order_key(col: Column, dtype: T.DataType) -> Column | None:
+    """A numeric key that never decreases along the column's sort order (None: none known).
+
+    Numbers and times are their own key.  Strings sort by their UTF-8 bytes, so
+    the first 7 bytes, right-padded with zeros and read as an integer, never
+    decrease along that order; ties only mean a coarser narrowing step.
+    """
+    if isinstance(dtype, _NARROWABLE):
+        return col
+    if isinstance(dtype, T.StringType):
+        head = F.hex(F.substring(F.encode(col, "utf-8"), 1, _KEY_BYTES))
+        return F.conv(F.rpad(head, 2 * _KEY_BYTES, "0"), 16, 10).cast("bigint")
+    return None
 
 
 def page_bound(lower: DataFrame, column: str, n: int, final_rows: int | None = None) -> DataFrame:
@@ -77,13 +93,13 @@ def page_bound(lower: DataFrame, column: str, n: int, final_rows: int | None = N
     A top-n over a whole table ships ``n`` rows from every partition into one
     task; that is fine while ``n`` x partitions stays under
     ``TOP_N_GATHER_MAX`` (known from planning, no job).  Beyond it,
-    aggregation jobs (exact count and MAX, then approximate
-    quantiles on a geometric grid, all partial-aggregated) lower the upper
+    aggregation jobs (exact count and MAX, then approximate quantiles of an
+    order key on a geometric grid, all partial-aggregated) lower the upper
     bound until the range holds at most ``final_rows`` rows (default: the
-    larger of four pages and 1M rows).  Each lowered bound is pushed to the
-    scan.  The exact top-n then runs on that range only, and not at all when
-    the range holds no more than ``n`` rows.  String columns, which have no
-    quantiles, keep the plain top-n.
+    larger of four pages and 1M rows).  Each lowered range is a prefix of the
+    sort order, since the key never decreases along it; numeric and time
+    bounds reach the scan as pushed filters.  The exact top-n then runs on that
+    range only, and not at all when the range holds no more than ``n`` rows.
     """
     col = F.col(column)
     rng = lower.where(col.isNotNull())
@@ -92,8 +108,9 @@ def page_bound(lower: DataFrame, column: str, n: int, final_rows: int | None = N
         return df.select(column).orderBy(column).limit(n).agg(F.max(column).alias("_m"))
 
     dtype = lower.schema[column].dataType
-    if not isinstance(dtype, _NARROWABLE):
-        return top_n(rng)
+    key = order_key(col, dtype)
+    if key is None:
+        return top_n(rng)  # no order key (e.g. binary, boolean): the plain top-n
     if final_rows is None and n * rng.rdd.getNumPartitions() <= TOP_N_GATHER_MAX:
         return top_n(rng)  # the top-n gathers at most n rows per input partition: bounded here
     final_rows = final_rows or max(4 * n, 1_000_000)
@@ -108,13 +125,14 @@ def page_bound(lower: DataFrame, column: str, n: int, final_rows: int | None = N
         if c <= final_rows:
             break
         # only a range too large for a bounded top-n pays for a quantile sketch
-        qs = cur.agg(F.percentile_approx(col, _GRID, _ACCURACY).cast("array<string>")).first()[0]
+        qs = cur.agg(F.percentile_approx(key, _GRID, _ACCURACY).cast("array<string>")).first()[0]
         # smallest grid point whose rank, less the sketch error, still covers n rows
         need = (1.05 * n + 2 * c / _ACCURACY) / c
         pick = next((q for p, q in zip(_GRID, qs) if p >= need), None)
         if pick is None or pick == qs[-1]:
             break
-        prev, cur = cur, rng.where(col <= F.lit(pick).cast(dtype))
+        key_type = dtype if key is col else T.LongType()
+        prev, cur = cur, rng.where(key <= F.lit(pick).cast(key_type))
     return top_n(cur)
 
 

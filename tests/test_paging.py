@@ -47,8 +47,15 @@ def test_narrowed_bound_equals_plain_top_n(spark):
     from entitylake.plans.read import page_bound
 
     ev = spark.read.parquet(f"{SF}/events.parquet")
+    # string since columns narrow through their byte-prefix key: short, multi-byte and long shared prefixes
+    ev = ev.select(
+        "*",
+        F.concat(F.col("props"), F.col("event_id")).alias("s_text"),
+        F.concat(F.lit("é"), F.col("user_id"), F.lit("ü"), F.col("event_id")).alias("s_utf8"),
+        F.concat(F.lit("shared-prefix-"), F.col("value")).alias("s_long"),
+    )
     for n in (1, 7, 50, 333, 5000):
-        for col in ("ts", "event_id", "event_type"):
+        for col in ("ts", "event_id", "event_type", "s_text", "s_utf8", "s_long"):
             plain = ev.select(col).orderBy(col).limit(n).agg(F.max(col)).first()[0]
             for final in (n + 5, None):
                 assert page_bound(ev, col, n, final_rows=final).first()[0] == plain, (col, n, final)
@@ -62,3 +69,26 @@ def test_paging_with_narrowing_every_page(spark, monkeypatch):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     seen, pages = _page_all(orders, "o_orderdate", 200)
     assert len(seen) == orders.count() and set(seen.values()) == {1}
+
+
+def test_string_order_key_never_decreases(spark):
+    from entitylake.plans.read import order_key
+    from pyspark.sql import types as T
+
+    words = ["", "a", "a\x00", "ab", "abcdefgh", "abcdefgi", "b", "z" * 20, "é", "ü", "中文", "\U0001f600"]
+    df = spark.createDataFrame([(w,) for w in words], "s string")
+    rows = df.select("s", order_key(F.col("s"), T.StringType()).alias("k")).orderBy("s").collect()
+    keys = [r.k for r in rows]
+    assert keys == sorted(keys) and min(keys) >= 0
+
+
+def test_paging_a_string_column_with_narrowing_every_page(spark, monkeypatch):
+    import entitylake.plans.read as rd
+
+    orig = rd.page_bound
+    monkeypatch.setattr(rd, "page_bound", lambda lower, column, n, final_rows=None: orig(lower, column, n, n + 3))
+    orders = spark.read.parquet(f"{SF}/orders.parquet").withColumn(
+        "s", F.concat(F.col("o_orderdate").cast("string"), F.lit(" "), F.col("o_orderpriority"))
+    )  # ties, and a 7-byte key that only tells months apart
+    seen, pages = _page_all(orders, "s", 300)
+    assert len(seen) == orders.where(F.col("s").isNotNull()).count() and set(seen.values()) == {1}
