@@ -136,6 +136,20 @@ def page_bound(lower: DataFrame, column: str, n: int, final_rows: int | None = N
     return top_n(cur)
 
 
+def any_rows(rows: DataFrame, n: int) -> DataFrame:
+    """L1 without a since column: any ``n`` rows (``LIMIT n``, no order).
+
+    A plain limit ships up to ``n`` rows from every input partition into its
+    final task.  Beyond ``TOP_N_GATHER_MAX`` rows, the input is first coalesced
+    (no shuffle) into ``m`` tasks; each stops reading once it holds ``n`` rows,
+    so at most ``m * n`` rows are gathered and most partitions are never read.
+    """
+    m = max(1, TOP_N_GATHER_MAX // n)
+    if rows.rdd.getNumPartitions() <= m:  # known from planning
+        return rows.limit(n)
+    return rows.coalesce(m).limit(n)
+
+
 def read_entities(rows: DataFrame, ds: DatasetDefinition, token: str = "", limit: int = 0) -> EntityPage:
     """The ``entities`` request: window (if a since column is set), limit, map."""
     since = ds.source.since_column
@@ -143,7 +157,7 @@ def read_entities(rows: DataFrame, ds: DatasetDefinition, token: str = "", limit
         win = since_window(rows, since, token, limit)
         window_rows, next_token = win.rows, win.token
     else:  # token ignored, "" returned
-        window_rows = rows.limit(limit) if limit and limit > 0 else rows
+        window_rows = any_rows(rows, limit) if limit and limit > 0 else rows
         next_token = ""
     entities, rejects = to_entities(window_rows, ds)
     return EntityPage(entities, next_token, rejects)

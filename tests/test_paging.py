@@ -92,3 +92,26 @@ def test_paging_a_string_column_with_narrowing_every_page(spark, monkeypatch):
     )  # ties, and a 7-byte key that only tells months apart
     seen, pages = _page_all(orders, "s", 300)
     assert len(seen) == orders.where(F.col("s").isNotNull()).count() and set(seen.values()) == {1}
+
+
+def test_limit_without_since_column_gathers_a_bounded_number_of_rows(spark, monkeypatch):
+    import entitylake.plans.read as rd
+
+    orders = spark.read.parquet(f"{SF}/orders.parquet").repartition(12)
+    plain = rd.any_rows(orders, 40)
+    assert plain.count() == 40 and "Coalesce" not in plain._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(rd, "TOP_N_GATHER_MAX", 100)  # 40 rows x 12 partitions is now over the bound
+    limited = rd.any_rows(orders, 40)
+    assert "Coalesce 2" in limited._jdf.queryExecution().executedPlan().toString()
+    keys = [r.o_orderkey for r in limited.collect()]
+    assert len(keys) == 40 == len(set(keys))
+    assert limited.join(orders, "o_orderkey", "left_anti").count() == 0
+
+
+def test_limited_read_without_since_column_ignores_the_token(spark):
+    from entitylake.model import DatasetDefinition
+    from entitylake.plans.read import read_entities
+
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    page = read_entities(orders, DatasetDefinition("orders"), token="MTIz", limit=3)
+    assert page.token == "" and page.entities.count() == 3
