@@ -2,8 +2,8 @@
 
 Payload files are JSON arrays whose first element is ``{"id": "@context",
 "namespaces": {...}}`` followed by entities with prefixed ids and keys.  Each
-file is one batch; many moderate files parallelise, one giant file cannot be
-split (multi-line JSON).
+file is one batch; many moderate files parallelise, one file is read by one
+task as one value (so a single file must stay under Spark's 2 GB value limit).
 """
 
 from __future__ import annotations
@@ -15,25 +15,55 @@ from pyspark.sql import functions as F
 
 from entitylake.functions.uris import expand
 from entitylake.functions.variants import empty_object, parse_whole_json
-from entitylake.model import CONTEXT_ID, ENTITY_COLUMN, PAYLOAD_SCHEMA
+from entitylake.model import CONTEXT_ID, ENTITY_COLUMN
 
-# A namespace context is one small map per payload file.  Up to this many files
-# the contexts are broadcast; beyond it they are joined by a shuffle.
-BROADCAST_CONTEXT_FILES = 10_000
 ARRIVAL = ("_file", "_pos")
 
 
 def read_payloads(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """Raw payload elements with their file and position in the file."""
-    reader = spark.read.schema(PAYLOAD_SCHEMA).option("multiLine", True).option("mode", "FAILFAST")
-    raw = reader.json(paths)
-    return raw.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.monotonically_increasing_id().alias("_pos"),
+    """Payload elements of files: see ``payload_elements``."""
+    files = spark.read.text(paths, wholetext=True)  # (the reader's own argument wins over .option)
+    return payload_elements(files.select("value", F.col("_metadata.file_path").alias("_file")))
+
+
+def payload_elements(files: DataFrame) -> DataFrame:
+    """Elements of payload files ``(value, _file)``: entity columns, ``_ns``, ``_file``, ``_pos``.
+
+    Each file is one row (a payload file is never split anyway) and is parsed
+    once; its ``@context`` element gives ``_ns`` to every element of the same
+    file in the same projection, with no join, shuffle or broadcast.  A
+    malformed file, or text after its JSON value, fails the read.
+    """
+    parsed = parse_whole_json(files, "value", "_v", True, "malformed payload file")
+    elems = F.when(F.ltrim(F.col("value")).startswith("["), F.col("_v").cast("array<variant>")).otherwise(F.array("_v"))
+    arrays = parsed.select("_file", elems.alias("_a"))
+    contexts = F.filter("_a", lambda e: F.try_variant_get(e, "$.id", "string") == F.lit(CONTEXT_ID))
+    ns = F.variant_get(F.try_element_at(contexts, F.lit(1)), "$.namespaces", "map<string,string>")
+    # once per file: next to a generator, other select items would be evaluated per exploded row
+    per_file = arrays.select("_file", "_a", ns.alias("_ns"))
+    return per_file.select("_file", "_ns", F.posexplode("_a").alias("_pos", "_e")).select(
+        F.variant_get("_e", "$.id", "string").alias("id"),
+        F.variant_get("_e", "$.recorded", "bigint").alias("recorded"),
+        F.variant_get("_e", "$.deleted", "boolean").alias("deleted"),
+        F.variant_get("_e", "$.refs", "variant").alias("refs"),
+        F.variant_get("_e", "$.props", "variant").alias("props"),
+        "_ns",
+        "_file",
+        F.col("_pos").cast("bigint").alias("_pos"),
     )
 
 
+def payload_entities(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """S5 + P16: entity frame of payload files, expanded, with arrival columns."""
+    return expanded_payloads(read_payloads(spark, paths))
+
+
+def expanded_payloads(elements: DataFrame) -> DataFrame:
+    """Entities of payload elements (context elements dropped), namespaces expanded."""
+    entities = elements.where(F.col("id").isNull() | (F.col("id") != CONTEXT_ID))
+    return expand_namespaces(entities, "_ns").select("id", "recorded", "deleted", "refs", "props", *ARRIVAL)
+
+
 def _expand_refs(refs: Column, ns: Column) -> Column:
     m = F.coalesce(refs, empty_object()).cast("map<string,variant>")
     m = F.transform_keys(m, lambda k, v: expand(k, ns))
@@ -74,20 +104,6 @@ def expand_namespaces(entities: DataFrame, ns_column: str) -> DataFrame:
     return entities.select(*_expansion(ns_column), *extra)
 
 
-def payload_entities(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """S5 + P16: entity frame of payload files, expanded, with arrival columns."""
-    raw = read_payloads(spark, paths)
-    n_files = len(paths) if isinstance(paths, list) else None
-    contexts = raw.where(F.col("id") == CONTEXT_ID).select("_file", F.col("namespaces").alias("_ns"))
-    entities = raw.where(F.col("id").isNull() | (F.col("id") != CONTEXT_ID)).drop("namespaces")
-    if n_files is None:
-        n_files = len(raw.inputFiles())
-    if n_files <= BROADCAST_CONTEXT_FILES:  # size bound: one small map per file
-        contexts = F.broadcast(contexts)
-    joined = entities.join(contexts, "_file", "left")
-    return expand_namespaces(joined, "_ns").select("id", "recorded", "deleted", "refs", "props", *ARRIVAL)
-
-
 def read_stage(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """S6 + S7: staged NDJSON(.gz) -> ``entity`` variant + file metadata.
 
