@@ -232,9 +232,9 @@ select 0 as section, '{{"id":"@context","namespaces":{{}}}}' as line
 union all
 select 2, '{{"id":"@continuation","token":""}}'
 union all
-select 1, concat('{{"id":"{NA}', n_nationkey, '","refs":{{"{NA}region":"{B}region/', n_regionkey,
-                 '"}},"props":{{"{NA}key":', n_nationkey, ',"{NA}name":"', n_name, '"}}}}')
-from nation""",
+select 1, concat('{{"id":"{CU}id/', c_custkey, '","refs":{{"{CU}nation":"{NA}', c_nationkey,
+                 '"}},"props":{{"{CU}key":', c_custkey, ',"{CU}name":', to_json(c_name), '}}}}')
+from customer""",
         "convention_roundtrip": _flat(
             f"concat('{US}', user_id)",
             [

@@ -116,7 +116,8 @@ def ingest_incremental(
         if not order_by or len(order_by) != 2:
             raise ValueError("an unstaged batch needs (file, position) arrival columns")
         rows = _direct_rows(ds, entities, load_ns, tuple(order_by))
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    if st.latest:  # two consumers (log and delta); a log-only load reads its rows once
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         cols = [f.name for f in schema]
         log_path = f"{loc}/log/{batch_key}"

@@ -511,20 +511,21 @@ def full_sync_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- K5 ---------------------------------------------------------------------
-NATION_OUT = OutgoingMapping(
-    base_uri=NATION,
+CUSTOMER_FEED_OUT = OutgoingMapping(
+    base_uri=CUSTOMER,
     property_mappings=(
-        OutgoingPropertyMapping("n_nationkey", "id", is_identity=True, uri_value_pattern=NATION + "{value}"),
-        OutgoingPropertyMapping("n_name", "name"),
-        OutgoingPropertyMapping("n_nationkey", "key"),
-        OutgoingPropertyMapping("n_regionkey", "region", is_reference=True, uri_value_pattern=BASE + "region/{value}"),
+        OutgoingPropertyMapping("c_custkey", "id", is_identity=True, uri_value_pattern=CUSTOMER + "id/{value}"),
+        OutgoingPropertyMapping("c_name", "name"),
+        OutgoingPropertyMapping("c_custkey", "key"),
+        OutgoingPropertyMapping("c_nationkey", "nation", is_reference=True, uri_value_pattern=NATION + "{value}"),
     ),
 )
 
 
 def entity_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ds = DatasetDefinition("nation", SourceConfig(path=f"{sf_dir}/nation.parquet"), outgoing=NATION_OUT)
-    page = read_entities(_t(spark, sf_dir, "nation"), ds)
+    """K5: the whole customer table as a feed: context, entity lines, continuation."""
+    ds = DatasetDefinition("customer", SourceConfig(path=f"{sf_dir}/customer.parquet"), outgoing=CUSTOMER_FEED_OUT)
+    page = read_entities(_t(spark, sf_dir, "customer"), ds)
     path = scratch_dir(spark, "feed")
     write_feed(page.entities, page.token, path)
     return read_feed(spark, path)
