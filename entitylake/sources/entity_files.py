@@ -15,9 +15,13 @@ from pyspark.sql import functions as F
 
 from entitylake.functions.uris import expand
 from entitylake.functions.variants import empty_object, parse_whole_json
-from entitylake.model import CONTEXT_ID, ENTITY_COLUMN
+from entitylake.model import CONTEXT_ID, ENTITY_COLUMN, PAYLOAD_SCHEMA
+from entitylake.sinks import fs
 
 ARRIVAL = ("_file", "_pos")
+# Payload files up to this size are parsed as one value each (Spark's limit for
+# one value is 2 GB; parsing holds the text, the variant and its elements).
+WHOLE_FILE_BYTES_MAX = 512 * 1024 * 1024
 
 
 def read_payloads(spark: SparkSession, paths: list[str] | str) -> DataFrame:
@@ -54,8 +58,34 @@ def payload_elements(files: DataFrame) -> DataFrame:
 
 
 def payload_entities(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """S5 + P16: entity frame of payload files, expanded, with arrival columns."""
-    return expanded_payloads(read_payloads(spark, paths))
+    """S5 + P16: entity frame of payload files, expanded, with arrival columns.
+
+    Files up to ``WHOLE_FILE_BYTES_MAX`` (the usual case: one request body
+    each) are parsed one per row.  If any file is larger, all are read by the
+    streaming multi-line JSON reader instead and the contexts are joined on
+    the file path (see ``read_large_payloads``).
+    """
+    if fs.max_file_size(spark, paths) <= WHOLE_FILE_BYTES_MAX:  # listing only, no job
+        return expanded_payloads(read_payloads(spark, paths))
+    return expanded_payloads(read_large_payloads(spark, paths))
+
+
+def read_large_payloads(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """Payload elements of files too large to hold as one value.
+
+    The multi-line JSON reader streams each file in one task; each file's
+    context (first ``@context`` element) is joined on its path.  The join is a
+    plain equi-join: AQE turns it into a broadcast only when the contexts'
+    measured size allows, otherwise it shuffles.
+    """
+    raw = spark.read.schema(PAYLOAD_SCHEMA).option("multiLine", True).option("mode", "FAILFAST").json(paths)
+    raw = raw.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_pos"))
+    contexts = (
+        raw.where(F.col("id") == CONTEXT_ID)
+        .groupBy("_file")
+        .agg(F.min_by("namespaces", "_pos").alias("_ns"))  # the file's first context
+    )
+    return raw.drop("namespaces").join(contexts, "_file", "left")
 
 
 def expanded_payloads(elements: DataFrame) -> DataFrame:
