@@ -8,11 +8,23 @@ from pyspark.sql import types as T
 from entitylake.model import LATEST_SUFFIX, DatasetDefinition
 from entitylake.plans.ingest import FullSync, compact, ingest_incremental
 from entitylake.plans.read import EntityPage, changes, read_entities
+from entitylake.functions.tokens import decode_token
 from entitylake.sinks import fs
 from entitylake.sinks.store import TableState, TableStore, normalise
 from entitylake.sources.tables import resolve
 
 
+def _recorded_after(since_column: str | None, token: str) -> int | None:
+    """The integer lower bound of a ``recorded`` since-read, else None."""
+    if not token or not since_column or since_column.lower() != "recorded":
+        return None
+    literal = decode_token(token)
+    try:
+        return int(literal) if literal is not None else None
+    except ValueError:
+        return None  # not an integer: the read itself rejects or handles it
+
+
 class Lake:
     """Datasets stored under ``root`` (``<root>/<DATABASE>/<SCHEMA>/<TABLE>``)."""
 
@@ -50,8 +62,12 @@ class Lake:
         return ds.source.latest_table if ds.source.latest_table is not None else self.latest_default
 
     # -- reading tables -------------------------------------------------------
-    def table(self, ds: DatasetDefinition) -> DataFrame:
-        """Rows of the dataset's source table."""
+    def table(self, ds: DatasetDefinition, since: str = "") -> DataFrame:
+        """Rows of the dataset's source table.
+
+        For a managed log read by ``recorded`` after a token, batches loaded at
+        or before the token are pruned through the manifest.
+        """
         sc = ds.source
         if sc.path:
             return self.spark.read.parquet(sc.path)
@@ -60,16 +76,16 @@ class Lake:
         if name.endswith(LATEST_SUFFIX) and fs.exists(self.spark, f"{base}/{name[: -len(LATEST_SUFFIX)]}/_manifest"):
             return self.store.read_latest(f"{base}/{name[: -len(LATEST_SUFFIX)]}")
         if fs.exists(self.spark, f"{base}/{name}/_manifest"):
-            return self.store.read_log(f"{base}/{name}")
+            return self.store.read_log(f"{base}/{name}", recorded_after=_recorded_after(sc.since_column, since))
         return self.spark.read.parquet(f"{base}/{name}")
 
     def entities(self, name: str, since: str = "", limit: int = 0) -> EntityPage:
         ds = self.dataset(name)
-        return read_entities(self.table(ds), ds, since, limit)
+        return read_entities(self.table(ds, since), ds, since, limit)
 
     def changes(self, name: str, since: str = "", limit: int = 0, latest_only: bool = False) -> EntityPage:
         ds = self.dataset(name)
-        return changes(self.table(ds), ds, since, limit, latest_only)
+        return changes(self.table(ds, since), ds, since, limit, latest_only)
 
     # -- writing --------------------------------------------------------------
     def _write_ds(self, name: str) -> DatasetDefinition:

@@ -31,7 +31,7 @@ from entitylake.operators.outgoing import entity_json
 from entitylake.operators.upsert import bucket_of, fold_deltas
 from entitylake.sinks import fs
 from entitylake.sinks.stage import write_stage
-from entitylake.sinks.store import CommitConflict, TableState, TableStore
+from entitylake.sinks.store import CommitConflict, TableState, TableStore, newest_load
 from entitylake.sources.entity_files import read_stage
 
 ORDER_COLS = ("_file", "_blk", "_ix", "_elem")  # arrival: file, split, row, array element
@@ -174,7 +174,9 @@ def _log_compacted(store: TableStore, loc: str, st: TableState, key: str) -> Tab
     seg = f"{loc}/log/seg-{key}"
     with _step("log-compact"):
         store.spark.read.schema(st.schema).parquet(*[b["path"] for b in small]).write.mode("overwrite").parquet(seg)
-    entry = {"key": f"seg-{key}", "path": seg, "load_ns": None, "keys": [b["key"] for b in small]}
+    loads = [newest_load(b) for b in small]
+    load_max = None if any(x is None for x in loads) else max(loads)  # lets since-reads skip the segment
+    entry = {"key": f"seg-{key}", "path": seg, "load_ns": None, "load_ns_max": load_max, "keys": [b["key"] for b in small]}
     segments = [dict(b) for b in st.log if "keys" in b] + [entry]
     # replay detection remembers the newest REPLAY_KEYS batch keys; older segments forget theirs
     budget = REPLAY_KEYS

@@ -188,3 +188,21 @@ def test_delta_sizes_recorded_and_fold_never_shuffles_the_base(spark, tmp):
     assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1  # the delta rows only
     got = sorted((r.id, r.v) for r in fold_deltas(base, deltas, 4, True).collect())
     assert got == [("a", "new"), ("z", "z")]
+
+
+def test_since_read_of_a_log_prunes_older_batches_through_the_manifest(spark, tmp):
+    from entitylake.functions.tokens import encode_token
+    from entitylake.model import SourceConfig
+
+    lake = Lake(spark, tmp + "/lake", log_compact_batches=2)
+    lake.define(DatasetDefinition("t"))
+    feed = DatasetDefinition("feed", SourceConfig(table_name="T", raw_column="entity", since_column="recorded"))
+    lake.define(feed)
+    for i in range(5):  # batches 0-1 and 2-3 become segments, batch 4 stays a folder
+        lake.write_incremental("t", _ents(spark, [(f"id{i}", i, f"v{i}", 1)]), 100 + i, f"b{i}")
+    assert [b.get("load_ns_max") for b in lake.state("t").log if "keys" in b] == [101, 103]
+    for after, ids, folders in ((101, ["id2", "id3", "id4"], 2), (103, ["id4"], 1), (104, [], 0)):
+        page = lake.entities("feed", since=encode_token(str(after)))
+        assert sorted(r.id for r in page.entities.collect()) == ids
+        assert len({f.rsplit("/", 1)[0] for f in lake.table(lake.dataset("feed"), encode_token(str(after))).inputFiles()}) == folders
+    assert lake.entities("feed", since=encode_token("104")).token == encode_token("104")  # nothing new
