@@ -41,31 +41,6 @@ def list_files(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
     return sorted(out)
 
 
-def max_file_size(spark: SparkSession, paths: list[str] | str) -> int:
-    """Largest file under ``paths`` (files or folders, recursively), from listings only.
-
-    Files are listed through their parent folders, one listing per folder.
-    """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    largest = 0
-    by_parent: dict[str, set[str]] = {}
-    for path in paths:
-        fs, p = _fs(spark, path)
-        if fs.getFileStatus(p).isDirectory():
-            it = fs.listFiles(p, True)
-            while it.hasNext():
-                largest = max(largest, int(it.next().getLen()))
-        else:
-            parent, _, name = path.rstrip("/").rpartition("/")
-            by_parent.setdefault(parent, set()).add(name)
-    for parent, names in by_parent.items():
-        fs, p = _fs(spark, parent)
-        for st in fs.listStatus(p):
-            if str(st.getPath().getName()) in names:
-                largest = max(largest, int(st.getLen()))
-    return largest
-
-
 def write_text_exclusive(spark: SparkSession, path: str, text: str) -> bool:
     """Create ``path`` with ``text`` unless it exists; False when it exists."""
     fs, p = _fs(spark, path)

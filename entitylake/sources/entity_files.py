@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from entitylake.functions.uris import expand
 from entitylake.functions.variants import empty_object, parse_whole_json
 from entitylake.model import CONTEXT_ID, ENTITY_COLUMN, PAYLOAD_SCHEMA
-from entitylake.sinks import fs
 
 ARRIVAL = ("_file", "_pos")
 # Payload files up to this size are parsed as one value each (Spark's limit for
@@ -26,8 +25,16 @@ WHOLE_FILE_BYTES_MAX = 512 * 1024 * 1024
 
 def read_payloads(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """Payload elements of files: see ``payload_elements``."""
-    files = spark.read.text(paths, wholetext=True)  # (the reader's own argument wins over .option)
-    return payload_elements(files.select("value", F.col("_metadata.file_path").alias("_file")))
+    return payload_elements(_whole_files(_payload_files(spark, paths)))
+
+
+def _payload_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    return spark.read.format("binaryFile").load(paths)
+
+
+def _whole_files(files: DataFrame) -> DataFrame:
+    """One row per file: its text and path."""
+    return files.select(F.decode("content", "UTF-8").alias("value"), F.col("_metadata.file_path").alias("_file"))
 
 
 def payload_elements(files: DataFrame) -> DataFrame:
@@ -63,13 +70,28 @@ def payload_entities(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     Files up to ``WHOLE_FILE_BYTES_MAX`` (the usual case: one request body
     each) are parsed one per row.  If any file is larger, all are read by the
     streaming multi-line JSON reader instead and the contexts are joined on
-    the file path (see ``read_large_payloads``).
+    the file path (see ``read_large_payloads``).  One file listing by Spark
+    serves the size check and the read.
     """
-    if fs.max_file_size(spark, paths) <= WHOLE_FILE_BYTES_MAX:  # listing only, no job
-        return expanded_payloads(read_payloads(spark, paths))
+    files = _payload_files(spark, paths)
+    if largest_file_at_most(files, WHOLE_FILE_BYTES_MAX):
+        return expanded_payloads(payload_elements(_whole_files(files)))
     return expanded_payloads(read_large_payloads(spark, paths))
 
 
+def largest_file_at_most(files: DataFrame, limit: int) -> bool:
+    """Whether no file of a ``binaryFile`` frame is larger than ``limit`` bytes.
+
+    The total size comes from the relation's statistics (the listing), with no
+    job; only when the total exceeds the limit does one aggregation over file
+    lengths (content never read) decide.
+    """
+    total = int(files._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if total <= limit:
+        return True
+    return (files.agg(F.max("length")).first()[0] or 0) <= limit
+
+
 def read_large_payloads(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """Payload elements of files too large to hold as one value.
 
