@@ -47,7 +47,8 @@ LOG_LOAD1_END = "2024-01-20 00:00:00"  # log loads overlap between these
 LOG_LOAD2_START = "2024-01-10 00:00:00"
 WINDOW_FROM = "2024-01-15T00:00:00.000000"
 PAGE_ROWS = 500
-CHANGES_PAGE_ROWS = 5000
+CHANGES_PAGE_ROWS = 5000  # smallest page
+CHANGES_PAGES = 32  # about this many pages at any scale
 PAYLOAD_ENTITIES = 1000
 
 
@@ -233,9 +234,11 @@ def changes_paged_all(spark: SparkSession, sf_dir: str) -> DataFrame:
         "orders", SourceConfig(path=f"{sf_dir}/orders.parquet", since_column="o_orderdate"), outgoing=ORDERS_OUT
     )
     orders = _t(spark, sf_dir, "orders")
+    # pages grow with the table, so the number of requests (and the union below) stays bounded
+    page_rows = max(CHANGES_PAGE_ROWS, -(-orders.count() // CHANGES_PAGES))
     token, pages = "", []
     while True:
-        page = changes(orders, ds, token, CHANGES_PAGE_ROWS)
+        page = changes(orders, ds, token, page_rows)
         if page.token == token:  # nothing new
             break
         pages.append(page.entities.select("id"))
