@@ -41,18 +41,22 @@ def payload_elements(files: DataFrame) -> DataFrame:
     """Elements of payload files ``(value, _file)``: entity columns, ``_ns``, ``_file``, ``_pos``.
 
     Each file is one row (a payload file is never split anyway) and is parsed
-    once; its ``@context`` element gives ``_ns`` to every element of the same
-    file in the same projection, with no join, shuffle or broadcast.  A
-    malformed file, or text after its JSON value, fails the read.
+    once.  Its first element, when it is the ``@context``, gives ``_ns`` to
+    every element of the same file in the same projection, with no join,
+    shuffle or broadcast; ``variant_explode`` then yields the elements with
+    their position.  A malformed file, or text after its JSON value, fails.
     """
     parsed = parse_whole_json(files, "value", "_v", True, "malformed payload file")
-    elems = F.when(F.ltrim(F.col("value")).startswith("["), F.col("_v").cast("array<variant>")).otherwise(F.array("_v"))
-    arrays = parsed.select("_file", elems.alias("_a"))
-    contexts = F.filter("_a", lambda e: F.try_variant_get(e, "$.id", "string") == F.lit(CONTEXT_ID))
-    ns = F.variant_get(F.try_element_at(contexts, F.lit(1)), "$.namespaces", "map<string,string>")
-    # once per file: next to a generator, other select items would be evaluated per exploded row
-    per_file = arrays.select("_file", "_a", ns.alias("_ns"))
-    return per_file.select("_file", "_ns", F.posexplode("_a").alias("_pos", "_e")).select(
+    first_is_context = F.try_variant_get("_v", "$[0].id", "string") == F.lit(CONTEXT_ID)
+    ns = F.when(first_is_context, F.variant_get("_v", "$[0].namespaces", "map<string,string>"))
+    # a top-level object is a one-element batch
+    value = F.when(F.ltrim(F.col("value")).startswith("["), F.col("_v")).otherwise(F.to_variant_object(F.array("_v")))
+    per_file = parsed.select("_file", ns.alias("_ns"), value.alias("_v"))
+    exploded = files.sparkSession.sql(
+        "SELECT _file, _ns, e.pos AS _pos, e.value AS _e FROM {per_file}, LATERAL variant_explode(_v) e",
+        per_file=per_file,
+    )
+    return exploded.select(
         F.variant_get("_e", "$.id", "string").alias("id"),
         F.variant_get("_e", "$.recorded", "bigint").alias("recorded"),
         F.variant_get("_e", "$.deleted", "boolean").alias("deleted"),
@@ -96,16 +100,19 @@ def read_large_payloads(spark: SparkSession, paths: list[str] | str) -> DataFram
     """Payload elements of files too large to hold as one value.
 
     The multi-line JSON reader streams each file in one task; each file's
-    context (first ``@context`` element) is joined on its path.  The join is a
+    context (its first element, when that is the ``@context``) is joined on
+    its path.  The join is a
     plain equi-join: AQE turns it into a broadcast only when the contexts'
     measured size allows, otherwise it shuffles.
     """
     raw = spark.read.schema(PAYLOAD_SCHEMA).option("multiLine", True).option("mode", "FAILFAST").json(paths)
     raw = raw.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_pos"))
+    first = F.min_by(F.struct("id", "namespaces"), "_pos")  # the file's first element
     contexts = (
-        raw.where(F.col("id") == CONTEXT_ID)
-        .groupBy("_file")
-        .agg(F.min_by("namespaces", "_pos").alias("_ns"))  # the file's first context
+        raw.groupBy("_file")  # partial aggregation: one row per file per task reaches the shuffle
+        .agg(first.alias("_first"))
+        .where(F.col("_first.id") == CONTEXT_ID)
+        .select("_file", F.col("_first.namespaces").alias("_ns"))
     )
     return raw.drop("namespaces").join(contexts, "_file", "left")
 
