@@ -272,8 +272,7 @@ def _order_payloads(spark: SparkSession, sf_dir: str, path: str) -> None:
 def expand_namespaces_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "payloads")
     _order_payloads(spark, sf_dir, path)
-    files = [f for d in fs.list_names(spark, path) if d.startswith("file_no=") for f in fs.list_files(spark, f"{path}/{d}")]
-    return flatten_entities(payload_entities(spark, files))
+    return flatten_entities(payload_entities(spark, path))  # the folder: Spark lists its files in one step
 
 
 # --- K1, S6, S7 -------------------------------------------------------------
