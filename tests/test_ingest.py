@@ -206,3 +206,16 @@ def test_since_read_of_a_log_prunes_older_batches_through_the_manifest(spark, tm
         assert sorted(r.id for r in page.entities.collect()) == ids
         assert len({f.rsplit("/", 1)[0] for f in lake.table(lake.dataset("feed"), encode_token(str(after))).inputFiles()}) == folders
     assert lake.entities("feed", since=encode_token("104")).token == encode_token("104")  # nothing new
+
+
+def test_compaction_triggers_on_the_broadcast_byte_estimate(spark, tmp):
+    # each batch: 2 ids of 1 byte -> estimate 2 + 2 x 48 = 98 bytes; compaction above half of 250
+    lake = Lake(spark, tmp + "/lake", latest_default=True, buckets=4, broadcast_bytes_max=250)
+    lake.define(DatasetDefinition("t", incoming=MAP_V))
+    lake.write_incremental("t", _ents(spark, [("a", 1, "a1", 1), ("b", 1, "b1", 2)]), 1, "b1")
+    st = lake.state("t")
+    assert len(st.deltas) == 1 and st.delta_id_size() == 98 and not st.latest_paths
+    lake.write_incremental("t", _ents(spark, [("a", 2, "a2", 1), ("c", 1, "c1", 2)]), 2, "b2")
+    st = lake.state("t")
+    assert st.deltas == [] and st.latest_paths  # folded into buckets (broadcast path: 196 <= 250)
+    assert sorted((r.id, r.v) for r in lake.latest("t").collect()) == [("a", "a2"), ("b", "b1"), ("c", "c1")]
