@@ -7,6 +7,8 @@ split points are the fixed values of ``entitylake.workloads``.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -37,7 +39,23 @@ def _q(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession,
     return run
 
 
+def _optional(module: str, name: str) -> dict:
+    """``module.name`` if the module is there at all; an error inside a module that is there is raised."""
+    if importlib.util.find_spec(module.rpartition(".")[0] or module) is None:
+        return {}
+    return getattr(importlib.import_module(module), name)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    extra = _optional("entitylake.llm.queries", "QUERIES") | _optional("corpus_pipeline", "QUERIES")
+    return library_queries() | {name: _q(fn) for name, fn in extra.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return library_oracle_sql() | _optional("entitylake.llm.queries", "ORACLE_SQL") | _optional("corpus_pipeline", "ORACLES")
+
+
+def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "raw_entity_scan": _q(w.raw_entity_scan),
         "mapped_entities": _q(w.mapped_entities),
@@ -133,7 +151,7 @@ x as (select * from wb qualify row_number() over (partition by user_id order by
 select {_events_log_cols(f"concat('{US}', user_id)", dataset, recorded)} from x"""
 
 
-def oracle_sql() -> dict[str, str]:
+def library_oracle_sql() -> dict[str, str]:
     win_from = "timestamp '2024-01-15 00:00:00'"
     return {
         "raw_entity_scan": f"""
