@@ -99,7 +99,26 @@ select doc_id, domain, language, leaf_source as source, n_tokens, share, cast(ep
 where epoch <= full_epochs or (epoch = full_epochs + 1 and ahead < rest)"""
 
 
+def line_dedup_sql(long_words: int = 50) -> str:
+    w = "(partition by rid order by i)"
+    return f"""
+with d as (select row_number() over () as rid, doc_id, text from documents),
+l0 as (select rid, doc_id, unnest(string_split(text, chr(10))) as line, unnest(generate_series(1, len(string_split(text, chr(10))))) as i from d where text is not null),
+l1 as (select *, cast('0x' || substr(md5(line), 1, 15) as bigint) % 2147483647 as h,
+   len(list_filter(regexp_split_to_array(line, '[ \t-\r]+'), lambda x: x <> '')) >= {long_words} as big from l0),
+l2 as (select *, (h * 1000003 + lead(h) over {w}) % 2147483647 as r from l1),
+l3 as (select *, lag(r, 2) over {w} as r0, lag(r) over {w} as r1, lag(big) over {w} as pbig from l2),
+l4 as (select *, case when i = 1 or big or pbig or coalesce(r0 > r1 and r1 < r, false) then 1 else 0 end as b from l3),
+l5 as (select *, sum(b) over (partition by rid order by i rows unbounded preceding) as seq from l4),
+c as (select rid, doc_id, seq, string_agg(line, chr(10) order by i) as chunk, count(*) as n, count(*) > 1 or bool_or(big) as movable from l5 group by rid, doc_id, seq),
+c1 as (select *, case when movable then row_number() over (partition by chunk, movable order by doc_id nulls first, rid, seq) else 1 end as nth from c),
+o as (select rid, string_agg(case when nth = 1 then chunk end, chr(10) order by seq) as text, sum(n) as n_lines, sum(case when nth > 1 then n else 0 end) as lines_gone from c1 group by rid)
+select d.doc_id, case when d.text is null then null else coalesce(o.text, '') end as text,
+   cast(coalesce(n_lines, 0) as bigint) as n_lines, cast(coalesce(lines_gone, 0) as bigint) as lines_gone from d left join o on d.rid = o.rid"""
+
+
 ORACLES = {
+    "op1_line_dedup": line_dedup_sql(),
     "op2_url_filter": url_filter_sql(),
     "op3_mixing": mixing_sql(),
     "op9_decontamination": decontamination_sql(),
