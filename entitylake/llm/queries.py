@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from entitylake.llm import decontam, jaccard_join, lang_ppm, line_dedup, mixing, url_filter
+from entitylake.llm import ctw, decontam, jaccard_join, lang_ppm, line_dedup, mixing, url_filter
 from entitylake.llm.common import table
 from entitylake.llm.oracles import ORACLES
 
@@ -28,6 +28,10 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.groups(table(spark, sf_dir, "documents"), jaccard_join.Similarity(words=3, num=90, den=100))
 
 
+def op6_ctw_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_ppm.identify(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op3_mixing": op3_mixing,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_ctw_scoring": op6_ctw_scoring,
     "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
 }
