@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from entitylake.llm import ctw, decontam, jaccard_join, lang_ppm, line_dedup, mixing, url_filter
+from entitylake.llm import ctw, decontam, embed_dedup, jaccard_join, lang_ppm, line_dedup, mixing, url_filter
 from entitylake.llm.common import table
 from entitylake.llm.oracles import ORACLES
 
@@ -32,6 +32,10 @@ def op6_ctw_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score(table(spark, sf_dir, "documents"))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_ppm.identify(table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_ctw_scoring": op6_ctw_scoring,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
 }
