@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from entitylake.llm import ctw, decontam, embed_dedup, jaccard_join, lang_ppm, line_dedup, mixing, url_filter
+from entitylake.llm import ctw, decontam, embed_dedup, html_template, jaccard_join, lang_ppm, line_dedup, mixing, pii_crf, url_filter
 from entitylake.llm.common import table
 from entitylake.llm.oracles import ORACLES
 
@@ -24,6 +24,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_crf.find(table(spark, sf_dir, "documents"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.groups(table(spark, sf_dir, "documents"), jaccard_join.Similarity(words=3, num=90, den=100))
 
@@ -44,15 +48,21 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.main_texts(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_url_filter": op2_url_filter,
     "op3_mixing": op3_mixing,
+    "op4_pii": op4_pii,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_ctw_scoring": op6_ctw_scoring,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLE_SQL: dict[str, str] = {k: v for k, v in ORACLES.items() if k in QUERIES}
