@@ -1,0 +1,311 @@
+"""Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing column names."""
+
+import hashlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from entitylake.llm import ctw, decontam, embed_dedup, html_template, jaccard_join, lang_ppm, line_dedup, mixing, pii_crf, url_filter
+from tests.llm import brute
+
+CLASH = ["row", "uid", "h", "key", "n", "rep", "component", "epoch", "domain", "dw", "seqs", "dkey", "lang_pred", "score", "dedup", "n_tokens"]
+LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(60_000))
+
+
+def documents(spark, rows):
+    """doc_id, text, lang, source, n_chars and columns whose names the operators use themselves."""
+    base = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    return base.withColumn("n_chars", F.length("text").cast("long")).withColumns({c: F.lit("x") for c in CLASH})
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    passage = "\n".join(f"line {i} of a passage that comes again and again" for i in range(12))
+    rows = [
+        (1, None, "en", "src0"),
+        (2, "", "en", "src0"),
+        (3, " \t\n ", None, None),
+        (4, "one", "en", "src1"),
+        (5, "one", "en", "src1"),
+        (6, "two words", None, "src2"),
+        (7, LONG, "en", "src0"),
+        (8, LONG + " tail", "en", None),
+        (9, "head one\n" + passage + "\ntail one", "en", "src3"),
+        (10, "another head\n" + passage + "\nother tail here", "en", "src3"),
+        (10, "another head\n" + passage + "\nother tail here", "en", "src3"),
+        (None, "a text without an id", "de", "src4"),
+        (None, None, None, None),
+        (11, "123 456 !!! +++", "en", "src0"),
+        (12, "été ñandú über", "fr", "elsewhere"),
+    ]
+    return documents(spark, rows).cache()
+
+
+@pytest.fixture(scope="module")
+def nothing(docs):
+    return docs.filter("false")
+
+
+def by_id(df, *cols):
+    return {r["doc_id"]: tuple(r[c] for c in cols) for r in df.collect() if r["doc_id"] is not None}
+
+
+def test_line_dedup(docs, nothing):
+    out = line_dedup.dedup_lines(docs)
+    assert out.columns == [c for c in docs.columns if c != "dedup"] + ["dedup"]
+    rows = out.collect()
+    assert len(rows) == docs.count()
+    got = {r.doc_id: r.text for r in rows if r.doc_id is not None}
+    same = {r.doc_id: r.text for r in docs.collect() if r.doc_id is not None}
+    assert {i for i in same if got[i] != same[i]} == {10}
+    assert got[10].startswith("another head") and got[10].endswith("other tail here") and len(got[10]) < 400
+    assert got[1] is None and got[2] == ""
+    assert [r.dedup.lines_gone for r in rows if r.doc_id == 10][0] == [r.dedup.lines_gone for r in rows if r.doc_id == 10][1] > 0
+    assert line_dedup.dedup_lines(nothing).count() == 0
+
+
+def test_chunk_boundaries_do_not_shift():
+    body = [f"sentence number {i * 7919}" for i in range(60)]
+    plain = {tuple(body[a:b]) for a, b, _ in line_dedup.chunk_lines("\n".join(body), 50)}
+    moved = ["new", "lines", "in front"] + body
+    shifted = {tuple(moved[a:b]) for a, b, _ in line_dedup.chunk_lines("\n".join(moved), 50)}
+    assert len(plain - shifted) <= 2
+    long_line = " ".join(["word"] * 50)
+    assert line_dedup.chunk_lines(f"a\n{long_line}\nb", 50) == [(0, 1, False), (1, 2, True), (2, 3, False)]
+
+
+def test_url_filter(spark):
+    canonical, refresh = '<link rel="canonical" href="{}">', "<meta http-equiv='Refresh' content='0; URL={}'>"
+    rows = [
+        (1, "http://a.fr/x", canonical.format("http://example.com/en/1")),
+        (2, "http://b.fr/y?q=1#z", refresh.format("http://a.fr/x")),
+        (3, "http://www.example.com/en/1", canonical.format("http://c.de/1")),
+        (4, "http://c.de/1", canonical.format("/2")),
+        (5, "http://c.de/2", None),
+        (6, "http://d.de/2", "<!-- " + canonical.format("http://example.com/en/9") + " -->"),
+        (7, None, "x"),
+        (8, "nohost", canonical.format("http://example.com/en/9")),
+        (9, "http://q.net/es/1", canonical.format("http://c.de/1")),
+        (10, "HTTP://E.de/1", canonical.format("//f.net/fr/2?a=1&amp;b=2")),
+        (11, "http://f.net/fr/2?a=1&b=2", ""),
+        (11, "http://f.net/fr/2?a=1&b=2", ""),
+        (12, "http://a.b.com?x", ""),
+        (None, "http://example.com/en/", None),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit(1) for c in ("host", "path", "node", "own", "rule")})
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(pages).collect()}
+    assert url_filter.judge(pages).count() == len(rows)
+    assert got[1] == ("a.fr", "/x", None, "block")  # alias of a blocked page
+    assert got[2] == ("b.fr", "/y", None, "block")  # by way of another alias
+    assert got[3] == ("www.example.com", "/en/1", "www.example.com/en/", "allow")
+    assert got[4][3] == got[5][3] == "allow"  # an allow goes before the block of the same group
+    assert got[9] == ("q.net", "/es/1", "net/es/", "block")  # its own rule wins
+    assert got[6][3] == got[8][3] == "allow" and got[7] == got[8] == ("", "", None, "allow")
+    assert got[10][3] == "block" and got[12] == ("a.b.com", "", None, "allow")
+    assert got[None][2:] == ("example.com/en/", "block")
+    assert url_filter.judge(pages.filter("false")).count() == 0
+
+
+def test_mixing(docs, nothing):
+    out = mixing.draw(docs)
+    assert out.columns == [c for c in docs.columns if c != "epoch"] + ["epoch"]
+    ids = {r.doc_id for r in out.collect()}
+    assert ids.isdisjoint({1, 2, 3}) and 7 in ids
+    assert mixing.draw(nothing).count() == mixing.plan(nothing).count() == 0
+
+
+def test_mixing_redistributes_among_siblings_first(spark):
+    leaves = [("d1", "en", "a", 10), ("d1", "en", "b", 1000), ("d1", "de", "c", 1000), ("d2", "en", "d", 1000)]
+    df = spark.createDataFrame(leaves, "domain string, language string, leaf_source string, tokens long")
+    mix = mixing.Mix(domains={}, languages={}, budget_share=(1, 5), max_epochs=1)
+    share = {r.leaf_source: r.share for r in mixing.budgets(df, mix).collect()}
+    # 602 tokens: 301 a domain, 150 a language of d1; a is short by 65, which b gets and neither c nor d
+    assert share == {"a": 10, "b": 140, "c": 150, "d": 301}
+    starved = [("d1", "en", "a", 10), ("d1", "en", "b", 20), ("d1", "de", "c", 1000), ("d2", "en", "d", 1000)]
+    df = spark.createDataFrame(starved, "domain string, language string, leaf_source string, tokens long")
+    share = {r.leaf_source: r.share for r in mixing.budgets(df, mix).collect()}
+    assert share == {"a": 10, "b": 20, "c": 173, "d": 203}  # the language is short: its sibling c gets the rest of d1
+
+
+def test_mixing_draws_up_to_the_share(spark):
+    rows = [(i, "w " * (1 + i % 5), "en", "src0") for i in range(3000)]
+    docs = documents(spark, rows)
+    drawn = mixing.plan(docs).collect()
+    total = sum(1 + i % 5 for i in range(3000))
+    taken = sum(r.n_tokens for r in drawn)
+    assert total // 2 <= taken < total // 2 + 5 and {r.epoch for r in drawn} == {1}
+    assert len({r.doc_id for r in drawn}) == len(drawn)
+
+
+def test_pii(docs, nothing):
+    got = by_id(pii_crf.find(docs), "n_email", "spans")
+    assert got[1] == got[2] == got[7] == (0, "") and pii_crf.find(nothing).count() == 0
+    assert pii_crf.find(docs).count() == docs.count()
+
+
+HOSTILE = [
+    "a@b.c_d@e.f g.h@i", "@@@@", "x@y.z@q.r", "é 1.2.3.4.5.6.7.8 256.1.1.1.1", "+1 (743) 555-3824 +12", "4111 1111 1111 1111 4111111111111111",
+    "4111111111111111 5105105105105100", "9" * 30_000, "a" * 30_000, "1." * 10_000, "+1 " + " " * 20_000, "+1" * 5_000, "a@" * 10_000,
+]
+
+
+@pytest.mark.parametrize("text", HOSTILE, ids=lambda t: t[:12])
+def test_pii_patterns_equal_the_plain_ones(text):
+    import sys
+
+    sys.set_int_max_str_digits(0)
+    want = brute.pii(text) if len(text) < 100 else None
+    got = pii_crf.base_spans(text)
+    assert got == (want if want is not None else got)
+
+
+def test_pii_crf(spark):
+    model = pii_crf.train_table(pii_crf.labelled_table(spark))
+    sentences = pii_crf.parse_labelled(pii_crf.LABELLED.strip().split("\n"))
+    right = total = 0
+    for words, labels in sentences:
+        chain = brute.sequential_viterbi(model, words, pii_crf.features, pii_crf.can_be_labelled)
+        at = np.array([k for k, w in enumerate(words) if pii_crf.can_be_labelled(w)], int)
+        if len(at):
+            cut = pii_crf.Labeller(model)([words[k] for k in at], at, len(words), np.array([0, len(words)]))
+            assert [chain[k] for k in at] == list(cut)  # decoding in pieces is decoding as one chain
+        right, total = right + sum(a == b for a, b in zip(chain, labels)), total + len(labels)
+    assert right >= 0.97 * total
+    texts = ["ring (212) 555-0147 now", "cards 4111111111111111 5105105105105100 here", "on 2024-01-15 order 1234567890 of 12", "mail bob@mail.example.org, ok"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = by_id(pii_crf.find(docs), "spans")
+    assert got == {0: ("phone:5:19",), 1: ("card:6:22,card:23:39",), 2: ("",), 3: ("email:5:25",)}
+
+
+def test_jaccard(docs, nothing):
+    sim = jaccard_join.Similarity(3, 90, 100)
+    out = jaccard_join.groups(docs, sim).collect()
+    assert len(out) == docs.count()
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in out if r.doc_id is not None}
+    want = brute.jaccard_components([(r.doc_id, r.text) for r in docs.dropDuplicates(["doc_id"]).collect() if r.doc_id is not None], 3, 90, 100)
+    assert got == want and got[8][1] == 7 and got[5][1] == 4 and got[2] == (0, 2)
+    assert all(r.component_id is None for r in out if r.doc_id is None)
+    kept = jaccard_join.one_of_each(docs, sim)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {1, 2, 3, 4, 6, 7, 9, 10, 11, 12, None}
+    assert jaccard_join.groups(nothing, sim).count() == 0
+
+
+def test_jaccard_group_of_near_copies(spark):
+    """Links that only run through other members, pairs just below the threshold, one frequent passage."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for k in rng.choice(150, rng.integers(0, 5), replace=False):
+            words[k] = f"e{rng.integers(0, 40)}" if i % 2 else f"u{i}_{k}"
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, " ".join([*base[:30], *(f"v{i}_{k}" for k in range(60))])) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for sim in (jaccard_join.Similarity(3, 90, 100), jaccard_join.Similarity(5, 8, 10)):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.groups(docs, sim).collect()}
+        assert got == brute.jaccard_components(rows, sim.words, sim.num, sim.den)
+
+
+def test_ctw_equals_recursion_over_the_whole_tree(spark):
+    train = ["abracadabra", "abrakadabra banana", "Bandana ünd"]
+    rows = [(i, t) for i, t in enumerate([*train, "cabana zebra", "", None])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    import zlib
+
+    seen = [t or "" for i, t in rows if zlib.crc32(str(i).encode()) % 10]
+    got = {r.doc_id: r for r in ctw.score(docs).collect()}
+    for i, t in rows:
+        assert got[i].score == pytest.approx(brute.ctw_log10(seen, t or ""), abs=2e-4)
+    assert got[4].n_tokens == got[5].n_tokens == 1 and got[5].bits_per_byte is None
+
+
+def test_ctw_edges(docs, nothing):
+    assert ctw.score(docs).count() == docs.count() and ctw.score(nothing).count() == 0
+
+
+def test_embeddings(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], 1), (3, [1.0, 0.0], 1), (4, [1.0, 0.0], 2), (5, [1.0, 0.0], None), (6, None, 1), (7, [], 1),
+        (8, [0.0, 0.0], 1), (9, [nan, 1.0], 1), (10, [inf, 1.0], 1), (11, [None, 1.0], 1), (12, [1.0, 0.0, 0.0], 1), (None, [1.0, 0.0], 1), (13, [1.0, 0.19], 1),
+        (14, [1.0, 0.38], 1),
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumns({c: F.lit(1) for c in ("vec", "dim", "rep", "cell", "copies")})
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embed_dedup.near_duplicates(df).collect()}
+    assert got[1] == (4, 1, True) and got[2] == (4, 1, False) and got[3] == (4, 1, False)
+    assert got[13] == (5, 1, False) and got[14] == (1, 1, False)  # 14 is linked through 13 only
+    assert all(got[i] == (0, i, True) for i in (4, 5, 6, 7, 8, 9, 10, 11, 12)) and got[None] == (0, None, True)
+    assert embed_dedup.near_duplicates(df.filter("false")).count() == 0
+
+
+def test_embeddings_in_many_cells_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(embed_dedup, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(embed_dedup, "CELL_ROWS", 50)
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=(30, 16))
+    x = [c + rng.normal(scale=0.05, size=16) for c in centre for _ in range(20)] + [rng.normal(size=16) for _ in range(300)]
+    rows = [(i, [float(v) for v in e], int(i % 3 == 0)) for i, e in enumerate(x)]
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    want = brute.cosine_links(rows)
+    links = sum(v[0] for v in want.values())
+    assert links > 500 and 0.9 * links <= sum(v[0] for v in got.values()) <= links
+    assert all(got[i][0] <= want[i][0] for i in want)
+
+
+def test_language(docs, nothing):
+    out = lang_ppm.identify(docs)
+    got = by_id(out, "lang_pred", "score")
+    assert got[1] == got[2] == got[3] == got[11] == ("und", 0.0) and got[12][0] != "und"
+    assert out.count() == docs.count() and lang_ppm.identify(nothing).count() == 0
+    assert {r.lang_pred for r in lang_ppm.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+    kept = lang_ppm.keep_known(docs)
+    assert kept.columns == docs.columns and {1, 2, 3, 11}.isdisjoint({r.doc_id for r in kept.collect()})
+
+
+def test_decontamination(spark, docs, nothing):
+    items = [(1, LONG[:200]), (2, "one"), (2, "one"), (3, None), (4, ""), (None, "two words"), (5, "!!!"), (6, LONG[:200])]
+    bench = spark.createDataFrame(items, "item_id long, text string").withColumns({"win": F.lit(1), "h": F.lit(2)})
+    got = by_id(decontam.judge(docs, bench), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    sha = lambda *x: hashlib.sha256(",".join(x).encode()).hexdigest()
+    assert got[1] == got[2] == got[3] == (0, 0, 0, sha(), False)
+    assert got[4] == got[5] == (1, 1, 1, sha("2"), True)
+    assert got[6][1] == 0 and got[9][1:] == (2, 1, sha("2"), True)  # the words "one"
+    assert got[7][0] == 60_000 and got[7][2:] == (2, sha("1", "6"), True) and got[7][1] >= len(LONG[:200].split()) - 1
+    assert decontam.judge(docs, bench).count() == docs.count()
+    kept = decontam.clean_documents(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "2", "3", "6", "10", "10", "11", "12", "None", "None"])
+    assert decontam.judge(nothing, bench).count() == 0
+    assert decontam.clean_documents(docs, bench.filter("false")).count() == docs.count()
+
+
+PAGE = """<html><head><title>t</title><style>p{{}}</style></head><body><div class="cookie-notice">we use cookies</div><header>Site</header>
+<nav><ul><li><a href=/>Home</a><li><a href=/b>B</a></ul></nav><div id=wrap><article><h1>{0}</h1><p>First &amp; <b>bold<p>Second&nbsp;
+ part<br>of {0}<script>var x="</p>"</script><aside>related</aside><form><input value=1>search</form><div class="comments">nice</div></article></div>
+<div class=ad>buy</div><footer>end &copy;</footer></body></html>"""
+
+
+def test_html(spark):
+    rows = [(i, f"http://h.de/{i}", PAGE.format(f"Title {i}")) for i in range(4)]
+    rows += [(10, None, None), (11, "http://x.fr/", ""), (12, "http://x.fr/2", "plain &lt;text&gt; only"), (12, "http://x.fr/2", "plain &lt;text&gt; only")]
+    rows += [(13, "http://h.de/cut", PAGE.format("Cut")[:400]), (14, "http://y.es/1", "<body><div class=sidebar>menu</div><div><p>" + "long text " * 5_000 + "</p></div>")]
+    rows += [(15, "http://z.es/", "<" * 2_000), (16, "http://z.es/a", "<a href='" * 1_000), (17, "http://z.es/b", "<b>" * 3_000 + "deep")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit(1) for c in ("host", "page", "path", "token")})
+    got = {r.page_id: r.text for r in html_template.main_texts(pages).collect()}
+    assert html_template.main_texts(pages).count() == len(rows)
+    for i in range(4):
+        assert got[i] == f"Title {i}\nFirst & bold\nSecond part of Title {i}"
+    assert got[10] == got[11] == "" and got[12] == "plain <text> only"
+    assert got[13].startswith("Cut") and got[14] == ("long text " * 5_000).strip() and got[17] == "deep"
+    assert html_template.main_texts(pages.filter("false")).count() == 0
+
+
+def test_templates_leave_out_fixed_text_without_telling_names(spark):
+    """A box of the same words on every page is template, though nothing in its markup says so."""
+    page = "<body><div><p>{0}</p></div><section>" + "always the same words here " * 20 + "</section></body>"
+    rows = [(i, f"http://q.de/{i}", page.format(f"story {i} " * 30)) for i in range(6)]
+    got = {r.page_id: r.text for r in html_template.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: (f"story {i} " * 30).strip() for i in range(6)}
