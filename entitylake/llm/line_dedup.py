@@ -125,7 +125,8 @@ def dedup_lines(docs: DataFrame, long_words: int = LONG_WORDS) -> DataFrame:
     gone = removals(spool, docs.select("doc_id", "text"), long_words).withColumnRenamed("dkey", "gone_key")
     rows = docs.select(whole_row(docs, "text").alias("row"), "text", _key_column().alias("dkey"))
     n_lines = F.when(F.col("text").isNotNull(), F.size(F.split("text", "\n", -1))).otherwise(0).cast("long")
-    joined = rows.join(gone, F.col("dkey") == F.col("gone_key"), "left").select(
+    # both sides grow with the data: the same plan at every size
+    joined = rows.join(gone.hint("merge"), F.col("dkey") == F.col("gone_key"), "left").select(
         "row", "text", "seqs", F.struct(n_lines.alias("n_lines"), F.coalesce("lines_gone", F.lit(0)).cast("long").alias("lines_gone")).alias("dedup")
     )
 
