@@ -5,14 +5,14 @@ Documents are sets of word shingles; two link when their Jaccard similarity reac
 
 * Equal sets are one class (128-bit digest); only its smallest id takes part.
 * Index level: a prefix of each set, in one global order (rare before frequent shingles), is
-  an inverted list entry ``(shingle, id, size, position, 256-bit parity sketch)``.  Inside a
+  an inverted list entry ``(shingle, id, size, position)``, joined by a 256-bit parity sketch before lists are compared.  Inside a
   list, entries are skipped without looking at the sets when sizes cannot reach the
   similarity, when the positions of the shared shingle already use up the allowed
   difference, or when the sketches differ in more bits than the sets may differ in elements.
   Pairs that are left meet a wider sketch (as many bits as the set has shingles) before any
   set is moved.
-* Answer level: first every set is verified against one leader, the most central set of the
-  lists it shares.  Sets that reach their leader share its answers: only the component as a
+* Answer level: first every set is verified against one leader, the set that most often heads the
+  lists it is in.  Sets that reach their leader share its answers: only the component as a
   whole matters from then on, so pairs within a component are never generated.  Then the
   lists are joined once more between sets of different components; what these pairs add is
   the difference between a set's answers and its leader's.  A group of n near copies costs
@@ -183,7 +183,8 @@ def _candidate_sets(spool: Spool, docs: DataFrame, ids: DataFrame, sim: Similari
                     [ids.slice(a, b - a), pa.array([raw[x:y] for x, y in zip(at[:-1], at[1:])], pa.binary())], ["doc_id", "elements"]
                 )
 
-    chosen = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    # both sides grow with the data: the same plan at every size
+    chosen = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi")
     return spool.put(chosen.mapInArrow(run, "doc_id long, elements binary").dropDuplicates(["doc_id"]), name)
 
 
@@ -231,14 +232,15 @@ def _verified(spool: Spool, docs: DataFrame, pairs: DataFrame, sim: Similarity,
     return links
 
 
+def _sizes_fit(sim: Similarity, x: str, y: str) -> str:
+    return f"{x} * {sim.den} >= {y} * {sim.num} and {y} * {sim.den} >= {x} * {sim.num}"
+
+
 def _entry_filter(sim: Similarity, x: str, y: str) -> str:
     """SQL: two entries of one list are not ruled out by size, position or sketch."""
     apart = sim.most_apart(f"{x}.n + {y}.n")
     sketch = " + ".join(f"bit_count({x}.sk[{k}] ^ {y}.sk[{k}])" for k in range(4))
-    return (
-        f"{x}.n * {sim.den} >= {y}.n * {sim.num} and {y}.n * {sim.den} >= {x}.n * {sim.num} "
-        f"and {x}.pos + {y}.pos <= {apart} and {sketch} <= {apart}"
-    )
+    return f"{_sizes_fit(sim, f'{x}.n', f'{y}.n')} and {x}.pos + {y}.pos <= {apart} and {sketch} <= {apart}"
 
 
 def classes(spool: Spool, docs: DataFrame, sim: Similarity) -> tuple[DataFrame, DataFrame]:
@@ -254,16 +256,12 @@ def classes(spool: Spool, docs: DataFrame, sim: Similarity) -> tuple[DataFrame,
 
 def links(spool: Spool, docs: DataFrame, reps: DataFrame, sim: Similarity) -> DataFrame:
     """Verified links ``(a, b)`` between class representatives that connect all components."""
-    lists = reps.select("rep", "n", "sk", F.size("prefix").alias("len"), F.posexplode("prefix").alias("pos", "key"))
-    shared = lists.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
-    index = spool.put(lists.join(shared, "key"), "index")
-    central = index.groupBy("rep").agg((F.count(F.lit(1)) / F.first("len")).alias("central"))
-    ranked = index.join(central, "rep")
-    leaders = ranked.groupBy("key").agg(
-        F.max(F.struct("central", (-F.col("rep")).alias("minus"), "n", "pos", "sk")).alias("top")
-    ).select("key", (-F.col("top.minus")).alias("leader"), F.col("top.n").alias("n"), F.col("top.pos").alias("pos"), F.col("top.sk").alias("sk"))
+    lists = reps.select("rep", "n", F.posexplode("prefix").alias("pos", "key"))
+    # the entry with the earliest position has the fewest shingles of its own before the shared one
+    shared = lists.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("pos", "rep", "n")).alias("top")).filter("c > 1").drop("c")
+    index = spool.put(lists.join(shared, "key").select("key", "rep", "n", "pos", F.col("top.rep").alias("leader"), F.col("top.n").alias("ln"), F.col("top.pos").alias("lpos")), "index")
     to_leader = (
-        index.alias("x").join(leaders.alias("y"), F.expr(f"x.key = y.key and x.rep <> y.leader and {_entry_filter(sim, 'x', 'y')}"))
+        index.filter(f"rep <> leader and {_sizes_fit(sim, 'n', 'ln')} and pos + lpos <= {sim.most_apart('n + ln')}")
         .groupBy("rep", "leader").agg(F.count(F.lit(1)).alias("c"))
         .groupBy("rep").agg(F.max(F.struct("c", "leader")).alias("best"))
         .select(F.least("rep", "best.leader").alias("a"), F.greatest("rep", "best.leader").alias("b")).distinct()
@@ -271,9 +269,8 @@ def links(spool: Spool, docs: DataFrame, reps: DataFrame, sim: Similarity) -> Da
     pairs = spool.put(_sketch_filter(to_leader, reps, sim), "leader-pairs")
     near = _verified(spool, docs, pairs, sim, "leader")
     label = connected_components(spool, near, "a", "b").withColumnRenamed("node", "rep")
-    entries = index.join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = entries.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-    entries = spool.put(entries.join(mixed, "key"), "between")
+    grouped = reps.select("rep", "sk").join(label, "rep", "left").select("rep", "sk", F.coalesce("component", "rep").alias("component"))
+    entries = spool.put(index.select("key", "rep", "n", "pos").join(grouped, "rep"), "entries")
     across = entries.alias("x").join(
         entries.alias("y"), F.expr(f"x.key = y.key and x.component < y.component and {_entry_filter(sim, 'x', 'y')}")
     )
