@@ -63,6 +63,11 @@ def literal_for(value: object) -> str:
     return f"'{text}'"
 
 
+def literal_text(raw: str) -> str:
+    """Value text of a literal: bare, or without its quotes."""
+    return raw[1:-1] if len(raw) >= 2 and raw[0] == "'" and raw[-1] == "'" else raw
+
+
 def decode_token(token: str) -> str | None:
     """Token -> literal value text (quotes stripped); ``""`` -> None.  Bad token = error."""
     if not token:
@@ -71,8 +76,8 @@ def decode_token(token: str) -> str | None:
         raw = base64.urlsafe_b64decode(token.encode("ascii")).decode("utf-8")
     except Exception as exc:  # noqa: BLE001 - re-raised with context
         raise ValueError(f"failed to decode since token {token!r}") from exc
-    if len(raw) >= 2 and raw[0] == "'" and raw[-1] == "'":
-        return raw[1:-1]
+    if literal_text(raw) != raw:
+        return literal_text(raw)
     if not _INT64.match(raw):
         raise ValueError(f"since token {token!r} holds neither an integer nor a quoted literal")
     return raw

@@ -41,6 +41,46 @@ def parse_whole_json(df: DataFrame, text: str, out: str, strict: bool, error: st
     return step.withColumn(out, value).drop("_wjson")
 
 
+# The characters JSON allows around a value (and a byte order mark).
+JSON_SPACE = " \t\r\n\ufeff"
+
+
+def json_starts_with(text: Column, opening: str) -> Column:
+    """Whether JSON text is an array (``[``) or object (``{``): its first character after white space."""
+    return F.ltrim(text, F.lit(JSON_SPACE)).startswith(opening)
+
+
+def parse_json_elements(df: DataFrame, text: str, out: str, error: str) -> DataFrame:
+    """``df`` plus ``out`` (array of variants): the elements of a JSON array, or the one top-level object.
+
+    Every element is a variant of its own, so an array may be larger than the
+    variant limit.  An end marker is put before the array's last bracket: text
+    after the array, or a second value, leaves the parsed array without it and
+    fails the job with ``error``, as malformed text does.  NULL text gives NULL.
+    """
+    body = F.btrim(F.col(text), F.lit(JSON_SPACE))
+    step = df.withColumn("_jbody", body)
+    body = F.col("_jbody")
+    end = F.lit('"' + _END + '"]')
+    empty = body.rlike(r"^\[[ \t\r\n]*\]$")
+    opened = F.expr("left(_jbody, length(_jbody) - 1)")
+    marked = (
+        F.when(empty, F.concat(F.lit("["), end))
+        .when(body.startswith("[") & body.endswith("]"), F.concat(opened, F.lit(","), end))
+        .when(body.startswith("{"), F.concat(F.lit("["), body, F.lit(","), end))
+    )
+    step = step.withColumn("_jall", F.from_json(marked, "array<variant>"))
+    n = F.size("_jall")
+    whole = F.try_variant_get(F.element_at("_jall", -1), "$", "string") == F.lit(_END_VALUE)
+    whole = whole & (body.startswith("[") | (n == 2))
+    elements = (
+        F.when(F.col(text).isNull(), F.lit(None).cast("array<variant>"))
+        .when(whole, F.slice("_jall", 1, n - 1))
+        .otherwise(F.raise_error(F.concat(F.lit(error + ": "), F.substring(F.col(text), 1, 200))))
+    )
+    return step.withColumn(out, elements).drop("_jbody", "_jall")
+
+
 def to_variant(c: Column) -> Column:
     return c.cast("variant")
 
@@ -88,18 +128,12 @@ def flatten_entities(entities) -> "DataFrame":  # noqa: F821
     """Entity frame -> (id, kind, key, value, value_type) rows; one per prop / ref.
 
     Used to compare entities with relational oracles (variants cannot be hashed).
+    One scan: the entries of both objects are tagged and exploded together.
     """
-    props = entities.select(
-        "id",
-        F.lit("prop").alias("kind"),
-        F.explode(F.coalesce(entities["props"], empty_object()).cast("map<string,variant>")).alias("key", "v"),
-    )
-    refs = entities.select(
-        "id",
-        F.lit("ref").alias("kind"),
-        F.explode(F.coalesce(entities["refs"], empty_object()).cast("map<string,variant>")).alias("key", "v"),
-    )
-    both = props.unionByName(refs)
-    return both.select(
-        "id", "kind", "key", value_text(F.col("v")).alias("value"), value_kind(F.col("v")).alias("value_type")
-    )
+
+    def tagged(kind: str) -> Column:
+        entries = F.map_entries(F.coalesce(F.col(f"{kind}s"), empty_object()).cast("map<string,variant>"))
+        return F.transform(entries, lambda e: F.struct(F.lit(kind).alias("kind"), e["key"].alias("key"), e["value"].alias("v")))
+
+    rows = entities.select("id", F.explode(F.concat(tagged("prop"), tagged("ref"))).alias("e"))
+    return rows.select("id", "e.kind", "e.key", value_text(F.col("e.v")).alias("value"), value_kind(F.col("e.v")).alias("value_type"))

@@ -9,6 +9,7 @@ parsed from the same JSON layout the service configuration uses.
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -34,18 +35,6 @@ ENTITY_SCHEMA = T.StructType(
     ]
 )
 
-# Schema of one element of an entity batch payload (JSON array whose first
-# element is the ``@context``).
-PAYLOAD_SCHEMA = T.StructType(
-    [
-        T.StructField("id", T.StringType()),
-        T.StructField("recorded", T.LongType()),
-        T.StructField("deleted", T.BooleanType()),
-        T.StructField("refs", T.VariantType()),
-        T.StructField("props", T.VariantType()),
-        T.StructField("namespaces", T.MapType(T.StringType(), T.StringType())),
-    ]
-)
 
 # --- fixed values: warehouse type names accepted in mappings -> Spark DDL -----
 TYPE_ALIASES = {
@@ -74,17 +63,38 @@ TYPE_ALIASES = {
     "timestamp_ntz": "timestamp_ntz",
     "datetime": "timestamp_ntz",
     "date": "date",
+    "time": "string",
+    "binary": "binary",
+    "varbinary": "binary",
+    "decimal": "decimal(38,0)",
+    "numeric": "decimal(38,0)",
 }
+DECIMAL_NAMES = ("number", "decimal", "numeric")
+
+
+_TYPE_NAME = re.compile(r"([a-z_ ]+?)\s*(?:\(\s*([0-9]+)\s*(?:,\s*([0-9]+)\s*)?\))?")
 
 
 def spark_type(name: str | None) -> str:
-    """Map a configured datatype name to a Spark DDL type; unknown = error."""
+    """Map a configured datatype to a Spark DDL type.
+
+    A length or a time precision is accepted and not enforced; a number with
+    a precision keeps its scale.  Any other name must be a Spark type.
+    """
     key = (name or "").strip().lower()
-    if key in TYPE_ALIASES:
-        return TYPE_ALIASES[key]
-    if key.startswith(("decimal", "numeric")):
-        return key.replace("numeric", "decimal")
-    raise ValueError(f"unsupported datatype {name!r}")
+    m = _TYPE_NAME.fullmatch(key)
+    base, precision, scale = (m[1], m[2], m[3]) if m else (key, None, None)
+    if base in DECIMAL_NAMES and precision:
+        if not 1 <= int(precision) <= 38 or int(scale or 0) > int(precision):
+            raise ValueError(f"unsupported datatype {name!r}")
+        return f"decimal({precision},{scale or 0})"
+    if base in TYPE_ALIASES:
+        return TYPE_ALIASES[base]
+    try:
+        T._parse_datatype_string(key)  # a type that only Spark knows
+    except Exception as exc:  # noqa: BLE001 - the parser's error types differ by client
+        raise ValueError(f"unsupported datatype {name!r}") from exc
+    return key
 
 
 @dataclass(frozen=True)
@@ -155,6 +165,7 @@ class SourceConfig:
     since_column: str | None = None
     latest_table: bool | None = None
     path: str | None = None  # explicit location of a plain Parquet source
+    catalog_table: str | None = None  # any table the session's catalog knows
 
 
 @dataclass(frozen=True)
@@ -227,6 +238,7 @@ def definition_from_dict(d: dict) -> DatasetDefinition:
         since_column=sc.get("since_column"),
         latest_table=sc.get("latest_table"),
         path=sc.get("path"),
+        catalog_table=sc.get("catalog_table"),
     )
     return DatasetDefinition(
         name=d["name"],

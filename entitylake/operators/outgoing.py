@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from entitylake.functions.uris import fill_template, property_uri
-from entitylake.functions.variants import empty_object, parse_whole_json, variant_object
+from entitylake.functions.variants import empty_object, json_starts_with, parse_whole_json, variant_object
 from entitylake.model import OutgoingMapping, OutgoingPropertyMapping, spark_type
 
 RAW_ENTITY_DDL = "id string, recorded bigint, deleted boolean, refs variant, props variant"
@@ -64,7 +64,7 @@ def mapped_columns(mapping: OutgoingMapping, columns: list[str]) -> list[str]:
     return needed
 
 
-def rows_to_entities(df: DataFrame, mapping: OutgoingMapping | None) -> DataFrame:
+def rows_to_entities(df: DataFrame, mapping: OutgoingMapping | None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Project rows to the entity frame (id, recorded, deleted, refs, props).
 
     One ``select``: constructions are substituted into the value expressions.
@@ -74,11 +74,12 @@ def rows_to_entities(df: DataFrame, mapping: OutgoingMapping | None) -> DataFram
     mapping = mapping or OutgoingMapping(map_all=True)
     if not mapping.property_mappings and not mapping.map_all:  # D7: an empty list reads `*`
         mapping = OutgoingMapping(mapping.base_uri, mapping.constructions, (), True)
+    columns = tuple(c for c in df.columns if c not in keep)
     try:
-        cols = _projection(mapping, tuple(df.columns))
+        cols = _projection(mapping, columns)
     except TypeError:  # an unhashable default value: build without the cache
-        cols = _projection.__wrapped__(mapping, tuple(df.columns))
-    return df.select(*cols)
+        cols = _projection.__wrapped__(mapping, columns)
+    return df.select(*cols, *keep)
 
 
 @lru_cache(maxsize=256)
@@ -113,7 +114,9 @@ def _projection(mapping: OutgoingMapping, columns: tuple[str, ...]) -> tuple[Col
     )
 
 
-def decode_raw_entities(df: DataFrame, column: str, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+def decode_raw_entities(
+    df: DataFrame, column: str, strict: bool = False, keep: tuple[str, ...] = ()
+) -> tuple[DataFrame, DataFrame]:
     """Decode a raw JSON entity column.
 
     Returns ``(entities, rejects)``.  Malformed or null JSON goes to ``rejects``
@@ -122,12 +125,12 @@ def decode_raw_entities(df: DataFrame, column: str, strict: bool = False) -> tup
     """
     field = next((f for f in df.schema.fields if f.name.lower() == column.lower()), None)
     if field is not None and isinstance(field.dataType, T.VariantType):  # stored entities: already parsed
-        staged = df.select(F.lit(None).cast("string").alias("_raw"), F.col(column).alias("_v"))
+        staged = df.select(F.lit(None).cast("string").alias("_raw"), F.col(column).alias("_v"), *keep)
         is_object = F.schema_of_variant("_v").startswith("OBJECT")
     else:
-        raw = df.select(F.col(column).cast("string").alias("_raw"))
+        raw = df.select(F.col(column).cast("string").alias("_raw"), *keep)
         staged = parse_whole_json(raw, "_raw", "_v", strict, "malformed entity json")  # trailing text is malformed too
-        is_object = F.ltrim(F.col("_raw")).startswith("{")  # valid JSON starting with '{' is an object
+        is_object = json_starts_with(F.col("_raw"), "{")  # valid JSON starting with '{' is an object
     good = staged.where(F.col("_v").isNotNull() & is_object)
     bad = staged.where(F.col("_v").isNull() | ~is_object)
     v = F.col("_v")
@@ -137,6 +140,7 @@ def decode_raw_entities(df: DataFrame, column: str, strict: bool = False) -> tup
         F.coalesce(F.try_variant_get(v, "$.deleted", "boolean"), F.lit(False)).alias("deleted"),
         F.coalesce(F.try_variant_get(v, "$.refs", "variant"), empty_object()).alias("refs"),
         F.coalesce(F.try_variant_get(v, "$.props", "variant"), empty_object()).alias("props"),
+        *keep,
     )
     rejects = bad.select(
         F.col("_raw").alias("raw"),

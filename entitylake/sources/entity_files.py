@@ -2,8 +2,9 @@
 
 Payload files are JSON arrays whose first element is ``{"id": "@context",
 "namespaces": {...}}`` followed by entities with prefixed ids and keys.  Each
-file is one batch; many moderate files parallelise, one file is read by one
-task as one value (so a single file must stay under Spark's 2 GB value limit).
+file is one batch, read by one task; many moderate files parallelise.  A file
+is parsed element by element, so its size is bounded by Spark's 2 GB limit for
+one text value only, and the same rules hold for files of every size.
 """
 
 from __future__ import annotations
@@ -14,48 +15,34 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entitylake.functions.uris import expand
-from entitylake.functions.variants import empty_object, parse_whole_json
-from entitylake.model import CONTEXT_ID, ENTITY_COLUMN, PAYLOAD_SCHEMA
+from entitylake.functions.variants import empty_object, json_starts_with, parse_json_elements, parse_whole_json
+from entitylake.model import CONTEXT_ID, ENTITY_COLUMN
 
 ARRIVAL = ("_file", "_pos")
-# Payload files up to this size are parsed as one value each (Spark's limit for
-# one value is 2 GB; parsing holds the text, the variant and its elements).
-WHOLE_FILE_BYTES_MAX = 512 * 1024 * 1024
 
 
 def read_payloads(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """Payload elements of files: see ``payload_elements``."""
-    return payload_elements(_whole_files(_payload_files(spark, paths)))
+    files = spark.read.format("binaryFile").load(paths)
+    return payload_elements(files.select(F.col("content").cast("string").alias("value"), F.col("_metadata.file_path").alias("_file")))
 
 
-def _payload_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    return spark.read.format("binaryFile").load(paths)
-
-
-def _whole_files(files: DataFrame) -> DataFrame:
-    """One row per file: its text and path."""
-    return files.select(F.decode("content", "UTF-8").alias("value"), F.col("_metadata.file_path").alias("_file"))
-
-
-def payload_elements(files: DataFrame) -> DataFrame:
+def payload_elements(files: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Elements of payload files ``(value, _file)``: entity columns, ``_ns``, ``_file``, ``_pos``.
 
     Each file is one row (a payload file is never split anyway) and is parsed
     once.  Its first element, when it is the ``@context``, gives ``_ns`` to
     every element of the same file in the same projection, with no join,
-    shuffle or broadcast; ``variant_explode`` then yields the elements with
-    their position.  A malformed file, or text after its JSON value, fails.
+    shuffle or broadcast.  A top-level object is a one-element batch.  A
+    malformed file, or text after its JSON value, fails.
     """
-    parsed = parse_whole_json(files, "value", "_v", True, "malformed payload file")
-    first_is_context = F.try_variant_get("_v", "$[0].id", "string") == F.lit(CONTEXT_ID)
-    ns = F.when(first_is_context, F.variant_get("_v", "$[0].namespaces", "map<string,string>"))
-    # a top-level object is a one-element batch
-    value = F.when(F.ltrim(F.col("value")).startswith("["), F.col("_v")).otherwise(F.to_variant_object(F.array("_v")))
-    per_file = parsed.select("_file", ns.alias("_ns"), value.alias("_v"))
-    exploded = files.sparkSession.sql(
-        "SELECT _file, _ns, e.pos AS _pos, e.value AS _e FROM {per_file}, LATERAL variant_explode(_v) e",
-        per_file=per_file,
-    )
+    parsed = parse_json_elements(files, "value", "_all", "malformed payload file")
+    head = F.get("_all", F.lit(0))
+    first_is_context = F.try_variant_get(head, "$.id", "string") == F.lit(CONTEXT_ID)
+    ns = F.when(first_is_context, F.variant_get(head, "$.namespaces", "map<string,string>"))
+    # outer: no filter is inferred on the array, which would parse the file again for it
+    per_file = parsed.select("_file", *keep, ns.alias("_ns"), "_all")
+    exploded = per_file.select("_file", *keep, "_ns", F.posexplode_outer("_all").alias("_pos", "_e")).where("_pos is not null")
     return exploded.select(
         F.variant_get("_e", "$.id", "string").alias("id"),
         F.variant_get("_e", "$.recorded", "bigint").alias("recorded"),
@@ -65,62 +52,19 @@ def payload_elements(files: DataFrame) -> DataFrame:
         "_ns",
         "_file",
         F.col("_pos").cast("bigint").alias("_pos"),
+        *keep,
     )
 
 
 def payload_entities(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """S5 + P16: entity frame of payload files, expanded, with arrival columns.
-
-    Files up to ``WHOLE_FILE_BYTES_MAX`` (the usual case: one request body
-    each) are parsed one per row.  If any file is larger, all are read by the
-    streaming multi-line JSON reader instead and the contexts are joined on
-    the file path (see ``read_large_payloads``).  One file listing by Spark
-    serves the size check and the read.
-    """
-    files = _payload_files(spark, paths)
-    if largest_file_at_most(files, WHOLE_FILE_BYTES_MAX):
-        return expanded_payloads(payload_elements(_whole_files(files)))
-    return expanded_payloads(read_large_payloads(spark, paths))
-
-
-def largest_file_at_most(files: DataFrame, limit: int) -> bool:
-    """Whether no file of a ``binaryFile`` frame is larger than ``limit`` bytes.
-
-    The total size comes from the relation's statistics (the listing), with no
-    job; only when the total exceeds the limit does one aggregation over file
-    lengths (content never read) decide.
-    """
-    total = int(files._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if total <= limit:
-        return True
-    return (files.agg(F.max("length")).first()[0] or 0) <= limit
-
-
-def read_large_payloads(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """Payload elements of files too large to hold as one value.
-
-    The multi-line JSON reader streams each file in one task; each file's
-    context (its first element, when that is the ``@context``) is joined on
-    its path.  The join is a
-    plain equi-join: AQE turns it into a broadcast only when the contexts'
-    measured size allows, otherwise it shuffles.
-    """
-    raw = spark.read.schema(PAYLOAD_SCHEMA).option("multiLine", True).option("mode", "FAILFAST").json(paths)
-    raw = raw.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_pos"))
-    first = F.min_by(F.struct("id", "namespaces"), "_pos")  # the file's first element
-    contexts = (
-        raw.groupBy("_file")  # partial aggregation: one row per file per task reaches the shuffle
-        .agg(first.alias("_first"))
-        .where(F.col("_first.id") == CONTEXT_ID)
-        .select("_file", F.col("_first.namespaces").alias("_ns"))
-    )
-    return raw.drop("namespaces").join(contexts, "_file", "left")
+    """S5 + P16: entity frame of payload files, expanded, with arrival columns."""
+    return expanded_payloads(read_payloads(spark, paths))
 
 
-def expanded_payloads(elements: DataFrame) -> DataFrame:
+def expanded_payloads(elements: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Entities of payload elements (context elements dropped), namespaces expanded."""
     entities = elements.where(F.col("id").isNull() | (F.col("id") != CONTEXT_ID))
-    return expand_namespaces(entities, "_ns").select("id", "recorded", "deleted", "refs", "props", *ARRIVAL)
+    return expand_namespaces(entities, "_ns").select("id", "recorded", "deleted", "refs", "props", *ARRIVAL, *keep)
 
 
 def _expand_refs(refs: Column, ns: Column) -> Column:
@@ -163,6 +107,11 @@ def expand_namespaces(entities: DataFrame, ns_column: str) -> DataFrame:
     return entities.select(*_expansion(ns_column), *extra)
 
 
+#: Arrival columns of staged rows, in order: folder, part number and rollover number of the file (as
+#: numbers, from its name), split offset, row, array element.
+STAGE_ORDER = ("_dir", "_part", "_roll", "_blk", "_ix", "_elem")
+
+
 def read_stage(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """S6 + S7: staged NDJSON(.gz) -> ``entity`` variant + file metadata.
 
@@ -171,17 +120,28 @@ def read_stage(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     Malformed lines abort the read; a line holding a JSON array is unpacked
     into its elements (outer array stripped).  A row's position in its file is
     ``(_blk, _ix)``: the split's start offset, then a counter that rises along
-    the split (gzip files are never split; plain files may be).
+    the split (gzip files are never split; plain files may be).  Files of one
+    folder are ordered by the numbers in their names, as numbers.
     """
     text = spark.read.option("mode", "FAILFAST").option("recursiveFileLookup", True).text(paths)
     parsed = parse_whole_json(text, "value", "_v", True, "malformed staged line")  # trailing text aborts too
     scanned = parsed.select(
         "_v",
-        F.ltrim(F.col("value")).startswith("[").alias("_arr"),  # cheap: no walk over the value
+        json_starts_with(F.col("value"), "[").alias("_arr"),  # cheap: no walk over the value
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_modification_time").alias("_fts"),
         F.col("_metadata.file_block_start").alias("_blk"),
         F.monotonically_increasing_id().alias("_ix"),
     )
     elems = F.when(F.col("_arr"), F.col("_v").cast("array<variant>")).otherwise(F.array(F.col("_v")))
-    return scanned.select(F.posexplode(elems).alias("_elem", ENTITY_COLUMN), "_file", "_fts", "_blk", "_ix")
+    name = F.element_at(F.split("_file", "/"), -1)
+    return scanned.select(
+        F.posexplode(elems).alias("_elem", ENTITY_COLUMN),
+        "_file",
+        F.regexp_replace("_file", "/[^/]*$", "").alias("_dir"),
+        F.regexp_extract(name, r"^part-([0-9]{1,18})", 1).try_cast("bigint").alias("_part"),
+        F.regexp_extract(name, r"-c([0-9]{1,18})\.", 1).try_cast("bigint").alias("_roll"),
+        "_fts",
+        "_blk",
+        "_ix",
+    )

@@ -48,8 +48,10 @@ def resolve(
     )
 
 
-def to_entities(rows: DataFrame, ds: DatasetDefinition, strict: bool = False) -> tuple[DataFrame, DataFrame | None]:
-    """S1 when a raw column is configured (it takes priority), else S2/S3 + P1-P7."""
+def to_entities(
+    rows: DataFrame, ds: DatasetDefinition, strict: bool = False, keep: tuple[str, ...] = ()
+) -> tuple[DataFrame, DataFrame | None]:
+    """S1 when a raw column is configured (it takes priority), else S2/S3 + P1-P7; ``keep`` columns stay beside the entity."""
     if ds.source.raw_column:
-        return decode_raw_entities(rows, ds.source.raw_column, strict=strict)
-    return rows_to_entities(rows, ds.outgoing), None
+        return decode_raw_entities(rows, ds.source.raw_column, strict=strict, keep=keep)
+    return rows_to_entities(rows, ds.outgoing, keep), None

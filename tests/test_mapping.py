@@ -1,7 +1,8 @@
-"""Row -> entity mapping on the reference's `banana` fixture (F2) and raw feeds (F1)."""
+"""Row -> entity mapping with nulls and mixed types, raw entities and feeds."""
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from entitylake.model import Construction, DatasetDefinition, OutgoingMapping, OutgoingPropertyMapping, SourceConfig
@@ -9,88 +10,87 @@ from entitylake.operators.outgoing import entity_json
 from entitylake.plans.read import read_entities
 from entitylake.sinks.feed import read_feed, write_feed
 
-BANANA = [("ns65:1", "Dole", "green", "Colombia", 546554, True), ("ns65:2", "Chiquita", "yellow", "Costa Rica", 157556, False)]
-BANANA_DDL = "id string, name string, color string, origin string, amt bigint, for_sale boolean"
-B = "http://banana/test/"
-CONS = (Construction("id", "replace", ("id", "ns65:", "")), Construction("origin", "replace", ("origin", " ", "_")))
-IDENT = OutgoingPropertyMapping("id", "id", "string", is_identity=True, uri_value_pattern=B + "id/{value}", required=True)
-ORIGIN = OutgoingPropertyMapping("origin", "From", is_reference=True, uri_value_pattern=B + "origin/{value}")
+SHIPS = [("imo/91", "Aurora", 1998, 12.5, None, "oslo fjord"), ("imo/92", None, None, 0.0, True, None), ("imo/93", "Ægir: two", 2020, None, False, "a b c")]
+SHIPS_DDL = "ship string, label string, built int, draught double, laid_up boolean, berth string"
+B = "urn:fleet:"
+CONS = (Construction("ship", "replace", ("ship", "imo/", "")), Construction("quay", "replace", ("berth", " ", "-")))
+IDENT = OutgoingPropertyMapping("ship", is_identity=True, uri_value_pattern=B + "ship/{value}", required=True)
+BERTH = OutgoingPropertyMapping("quay", "moored", is_reference=True, uri_value_pattern=B + "quay/{value}")
 
 
-def _entities(spark, mapping):
-    df = spark.createDataFrame(BANANA, BANANA_DDL)
-    ds = DatasetDefinition("banana", SourceConfig(), outgoing=mapping)
-    rows = read_entities(df, ds).entities.select(entity_json(F.col("*")).alias("j")).collect()
-    return sorted((json.loads(r.j) for r in rows), key=lambda e: e["id"])
+def entities(spark, mapping, rows=SHIPS, ddl=SHIPS_DDL):
+    ds = DatasetDefinition("ships", SourceConfig(), outgoing=mapping)
+    out = read_entities(spark.createDataFrame(rows, ddl), ds).entities.select(entity_json(F.col("*")).alias("j")).collect()
+    return {e.get("id"): e for e in (json.loads(r.j) for r in out)}
 
 
-def test_selected_mapping(spark):
+def test_selected_columns(spark):
     mapping = OutgoingMapping(
         base_uri=B,
         constructions=CONS,
         property_mappings=(
             IDENT,
-            OutgoingPropertyMapping("name", "Name"),
-            OutgoingPropertyMapping("color", "Color"),
-            ORIGIN,
-            OutgoingPropertyMapping("amt", "Amount"),
-            OutgoingPropertyMapping("for_sale", "ForSale"),
+            BERTH,
+            OutgoingPropertyMapping("label", "name"),
+            OutgoingPropertyMapping("built", "year"),
+            OutgoingPropertyMapping("draught", "https://other.example/draught"),
+            OutgoingPropertyMapping("laid_up", "idle"),
         ),
     )
-    e1, e2 = _entities(spark, mapping)
-    assert e1["id"] == B + "id/1"
-    assert e1["props"] == {B + "Name": "Dole", B + "Color": "green", B + "Amount": 546554, B + "ForSale": True}
-    assert e1["refs"] == {B + "From": B + "origin/Colombia"}
-    assert e2["refs"] == {B + "From": B + "origin/Costa_Rica"}
-    assert e2["props"][B + "ForSale"] is False and len(e2["props"]) == 4
+    got = entities(spark, mapping)
+    assert got[B + "ship/91"]["props"] == {B + "name": "Aurora", B + "year": 1998, "https://other.example/draught": 12.5}
+    assert got[B + "ship/91"]["refs"] == {B + "moored": B + "quay/oslo-fjord"}
+    assert got[B + "ship/92"] == {"id": B + "ship/92", "refs": {}, "props": {"https://other.example/draught": 0, B + "idle": True}}
+    assert got[B + "ship/93"]["props"] == {B + "name": "Ægir: two", B + "year": 2020, B + "idle": False}
+    assert got[B + "ship/93"]["refs"] == {B + "moored": B + "quay/a-b-c"}
 
 
-def test_map_all(spark):
-    mapping = OutgoingMapping(base_uri=B, constructions=CONS, property_mappings=(IDENT, ORIGIN), map_all=True)
-    e1, e2 = _entities(spark, mapping)
-    assert e1["id"] == B + "id/1" and len(e1["props"]) == 6
-    assert e1["props"][B + "name"] == "Dole" and e1["props"][B + "amt"] == 546554
-    assert e1["props"][B + "for_sale"] is True and e2["props"][B + "for_sale"] is False
-    assert e2["refs"] == {B + "From": B + "origin/Costa_Rica"}
+def test_map_all_adds_every_column_that_is_not_null(spark):
+    got = entities(spark, OutgoingMapping(base_uri=B, constructions=CONS, property_mappings=(IDENT, BERTH), map_all=True))
+    assert set(got[B + "ship/91"]["props"]) == {B + c for c in ("ship", "label", "built", "draught", "berth", "quay")}
+    assert got[B + "ship/91"]["props"][B + "ship"] == "91"  # the construction goes before the mapping
+    assert set(got[B + "ship/92"]["props"]) == {B + c for c in ("ship", "draught", "laid_up")}
 
 
-def test_null_values_leave_keys_out_and_defaults_apply(spark):
-    df = spark.createDataFrame([("1", None, None)], "id string, name string, color string")
+def test_defaults_datatypes_and_required(spark):
     mapping = OutgoingMapping(
         base_uri=B,
         property_mappings=(
-            OutgoingPropertyMapping("id", is_identity=True),
-            OutgoingPropertyMapping("name", "Name"),
-            OutgoingPropertyMapping("color", "Color", default_value="none"),
+            OutgoingPropertyMapping("ship", is_identity=True),
+            OutgoingPropertyMapping("label", "name", default_value="unnamed", required=True),
+            OutgoingPropertyMapping("built", "year", "varchar(8)"),
+            OutgoingPropertyMapping("draught", "depth", "number(6,1)", default_value=-1),
         ),
     )
-    e = read_entities(df, DatasetDefinition("x", outgoing=mapping)).entities.select(entity_json(F.col("*")).alias("j")).first()
-    assert json.loads(e.j) == {"id": "1", "refs": {}, "props": {B + "Color": "none"}}
+    got = entities(spark, mapping)
+    assert got["imo/92"]["props"] == {B + "name": "unnamed", B + "depth": 0}
+    assert got["imo/91"]["props"] == {B + "name": "Aurora", B + "year": "1998", B + "depth": 12.5}
+    assert got["imo/93"]["props"][B + "depth"] == -1
+    needed = OutgoingMapping(property_mappings=(OutgoingPropertyMapping("label", "name", required=True),))
+    with pytest.raises(Exception, match="required column label"):
+        entities(spark, needed)
 
 
 def test_raw_feed(spark, tmp):
-    # raw entity column -> feed [@context, entities, @continuation]
-    df = spark.createDataFrame(
-        [('{"id": "1", "props": {"foo": "bar"}, "refs": {}}',), ('{"id": "2", "props": {"foo": "bar2"}, "refs":{}}',)],
-        "ENTITY string",
-    )
-    page = read_entities(df, DatasetDefinition("raw", SourceConfig(raw_column="ENTITY")))
+    texts = ['{"props":{"b":[1,"two"],"a":null},"id":"first"}', '\n\t{"id":"second","deleted":true,"recorded":5,"refs":{"r":"u"}}']
+    df = spark.createDataFrame([(t,) for t in texts], "ENTITY string")
+    page = read_entities(df, DatasetDefinition("raw", SourceConfig(raw_column="entity")))
     assert page.token == ""
     write_feed(page.entities, page.token, tmp + "/feed")
     lines = sorted((r.section, r.line) for r in read_feed(spark, tmp + "/feed").collect())
     assert lines == [
         (0, '{"id":"@context","namespaces":{}}'),
-        (1, '{"id":"1","refs":{},"props":{"foo":"bar"}}'),
-        (1, '{"id":"2","refs":{},"props":{"foo":"bar2"}}'),
+        (1, '{"id":"first","refs":{},"props":{"a":null,"b":[1,"two"]}}'),
+        (1, '{"id":"second","recorded":5,"deleted":true,"refs":{"r":"u"},"props":{}}'),
         (2, '{"id":"@continuation","token":""}'),
     ]
 
 
 def test_malformed_raw_json_goes_to_rejects(spark):
-    df = spark.createDataFrame([('{"id": "1"}',), ("{bad",), (None,), ("[1,2]",)], "ENTITY string")
+    df = spark.createDataFrame([('{"id": "1"}',), ("{bad",), (None,), ("[1,2]",), ("7",), ("",)], "ENTITY string")
     page = read_entities(df, DatasetDefinition("raw", SourceConfig(raw_column="ENTITY")))
     assert [r.id for r in page.entities.collect()] == ["1"]
-    assert page.rejects.count() == 3
+    assert page.rejects.count() == 5
 
 
 def test_trailing_text_after_raw_json_is_rejected(spark):
@@ -103,7 +103,5 @@ def test_trailing_text_after_raw_json_is_rejected(spark):
 
 
 def test_empty_mapping_list_reads_every_column(spark):
-    df = spark.createDataFrame([("1", "x:y")], "a string, b string")
-    e = read_entities(df, DatasetDefinition("x", outgoing=OutgoingMapping())).entities
-    row = json.loads(e.select(entity_json(F.col("*")).alias("j")).first().j)
-    assert row == {"refs": {}, "props": {"a": "1", "b": "x:y"}}  # values with ':' stay as they are
+    got = entities(spark, OutgoingMapping(), [("1", "x:y")], "a string, b string")
+    assert got == {None: {"refs": {}, "props": {"a": "1", "b": "x:y"}}}  # values with ':' stay as they are
