@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 
 from entitylake.model import LATEST_SUFFIX, DatasetDefinition
 from entitylake.plans.ingest import FullSync, compact, ingest_incremental
-from entitylake.plans.read import EntityPage, changes, read_entities
+from entitylake.plans.read import EntityPage, all_pages, changes, read_entities
 from entitylake.functions.tokens import decode_token
+from entitylake.operators.dedup import newest_from_log
 from entitylake.sinks import fs
 from entitylake.sinks.store import TableState, TableStore, normalise
 from entitylake.sources.tables import resolve
@@ -25,6 +27,19 @@ def _recorded_after(since_column: str | None, token: str) -> int | None:
         return None  # not an integer: the read itself rejects or handles it
 
 
+def catalog_name(spark: SparkSession, database: str, schema: str, table: str) -> str:
+    """Catalog name of a table outside the lake's folders: catalog.schema.table, else schema.table, else table."""
+    parts = [p for p in (database, schema, table) if p]
+    for k in range(len(parts)):
+        name = ".".join(f"`{p}`" for p in parts[k:])
+        try:
+            if spark.catalog.tableExists(name):
+                return name
+        except AnalysisException:  # no such catalog or schema
+            continue
+    raise FileNotFoundError(f"no table {'.'.join(parts)} in the lake or the catalog")
+
+
 class Lake:
     """Datasets stored under ``root`` (``<root>/<DATABASE>/<SCHEMA>/<TABLE>``)."""
 
@@ -36,7 +51,7 @@ class Lake:
         schema: str = "PUBLIC",
         definitions: dict[str, DatasetDefinition] | None = None,
         latest_default: bool = False,
-        buckets: int = 64,
+        buckets: int | None = None,
         delta_rows_max: int = 2_000_000,
         log_compact_batches: int = 256,
         broadcast_bytes_max: int | None = None,
@@ -71,13 +86,17 @@ class Lake:
         sc = ds.source
         if sc.path:
             return self.spark.read.parquet(sc.path)
+        if sc.catalog_table:
+            return self.spark.table(sc.catalog_table)
         name = normalise(sc.table_name or ds.name)
         base = f"{self.store.root}/{normalise(sc.database)}/{normalise(sc.schema)}"
         if name.endswith(LATEST_SUFFIX) and fs.exists(self.spark, f"{base}/{name[: -len(LATEST_SUFFIX)]}/_manifest"):
             return self.store.read_latest(f"{base}/{name[: -len(LATEST_SUFFIX)]}")
         if fs.exists(self.spark, f"{base}/{name}/_manifest"):
             return self.store.read_log(f"{base}/{name}", recorded_after=_recorded_after(sc.since_column, since))
-        return self.spark.read.parquet(f"{base}/{name}")
+        if fs.exists(self.spark, f"{base}/{name}"):
+            return self.spark.read.parquet(f"{base}/{name}")
+        return self.spark.table(catalog_name(self.spark, sc.database, sc.schema, sc.table_name or ds.name))
 
     def entities(self, name: str, since: str = "", limit: int = 0) -> EntityPage:
         ds = self.dataset(name)
@@ -87,18 +106,23 @@ class Lake:
         ds = self.dataset(name)
         return changes(self.table(ds, since), ds, since, limit, latest_only)
 
+    def all_pages(self, name: str, page_rows: int, since: str = "") -> DataFrame:
+        """Every page of a feed after ``since`` in one frame: entities with ``page`` and its ``token``."""
+        ds = self.dataset(name)
+        return all_pages(self.table(ds, since), ds, page_rows, since)
+
     # -- writing --------------------------------------------------------------
     def _write_ds(self, name: str) -> DatasetDefinition:
         ds = self.dataset(name)
-        if ds.source.path:
-            raise ValueError("path sources are read-only")
+        if ds.source.path or ds.source.catalog_table:
+            raise ValueError("path and catalog sources are read-only")
         return ds
 
     def write_incremental(
         self,
         name: str,
         entities: DataFrame,
-        load_ns: int,
+        load_ns: int | Column,
         batch_key: str,
         order_by: tuple[str, ...] | None = None,
         stage: bool = True,
@@ -114,13 +138,17 @@ class Lake:
         """Fold pending latest-table deltas into the base buckets."""
         return compact(self.store, self._write_ds(name))
 
-    def vacuum(self, name: str, keep_versions: int = 10) -> list[str]:
+    def vacuum(self, name: str, keep_versions: int = 10, older_than_s: float = 7 * 86400) -> list[str]:
         """Delete superseded data directories and old manifests of a dataset."""
-        return self.store.vacuum(self.store.location(self.dataset(name)), keep_versions)
+        return self.store.vacuum(self.store.location(self.dataset(name)), keep_versions, older_than_s)
 
     def log(self, name: str) -> DataFrame:
         return self.store.read_log(self.store.location(self.dataset(name)))
 
+    def newest(self, name: str, live_only: bool = False) -> DataFrame:
+        """Newest row per id of the log, by the rule that also fills the latest table."""
+        return newest_from_log(self.store.read_log(self.store.location(self.dataset(name)), ordered=True), live_only)
+
     def latest(self, name: str) -> DataFrame:
         return self.store.read_latest(self.store.location(self.dataset(name)))
 

@@ -11,24 +11,31 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def newest_per_id(df: DataFrame, recorded: str, arrival: tuple[str, ...] | list[str]) -> DataFrame:
+def newest_per_id(df: DataFrame, recorded: str, arrival: tuple[str, ...] | list[str], load: str | None = None) -> DataFrame:
     """Keep one row per id: largest ``recorded`` (NULL counts as largest), then latest arrival.
 
-    All NULL ids form one group, as in a SQL window.
+    All NULL ids form one group, as in a SQL window.  With ``load``, a column
+    with the load number of each row's request, the newest request of an id wins
+    first, and NULL ids keep one row per request: the outcome of loading the
+    requests one after the other.
     """
     order = [F.col(recorded).desc_nulls_first(), *[F.col(c).desc() for c in arrival]]
-    w = Window.partitionBy("id").orderBy(*order)
+    group = [F.col("id")]
+    if load:
+        order = [F.col(load).desc(), *order]
+        group.append(F.when(F.col("id").isNull(), F.col(load)))
+    w = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def newest_from_log(log: DataFrame, live_only: bool = False) -> DataFrame:
-    """W2 (+F3): newest log row per id by load time; ties by file and row position."""
-    scanned = log.select(
-        "*",
-        F.col("_metadata.file_path").alias("_lf"),
-        F.col("_metadata.row_index").alias("_lr"),
-    )
-    out = newest_per_id(scanned, "recorded", ("_lf", "_lr")).drop("_lf", "_lr")
+    """W2 (+F3): newest row per id of an ordered log (``TableStore.read_log(ordered=True)``).
+
+    One tie rule for log and latest: load time, then the entity's own
+    ``recorded`` (NULL counts as largest), then arrival.  Both are stored with
+    the log rows, so compaction does not change the outcome.
+    """
+    out = newest_per_id(log, "_erec", ("_arrival",), load="recorded").drop("_erec", "_arrival")
     if live_only:
         out = out.where(~F.col("deleted"))
     return out

@@ -7,6 +7,8 @@ entity as one variant column when no mappings exist.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,11 +57,34 @@ def table_schema(ds: DatasetDefinition) -> T.StructType:
     return T.StructType(fields)
 
 
+_STEP = r"""(?:"(?:[^"\\]|\\.)*"|[A-Za-z_][A-Za-z0-9_]*)"""
+#: Text in quotes, or the staged record's token with the path that follows it.
+_RECORD = re.compile(rf"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|(?P<record>\$1)(?![0-9A-Za-z_])(?P<path>(?:[:.](?!:){_STEP})*)""")
+
+
+def entity_expression(sql: str) -> str:
+    """Custom SQL with the staged record's column token ``$1`` read as column ``entity``.
+
+    ``$1:props:"<key>"`` reads that path of the entity; text in quotes stays as it is.
+    """
+
+    def named(m: re.Match) -> str:
+        if not m["record"]:
+            return m[0]
+        steps = [x[1:-1] if x[0] == '"' else x for x in re.findall(rf"[:.]({_STEP})", m["path"])]
+        if not steps:
+            return ENTITY_COLUMN
+        path = "$" + "".join('["' + x + '"]' for x in steps)
+        return f"variant_get({ENTITY_COLUMN}, '" + path.replace("\\", "\\\\").replace("'", "\\'") + "', 'variant')"
+
+    return _RECORD.sub(named, sql)
+
+
 def mapped_value(pm: IncomingPropertyMapping, e: Column) -> Column:
     """P10-P15, in precedence custom > recorded > deleted > identity > property."""
     t = column_type(pm)
     if pm.custom_expression:  # P15: SQL over column ``entity``
-        v = F.expr(pm.custom_expression).cast(t)
+        v = F.expr(entity_expression(pm.custom_expression)).cast(t)
     elif pm.is_recorded:  # P12
         v = get(e, "$.recorded", "bigint")
     elif pm.is_deleted:  # P13: no coalesce
@@ -74,11 +99,12 @@ def mapped_value(pm: IncomingPropertyMapping, e: Column) -> Column:
     return v.alias(pm.property)
 
 
-def system_columns(e: Column, load_ns: int, dataset: str) -> list[Column]:
+def system_columns(e: Column, load_ns: int | Column, dataset: str) -> list[Column]:
     """Id, recorded = load time of the request (not the entity's), deleted, dataset."""
+    load = load_ns if isinstance(load_ns, Column) else F.lit(int(load_ns))
     return [
         get(e, "$.id", "string").alias("id"),
-        F.lit(int(load_ns)).cast("bigint").alias("recorded"),
+        load.cast("bigint").alias("recorded"),
         F.coalesce(get(e, "$.deleted", "boolean"), F.lit(False)).alias("deleted"),
         F.lit(dataset).alias("dataset"),
     ]
@@ -91,7 +117,7 @@ def entity_columns(ds: DatasetDefinition, e: Column) -> list[Column]:
     return [mapped_value(pm, e) for pm in pms]
 
 
-def entities_to_rows(staged: DataFrame, ds: DatasetDefinition, load_ns: int, keep: tuple[str, ...] = ()) -> DataFrame:
+def entities_to_rows(staged: DataFrame, ds: DatasetDefinition, load_ns: int | Column, keep: tuple[str, ...] = ()) -> DataFrame:
     """Staged frame (``entity`` variant + metadata) -> table rows (+ ``keep`` columns)."""
     _check(ds)
     e = F.col(ENTITY_COLUMN)

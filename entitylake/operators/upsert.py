@@ -13,8 +13,8 @@ A compaction rewrites only the buckets the deltas hit.  While the delta ids fit
 the broadcast bound (``fold_deltas``), the base rows of those buckets are only
 scanned, anti-joined against the broadcast ids and written back: the base is
 never shuffled, only the delta rows are (once, on ``_bucket``).  Beyond the
-bound (one very large batch), both sides are shuffled once on ``_bucket`` and
-the newest-wins choice is a window inside each bucket (``merge_latest``).
+bound (one very large batch), both sides are shuffled once on ``_bucket`` and a
+sub-hash of the id and the newest-wins choice is a window inside each bucket (``merge_latest``).
 """
 
 from __future__ import annotations
@@ -27,45 +27,46 @@ def bucket_of(id_col: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(id_col), F.lit(buckets)).cast("int")
 
 
-def merge_latest(current: DataFrame | None, batch: DataFrame) -> DataFrame:
-    """Rows of ``current`` whose id is not in ``batch``, plus all of ``batch``.
+def _winners(rows: DataFrame, rank: str, splits: int) -> DataFrame:
+    """One row per id with the largest ``rank``; NULL ids all stay.  Carries ``_bucket``.
 
-    Both frames carry ``_bucket``; the result is partitioned by ``_bucket``.
+    One exchange on the bucket and a sub-hash of the id, so a bucket is split
+    over ``splits`` tasks and a task writes few buckets.  NULL ids need no
+    choice and are not shuffled.
     """
+    sub = F.pmod(F.xxhash64(F.col("id"), F.lit("sub")), F.lit(splits))
+    w = Window.partitionBy("_bucket", "_sub", "id").orderBy(F.col(rank).desc())
+    known = rows.where(F.col("id").isNotNull()).withColumn("_sub", sub).repartition("_bucket", "_sub")
+    best = known.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn", "_sub", rank)
+    return best.unionByName(rows.where(F.col("id").isNull()).drop(rank))
+
+
+def merge_latest(current: DataFrame | None, batch: DataFrame, splits: int = 1) -> DataFrame:
+    """Rows of ``current`` whose id is not in ``batch``, plus all of ``batch``; both carry ``_bucket``."""
     cols = batch.columns
     src = batch.withColumn("_src", F.lit(1))
     if current is not None:
         src = current.select(*cols).withColumn("_src", F.lit(0)).unionByName(src)
-    src = src.repartition("_bucket")
-    w = Window.partitionBy("_bucket", "id").orderBy(F.col("_src").desc())
-    ranked = src.withColumn("_rn", F.row_number().over(w))
-    keep = (F.col("_rn") == 1) | F.col("id").isNull()
-    return ranked.where(keep).drop("_rn", "_src")
-
+    return _winners(src, "_src", splits)
 
-def newest_per_bucket(deltas: DataFrame, buckets: int) -> DataFrame:
-    """Newest delta row per id, partitioned by ``_bucket`` (one shuffle of the delta rows).
 
-    Each delta holds at most one row per id, so no id is hot here; NULL ids all stay.
-    """
-    fresh = deltas.withColumn("_bucket", bucket_of(F.col("id"), buckets)).repartition("_bucket")
-    w = Window.partitionBy("_bucket", "id").orderBy(F.col("_seq").desc())
-    ranked = fresh.withColumn("_rn", F.row_number().over(w))
-    return ranked.where((F.col("_rn") == 1) | F.col("id").isNull()).drop("_rn", "_seq")
+def newest_per_bucket(deltas: DataFrame, buckets: int, splits: int = 1) -> DataFrame:
+    """Newest delta row per id with its ``_bucket`` (one shuffle of the delta rows)."""
+    return _winners(deltas.withColumn("_bucket", bucket_of(F.col("id"), buckets)), "_seq", splits)
 
 
-def fold_deltas(base: DataFrame | None, deltas: DataFrame, buckets: int, broadcast_ids: bool) -> DataFrame:
+def fold_deltas(base: DataFrame | None, deltas: DataFrame, buckets: int, broadcast_ids: bool, splits: int = 1) -> DataFrame:
     """Copy-on-write J1: the hit buckets' base rows merged with the pending deltas.
 
     With ``broadcast_ids`` (delta ids within the store's byte bound) the base is
     filtered map-side by a broadcast anti join and never shuffled; otherwise
     both sides go through ``merge_latest``.  The result carries ``_bucket``.
     """
-    newest = newest_per_bucket(deltas, buckets)
+    newest = newest_per_bucket(deltas, buckets, splits)
     if base is None:
         return newest
     if not broadcast_ids:
-        return merge_latest(base, newest)
+        return merge_latest(base, newest, splits)
     ids = F.broadcast(deltas.select("id").where(F.col("id").isNotNull()))
     return base.join(ids, "id", "left_anti").unionByName(newest)
 

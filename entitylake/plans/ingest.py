@@ -4,24 +4,25 @@ Incremental: batch -> stage (K1) -> staged scan (S6/S7) -> log append (K3)
 -> newest per id (W1) written as a latest-table delta -> one manifest commit.
 Deltas are applied on read (J1, merge-on-read) until their rows exceed the
 store's bound; then they are folded into the hash buckets they hit
-(copy-on-write J1) in the same commit.  A batch is keyed: replaying a committed key is a no-op and replaying an
-uncommitted one overwrites its own directories, so retries (task, job or
-``foreachBatch`` replays) never duplicate rows.
-
-Full sync: ``start`` opens a sync id (voiding any older open one), ``add``
-stages batches under it, ``commit`` builds a fresh log and latest table from
-that sync alone and switches both with one manifest commit (K4).
+(copy-on-write J1) in the same commit.  A batch is keyed: replaying a key that
+was ever loaded is a no-op.  Every attempt writes to directories of its own, so
+a retry (task, job or ``foreachBatch`` replay) never touches what a committed
+state names.
+
+Full sync: ``start`` opens a fresh stage for the sync id (voiding whatever was
+open), ``add`` stages batches, ``commit`` builds a fresh log and latest table
+from that stage alone and switches both with one manifest commit (K4).
 """
 
 from __future__ import annotations
 
 import logging
 import time
+import uuid
 from contextlib import contextmanager
 from dataclasses import replace
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from entitylake.model import ENTITY_COLUMN, DatasetDefinition
@@ -31,13 +32,11 @@ from entitylake.operators.outgoing import entity_json
 from entitylake.operators.upsert import bucket_of, fold_deltas
 from entitylake.sinks import fs
 from entitylake.sinks.stage import write_stage
-from entitylake.sinks.store import CommitConflict, TableState, TableStore, newest_load
-from entitylake.sources.entity_files import read_stage
+from entitylake.sinks.store import BUCKET_BYTES, CommitConflict, TableState, TableStore, newest_load
+from entitylake.sources.entity_files import STAGE_ORDER, read_stage
 
-ORDER_COLS = ("_file", "_blk", "_ix", "_elem")  # arrival: file, split, row, array element
 MAX_DELTAS = 64  # pending latest deltas before a compaction, bounds the read-side union
 COMMIT_ATTEMPTS = 5
-REPLAY_KEYS = 100_000  # batch keys remembered for replay detection across log segments
 log = logging.getLogger("entitylake.ingest")
 
 
@@ -48,33 +47,41 @@ def _step(name: str):
     log.info("%s %.3fs", name, time.perf_counter() - t0)
 
 
+def _attempt() -> str:
+    return uuid.uuid4().hex[:12]
+
+
+def _own_recorded(staged: DataFrame) -> DataFrame:
+    return staged.withColumn("_erec", F.try_variant_get(F.col(ENTITY_COLUMN), "$.recorded", "bigint"))
+
+
 def _staged_rows(store: TableStore, ds: DatasetDefinition, stage: str, load_ns: int) -> DataFrame:
-    staged = read_stage(store.spark, stage).withColumn(
-        "_erec", F.try_variant_get(F.col(ENTITY_COLUMN), "$.recorded", "bigint")
-    )
-    return entities_to_rows(staged, ds, load_ns, keep=("_erec", *ORDER_COLS))
+    return entities_to_rows(_own_recorded(read_stage(store.spark, stage)), ds, load_ns, keep=("_erec", *STAGE_ORDER))
 
 
-def _direct_rows(ds: DatasetDefinition, entities: DataFrame, load_ns: int, arrival: tuple[str, ...]) -> DataFrame:
+def _direct_rows(ds: DatasetDefinition, entities: DataFrame, load_ns: int | Column, arrival: tuple[str, ...]) -> DataFrame:
     """Rows straight from an entity frame whose source is already durable.
 
     The entity goes through the same JSON form the stage would hold, so the
     mapping sees exactly what a staged load sees.
     """
     f, pos = arrival
+    load = load_ns if isinstance(load_ns, Column) else F.lit(int(load_ns))
     staged = entities.select(
         F.parse_json(entity_json(entities)).alias(ENTITY_COLUMN),
-        F.col(f).cast("string").alias("_file"),
+        load.cast("bigint").alias("_load"),
+        F.col(f).cast("string").alias("_dir"),
+        F.lit(0).cast("bigint").alias("_part"),
+        F.lit(0).cast("bigint").alias("_roll"),
         F.lit(0).cast("bigint").alias("_blk"),
-        F.col(pos).alias("_ix"),
+        F.col(pos).cast("bigint").alias("_ix"),
         F.lit(0).alias("_elem"),
-    ).withColumn("_erec", F.try_variant_get(F.col(ENTITY_COLUMN), "$.recorded", "bigint"))
-    return entities_to_rows(staged, ds, load_ns, keep=("_erec", *ORDER_COLS))
+    )
+    return entities_to_rows(_own_recorded(staged), ds, F.col("_load"), keep=("_erec", *STAGE_ORDER))
 
 
-def _newest(rows: DataFrame, schema_cols: list[str], buckets: int) -> DataFrame:
-    newest = newest_per_id(rows, "_erec", ORDER_COLS).select(*schema_cols)
-    return newest.withColumn("_bucket", bucket_of(F.col("id"), buckets))
+def _log_columns(cols: list[str]) -> list:
+    return [*cols, "_erec", F.struct(*STAGE_ORDER).alias("_arrival")]
 
 
 def _bucket_dirs(store: TableStore, path: str) -> dict[int, str]:
@@ -89,7 +96,7 @@ def ingest_incremental(
     store: TableStore,
     ds: DatasetDefinition,
     entities: DataFrame,
-    load_ns: int,
+    load_ns: int | Column,
     batch_key: str,
     latest: bool = False,
     order_by: tuple[str, ...] | None = None,
@@ -98,113 +105,112 @@ def ingest_incremental(
     """I4: load one batch of entities into the log (and latest) table.
 
     ``stage=False`` skips K1/S6 for sources that are durable and replayable on
-    their own (a streaming landing file); ``order_by`` must then name the
-    (file, position) arrival columns.
+    their own (streaming landing files); ``order_by`` must then name the
+    (file, position) arrival columns, and ``load_ns`` may be a column: the load
+    time of each row's request.
     """
     spark = store.spark
     loc = store.location(ds)
     schema = table_schema(ds)
     st = store.open(loc, schema, latest)
-    if batch_key in st.keys():
+    if store.loaded(loc, st, batch_key):
         return st  # committed before: replay is a no-op
-    stage_path = f"{loc}/_stage/inc/{batch_key}"
+    attempt = f"{batch_key}-{_attempt()}"
+    entry = {"key": batch_key, "path": f"{loc}/log/{attempt}", "level": 0}
     if stage:
-        with _step("stage"):
-            write_stage(entities, stage_path, order_by=order_by)  # K1
-        rows = _staged_rows(store, ds, stage_path, load_ns)
+        entry["stage"] = f"{loc}/_stage/inc/{attempt}"
+        with _step("stage"):  # arrival only matters where the newest of an id is chosen
+            write_stage(entities, entry["stage"], order_by=order_by)  # K1
+        rows = _staged_rows(store, ds, entry["stage"], load_ns)
     else:
         if not order_by or len(order_by) != 2:
             raise ValueError("an unstaged batch needs (file, position) arrival columns")
         rows = _direct_rows(ds, entities, load_ns, tuple(order_by))
-    if st.latest:  # two consumers (log and delta); a log-only load reads its rows once
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        cols = [f.name for f in schema]
-        log_path = f"{loc}/log/{batch_key}"
-        seen = Observation(f"batch-{batch_key}")
-        with _step("log"):  # K3; the row count rides along with the write
-            rows.select(*cols).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(log_path)
-        n_rows = seen.get["rows"]
-        if n_rows == 0:  # empty batch loads nothing (its empty folder is left to vacuum)
-            return st
-        deltas = list(st.deltas)
-        if st.latest:
-            delta_path = f"{loc}/latest/deltas/{batch_key}"
-            sized = Observation(f"delta-{batch_key}")  # rows and id bytes bound the read-side broadcast
-            size_cols = (F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length("id")), F.lit(0)).alias("id_bytes"))
-            with _step("delta"):
-                newest = newest_per_id(rows, "_erec", ORDER_COLS).select(*cols)  # W1
-                newest.observe(sized, *size_cols).write.mode("overwrite").parquet(delta_path)
-            seq = max([d["seq"] for d in deltas], default=0) + 1
-            size = sized.get
-            deltas.append(
-                {"key": batch_key, "path": delta_path, "seq": seq, "rows": int(size["rows"]), "id_bytes": int(size["id_bytes"])}
-            )
-    finally:
-        rows.unpersist()
-    log_entry = {"key": batch_key, "path": log_path, "load_ns": int(load_ns)}
-    delta_entry = deltas[-1] if len(deltas) > len(st.deltas) else None
+    cols = [f.name for f in schema]
+    seen = Observation(f"batch-{attempt}")
+    measures = (F.count(F.lit(1)).alias("rows"), F.max("recorded").alias("load"))
+    with _step("log"):  # K3; the row count rides along with the write
+        rows.select(*_log_columns(cols)).observe(seen, *measures).write.parquet(entry["path"])
+    if seen.get["rows"] == 0:  # empty batch loads nothing
+        return st
+    entry["load_ns_max"] = int(seen.get["load"])
+    delta_entry = None
+    if st.latest:
+        delta_path = f"{loc}/latest/deltas/{attempt}"
+        sized = Observation(f"delta-{attempt}")  # rows and id bytes bound the read-side broadcast
+        size_cols = (F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length("id")), F.lit(0)).alias("id_bytes"))
+        with _step("delta"):  # W1 over the log files just written: no second parse of the batch
+            source = spark.read.parquet(entry["path"])
+            newest = newest_per_id(source, "_erec", ("_arrival",), load="recorded").select(*cols)
+            newest.observe(sized, *size_cols).write.parquet(delta_path)
+        delta_entry = {"key": batch_key, "path": delta_path, "rows": int(sized.get["rows"]), "id_bytes": int(sized.get["id_bytes"])}
     for _ in range(COMMIT_ATTEMPTS):
-        new = replace(st, version=st.version + 1, log=[*st.log, log_entry])
+        new = replace(st, version=st.version + 1, log=[*st.log, entry], dropped=[])
         if delta_entry is not None:
             seq = max([d["seq"] for d in st.deltas], default=0) + 1
             new.deltas = [*st.deltas, {**delta_entry, "seq": seq}]
         if store.needs_compaction(new, MAX_DELTAS):
-            new = _compacted(store, loc, new, batch_key)
-        if sum(1 for b in new.log if "keys" not in b) >= store.log_compact_batches:
-            new = _log_compacted(store, loc, new, batch_key)
+            new = _compacted(store, loc, new)
+        new = _log_compacted(store, loc, new, batch_key)
         try:
-            return store.commit(loc, new)
+            done = store.commit(loc, new)
+            store.mark_loaded(loc, [batch_key])
+            return done
         except CommitConflict:
-            # another writer committed first: our data folders are keyed by the
-            # batch, so re-apply the entries on top of the newer state
-            st = store.state(loc)
-            if batch_key in st.keys():
+            # another writer committed first: our directories are our own, so
+            # re-apply the entries on top of the newer state
+            st = store.open(loc, schema, latest)
+            if store.loaded(loc, st, batch_key):
                 return st
     raise CommitConflict(f"gave up committing batch {batch_key} of {loc} after {COMMIT_ATTEMPTS} attempts")
 
 
-def _log_compacted(store: TableStore, loc: str, st: TableState, key: str) -> TableState:
-    """Merge the uncompacted log batch directories into one segment (tiered).
+def _log_compacted(store: TableStore, loc: str, st: TableState, batch_key: str) -> TableState:
+    """Merge log directories of one level into a segment of the next, once there are enough of them.
 
-    Rows are rewritten as they are (``recorded`` already holds each batch's
-    load time); small files are packed by the scan's split planning.
+    Rows are rewritten as they are, with their order columns; small files are
+    packed by the scan's split planning.  A row is rewritten once per level.
     """
-    small = [b for b in st.log if "keys" not in b]
-    seg = f"{loc}/log/seg-{key}"
-    with _step("log-compact"):
-        store.spark.read.schema(st.schema).parquet(*[b["path"] for b in small]).write.mode("overwrite").parquet(seg)
-    loads = [newest_load(b) for b in small]
-    load_max = None if any(x is None for x in loads) else max(loads)  # lets since-reads skip the segment
-    entry = {"key": f"seg-{key}", "path": seg, "load_ns": None, "load_ns_max": load_max, "keys": [b["key"] for b in small]}
-    segments = [dict(b) for b in st.log if "keys" in b] + [entry]
-    # replay detection remembers the newest REPLAY_KEYS batch keys; older segments forget theirs
-    budget = REPLAY_KEYS
-    for b in reversed(segments):
-        b["keys"] = b["keys"][-budget:] if budget > 0 else []
-        budget -= len(b["keys"])
-    return replace(st, log=segments)
-
-
-def _compacted(store: TableStore, loc: str, st: TableState, key: str) -> TableState:
+    for level in range(64):
+        same = [b for b in st.log if b.get("level", 0) == level]
+        if len(same) < store.log_compact_batches:
+            return st
+        seg = f"{loc}/log/seg-{_attempt()}"
+        store.mark_loaded(loc, {b["key"] for b in same if not level} - {batch_key})
+        with _step("log-compact"):
+            ordered = store.read_log(loc, replace(st, log=same), ordered=True)
+            ordered.write.parquet(seg)
+        loads = [newest_load(b) for b in same]
+        load_max = None if any(x is None for x in loads) else max(loads)  # lets since-reads skip the segment
+        entry = {"key": seg.rpartition("/")[2], "path": seg, "load_ns_max": load_max, "level": level + 1}
+        st = replace(st, log=[*[b for b in st.log if b not in same], entry], dropped=[*st.dropped, *[b["path"] for b in same]])
+    return st
+
+
+def _compacted(store: TableStore, loc: str, st: TableState) -> TableState:
     """Fold pending deltas into the base buckets they hit (copy-on-write J1).
 
     Within the broadcast bound the base buckets are scanned and filtered
     map-side, never shuffled; a larger delta set (one huge batch) takes the
-    shuffle merge.
+    shuffle merge.  The first base of a table fixes its bucket count.
     """
     if not st.deltas:
         return st
+    n_bytes = sum(fs.size_of(store.spark, d["path"]) for d in st.deltas)
+    if not st.latest_paths:
+        st = replace(st, buckets=store.bucket_count(n_bytes))
     deltas = store.read_deltas(st)
     hit_col = bucket_of(F.col("id"), st.buckets).alias("_bucket")
     hit = sorted(r[0] for r in deltas.select(hit_col).distinct().collect())  # at most ``buckets`` ints
-    out = f"{loc}/latest/base-{key}"
+    n_bytes += sum(fs.size_of(store.spark, st.latest_paths[b]) for b in hit if b in st.latest_paths)
+    splits = max(1, -(-n_bytes // (BUCKET_BYTES * max(1, len(hit)))))
+    out = f"{loc}/latest/base-{_attempt()}"
     with _step("compact"):
-        merged = fold_deltas(store.read_buckets(st, hit), deltas, st.buckets, store.can_broadcast(st))
-        merged.write.mode("overwrite").partitionBy("_bucket").parquet(out)
+        merged = fold_deltas(store.read_buckets(st, hit), deltas, st.buckets, store.can_broadcast(st), splits)
+        merged.write.partitionBy("_bucket").parquet(out)
     paths = dict(st.latest_paths)
     paths.update(_bucket_dirs(store, out))
-    return replace(st, latest_paths=paths, deltas=[])
+    return replace(st, latest_paths=paths, deltas=[], dropped=[*st.dropped, *[d["path"] for d in st.deltas]])
 
 
 def compact(store: TableStore, ds: DatasetDefinition) -> TableState | None:
@@ -213,12 +219,15 @@ def compact(store: TableStore, ds: DatasetDefinition) -> TableState | None:
     st = store.state(loc)
     if st is None or not st.deltas:
         return st
-    new = _compacted(store, loc, replace(st, version=st.version + 1), f"v{st.version + 1:08d}")
-    return store.commit(loc, new)
+    return store.commit(loc, _compacted(store, loc, replace(st, version=st.version + 1, dropped=[])))
 
 
 class FullSync:
-    """A multi-batch replacement of a dataset's log and latest tables."""
+    """A multi-batch replacement of a dataset's log and latest tables.
+
+    Each ``start`` is an attempt with a stage and target directories of its
+    own, named in the manifest; using a sync id again starts from nothing.
+    """
 
     def __init__(self, store: TableStore, ds: DatasetDefinition, sync_id: str, latest: bool = False):
         if not sync_id:
@@ -227,49 +236,78 @@ class FullSync:
         self.sync_id = sync_id.replace("-", "_")
         self.loc = store.location(ds)
         self.schema = table_schema(ds)
-        self.stage = f"{self.loc}/_stage/fs/{self.sync_id}"
 
     def start(self) -> TableState:
-        """Open the sync; an older unfinished sync of the dataset becomes void."""
-        st = self.store.open(self.loc, self.schema, self.latest)
-        new = replace(st, version=st.version + 1, sync={"id": self.sync_id})
-        return self.store.commit(self.loc, new)
+        """Open the sync; whatever sync of the dataset is unfinished becomes void."""
+        sync = {"id": self.sync_id, "attempt": f"{self.sync_id}-{_attempt()}"}
+        for _ in range(COMMIT_ATTEMPTS):
+            st = self.store.open(self.loc, self.schema, self.latest)
+            try:
+                return self.store.commit(self.loc, replace(st, version=st.version + 1, sync=sync, dropped=[]))
+            except CommitConflict:
+                continue
+        raise CommitConflict(f"gave up opening sync {self.sync_id} of {self.loc}")
 
     def _check_open(self) -> TableState:
         st = self.store.state(self.loc)
         if st is None or not st.sync or st.sync.get("id") != self.sync_id:
             raise RuntimeError(f"full sync {self.sync_id} is not open for {self.ds.name}")
+        st.latest = self.latest
         return st
 
+    def _stage(self, st: TableState) -> str:
+        return f"{self.loc}/_stage/fs/{st.sync['attempt']}"
+
     def add(self, entities: DataFrame, seq: int | None = None, order_by: tuple[str, ...] | None = None) -> str:
         """Stage one batch of the sync (a retried ``seq`` overwrites itself)."""
-        self._check_open()
+        stage = self._stage(self._check_open())
         if seq is None:
-            seq = len([n for n in fs.list_names(self.store.spark, self.stage) if n.isdigit()])
-        path = f"{self.stage}/{seq:08d}"
+            seq = len([n for n in fs.list_names(self.store.spark, stage) if n.isdigit()])
+        path = f"{stage}/{seq:08d}"
         write_stage(entities, path, order_by=order_by)
         return path
 
-    def commit(self, load_ns: int) -> TableState:
-        """Build log + latest from this sync alone and switch both at once (K4)."""
-        spark = self.store.spark
-        st = self._check_open()
-        batches = [b for b in fs.list_names(spark, self.stage) if b.isdigit()]
+    def _build(self, st: TableState, load_ns: int) -> TableState:
+        """Log and latest of this attempt's stage, in new directories."""
+        spark, stage = self.store.spark, self._stage(st)
+        if not any(b.isdigit() for b in fs.list_names(spark, stage)):
+            return replace(st, log=[], latest_paths={}, deltas=[], sync=None, dropped=[])
         cols = [f.name for f in self.schema]
-        base = f"{self.loc}/fs/{self.sync_id}"
+        base = f"{self.loc}/fs/{st.sync['attempt']}-{_attempt()}"
+        rows = _staged_rows(self.store, self.ds, stage, load_ns)
+        rows.select(*_log_columns(cols)).write.parquet(f"{base}/log")
         latest_paths: dict[int, str] = {}
-        if batches:
-            rows = _staged_rows(self.store, self.ds, self.stage, load_ns).persist(StorageLevel.MEMORY_AND_DISK)
+        buckets = st.buckets
+        if st.latest:
+            n_bytes = fs.size_of(spark, f"{base}/log")
+            buckets = self.store.bucket_count(n_bytes)
+            # at most one row per id and task is shuffled to choose the newest, then each once to its bucket's tasks
+            newest = newest_per_id(spark.read.parquet(f"{base}/log"), "_erec", ("_arrival",)).select(*cols)
+            splits = max(1, -(-n_bytes // (BUCKET_BYTES * buckets)))
+            dealt = newest.withColumn("_bucket", bucket_of(F.col("id"), buckets)).repartition(
+                F.col("_bucket"), F.pmod(F.xxhash64(F.col("id"), F.lit("sub")), F.lit(splits))
+            )
+            dealt.write.partitionBy("_bucket").parquet(f"{base}/latest")
+            latest_paths = _bucket_dirs(self.store, f"{base}/latest")
+        entry = {"key": f"fs-{st.sync['attempt']}", "path": f"{base}/log", "load_ns_max": int(load_ns), "level": 1}
+        return replace(st, log=[entry], latest_paths=latest_paths, deltas=[], buckets=buckets, sync=None, dropped=[])
+
+    def commit(self, load_ns: int) -> TableState:
+        """Build log + latest from this sync alone and switch both at once (K4).
+
+        The table holds this sync's rows only, also when batches were loaded
+        meanwhile: a concurrent commit makes the switch repeat on the newer
+        state, not the build.  Keys of replaced batches stay marked as loaded.
+        """
+        st = self._check_open()
+        built = self._build(st, load_ns)
+        attempt = st.sync["attempt"]
+        for _ in range(COMMIT_ATTEMPTS):
+            self.store.mark_loaded(self.loc, st.keys())
             try:
-                rows.select(*cols).write.mode("overwrite").parquet(f"{base}/log")
-                if st.latest:
-                    newest = _newest(rows, cols, st.buckets).repartition("_bucket")
-                    newest.write.mode("overwrite").partitionBy("_bucket").parquet(f"{base}/latest")
-                    latest_paths = _bucket_dirs(self.store, f"{base}/latest")
-            finally:
-                rows.unpersist()
-            log = [{"key": f"fs-{self.sync_id}", "path": f"{base}/log", "load_ns": int(load_ns)}]
-        else:
-            log = []
-        new = replace(st, version=st.version + 1, log=log, latest_paths=latest_paths, sync=None, deltas=[])
-        return self.store.commit(self.loc, new)
+                return self.store.commit(self.loc, replace(built, version=st.version + 1))
+            except CommitConflict:
+                st = self._check_open()
+                if st.sync["attempt"] != attempt:
+                    raise RuntimeError(f"full sync {self.sync_id} of {self.ds.name} was started again") from None
+        raise CommitConflict(f"gave up committing sync {self.sync_id} of {self.loc}")

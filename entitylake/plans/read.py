@@ -2,19 +2,22 @@
 
 One small action computes the window bound (a MAX, partial + final
 aggregate) together with the next token; the rows themselves stay a lazy
-DataFrame whose ``since`` filters are pushed into the Parquet scan.
+DataFrame whose ``since`` filters are pushed into the Parquet scan.  A bound
+travels as the token's literal, which keeps the type's full precision and, for
+zone-aware timestamps, the offset.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from entitylake.functions.tokens import decode_token, token_column, token_literal, typed_literal
+from entitylake.functions.tokens import decode_token, literal_text, token_column, token_literal, typed_literal
 from entitylake.model import DatasetDefinition
+from entitylake.session import scratch_dir
 from entitylake.sources.tables import to_entities
 
 
@@ -31,11 +34,21 @@ class EntityPage:
     rejects: DataFrame | None = None
 
 
+def resolve_column(rows: DataFrame, name: str) -> T.StructField:
+    """The column a since name means: the exact name, else the one that differs in case only, as Spark resolves."""
+    fields = rows.schema.fields
+    found = [f for f in fields if f.name == name] or [f for f in fields if f.name.lower() == name.lower()]
+    if len(found) != 1:
+        raise ValueError(f"since column {name!r} is {'ambiguous' if found else 'missing'} in {rows.columns}")
+    return found[0]
+
+
 def high_water_mark(rows: DataFrame, column: str, after: str | None = None) -> DataFrame:
     """A1 / A2 (+X4-X6): one row ``(max_value text, token)``; empty -> NULLs."""
-    dtype = rows.schema[column].dataType
-    src = rows if after is None else rows.where(F.col(column) > typed_literal(after, dtype))
-    m = F.max(F.col(column))
+    field = resolve_column(rows, column)
+    col, dtype = F.col(f"`{field.name}`"), field.dataType
+    src = rows if after is None else rows.where(col > typed_literal(after, dtype))
+    m = F.max(col)
     return src.agg(m.alias("_m")).select(
         F.col("_m").cast("string").alias("max_value"),
         token_literal(F.col("_m"), dtype).alias("literal"),
@@ -47,107 +60,45 @@ def since_window(rows: DataFrame, column: str, token: str = "", limit: int = 0)
     """I1 / I2 with L1: rows in ``(token, bound]`` and the next token.
 
     Without a limit the bound is the window's MAX.  With a limit the bound is
-    the largest of the first ``limit`` since values after the token (a top-k,
-    not a full sort); every row up to the bound is returned, so ties stay on
-    one page and the next page starts right after them.
+    the smallest since value up to which there are at least ``limit`` rows;
+    every row up to the bound is returned, so ties stay on one page and the
+    next page starts right after them.
     """
-    dtype = rows.schema[column].dataType
+    field = resolve_column(rows, column)
+    col, dtype = F.col(f"`{field.name}`"), field.dataType
     after = decode_token(token)
-    lower = rows if after is None else rows.where(F.col(column) > typed_literal(after, dtype))
-    if limit and limit > 0:
-        bound = page_bound(lower, column, limit)
-    else:
-        bound = lower.agg(F.max(column).alias("_m"))
-    row = bound.select(F.col("_m").cast("string").alias("m"), token_column(F.col("_m"), dtype).alias("t")).first()
+    lower = rows if after is None else rows.where(col > typed_literal(after, dtype))
+    bound = page_bound(lower, column, limit) if limit and limit > 0 else lower.agg(F.max(col).alias("_m"))
+    row = bound.select(token_literal(F.col("_m"), dtype).alias("m"), token_column(F.col("_m"), dtype).alias("t")).first()
     if row is None or row["m"] is None:  # I2: nothing new -> same token, no rows (D4: "" stays "")
         return SinceWindow(rows.where(F.lit(False)), token)
-    return SinceWindow(lower.where(F.col(column) <= F.lit(row["m"]).cast(dtype)), row["t"])
+    return SinceWindow(lower.where(col <= typed_literal(literal_text(row["m"]), dtype)), row["t"])
 
 
-# Geometric grid of quantile fractions used to narrow a page's upper bound.
-_GRID = [min(1.0, 10 ** (e / 4)) for e in range(-48, 1)]
-_ACCURACY = 100_000
-TOP_N_GATHER_MAX = 10_000_000  # rows a plain top-n may gather into its final task
-_NARROWABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
-_KEY_BYTES = 7  # string order key: the first 7 UTF-8 bytes as a non-negative bigint
+def value_ranks(rows: DataFrame, column: str) -> DataFrame:
+    """Distinct non-null since values ``_v`` with ``_before``, the number of rows with a smaller value.
 
+    Rows are counted per value with partial aggregation, the values are range
+    partitioned and written once; running sums are taken inside each range and
+    shifted by the totals of the ranges before it (one row per range).  No task
+    sees more than its range, however many rows, values or ties there are.
+    """
+    field = resolve_column(rows, column)
+    col = F.col(f"`{field.name}`")
+    counts = rows.where(col.isNotNull()).groupBy(col.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    where = scratch_dir(rows.sparkSession, "ranks")
+    counts.repartitionByRange("_v").withColumn("_p", F.spark_partition_id()).write.parquet(where)
+    ranged = rows.sparkSession.read.parquet(where)
+    ahead = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    totals = ranged.groupBy("_p").agg(F.sum("_c").alias("_t")).select("_p", F.coalesce(F.sum("_t").over(ahead), F.lit(0)).alias("_o"))
+    inside = Window.partitionBy("_p").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_l", F.coalesce(F.sum("_c").over(inside), F.lit(0)))
+    return local.join(totals, "_p").select("_v", (F.col("_l") + F.col("_o")).alias("_before"))
 
-def order_key(col: Column, dtype: T.DataType) -> Column | None:
-    """A numeric key that never decreases along the column's sort order (None: none known).
 
-    Numbers and times are their own key.  Strings sort by their UTF-8 bytes, so
-    the first 7 bytes, right-padded with zeros and read as an integer, never
-    decrease along that order; ties only mean a coarser narrowing step.
-    """
-    if isinstance(dtype, _NARROWABLE):
-        return col
-    if isinstance(dtype, T.StringType):
-        head = F.hex(F.substring(F.encode(col, "utf-8"), 1, _KEY_BYTES))
-        return F.conv(F.rpad(head, 2 * _KEY_BYTES, "0"), 16, 10).cast("bigint")
-    return None
-
-
-def page_bound(lower: DataFrame, column: str, n: int, final_rows: int | None = None) -> DataFrame:
-    """One row ``_m``: the largest of the ``n`` smallest non-null since values.
-
-    A top-n over a whole table ships ``n`` rows from every partition into one
-    task; that is fine while ``n`` x partitions stays under
-    ``TOP_N_GATHER_MAX`` (known from planning, no job).  Beyond it,
-    aggregation jobs (exact count and MAX, then approximate quantiles of an
-    order key on a geometric grid, all partial-aggregated) lower the upper
-    bound until the range holds at most ``final_rows`` rows (default: the
-    larger of four pages and 1M rows).  Each lowered range is a prefix of the
-    sort order, since the key never decreases along it; numeric and time
-    bounds reach the scan as pushed filters.  The exact top-n then runs on that
-    range only, and not at all when the range holds no more than ``n`` rows.
-    """
-    col = F.col(column)
-    rng = lower.where(col.isNotNull())
-
-    def top_n(df: DataFrame) -> DataFrame:
-        return df.select(column).orderBy(column).limit(n).agg(F.max(column).alias("_m"))
-
-    dtype = lower.schema[column].dataType
-    key = order_key(col, dtype)
-    if key is None:
-        return top_n(rng)  # no order key (e.g. binary, boolean): the plain top-n
-    if final_rows is None and n * rng.rdd.getNumPartitions() <= TOP_N_GATHER_MAX:
-        return top_n(rng)  # the top-n gathers at most n rows per input partition: bounded here
-    final_rows = final_rows or max(4 * n, 1_000_000)
-    cur, prev = rng, None
-    for _ in range(8):
-        row = cur.agg(F.count(F.lit(1)).alias("c"), F.max(col).cast("string").alias("m")).first()
-        c = row["c"]
-        if prev is not None and c < n:  # the sketch undershot: the last range that held n rows
-            return top_n(prev)
-        if c <= n:  # the whole range is the page
-            return lower.sparkSession.createDataFrame([(row["m"],)], "_m string").select(F.col("_m").cast(dtype))
-        if c <= final_rows:
-            break
-        # only a range too large for a bounded top-n pays for a quantile sketch
-        qs = cur.agg(F.percentile_approx(key, _GRID, _ACCURACY).cast("array<string>")).first()[0]
-        # smallest grid point whose rank, less the sketch error, still covers n rows
-        need = (1.05 * n + 2 * c / _ACCURACY) / c
-        pick = next((q for p, q in zip(_GRID, qs) if p >= need), None)
-        if pick is None or pick == qs[-1]:
-            break
-        key_type = dtype if key is col else T.LongType()
-        prev, cur = cur, rng.where(key <= F.lit(pick).cast(key_type))
-    return top_n(cur)
-
-
-def any_rows(rows: DataFrame, n: int) -> DataFrame:
-    """L1 without a since column: any ``n`` rows (``LIMIT n``, no order).
-
-    A plain limit ships up to ``n`` rows from every input partition into its
-    final task.  Beyond ``TOP_N_GATHER_MAX`` rows, the input is first coalesced
-    (no shuffle) into ``m`` tasks; each stops reading once it holds ``n`` rows,
-    so at most ``m * n`` rows are gathered and most partitions are never read.
-    """
-    m = max(1, TOP_N_GATHER_MAX // n)
-    if rows.rdd.getNumPartitions() <= m:  # known from planning
-        return rows.limit(n)
-    return rows.coalesce(m).limit(n)
+def page_bound(lower: DataFrame, column: str, n: int) -> DataFrame:
+    """One row ``_m``: the smallest since value up to which there are ``n`` rows, else the largest (NULL: none)."""
+    return value_ranks(lower, column).where(F.col("_before") < n).agg(F.max("_v").alias("_m"))
 
 
 def read_entities(rows: DataFrame, ds: DatasetDefinition, token: str = "", limit: int = 0) -> EntityPage:
@@ -157,7 +108,7 @@ def read_entities(rows: DataFrame, ds: DatasetDefinition, token: str = "", limit
         win = since_window(rows, since, token, limit)
         window_rows, next_token = win.rows, win.token
     else:  # token ignored, "" returned
-        window_rows = any_rows(rows, limit) if limit and limit > 0 else rows
+        window_rows = rows.limit(limit) if limit and limit > 0 else rows
         next_token = ""
     entities, rejects = to_entities(window_rows, ds)
     return EntityPage(entities, next_token, rejects)
@@ -170,3 +121,22 @@ def changes(rows: DataFrame, ds: DatasetDefinition, token: str = "", limit: int
     """
     del latest_only
     return read_entities(rows, ds, token, limit)
+
+
+def all_pages(rows: DataFrame, ds: DatasetDefinition, page_rows: int, token: str = "") -> DataFrame:
+    """I3 + L1 for a whole feed: the entities of every page after ``token``, with ``page`` and the page's ``token``.
+
+    The same result as following the tokens page by page, up to where pages are
+    cut: page k starts at the first since value with at least ``k * page_rows``
+    rows before it.  One pass ranks the since values, so the number of jobs
+    does not grow with the number of pages.
+    """
+    field = resolve_column(rows, ds.source.since_column)
+    col, dtype = F.col(f"`{field.name}`"), field.dataType
+    after = decode_token(token)
+    lower = rows if after is None else rows.where(col > typed_literal(after, dtype))
+    ranks = value_ranks(lower, field.name).withColumn("_page", F.floor(F.col("_before") / page_rows).cast("bigint"))
+    last = ranks.groupBy("_page").agg(F.max("_v").alias("_m")).withColumn("_token", token_column(F.col("_m"), dtype)).drop("_m")
+    paged = lower.join(ranks.select("_v", "_page"), col == F.col("_v")).drop("_v").join(last, "_page")
+    entities, _ = to_entities(paged, ds, keep=("_page", "_token"))
+    return entities.withColumnsRenamed({"_page": "page", "_token": "token"})

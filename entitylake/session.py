@@ -32,10 +32,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a private one only if unset."""
+    """Return the shared checkpoint folder; a private one is only made for a local session without the setting."""
     conf = spark.sparkContext.getConf()
     current = spark.sparkContext.getCheckpointDir() or conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="entitylake-ckpt-")
         spark.sparkContext.setCheckpointDir(current)
     elif not spark.sparkContext.getCheckpointDir():

@@ -7,6 +7,10 @@ moves through Spark readers and writers.
 
 from __future__ import annotations
 
+import os
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -42,36 +46,60 @@ def list_files(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
 
 
 def write_text_exclusive(spark: SparkSession, path: str, text: str) -> bool:
-    """Create ``path`` with ``text`` unless it exists; False when it exists."""
+    """Create ``path`` with ``text``; False when it exists, whoever created it.
+
+    The file system decides: a create without overwrite of the final name, which
+    is atomic on HDFS and on object stores with conditional writes; on a local
+    file system the operating system's exclusive create is used.  A reader may
+    meet a file that is still being written and must check that it is complete.
+    """
     fs, p = _fs(spark, path)
-    if fs.exists(p):
-        return False
-    jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.tmp")
-    out = fs.create(tmp, True)
+    data = bytearray(text.encode("utf-8"))
+    if str(fs.getUri().getScheme()) == "file":
+        try:
+            os.makedirs(os.path.dirname(str(p.toUri().getPath())), exist_ok=True)
+            with open(str(p.toUri().getPath()), "xb") as f:
+                f.write(data)
+            return True
+        except FileExistsError:
+            return False
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError:
+        if fs.exists(p):
+            return False
+        raise
     try:
-        data = bytearray(text.encode("utf-8"))
         out.write(data)
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(tmp, False)
-        return False
-    return bool(fs.rename(tmp, p))
+    return True
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Replace a small file (write a temp file, then rename over the old one)."""
+    """Replace a small file (a temp file of its own name, then rename over the old one)."""
     fs, p = _fs(spark, path)
     jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.tmp")
+    tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}.tmp")
     out = fs.create(tmp, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
     fs.delete(p, False)
-    fs.rename(tmp, p)
+    if not fs.rename(tmp, p):  # another writer was faster: its text is as good
+        fs.delete(tmp, False)
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``, 0 if it is missing."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
+def modified_ms(spark: SparkSession, path: str) -> int:
+    fs, p = _fs(spark, path)
+    return int(fs.getFileStatus(p).getModificationTime())
 
 
 def read_text(spark: SparkSession, path: str) -> str:
