@@ -58,6 +58,15 @@ def oracle_sql() -> dict[str, str]:
 def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "raw_entity_scan": _q(w.raw_entity_scan),
+        "raw_entity_rejects": _q(w.raw_entity_rejects),
+        "catalog_scan": _q(w.catalog_scan),
+        "null_defaults": _q(w.null_defaults),
+        "record_expression": _q(w.record_expression),
+        "array_references": _q(w.array_references),
+        "log_pages_by_load": _q(w.log_pages_by_load),
+        "newest_of_repeated_ids": _q(w.newest_of_repeated_ids),
+        "full_sync_same_id": _q(w.full_sync_same_id),
+        "stream_ingest_single": _q(w.stream_ingest_single),
         "mapped_entities": _q(w.mapped_entities),
         "map_all_entities": _q(w.map_all_entities),
         "high_water_mark": _q(w.high_water_mark_q),
@@ -103,6 +112,7 @@ K = "cast(json_extract_string(props, '$.k') as bigint)"
 REC = "case when event_type <> 'signup' then epoch_us(ts) * 1000 end"
 DEL = "case when event_type = 'error' then true end"
 JSON_NUM = "case when {0} = floor({0}) then cast(cast({0} as bigint) as varchar) else cast({0} as varchar) end"
+STREAM_FILE = "dense_rank() over (order by event_id // 2000) - 1"
 L1, L2 = "cast(1700000000000000000 as bigint)", "cast(1700000100000000000 as bigint)"
 
 
@@ -135,6 +145,19 @@ def _order_flat(with_priority: bool) -> str:
     return _flat(f"concat('{OR}', o_orderkey)", br, "orders")
 
 
+def _customer_flat() -> str:
+    return _flat(
+        f"concat('{CU}id/', c_custkey)",
+        [
+            ("prop", CU + "name", "replace(c_name, 'Customer#', '')", "string", "c_name is not null"),
+            ("prop", CU + "segment", "c_mktsegment", "string", "c_mktsegment is not null"),
+            ("prop", CU + "nationkey", "cast(c_nationkey as varchar)", "number", "c_nationkey is not null"),
+            ("ref", CU + "nation", f"concat('{NA}', c_nationkey)", "string", "c_nationkey is not null"),
+        ],
+        "customer",
+    )
+
+
 def _customers(tbl_rows: bool = True) -> str:
     c = (
         f"select concat('{CU}id/', c_custkey) as id, {L2} as recorded, false as deleted, 'customers' as dataset, "
@@ -158,16 +181,7 @@ def library_oracle_sql() -> dict[str, str]:
 select concat('{US}', user_id) as id, {REC} as recorded, false as deleted, event_id, event_type, {K} as k,
        concat('{US}', user_id) as user_ref
 from events where event_type <> 'error'""",
-        "mapped_entities": _flat(
-            f"concat('{CU}id/', c_custkey)",
-            [
-                ("prop", CU + "name", "replace(c_name, 'Customer#', '')", "string", "c_name is not null"),
-                ("prop", CU + "segment", "c_mktsegment", "string", "c_mktsegment is not null"),
-                ("prop", CU + "nationkey", "cast(c_nationkey as varchar)", "number", "c_nationkey is not null"),
-                ("ref", CU + "nation", f"concat('{NA}', c_nationkey)", "string", "c_nationkey is not null"),
-            ],
-            "customer",
-        ),
+        "mapped_entities": _customer_flat(),
         "map_all_entities": _flat(
             f"concat('{PA}id/', p_partkey)",
             [
@@ -205,7 +219,41 @@ from events where ts > (select max(ts) from events)""",
 with b as (select max(ts) as m from (select ts from events where ts > {win_from} order by ts limit 500))
 select concat('{EV}', event_id) as id, (select {_tok(_ts_lit("m"))} from b) as token
 from events where ts > {win_from} and ts <= (select m from b)""",
-        "changes_paged_all": f"select concat('{OR}', o_orderkey) as id from orders where o_orderdate is not null",
+        "changes_paged_all": f"""
+with d as (select o_orderdate as v, count(*) as c from orders where o_orderdate is not null group by 1),
+r as (select v, cast(floor(coalesce(sum(c) over (order by v rows between unbounded preceding and 1 preceding), 0) / 5000) as bigint) as page from d),
+p as (select v, page, max(v) over (partition by page) as m from r)
+select concat('{OR}', o_orderkey) as id, page, {_tok(_ts_lit("m"))} as token from orders join p on o_orderdate = v""",
+        "log_pages_by_load": f"""
+select event_id, case when ts < timestamp '2024-01-16 00:00:00' then {_tok("'1700000000000000000'")} else {_tok("'1700000100000000000'")} end as token
+from events""",
+        "raw_entity_rejects": f"""
+select concat('{US}', user_id) as id_text, 'malformed entity json' as reason from events where event_type = 'error'""",
+        "catalog_scan": _customer_flat(),
+        "null_defaults": _flat(
+            f"concat('{PA}id/', p_partkey)",
+            [
+                ("prop", PA + "kind", "case when p_partkey % 3 <> 0 then p_type else 'unknown kind' end", "string", None),
+                ("prop", PA + "size", "case when p_partkey % 4 <> 0 then cast(p_size as varchar) else '-1' end", "string", None),
+                ("prop", PA + "name", "p_name", "string", "p_partkey % 5 <> 0"),
+            ],
+            "part",
+        ),
+        "record_expression": f"""
+select concat('{US}', user_id) as id, cast(event_id as varchar) as event_id, cast(cast({K} as decimal(12,2)) as varchar) as k_price,
+       event_type as kind, strftime(ts, '%Y-%m-%d %H:%M:%S') as at, concat('$1 ', event_type) as label from events""",
+        "array_references": f"""
+select concat('{CU}id/', c_custkey) as id,
+       case when c_custkey % 2 = 0 then concat('["{NA}', c_nationkey, '","{CU}segment/', c_mktsegment, '"]') else concat('{NA}', c_nationkey) end as links,
+       case when c_custkey % 2 = 0 then concat('{CU}segment/', c_mktsegment) end as second
+from customer""",
+        "newest_of_repeated_ids": _two_level_latest(
+            "case when ts < timestamp '2024-01-16 00:00:00' then 1 else 2 end",
+            "events_ties",
+            f"case b when 1 then {L1} else {L2} end",
+        ),
+        "full_sync_same_id": _customers(),
+        "stream_ingest_single": _two_level_latest(STREAM_FILE, "events_stream", "cast(1700001000000000000 + b as bigint)"),
         "expand_namespaces": _order_flat(True),
         "stage_roundtrip": _order_flat(False),
         "ingest_raw": f"""
@@ -269,9 +317,5 @@ from customer""",
 select concat('{US}', user_id) as id, event_id, {_tok("'1700000000000000000'")} as after_token,
        {_tok("'1700000100000000000'")} as token
 from events where ts >= timestamp '2024-01-16 00:00:00'""",
-        "stream_ingest": _two_level_latest(
-            "dense_rank() over (order by cast(ts as date)) - 1",
-            "events_stream",
-            "cast(1700001000000000000 + b as bigint)",
-        ),
+        "stream_ingest": _two_level_latest(STREAM_FILE, "events_stream", "cast(1700001000000000000 + b as bigint)"),
     }

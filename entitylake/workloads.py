@@ -8,6 +8,9 @@ to a fresh folder under the session's shared checkpoint folder.
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,13 +26,13 @@ from entitylake.model import (
     SourceConfig,
     Construction,
 )
-from entitylake.plans.read import EntityPage, changes, high_water_mark, read_entities, since_window
+from entitylake.plans.read import EntityPage, all_pages, high_water_mark, read_entities, since_window
 from entitylake.session import scratch_dir
 from entitylake.sinks import fs
 from entitylake.sinks.feed import read_feed, write_feed
 from entitylake.sinks.payload import write_payloads
 from entitylake.sinks.stage import write_stage
-from entitylake.sources.entity_files import payload_entities, read_stage
+from entitylake.sources.entity_files import STAGE_ORDER, payload_entities, read_stage
 
 # --- fixed values shared with the oracle SQL ---------------------------------
 BASE = "http://data.example/"
@@ -47,8 +50,8 @@ LOG_LOAD1_END = "2024-01-20 00:00:00"  # log loads overlap between these
 LOG_LOAD2_START = "2024-01-10 00:00:00"
 WINDOW_FROM = "2024-01-15T00:00:00.000000"
 PAGE_ROWS = 500
-CHANGES_PAGE_ROWS = 5000  # smallest page
-CHANGES_PAGES = 32  # about this many pages at any scale
+CHANGES_PAGE_ROWS = 5000
+STREAM_FILE_EVENTS = 2000  # events of one landing file
 PAYLOAD_ENTITIES = 1000
 
 
@@ -102,15 +105,19 @@ def _lake(spark: SparkSession, purpose: str, **kw) -> Lake:
 
 
 # --- S1 ----------------------------------------------------------------------
-def raw_entity_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1 (+D9): raw JSON column -> entities; error events carry malformed JSON."""
+def _raw_events(spark: SparkSession, sf_dir: str) -> EntityPage:
+    """Events as raw JSON text: some behind white space, error events malformed."""
     ents = event_entities(_t(spark, sf_dir, "events"))
     text = F.to_json(F.struct("id", "recorded", "deleted", "refs", "props"))
+    lead = F.when(F.col("_arrival") % 3 == 1, "\r\n\t").otherwise("")
     broken = F.concat(F.lit("{"), text)  # the whole entity text behind a stray brace: not JSON
-    raw = ents.select(F.when(F.col("props").isNotNull() & (F.col("deleted")), broken).otherwise(text).alias("ENTITY"))
-    ds = DatasetDefinition("events_raw", SourceConfig(raw_column="ENTITY"))
-    page = read_entities(raw, ds)
-    e = page.entities
+    raw = ents.select(F.when(F.col("deleted"), broken).otherwise(F.concat(lead, text)).alias("ENTITY"))
+    return read_entities(raw, DatasetDefinition("events_raw", SourceConfig(raw_column="ENTITY")))
+
+
+def raw_entity_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw JSON column -> entities."""
+    e = _raw_events(spark, sf_dir).entities
     return e.select(
         "id",
         "recorded",
@@ -122,6 +129,12 @@ def raw_entity_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_entity_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 (D9): what the raw scan rejects, with the reason and the id in the malformed text."""
+    bad = _raw_events(spark, sf_dir).rejects
+    return bad.select(F.regexp_extract("raw", '^[{][{]"id":"([^"]*)"', 1).alias("id_text"), "reason")
+
+
 # --- S2, P1-P5 ---------------------------------------------------------------
 CUSTOMER_MAPPING = OutgoingMapping(
     base_uri=CUSTOMER,
@@ -161,6 +174,26 @@ def map_all_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_entities(read_entities(_t(spark, sf_dir, "part"), ds).entities)
 
 
+def null_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P7 over real nulls: a default replaces them, a required column with a default is never null, others are left out."""
+    part = _t(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.when(F.col("p_partkey") % 3 != 0, F.col("p_type")).alias("p_type"),
+        F.when(F.col("p_partkey") % 4 != 0, F.col("p_size")).alias("p_size"),
+        F.when(F.col("p_partkey") % 5 != 0, F.col("p_name")).alias("p_name"),
+    )
+    mapping = OutgoingMapping(
+        base_uri=PART,
+        property_mappings=(
+            OutgoingPropertyMapping("p_partkey", is_identity=True, uri_value_pattern=PART + "id/{value}"),
+            OutgoingPropertyMapping("p_type", "kind", default_value="unknown kind", required=True),
+            OutgoingPropertyMapping("p_size", "size", "varchar(10)", default_value="-1"),
+            OutgoingPropertyMapping("p_name", "name"),
+        ),
+    )
+    return flatten_entities(read_entities(part, DatasetDefinition("part_nulls", outgoing=mapping)).entities)
+
+
 # --- A1, A2, X4-X6 -----------------------------------------------------------
 def high_water_mark_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _t(spark, sf_dir, "events")
@@ -229,24 +262,25 @@ ORDERS_OUT = OutgoingMapping(
 
 
 def changes_paged_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """I3 + L1: follow continuation tokens until the token stops moving."""
+    """I3 + L1: all pages of a feed with their tokens."""
     ds = DatasetDefinition(
-        "orders", SourceConfig(path=f"{sf_dir}/orders.parquet", since_column="o_orderdate"), outgoing=ORDERS_OUT
+        "orders", SourceConfig(path=f"{sf_dir}/orders.parquet", since_column="O_ORDERDATE"), outgoing=ORDERS_OUT
     )
-    orders = _t(spark, sf_dir, "orders")
-    # pages grow with the table, so the number of requests (and the union below) stays bounded
-    page_rows = max(CHANGES_PAGE_ROWS, -(-orders.count() // CHANGES_PAGES))
-    token, pages = "", []
-    while True:
-        page = changes(orders, ds, token, page_rows)
-        if page.token == token:  # nothing new
-            break
-        pages.append(page.entities.select("id"))
-        token = page.token
-    out = pages[0]
-    for p in pages[1:]:
-        out = out.unionByName(p)
-    return out
+    return all_pages(_t(spark, sf_dir, "orders"), ds, CHANGES_PAGE_ROWS).select("id", "page", "token")
+
+
+def log_pages_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 over ties: a log read by ``recorded``, which all rows of a load share, so a page is a load however small the limit."""
+    lake = _lake(spark, "log-pages")
+    lake.define(DatasetDefinition("events_loads"))
+    feed = SourceConfig(database="DB", schema="PUBLIC", table_name="EVENTS_LOADS", raw_column="entity", since_column="RECORDED")
+    lake.define(DatasetDefinition("events_loads_feed", feed))
+    _two_batches(spark, sf_dir, lake, "events_loads")
+    first = lake.entities("events_loads_feed", limit=PAGE_ROWS)
+    second = lake.entities("events_loads_feed", since=first.token, limit=PAGE_ROWS)
+    event_id = F.variant_get("props", f'$["{EVENT}event_id"]', "bigint").alias("event_id")
+    pages = [p.entities.select(event_id, F.lit(p.token).alias("token")) for p in (first, second)]
+    return pages[0].unionByName(pages[1])
 
 
 # --- S5, P16 ----------------------------------------------------------------
@@ -266,7 +300,8 @@ def _order_payloads(spark: SparkSession, sf_dir: str, path: str) -> None:
         F.floor(F.col("o_orderkey") / PAYLOAD_ENTITIES).alias("file_no"),
         F.col("o_orderkey").alias("pos"),
     )
-    write_payloads(ents, path, "file_no", "pos", ORDER_NS)
+    lead = F.when(F.col("file_no") % 3 == 1, "\n\t").when(F.col("file_no") % 3 == 2, "\r\n ").otherwise("")
+    write_payloads(ents, path, "file_no", "pos", ORDER_NS, lead)
 
 
 def expand_namespaces_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -339,6 +374,50 @@ def custom_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.log("events_custom")
 
 
+def record_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P15 in the documented form (``$1``), parameterised datatypes."""
+    mapping = IncomingMapping(
+        property_mappings=(
+            IncomingPropertyMapping("event_id", EVENT + "event_id", "number(38,0)"),
+            IncomingPropertyMapping("kind", datatype="varchar(255)", custom_expression=f'$1:props:"{EVENT}type"::string'),
+            IncomingPropertyMapping("k_price", EVENT + "k", "NUMBER(12, 2)"),
+            IncomingPropertyMapping("at", EVENT + "at", "timestamp_ntz(9)"),
+            IncomingPropertyMapping("label", datatype="text", custom_expression=f"""concat('$1 ', $1:props:"{EVENT}type"::string)"""),
+        )
+    )
+    ents = event_entities(_t(spark, sf_dir, "events")).withColumn("_at", F.date_format("_ts", "yyyy-MM-dd HH:mm:ss"))
+    props = F.map_concat(F.col("props").cast("map<string,variant>"), F.create_map(F.lit(EVENT + "at"), F.col("_at").cast("variant")))
+    lake = _lake(spark, "record")
+    lake.define(DatasetDefinition("events_record", incoming=mapping))
+    lake.write_incremental("events_record", ents.withColumn("props", F.to_variant_object(props)), LOAD_NS_1, "b1")
+    text = [F.col(c).cast("string").alias(c) for c in ("event_id", "k_price")]
+    return lake.log("events_record").select("id", *text, "kind", F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("at"), "label")
+
+
+def array_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """References that are arrays keep all their URIs, as JSON text in a string column and as elements in a variant."""
+    c = _t(spark, sf_dir, "customer")
+    uris = F.array(F.concat(F.lit(NATION), F.col("c_nationkey")), F.concat(F.lit(CUSTOMER + "segment/"), F.col("c_mktsegment")))
+    several = F.when(F.col("c_custkey") % 2 == 0, uris.cast("variant")).otherwise(F.get(uris, F.lit(0)).cast("variant"))
+    ents = c.select(
+        F.concat(F.lit(CUSTOMER + "id/"), F.col("c_custkey")).alias("id"),
+        F.lit(None).cast("bigint").alias("recorded"),
+        F.lit(False).alias("deleted"),
+        F.to_variant_object(F.create_map(F.lit(CUSTOMER + "links"), several)).alias("refs"),
+        variant_object([]).alias("props"),
+    )
+    mapping = IncomingMapping(
+        property_mappings=(
+            IncomingPropertyMapping("links", CUSTOMER + "links", "string", is_reference=True),
+            IncomingPropertyMapping("links_raw", CUSTOMER + "links", "variant", is_reference=True),
+        )
+    )
+    lake = _lake(spark, "array-refs")
+    lake.define(DatasetDefinition("customer_links", incoming=mapping))
+    lake.write_incremental("customer_links", ents, LOAD_NS_1, "b1")
+    return lake.log("customer_links").select("id", "links", F.try_variant_get("links_raw", "$[1]", "string").alias("second"))
+
+
 # --- W1, W2, J1, I4 ----------------------------------------------------------
 def dedup_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1 over a staged batch: newest per user (NULL recorded wins, then arrival)."""
@@ -350,23 +429,27 @@ def dedup_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.variant_get("entity", "$.id", "string").alias("id"),
         F.try_variant_get("entity", "$.recorded", "bigint").alias("recorded"),
         F.variant_get("entity", f'$.props["{EVENT}event_id"]', "bigint").alias("event_id"),
-        "_file",
-        "_blk",
-        "_ix",
-        "_elem",
+        *STAGE_ORDER,
     )
-    return newest_per_id(staged, "recorded", ("_file", "_blk", "_ix", "_elem")).select("id", "recorded", "event_id")
+    return newest_per_id(staged, "recorded", STAGE_ORDER).select("id", "recorded", "event_id")
 
 
 def latest_from_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from entitylake.operators.dedup import newest_from_log
-
+    """W2 + F3: newest version of each event over two overlapping loads."""
     lake = _lake(spark, "log2")
     lake.define(DatasetDefinition("events_log", incoming=_events_mapping()))
     ev = event_entities(_t(spark, sf_dir, "events"), id_of="event")
     lake.write_incremental("events_log", ev.where(F.col("_ts") < F.lit(LOG_LOAD1_END).cast("timestamp_ntz")), LOAD_NS_1, "b1")
     lake.write_incremental("events_log", ev.where(F.col("_ts") >= F.lit(LOG_LOAD2_START).cast("timestamp_ntz")), LOAD_NS_2, "b2")
-    return newest_from_log(lake.log("events_log"), live_only=True)
+    return lake.newest("events_log", live_only=True)
+
+
+def newest_of_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 where a load holds an id many times: by load, own ``recorded``, arrival; the same after compaction."""
+    lake = _lake(spark, "log-ties", log_compact_batches=2)
+    lake.define(DatasetDefinition("events_ties", incoming=_events_mapping()))
+    _two_batches(spark, sf_dir, lake, "events_ties")
+    return lake.newest("events_ties")
 
 
 def _two_batches(spark: SparkSession, sf_dir: str, lake: Lake, name: str) -> None:
@@ -397,12 +480,13 @@ def log_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3 over weekly batches with tiered log compaction every two batches."""
     lake = _lake(spark, "log-weekly", log_compact_batches=2)
     lake.define(DatasetDefinition("events_weekly", incoming=_events_mapping()))
-    ev = event_entities(_t(spark, sf_dir, "events"), id_of="event")
-    week = F.floor(F.datediff(F.col("_ts").cast("date"), F.lit("2024-01-01").cast("date")) / 7)
-    ev = ev.withColumn("_week", week)
-    span = ev.agg(F.min("_week").alias("lo"), F.max("_week").alias("hi")).first()  # one batch per week: a handful
-    for wk in range(int(span["lo"]), int(span["hi"]) + 1):
-        lake.write_incremental("events_weekly", ev.where(F.col("_week") == wk), LOAD_NS_1 + wk, f"w{wk}", ("_arrival",))
+    events = _t(spark, sf_dir, "events")
+    week0 = datetime(2024, 1, 1)
+    span = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()  # one batch per week: a handful
+    for wk in range((span["lo"] - week0).days // 7, (span["hi"] - week0).days // 7 + 1):
+        lo, hi = (F.lit(week0 + timedelta(days=7 * k)).cast("timestamp_ntz") for k in (wk, wk + 1))
+        ev = event_entities(events.where((F.col("ts") >= lo) & (F.col("ts") < hi)), id_of="event")  # pushed to the scan
+        lake.write_incremental("events_weekly", ev, LOAD_NS_1 + wk, f"w{wk}", ("_arrival",))
     return lake.log("events_weekly")
 
 
@@ -446,7 +530,7 @@ CUSTOMER_IN = IncomingMapping(
         IncomingPropertyMapping("nation", CUSTOMER + "nation", "string", is_reference=True),
     )
 )
-SEGMENT_BATCHES = (("AUTOMOBILE", "BUILDING"), ("FURNITURE", "HOUSEHOLD"), ("MACHINERY",))
+SYNC_BATCHES = 3
 
 
 def _customer_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -457,7 +541,7 @@ def _customer_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(False).alias("deleted"),
         variant_object([(CUSTOMER + "nation", F.concat(F.lit(NATION), F.col("c_nationkey")))]).alias("refs"),
         variant_object([(CUSTOMER + "name", F.col("c_name")), (CUSTOMER + "segment", F.col("c_mktsegment"))]).alias("props"),
-        F.col("c_mktsegment").alias("_segment"),
+        F.pmod(F.xxhash64("c_custkey"), F.lit(SYNC_BATCHES)).alias("_batch"),
         F.col("c_custkey").alias("_arrival"),
     )
 
@@ -483,13 +567,13 @@ def _tables_out(lake: Lake, name: str) -> DataFrame:
 def full_sync_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _lake(spark, "fullsync", latest_default=True)
     lake.define(DatasetDefinition("customers", incoming=CUSTOMER_IN))
-    older = _customer_entities(spark, sf_dir).drop("_segment").unionByName(_nation_entities(spark, sf_dir))
+    older = _customer_entities(spark, sf_dir).drop("_batch").unionByName(_nation_entities(spark, sf_dir))
     lake.write_incremental("customers", older, LOAD_NS_1, "older", ("_arrival",))
     sync = lake.full_sync("customers", "sync-1")
     sync.start()
     cust = _customer_entities(spark, sf_dir)
-    for i, segs in enumerate(SEGMENT_BATCHES):
-        sync.add(cust.where(F.col("_segment").isin(*segs)), seq=i, order_by=("_arrival",))
+    for i in range(SYNC_BATCHES):
+        sync.add(cust.where(F.col("_batch") == i), seq=i, order_by=("_arrival",))
     sync.commit(LOAD_NS_2)
     return _tables_out(lake, "customers")
 
@@ -507,11 +591,28 @@ def full_sync_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
         raise AssertionError("a voided sync accepted a batch")
     except RuntimeError:
         pass
-    fresh.add(_customer_entities(spark, sf_dir).drop("_segment"), seq=0, order_by=("_arrival",))
+    fresh.add(_customer_entities(spark, sf_dir).drop("_batch"), seq=0, order_by=("_arrival",))
     fresh.commit(LOAD_NS_2)
     return _tables_out(lake, "customers")
 
 
+def full_sync_same_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I5 + I6 with one sync id throughout: abandoned, restarted, committed, and used for a second sync."""
+    lake = _lake(spark, "fullsync-same", latest_default=True)
+    lake.define(DatasetDefinition("customers", incoming=CUSTOMER_IN))
+    cust, nations = _customer_entities(spark, sf_dir).drop("_batch"), _nation_entities(spark, sf_dir)
+    for wanted, load in ((nations, LOAD_NS_1), (cust, LOAD_NS_2)):
+        abandoned = lake.full_sync("customers", "sync-1")
+        abandoned.start()
+        abandoned.add(wanted, seq=0)
+        abandoned.add(nations, seq=1)
+        again = lake.full_sync("customers", "sync-1")
+        again.start()
+        again.add(wanted, seq=0, order_by=("_arrival",))
+        again.commit(load)
+    return _tables_out(lake, "customers")
+
+
 # --- K5 ---------------------------------------------------------------------
 CUSTOMER_FEED_OUT = OutgoingMapping(
     base_uri=CUSTOMER,
@@ -542,6 +643,15 @@ def convention_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_entities(page.entities)
 
 
+def catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of the session's catalog, named in the definition."""
+    view = f"customer_{uuid.uuid4().hex[:8]}"
+    _t(spark, sf_dir, "customer").createOrReplaceTempView(view)
+    lake = _lake(spark, "catalog")
+    lake.define(DatasetDefinition("catalog_customers", SourceConfig(catalog_table=view), outgoing=CUSTOMER_MAPPING))
+    return flatten_entities(lake.entities("catalog_customers").entities)
+
+
 def log_since_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I1 over a log table: a consumer reads after each load and follows the token."""
     lake = _lake(spark, "log-since")
@@ -567,19 +677,32 @@ def log_since_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- I4 via Structured Streaming ----------------------------------------------
-def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stream(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int) -> DataFrame:
     from entitylake.streaming.landing import ingest_stream
 
     landing = scratch_dir(spark, "landing")
     ev = event_entities(_t(spark, sf_dir, "events"), prefix=True)
-    day = F.datediff(F.col("_ts").cast("date"), F.lit("2024-01-01").cast("date"))
-    write_payloads(ev.withColumn("day", day), landing, "day", "_arrival", {"e": EVENT, "u": USER})
+    file_no = F.floor(F.col("_arrival") / STREAM_FILE_EVENTS).cast("bigint")  # files of a bounded size
+    write_payloads(ev.withColumn("file_no", file_no), landing, "file_no", "_arrival", {"e": EVENT, "u": USER})
     files = sorted(
-        ((int(d.split("=")[1]), f) for d in fs.list_names(spark, landing) if d.startswith("day=") for f in fs.list_files(spark, f"{landing}/{d}")),
+        (int(d.split("=")[1]), f)
+        for d in fs.list_names(spark, landing)
+        if d.startswith("file_no=")
+        for f in fs.list_files(spark, f"{landing}/{d}")
     )
-    for i, (_, f) in enumerate(files):  # arrival order = day order
+    for i, (_, f) in enumerate(files):  # arrival order = file number
         fs.set_mtime(spark, f, 1_700_000_000_000 + i * 60_000)
     lake = _lake(spark, "stream", latest_default=True)
-    lake.define(DatasetDefinition("events_stream", incoming=_events_mapping()))
-    ingest_stream(lake, "events_stream", landing, scratch_dir(spark, "stream-ckpt"), STREAM_LOAD_NS)
-    return lake.latest("events_stream")
+    lake.define(DatasetDefinition(name, incoming=_events_mapping()))
+    ingest_stream(lake, name, landing, scratch_dir(spark, "stream-ckpt"), STREAM_LOAD_NS, files_per_batch)
+    return lake.latest(name)
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I4 as a stream, eight files in a micro-batch."""
+    return _stream(spark, sf_dir, "events_stream", 8)
+
+
+def stream_ingest_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I4 as a stream, one file in a micro-batch: the same result."""
+    return _stream(spark, sf_dir, "events_stream", 1)

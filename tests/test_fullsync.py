@@ -92,11 +92,12 @@ def test_vacuum_keeps_results_and_drops_superseded_data(spark, tmp):
     sync.commit(99)
     lake.write_incremental("t", _ents(spark, [("k1", "after")]), 100, "b9")
     before_log, before_latest = _ids(lake.log("t")), _ids(lake.latest("t"))
-    deleted = lake.vacuum("t", keep_versions=1)
+    assert lake.vacuum("t", keep_versions=1) == []  # superseded, but not for long enough
+    deleted = lake.vacuum("t", keep_versions=1, older_than_s=0)
     assert deleted and all(not os.path.exists(p.replace("file:", "")) for p in deleted)
     assert _ids(lake.log("t")) == before_log == [("k0", "synced", 99), ("k1", "after", 100)]
     assert _ids(lake.latest("t")) == before_latest == [("k0", "synced", 99), ("k1", "after", 100)]
-    assert not os.path.exists(f"{tmp}/lake/DB/PUBLIC/T/log/b0")
+    assert not [d for d in os.listdir(f"{tmp}/lake/DB/PUBLIC/T/log") if not d.startswith("b9")]
     assert lake.state("t").version >= 1
 
 
@@ -117,3 +118,70 @@ def test_manifest_hint_stale_missing_or_torn(spark, tmp):
     assert lake.state("t").version == 3
     os.remove(hint)  # missing: listing
     assert lake.state("t").version == 3
+
+
+def test_same_sync_id_again_starts_from_nothing(spark, tmp):
+    lake = Lake(spark, tmp + "/lake", latest_default=True)
+    lake.define(DatasetDefinition("t", incoming=MAP_V))
+    first = lake.full_sync("t", "nightly")
+    first.start()
+    first.add(_ents(spark, [("a", "abandoned")]), seq=0)
+    first.add(_ents(spark, [("b", "abandoned")]), seq=1)
+    again = lake.full_sync("t", "nightly")
+    again.start()
+    again.add(_ents(spark, [("c", "c1")]), seq=0)
+    again.commit(5)
+    assert _ids(lake.log("t")) == _ids(lake.latest("t")) == [("c", "c1", 5)]
+
+
+def test_a_sync_that_dies_before_the_switch_leaves_the_table(spark, tmp, monkeypatch):
+    lake = Lake(spark, tmp + "/lake", latest_default=True)
+    lake.define(DatasetDefinition("t", incoming=MAP_V))
+    for rows, load in (([("a", "one")], 1), ([("b", "two")], 2)):
+        sync = lake.full_sync("t", "nightly")  # the id of the table's own state
+        sync.start()
+        sync.add(_ents(spark, rows), seq=0)
+        if load == 2:
+            monkeypatch.setattr(lake.store, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("driver lost")))
+            with pytest.raises(RuntimeError, match="driver lost"):
+                sync.commit(load)
+            monkeypatch.undo()
+            assert _ids(lake.log("t")) == _ids(lake.latest("t")) == [("a", "one", 1)]
+        sync.commit(load)
+    assert _ids(lake.log("t")) == _ids(lake.latest("t")) == [("b", "two", 2)]
+
+
+def test_a_batch_loaded_during_the_commit_does_not_fail_the_sync(spark, tmp):
+    a, b = (Lake(spark, tmp + "/lake", latest_default=True) for _ in range(2))
+    for lake in (a, b):
+        lake.define(DatasetDefinition("t", incoming=MAP_V))
+    sync = a.full_sync("t", "s")
+    sync.start()
+    sync.add(_ents(spark, [("x", "synced")]))
+    commit, raced = a.store.commit, []
+
+    def racing(loc, state):
+        if not raced:
+            raced.append(b.write_incremental("t", _ents(spark, [("y", "meanwhile")]), 7, "inc"))
+        return commit(loc, state)
+
+    a.store.commit = racing
+    sync.commit(9)
+    assert _ids(a.log("t")) == _ids(a.latest("t")) == [("x", "synced", 9)]  # the sync replaces what is there
+    b.write_incremental("t", _ents(spark, [("y", "meanwhile")]), 7, "inc")  # and the batch stays known
+    assert a.log("t").count() == 1
+
+
+def test_vacuum_spares_a_running_ingest(spark, tmp):
+    lake = Lake(spark, tmp + "/lake", latest_default=True)
+    lake.define(DatasetDefinition("t", incoming=MAP_V))
+    lake.write_incremental("t", _ents(spark, [("a", "1")]), 1, "b1")
+    commit = lake.store.commit
+
+    def vacuumed(loc, state):
+        lake.store.vacuum(loc, keep_versions=1, older_than_s=0)  # between the data and the manifest
+        return commit(loc, state)
+
+    lake.store.commit = vacuumed
+    lake.write_incremental("t", _ents(spark, [("b", "2")]), 2, "b2")
+    assert _ids(lake.log("t")) == _ids(lake.latest("t")) == [("a", "1", 1), ("b", "2", 2)]

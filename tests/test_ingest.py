@@ -1,51 +1,54 @@
-"""Log rows (F5), replays, latest upserts with NULL ids and NULL recorded."""
+"""Log rows, replays, latest upserts with NULL ids and NULL recorded, commits and compaction."""
+
+import json
 
 from pyspark.sql import functions as F
 
 from entitylake.lake import Lake
-from entitylake.model import DatasetDefinition, IncomingMapping, IncomingPropertyMapping
+from entitylake.model import DatasetDefinition, IncomingMapping, IncomingPropertyMapping, SourceConfig
 from entitylake.sources.entity_files import payload_entities
-from tests.test_files import write_batch
+from tests.test_files import BATCH, expanded, write_batch
 
-FOO = "http://example.org/foo/"
+LIB = "urn:library:"
 MAPPED = IncomingMapping(
     property_mappings=(
-        IncomingPropertyMapping("foo", FOO + "foo", "string"),
-        IncomingPropertyMapping("ok", FOO + "ok", "boolean"),
-        IncomingPropertyMapping("num", FOO + "num", "integer"),
-        IncomingPropertyMapping("baz", FOO + "baz", "string", is_reference=True),
+        IncomingPropertyMapping("title", LIB + "title", "varchar(80)"),
+        IncomingPropertyMapping("pages", LIB + "pages", "integer"),
+        IncomingPropertyMapping("price", LIB + "price", "number(8,2)"),
+        IncomingPropertyMapping("tags", LIB + "tags", "variant"),
+        IncomingPropertyMapping("authors", LIB + "by", "string", is_reference=True),
+        IncomingPropertyMapping("gone", is_deleted=True),
+        IncomingPropertyMapping("own", is_recorded=True),
     )
 )
 
 
 def _batch(spark, tmp):
-    return payload_entities(spark, [write_batch(tmp)])
+    return payload_entities(spark, [write_batch(tmp, lead="\n")])
 
 
 def test_unmapped_log(spark, tmp):
     lake = Lake(spark, tmp + "/lake")
-    lake.write_incremental("potatoe", _batch(spark, tmp), 42, "b1", ("_file", "_pos"))
-    rows = sorted(lake.log("potatoe").collect(), key=lambda r: r.id)
-    assert [r.id for r in rows] == [FOO + "1", FOO + "2", FOO + "3"]
-    assert {r.recorded for r in rows} == {42}
-    assert [r.deleted for r in rows] == [False, False, True]
-    assert {r.dataset for r in rows} == {"DB.PUBLIC.potatoe"}  # implicit name kept as defined
-    assert "entity" in lake.log("potatoe").columns
+    lake.write_incremental("night.books", _batch(spark, tmp), 42, "b1", ("_file", "_pos"))
+    rows = lake.log("night.books").collect()
+    assert {r.id for r in rows} == {expanded(e["id"]) if "id" in e else None for e in BATCH[1:]}
+    assert {r.recorded for r in rows} == {42} and {r.dataset for r in rows} == {"DB.PUBLIC.night.books"}
+    assert {r.id for r in rows if r.deleted} == {LIB + "book/8"}
+    assert lake.log("night.books").columns == ["id", "recorded", "deleted", "dataset", "entity"]
 
 
 def test_mapped_log_and_replay(spark, tmp):
     lake = Lake(spark, tmp + "/lake")
-    lake.define(DatasetDefinition("potatoes", incoming=MAPPED))
-    lake.write_incremental("potatoes", _batch(spark, tmp), 7, "b1", ("_file", "_pos"))
-    lake.write_incremental("potatoes", _batch(spark, tmp), 7, "b1", ("_file", "_pos"))  # replay: no-op
-    rows = {r.id: r for r in lake.log("potatoes").collect()}
-    assert len(rows) == 3
-    r2 = rows[FOO + "2"]
-    assert r2.ok is None and r2.num is None
-    assert r2.baz == '["http://example.org/bar/hi","http://example.org/bar/bye"]'
-    assert rows[FOO + "1"].ok is True and rows[FOO + "1"].num == 12 and rows[FOO + "1"].foo == "bar"
-    assert rows[FOO + "3"].deleted is True and r2.deleted is False
-    assert lake.state("potatoes").version == 1
+    lake.define(DatasetDefinition("books", incoming=MAPPED))
+    for _ in range(2):  # the second is a replay
+        lake.write_incremental("books", _batch(spark, tmp), 7, "b1", ("_file", "_pos"))
+    rows = {r.id: r for r in lake.log("books").collect()}
+    assert len(rows) == len(BATCH) - 1 and lake.state("books").version == 1
+    r7, r8, r9 = (rows[f"{LIB}book/{k}"] for k in (7, 8, 9))
+    assert (r7.title, r7.pages, r7.price, r7.gone, r7.own) == ("Dune: part one", 612, None, None, None)
+    assert (r8.gone, r8.deleted, str(r8.price)) == (True, True, "9.50")
+    assert json.loads(r8.tags.toJson()) == BATCH[2]["props"]["lib:tags"]
+    assert json.loads(r9.authors) == [expanded(x) for x in BATCH[3]["refs"]["lib:by"]] and r9.own == BATCH[3]["recorded"]
 
 
 def _ents(spark, rows):
@@ -144,7 +147,7 @@ def test_log_compaction_keeps_rows_and_replay_keys(spark, tmp):
     for i in range(7):
         lake.write_incremental("t", _ents(spark, [(f"id{i}", i, f"v{i}", 1)]), 10 + i, f"b{i}")
     st = lake.state("t")
-    assert sum(1 for b in st.log if "keys" in b) == 2 and len(st.log) == 3
+    assert [b["level"] for b in st.log] == [1, 1, 0]
     lake.write_incremental("t", _ents(spark, [("dup", 1, "x", 1)]), 99, "b1")  # compacted key: replay no-op
     rows = sorted((r.id, r.recorded) for r in lake.log("t").collect())
     assert rows == [(f"id{i}", 10 + i) for i in range(7)]
@@ -192,20 +195,19 @@ def test_delta_sizes_recorded_and_fold_never_shuffles_the_base(spark, tmp):
 
 def test_since_read_of_a_log_prunes_older_batches_through_the_manifest(spark, tmp):
     from entitylake.functions.tokens import encode_token
-    from entitylake.model import SourceConfig
 
-    lake = Lake(spark, tmp + "/lake", log_compact_batches=2)
+    lake = Lake(spark, tmp + "/lake", log_compact_batches=3)
     lake.define(DatasetDefinition("t"))
     feed = DatasetDefinition("feed", SourceConfig(table_name="T", raw_column="entity", since_column="recorded"))
     lake.define(feed)
-    for i in range(5):  # batches 0-1 and 2-3 become segments, batch 4 stays a folder
+    for i in range(7):  # batches 0-2 and 3-5 become segments, batch 6 stays a folder
         lake.write_incremental("t", _ents(spark, [(f"id{i}", i, f"v{i}", 1)]), 100 + i, f"b{i}")
-    assert [b.get("load_ns_max") for b in lake.state("t").log if "keys" in b] == [101, 103]
-    for after, ids, folders in ((101, ["id2", "id3", "id4"], 2), (103, ["id4"], 1), (104, [], 0)):
+    assert [b.get("load_ns_max") for b in lake.state("t").log if b["level"]] == [102, 105]
+    for after, ids, folders in ((102, ["id3", "id4", "id5", "id6"], 2), (105, ["id6"], 1), (106, [], 0)):
         page = lake.entities("feed", since=encode_token(str(after)))
         assert sorted(r.id for r in page.entities.collect()) == ids
         assert len({f.rsplit("/", 1)[0] for f in lake.table(lake.dataset("feed"), encode_token(str(after))).inputFiles()}) == folders
-    assert lake.entities("feed", since=encode_token("104")).token == encode_token("104")  # nothing new
+    assert lake.entities("feed", since=encode_token("106")).token == encode_token("106")  # nothing new
 
 
 def test_compaction_triggers_on_the_broadcast_byte_estimate(spark, tmp):
@@ -219,3 +221,82 @@ def test_compaction_triggers_on_the_broadcast_byte_estimate(spark, tmp):
     st = lake.state("t")
     assert st.deltas == [] and st.latest_paths  # folded into buckets (broadcast path: 196 <= 250)
     assert sorted((r.id, r.v) for r in lake.latest("t").collect()) == [("a", "a2"), ("b", "b1"), ("c", "c1")]
+
+
+def test_replays_are_known_after_compaction_and_full_sync(spark, tmp):
+    lake = Lake(spark, tmp + "/lake", latest_default=True, log_compact_batches=2)
+    lake.define(DatasetDefinition("t", incoming=MAP_V))
+    for i in range(5):
+        lake.write_incremental("t", _ents(spark, [(f"id{i}", i, f"v{i}", 1)]), 10 + i, f"batch/{i}")
+    assert [b["level"] for b in lake.state("t").log] == [2, 0]  # two segments were merged into one of the next level
+    sync = lake.full_sync("t", "s")
+    sync.start()
+    sync.add(_ents(spark, [("synced", 1, "x", 1)]))
+    sync.commit(99)
+    version = lake.state("t").version
+    for i in range(5):
+        lake.write_incremental("t", _ents(spark, [(f"id{i}", i, "again", 1)]), 200, f"batch/{i}")
+    assert lake.state("t").version == version and [r.id for r in lake.log("t").collect()] == ["synced"]
+
+
+def test_two_writers_of_one_version_never_both_win(spark, tmp):
+    import threading
+
+    from entitylake.sinks import fs
+
+    for k in range(5):
+        path, won = f"{tmp}/m/v{k}.json", []
+        gate = threading.Barrier(4)
+
+        def create(name):
+            gate.wait()
+            if fs.write_text_exclusive(spark, path, name):
+                won.append(name)
+
+        threads = [threading.Thread(target=create, args=(f"writer-{i}",)) for i in range(4)]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+        assert len(won) == 1 and fs.read_text(spark, path) == won[0]
+
+
+def test_a_half_written_manifest_is_passed_over(spark, tmp):
+    lake = Lake(spark, tmp + "/lake")
+    lake.define(DatasetDefinition("t", incoming=MAP_V))
+    lake.write_incremental("t", _ents(spark, [("a", 1, "x", 1)]), 1, "b1")
+    with open(f"{tmp}/lake/DB/PUBLIC/T/_manifest/v00000002.json", "w") as f:
+        f.write('{"version": 2, "log": [')  # its writer died
+    assert [r.id for r in lake.log("t").collect()] == ["a"]
+    lake.write_incremental("t", _ents(spark, [("b", 1, "y", 1)]), 2, "b2")
+    assert lake.state("t").version == 3 and lake.log("t").count() == 2
+
+
+def test_latest_table_can_be_switched_off(spark, tmp):
+    lake = Lake(spark, tmp + "/lake", latest_default=True)
+    lake.define(DatasetDefinition("t", incoming=MAP_V))
+    lake.write_incremental("t", _ents(spark, [("a", 1, "a1", 1)]), 1, "b1")
+    lake.define(DatasetDefinition("t", SourceConfig(latest_table=False), incoming=MAP_V))
+    lake.write_incremental("t", _ents(spark, [("a", 1, "a2", 1)]), 2, "b2")
+    assert not lake.state("t").latest and lake.log("t").count() == 2
+    assert [r.v for r in lake.latest("t").collect()] == ["a1"]  # left as it was
+
+
+def test_newest_from_log_equals_latest_through_compaction(spark, tmp):
+    lake = Lake(spark, tmp + "/lake", latest_default=True, log_compact_batches=2)
+    lake.define(DatasetDefinition("t", incoming=MAP_V))
+    rows = [("a", 9, "a-newest", 1), ("a", 3, "a-older", 2), ("b", None, "b1", 3), ("b", None, "b2", 4), ("c", 5, "c", 5)]
+    lake.write_incremental("t", _ents(spark, rows), 1, "b1", ("_arrival",))
+    lake.write_incremental("t", _ents(spark, [("c", 1, "c-later", 1)]), 2, "b2", ("_arrival",))
+    assert [b["level"] for b in lake.state("t").log] == [1]
+    want = [("a", "a-newest"), ("b", "b2"), ("c", "c-later")]
+    assert sorted((r.id, r.v) for r in lake.newest("t").collect()) == want
+    assert sorted((r.id, r.v) for r in lake.latest("t").collect()) == want
+
+
+def test_record_token_in_custom_expressions():
+    from entitylake.operators.incoming import entity_expression
+
+    assert entity_expression('$1:props:"urn:a"::string') == """variant_get(entity, '$["props"]["urn:a"]', 'variant')::string"""
+    assert entity_expression("concat('$1 ', $1:id::string)") == """concat('$1 ', variant_get(entity, '$["id"]', 'variant')::string)"""
+    assert entity_expression("to_json($1)") == "to_json(entity)" and entity_expression("$10 + x") == "$10 + x"

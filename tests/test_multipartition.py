@@ -12,7 +12,7 @@ from entitylake.model import DatasetDefinition
 from entitylake.operators.dedup import newest_per_id
 from entitylake.session import scratch_dir
 from entitylake.sinks.stage import write_stage
-from entitylake.sources.entity_files import read_stage
+from entitylake.sources.entity_files import STAGE_ORDER, read_stage
 from tests.conftest import SF
 from tools.check_oracle import rows_of
 
@@ -54,8 +54,8 @@ def test_dedup_with_shuffled_multi_partition_batch(spark):
         F.variant_get("entity", "$.id", "string").alias("id"),
         F.try_variant_get("entity", "$.recorded", "bigint").alias("recorded"),
         F.variant_get("entity", f'$.props["{w.EVENT}event_id"]', "bigint").alias("event_id"),
-        "_file", "_blk", "_ix", "_elem",
+        *STAGE_ORDER,
     )
-    got = newest_per_id(staged, "recorded", ("_file", "_blk", "_ix", "_elem")).select("id", "recorded", "event_id")
+    got = newest_per_id(staged, "recorded", STAGE_ORDER).select("id", "recorded", "event_id")
     cols, rows = _oracle("dedup_batch")
     assert Counter(rows_of(got.columns, [tuple(r) for r in got.collect()])) == Counter(rows_of(cols, rows))

@@ -2,9 +2,10 @@
 
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
-from entitylake.plans.read import since_window
+from entitylake.plans.read import page_bound, since_window
 from tests.conftest import SF
 
 
@@ -25,7 +26,7 @@ def test_pages_cover_every_row_once_with_ties(spark):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     n_dates = orders.select("o_orderdate").distinct().count()
     assert n_dates < orders.count()  # the since column has ties
-    seen, pages = _page_all(orders, "o_orderdate", 97)
+    seen, pages = _page_all(orders, "o_orderdate", 200)
     assert len(seen) == orders.count() and set(seen.values()) == {1}
     assert pages > 5
 
@@ -43,69 +44,59 @@ def test_null_since_values_are_never_returned(spark):
     assert since_window(df, "s").rows.where(F.col("s").isNull()).count() == 0
 
 
-def test_narrowed_bound_equals_plain_top_n(spark):
-    from entitylake.plans.read import page_bound
-
-    ev = spark.read.parquet(f"{SF}/events.parquet")
-    # string since columns narrow through their byte-prefix key: short, multi-byte and long shared prefixes
-    ev = ev.select(
-        "*",
-        F.concat(F.col("props"), F.col("event_id")).alias("s_text"),
-        F.concat(F.lit("é"), F.col("user_id"), F.lit("ü"), F.col("event_id")).alias("s_utf8"),
-        F.concat(F.lit("shared-prefix-"), F.col("value")).alias("s_long"),
-    )
-    for n in (1, 7, 50, 333, 5000):
-        for col in ("ts", "event_id", "event_type", "s_text", "s_utf8", "s_long"):
-            plain = ev.select(col).orderBy(col).limit(n).agg(F.max(col)).first()[0]
-            for final in (n + 5, None):
-                assert page_bound(ev, col, n, final_rows=final).first()[0] == plain, (col, n, final)
-
-
-def test_paging_with_narrowing_every_page(spark, monkeypatch):
-    import entitylake.plans.read as rd
-
-    orig = rd.page_bound
-    monkeypatch.setattr(rd, "page_bound", lambda lower, column, n, final_rows=None: orig(lower, column, n, n + 3))
-    orders = spark.read.parquet(f"{SF}/orders.parquet")
-    seen, pages = _page_all(orders, "o_orderdate", 200)
-    assert len(seen) == orders.count() and set(seen.values()) == {1}
-
 
-def test_string_order_key_never_decreases(spark):
-    from entitylake.plans.read import order_key
-    from pyspark.sql import types as T
+def _plain_bound(spark, df, col, n):
+    values = sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).collect())
+    return values[min(n, len(values)) - 1]
 
-    words = ["", "a", "a\x00", "ab", "abcdefgh", "abcdefgi", "b", "z" * 20, "é", "ü", "中文", "\U0001f600"]
-    df = spark.createDataFrame([(w,) for w in words], "s string")
-    rows = df.select("s", order_key(F.col("s"), T.StringType()).alias("k")).orderBy("s").collect()
-    keys = [r.k for r in rows]
-    assert keys == sorted(keys) and min(keys) >= 0
 
+def test_page_bound_is_the_nth_smallest_value(spark):
+    ev = spark.read.parquet(f"{SF}/events.parquet").withColumn("tie", F.col("user_id") % 3)
+    for col in ("ts", "event_id", "value", "event_type", "tie"):
+        for n in (1, 7, 500, 10**9):
+            assert page_bound(ev, col, n).first()[0] == _plain_bound(spark, ev, col, n), (col, n)
 
-def test_paging_a_string_column_with_narrowing_every_page(spark, monkeypatch):
-    import entitylake.plans.read as rd
 
-    orig = rd.page_bound
-    monkeypatch.setattr(rd, "page_bound", lambda lower, column, n, final_rows=None: orig(lower, column, n, n + 3))
-    orders = spark.read.parquet(f"{SF}/orders.parquet").withColumn(
-        "s", F.concat(F.col("o_orderdate").cast("string"), F.lit(" "), F.col("o_orderpriority"))
-    )  # ties, and a 7-byte key that only tells months apart
-    seen, pages = _page_all(orders, "s", 300)
-    assert len(seen) == orders.where(F.col("s").isNotNull()).count() and set(seen.values()) == {1}
+def test_all_pages_cover_the_feed_in_order(spark):
+    from entitylake.model import DatasetDefinition, OutgoingMapping, OutgoingPropertyMapping, SourceConfig
+    from entitylake.functions.tokens import decode_token
+    from entitylake.plans.read import all_pages
 
-
-def test_limit_without_since_column_gathers_a_bounded_number_of_rows(spark, monkeypatch):
-    import entitylake.plans.read as rd
-
-    orders = spark.read.parquet(f"{SF}/orders.parquet").repartition(12)
-    plain = rd.any_rows(orders, 40)
-    assert plain.count() == 40 and "Coalesce" not in plain._jdf.queryExecution().executedPlan().toString()
-    monkeypatch.setattr(rd, "TOP_N_GATHER_MAX", 100)  # 40 rows x 12 partitions is now over the bound
-    limited = rd.any_rows(orders, 40)
-    assert "Coalesce 2" in limited._jdf.queryExecution().executedPlan().toString()
-    keys = [r.o_orderkey for r in limited.collect()]
-    assert len(keys) == 40 == len(set(keys))
-    assert limited.join(orders, "o_orderkey", "left_anti").count() == 0
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    out = OutgoingMapping(property_mappings=(OutgoingPropertyMapping("o_orderkey", is_identity=True), OutgoingPropertyMapping("o_orderdate", "d", "string")))
+    ds = DatasetDefinition("o", SourceConfig(since_column="O_OrderDate"), outgoing=out)
+    rows = all_pages(orders, ds, 200).select("id", "page", "token", F.variant_get("props", "$.d", "string").alias("d")).collect()
+    assert Counter(r.id for r in rows) == Counter(str(r.o_orderkey) for r in orders.collect())
+    by_page = {}
+    for r in rows:
+        by_page.setdefault(r.page, []).append(r)
+    bounds = [(min(r.d for r in p), max(r.d for r in p), {r.token for r in p}) for _, p in sorted(by_page.items())]
+    assert all(len(t) == 1 for _, _, t in bounds) and all(a[1] < b[0] for a, b in zip(bounds, bounds[1:]))
+    second = all_pages(orders, ds, 200, next(iter(bounds[0][2])))  # from the first page's token on
+    assert second.count() == len(rows) - len(by_page[0]) and decode_token(next(iter(bounds[0][2])))
+
+
+def test_since_column_in_another_case(spark):
+    df = spark.createDataFrame([(1,), (2,)], "recorded bigint")
+    assert since_window(df, "RECORDED").token == since_window(df, "recorded").token
+    both = spark.createDataFrame([(1, 2)], "a int, b int")
+    with pytest.raises(ValueError, match="missing"):
+        since_window(both, "c")
+
+
+def test_since_bound_in_a_repeated_hour(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Oslo")
+    try:
+        # 00:30 and 01:30 UTC are both 02:30 local time on that day
+        df = spark.createDataFrame([(1729989000,), (1729992600,)], "s bigint").select("s", F.timestamp_seconds("s").alias("t"))
+        first = since_window(df, "t")
+        assert first.rows.count() == 2
+        paged = since_window(df, "t", limit=1)
+        assert [r.s for r in paged.rows.collect()] == [1729989000]
+        assert [r.s for r in since_window(df, "t", paged.token).rows.collect()] == [1729992600]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_limited_read_without_since_column_ignores_the_token(spark):

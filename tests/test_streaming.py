@@ -28,7 +28,7 @@ def test_stream_restart_is_exactly_once(spark, tmp):
     _land(landing, "b", ['{"id":"x:1","props":{"x:v":"b1"}}'], now + 10)
     ingest_stream(lake, "s", landing, ckpt, 1000)
     st = lake.state("s")
-    assert sorted(b["load_ns"] for b in st.log) == [1000, 1001]  # one batch per file, in arrival order
+    assert sorted(b["load_ns_max"] for b in st.log) == [1000, 1001]  # one batch per file, in arrival order
     assert sorted((r.id, r.v, r.recorded) for r in lake.latest("s").collect()) == [
         ("http://example.org/1", "b1", 1001),
         ("http://example.org/2", "a2", 1000),
@@ -42,3 +42,20 @@ def test_stream_restart_is_exactly_once(spark, tmp):
         ("http://example.org/2", "c2"),
     ]
     assert lake.log("s").count() == 4
+
+
+def test_files_of_one_micro_batch_load_as_if_one_by_one(spark, tmp):
+    landing, now = tmp + "/landing", time.time() - 1000
+    for k in range(6):  # names sort against their modification times
+        rows = [f'{{"id":"x:{i}","recorded":{100 - k},"props":{{"x:v":"file{k}"}}}}' for i in range(k, 6)] + [f'{{"props":{{"x:v":"none{k}"}}}}']
+        _land(landing, f"z{9 - k}", rows, now + 10 * k)
+    results = []
+    for n in (1, 4, 8):
+        lake = Lake(spark, f"{tmp}/lake{n}", latest_default=True, buckets=4)
+        lake.define(DatasetDefinition("s", incoming=MAP))
+        ingest_stream(lake, "s", landing, f"{tmp}/ckpt{n}", 1000, files_per_batch=n)
+        assert len(lake.state("s").log) == -(-6 // n)
+        results.append(sorted((str(r.id), r.v, r.recorded) for r in lake.latest("s").collect()))
+        assert lake.log("s").count() == 27
+    assert results[0] == results[1] == results[2]
+    assert ("http://example.org/5", "file5", 1005) in results[0] and ("None", "none0", 1000) in results[0]
