@@ -112,8 +112,9 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, model, "doc_id").select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
-    """Documents whose language is recognised (not ``und``, score at least ``least_score``), all columns."""
+def keep_known(docs: DataFrame, least_score: float = 0.0) -> DataFrame:
+    """Documents that have a language (not ``und``) with at least ``least_score``, all columns.  By default a
+    text is rejected only when it has no letters: short texts have honest scores well below 1."""
     held_out = remainder(F.col("doc_id"), 4) == 2
     model = train(docs.filter(~held_out))
     rows = docs.select(whole_row(docs).alias("row"), "text")
