@@ -36,7 +36,7 @@ MAX_CELLS = 1024
 CELL_ROWS = 500
 PROBES = 4
 STEPS = 4
-BLOCK_ROWS = 1000
+BLOCK_ROWS = 400
 
 
 def matrix(column: pa.Array) -> np.ndarray:
