@@ -41,9 +41,11 @@ def _q(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession,
 
 def _optional(module: str, name: str) -> dict:
     """``module.name`` if the module is there at all; an error inside a module that is there is raised."""
-    if importlib.util.find_spec(module.rpartition(".")[0] or module) is None:
-        return {}
-    return getattr(importlib.import_module(module), name)
+    try:
+        found = importlib.util.find_spec(module)
+    except ModuleNotFoundError:  # its package is not there
+        found = None
+    return getattr(importlib.import_module(module), name) if found else {}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
