@@ -117,7 +117,41 @@ select d.doc_id, case when d.text is null then null else coalesce(o.text, '') en
    cast(coalesce(n_lines, 0) as bigint) as n_lines, cast(coalesce(lines_gone, 0) as bigint) as lines_gone from d left join o on d.rid = o.rid"""
 
 
+def jaccard_sql(words: int = 3, num: int = 90, den: int = 100) -> str:
+    low = LOWER.format("coalesce(text, '')")
+    return f"""
+with recursive d as (select doc_id, list_filter(regexp_split_to_array({low}, '[ \t-\r]+'), lambda x: x <> '') as w from documents),
+sh as (select distinct doc_id, s from (
+  select doc_id, list_slice(w, k, k + {words} - 1) as s from (select doc_id, w, unnest(generate_series(1, greatest(len(w) - {words} + 1, 1))) as k from d where len(w) > 0))),
+n as (select doc_id, count(*) as n from sh group by doc_id),
+p as (select a.doc_id as x, b.doc_id as y, count(*) as i from sh a join sh b on a.s = b.s and a.doc_id < b.doc_id group by all),
+l as (select x, y, i = n1.n and i = n2.n as same from p join n n1 on n1.doc_id = x join n n2 on n2.doc_id = y where {den} * i >= {num} * (n1.n + n2.n - i)),
+sym as (select x as a, y as b from l union select y, x from l),
+reach(a, b) as (select doc_id, doc_id from d union select r.a, s.b from reach r join sym s on r.b = s.a),
+c as (select a, min(b) as component from reach group by a),
+eq as (select y, min(x) as first from l where same group by y)
+select d.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, c.component as component_id,
+       case when n.n > 0 then least(d.doc_id, coalesce(eq.first, d.doc_id)) end as set_id
+from d left join n on n.doc_id = d.doc_id join c on c.a = d.doc_id left join eq on eq.y = d.doc_id"""
+
+
+def embedding_sql(threshold: float = 0.98) -> str:
+    return f"""
+with recursive v as (select vec_id, label, cast(embedding as double[]) as e from embeddings),
+ok as (select * from v where label is not null and vec_id is not null and len(e) > 0
+  and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(e, lambda x: x <> 0)) > 0),
+l as (select a.vec_id as a, b.vec_id as b from ok a join ok b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= {threshold}),
+reach(a, b) as (select vec_id, vec_id from v union select r.a, l.b from reach r join l on r.b = l.a),
+c as (select a, min(b) as component from reach group by a),
+n as (select a, count(*) as n from l group by a)
+select v.vec_id, cast(coalesce(n.n, 0) as bigint) as n_links, c.component as component_id, v.vec_id = c.component as kept
+from v join c on c.a = v.vec_id left join n on n.a = v.vec_id"""
+
+
 ORACLES = {
+    "op5_jaccard_join": jaccard_sql(),
+    "op7_embedding_dedup": embedding_sql(),
     "op1_line_dedup": line_dedup_sql(),
     "op2_url_filter": url_filter_sql(),
     "op3_mixing": mixing_sql(),
