@@ -246,22 +246,27 @@ def _entry_filter(sim: Similarity, x: str, y: str) -> str:
 def classes(spool: Spool, docs: DataFrame, sim: Similarity) -> tuple[DataFrame, DataFrame]:
     """``(rows, reps)``: set size and digest of every row; one row per distinct non-empty set."""
     heavy = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, sim))
-    rows = spool.put(features(docs, sim, heavy), "features")
+    whole = spool.put(features(docs, sim, heavy), "features")
+    rows = spool.put(whole.select("doc_id", "n", "d1", "d2"), "rows")
     first = rows.filter("n > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
-    reps = (
-        rows.filter("n > 0").join(first, ["d1", "d2"]).filter("doc_id = rep").select("rep", "n", "d1", "d2", "wide", "sk", "prefix").dropDuplicates(["d1", "d2"])
-    )
-    return rows, spool.put(reps, "reps")
+    of_rep = whole.filter("n > 0").join(first, ["d1", "d2"]).filter("doc_id = rep").dropDuplicates(["d1", "d2"])
+    reps = spool.put(of_rep.select("rep", "n", "d1", "d2", "wide", "sk", "prefix"), "reps")
+    spool.drop(whole)
+    return rows, reps
 
 
 def links(spool: Spool, docs: DataFrame, reps: DataFrame, sim: Similarity) -> DataFrame:
     """Verified links ``(a, b)`` between class representatives that connect all components."""
     lists = reps.select("rep", "n", F.posexplode("prefix").alias("pos", "key"))
+    shared = lists.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
+    index = spool.put(lists.join(shared, "key").select("key", "rep", "n", "pos"), "index")
     # the entry with the earliest position has the fewest shingles of its own before the shared one
-    shared = lists.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("pos", "rep", "n")).alias("top")).filter("c > 1").drop("c")
-    index = spool.put(lists.join(shared, "key").select("key", "rep", "n", "pos", F.col("top.rep").alias("leader"), F.col("top.n").alias("ln"), F.col("top.pos").alias("lpos")), "index")
+    heads = index.groupBy("key").agg(F.min(F.struct("pos", "rep", "n")).alias("top")).select(
+        "key", F.col("top.rep").alias("leader"), F.col("top.n").alias("ln"), F.col("top.pos").alias("lpos")
+    )
     to_leader = (
-        index.filter(f"rep <> leader and {_sizes_fit(sim, 'n', 'ln')} and pos + lpos <= {sim.most_apart('n + ln')}")
+        index.join(heads, "key")
+        .filter(f"rep <> leader and {_sizes_fit(sim, 'n', 'ln')} and pos + lpos <= {sim.most_apart('n + ln')}")
         .groupBy("rep", "leader").agg(F.count(F.lit(1)).alias("c"))
         .groupBy("rep").agg(F.max(F.struct("c", "leader")).alias("best"))
         .select(F.least("rep", "best.leader").alias("a"), F.greatest("rep", "best.leader").alias("b")).distinct()
@@ -270,7 +275,8 @@ def links(spool: Spool, docs: DataFrame, reps: DataFrame, sim: Similarity) -> Da
     near = _verified(spool, docs, pairs, sim, "leader")
     label = connected_components(spool, near, "a", "b").withColumnRenamed("node", "rep")
     grouped = reps.select("rep", "sk").join(label, "rep", "left").select("rep", "sk", F.coalesce("component", "rep").alias("component"))
-    entries = spool.put(index.select("key", "rep", "n", "pos").join(grouped, "rep"), "entries")
+    entries = spool.put(index.join(grouped, "rep"), "entries")
+    spool.drop(index)
     across = entries.alias("x").join(
         entries.alias("y"), F.expr(f"x.key = y.key and x.component < y.component and {_entry_filter(sim, 'x', 'y')}")
     )
@@ -290,8 +296,7 @@ def groups(docs: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
     )
     own = F.col("n") == 0
     return (
-        rows.select("doc_id", "n", "d1", "d2")
-        .join(of_set, ["d1", "d2"], "left")
+        rows.join(of_set, ["d1", "d2"], "left")
         .select(
             "doc_id",
             F.col("n").alias("n_shingles"),
