@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entitylake.llm.bytetext import batch_column, slices
@@ -85,7 +85,6 @@ def gram_counts(docs: DataFrame, group: str | None, fold_case: bool) -> DataFram
 def kept_counts(grams: DataFrame, max_contexts: int) -> pd.DataFrame:
     """``(grp, k, ctx, sym, n)`` of all kept contexts of orders 0 to DEPTH; at most ``max_contexts`` contexts of an order
     and a group, so the result is bounded.  ``ctx`` has the nearest byte lowest."""
-    total = F.sum("n").over(Window.partitionBy("grp", "k"))
     out = None
     for k in range(DEPTH + 1):
         part = (
@@ -95,7 +94,8 @@ def kept_counts(grams: DataFrame, max_contexts: int) -> pd.DataFrame:
             .withColumn("k", F.lit(k))
         )
         out = part if out is None else out.unionByName(part)
-    held = out.groupBy("grp", "k", "ctx").agg(F.sum("n").alias("n")).withColumn("total", total).filter(F.col("n") * max_contexts >= F.col("total"))
+    total = grams.groupBy("grp").agg(F.sum("n").alias("total"))  # every byte has one context of each order
+    held = out.groupBy("grp", "k", "ctx").agg(F.sum("n").alias("n")).join(total, "grp").filter(F.col("n") * max_contexts >= F.col("total"))
     kept = out.join(held.select("grp", "k", "ctx"), ["grp", "k", "ctx"]).select("grp", "k", "ctx", "sym", "n")
     return kept.toArrow().to_pandas()
 
