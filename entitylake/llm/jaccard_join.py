@@ -4,9 +4,9 @@ Documents are sets of word shingles; two link when their Jaccard similarity reac
 ``num / den``.  The join is exact and works on set relations instead of single sets:
 
 * Equal sets are one class (128-bit digest); only its smallest id takes part.
-* Index level: a prefix of each set, in one global order (rare before frequent shingles), is
-  an inverted list entry ``(shingle, id, size, position)``, joined by a 256-bit parity sketch before lists are compared.  Inside a
-  list, entries are skipped without looking at the sets when sizes cannot reach the
+* Index level: a prefix of each set, in one global order (rare before frequent shingles), gives
+  inverted list entries ``(shingle, id, size, position)``; before lists are compared, entries get
+  a 256-bit parity sketch of their set.  Inside a list, entries are skipped without looking at the sets when sizes cannot reach the
   similarity, when the positions of the shared shingle already use up the allowed
   difference, or when the sketches differ in more bits than the sets may differ in elements.
   Pairs that are left meet a wider sketch (as many bits as the set has shingles) before any
@@ -110,7 +110,7 @@ def frequent_shingles(docs: DataFrame, sim: Similarity) -> np.ndarray:
             yield report()
 
     local = docs.select("text").mapInArrow(count, "s long, n long")
-    n_docs = docs.select("text").filter("text <> ''").count()
+    n_docs = docs.count()
     often = local.groupBy("s").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(least, share * n_docs))
     rows = often.orderBy(F.desc("n"), "s").limit(HEAVY_MAX).select("s").collect()
     return np.sort(np.array([r[0] for r in rows], np.int64)).view(np.uint64)
