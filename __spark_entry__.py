@@ -292,7 +292,7 @@ select {_events_log_cols(f"concat('{EV}', event_id)", 'events_log', 'recorded_')
 select {_events_log_cols(f"concat('{EV}', event_id)", 'events_weekly',
                          "cast(1700000000000000000 as bigint) + cast(floor(datediff('day', date '2024-01-01', cast(ts as date)) / 7) as bigint)")}
 from events""",
-        "staged_row_order": f"select concat('{OR}', o_orderkey) as id, cast(0 as bigint) as key_gap, true as within_cap from orders",
+        "staged_row_order": f"select concat('{OR}', o_orderkey) as id, cast(0 as bigint) as key_gap, true as within_cap, true as one_time from orders",
         "full_sync_replace": _customers(),
         "full_sync_restart": _customers(),
         "entity_feed": f"""

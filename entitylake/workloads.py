@@ -510,6 +510,7 @@ def staged_row_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.variant_get("entity", "$.id", "string").alias("id"),
         F.variant_get("entity", f'$.props["{ORDER}key"]', "bigint").alias("key"),
         "_file",
+        "_fts",
         "_blk",
         "_ix",
     )
@@ -519,6 +520,7 @@ def staged_row_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id",
         (F.col("key") - F.min("key").over(in_file) + 1 - row).alias("key_gap"),
         (F.count(F.lit(1)).over(in_file) <= per_file).alias("within_cap"),
+        (F.col("_fts") == F.max("_fts").over(in_file)).alias("one_time"),  # a file has one modification time
     )
 
 
