@@ -50,7 +50,7 @@ def vector_classes(vectors: DataFrame) -> DataFrame:
     """``(label, dim, vec, rep, copies)`` of linkable vectors; ``rep``: smallest id of the equal ones."""
     ok = "label is not null and vec_id is not null and size(vec) > 0 and forall(vec, x -> x is not null and not isnan(x) and abs(x) < double('Infinity')) and exists(vec, x -> x <> 0)"
     return (
-        vectors.select("vec_id", F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("vec"))
+        vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("vec"))
         .filter(ok)
         .groupBy("label", "vec").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
         .withColumn("dim", F.size("vec"))
@@ -162,7 +162,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     for dim, n_rows in classes.groupBy("dim").count().orderBy("dim").collect():  # one row per vector length
         part = spool.put(_links(spool, classes, dim, n_rows, threshold), f"links-{dim}")
         found = part if found is None else found.union(part)
-    base = vectors.select("vec_id", F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("vec"))
+    base = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("vec"))
     if found is None:
         return base.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
     edges = found.filter("rep <> other").select("rep", "other")

@@ -259,7 +259,7 @@ def deduce(pages: DataFrame) -> DataFrame:
 def main_texts(pages: DataFrame) -> DataFrame:
     """Per row: page_id, url, text, n_chars."""
     spool = Spool(pages.sparkSession, "html")
-    base = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), "html")
+    base = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host_of(F.col("url")).alias("host"), "html")
     keyed = base.select("host", F.xxhash64("page_id", "url", "html").alias("page"), "html")
     found = spool.put(deduce(keyed), "templates").select(F.col("host").alias("t_host"), "path")
 

@@ -288,7 +288,7 @@ def links(spool: Spool, docs: DataFrame, reps: DataFrame, sim: Similarity) -> Da
 def groups(docs: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, set_id (representative of the row's equal sets)."""
     spool = Spool(docs.sparkSession, "jaccard")
-    docs = docs.select("doc_id", "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows, reps = classes(spool, docs, sim)
     label = connected_components(spool, links(spool, docs, reps, sim), "a", "b").withColumnRenamed("node", "rep")
     of_set = spool.put(

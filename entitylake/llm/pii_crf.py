@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from entitylake.llm.bytetext import WHITE_SPACE, batch_column, slices
 
@@ -431,7 +432,7 @@ def find(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
                     [ids.slice(a, n), *columns], ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_labelled", "n_added"]
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, OUT)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, OUT)
 
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
