@@ -309,3 +309,17 @@ def test_templates_leave_out_fixed_text_without_telling_names(spark):
     rows = [(i, f"http://q.de/{i}", page.format(f"story {i} " * 30)) for i in range(6)]
     got = {r.page_id: r.text for r in html_template.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == {i: (f"story {i} " * 30).strip() for i in range(6)}
+
+
+def test_pipeline_stages_take_any_documents(spark, docs, nothing):
+    import corpus_pipeline
+    from tests.conftest import SF
+
+    for table in (docs, nothing):
+        frame = table
+        for name, stage in corpus_pipeline.STAGES:
+            frame = stage(spark, frame, SF)
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert frame.columns == docs.columns, name
+        rows = frame.collect()
+        assert len(rows) == 0 or {r.doc_id for r in rows} <= {4, 5, 6, 7, 8, 9, 10, 12, None}
