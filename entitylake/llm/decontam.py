@@ -8,7 +8,7 @@ counts as hit.
 
 Scale: one pass over the texts, no shuffle of texts.  The windows are distinct and joined by
 hash; they are written and counted first and broadcast up to BROADCAST_WINDOWS (a benchmark
-of ordinary size); beyond that the positions are shuffled.  Per document
+of ordinary size); beyond that the positions, each with its window, are shuffled.  Per document
 one header row and one row per hit position are grouped; a position hits at most one distinct
 window of a length, however many items share it.
 
@@ -58,8 +58,6 @@ def benchmark_windows(spool: Spool, benchmark: DataFrame, size: int) -> tuple[Da
         lambda acc, n: acc.when(F.col("win_len") == n, _window_hash("win", "0", n)), lengths, F.when(F.lit(False), F.lit(0).cast("long"))
     )
     distinct = spool.put(members.select("win", "win_len").distinct().withColumn("h", by_len), "hashes")
-    if distinct.count() <= BROADCAST_WINDOWS:
-        distinct = F.broadcast(distinct)
     return distinct, members.select("win", "item_id"), lengths
 
 
@@ -67,21 +65,27 @@ def find_hits(spool: Spool, docs: DataFrame, benchmark: DataFrame, size: int = 1
     """One row per document row: ``doc_id, n_words, hits`` (sorted start/end word ranges, end exclusive) and
     ``wins``, the distinct windows found."""
     distinct, members, lengths = benchmark_windows(spool, benchmark, size)
+    small = distinct.count() <= BROADCAST_WINDOWS
     texts = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").alias("doc_id"), normal_words(F.col("text")).alias("dw"))
     rows = texts.select("uid", "doc_id", "dw", F.posexplode_outer("dw").alias("pos", "first_word"))
-    rows = rows.withColumn("pos", F.coalesce("pos", F.lit(0)))
+    rows = rows.select("uid", "doc_id", "dw", F.coalesce("pos", F.lit(0)).alias("pos"), F.size("dw").alias("size"))
+    for n in lengths:
+        rows = rows.withColumn(f"k{n}", F.when(F.col("pos") + n <= F.col("size"), _window_hash("dw", "pos", n)))
+        if not small:
+            rows = rows.withColumn(f"s{n}", F.slice("dw", F.col("pos") + 1, n))
+    if not small:  # what is shuffled is a position with its window, not the text
+        rows = rows.drop("dw")
     for n in lengths:
         probe = distinct.filter(F.col("win_len") == n).select(F.col("h").alias(f"h{n}"), F.col("win").alias(f"w{n}"))
-        at = F.when(F.col("pos") + n <= F.size("dw"), _window_hash("dw", "pos", n))
-        same = F.expr(" and ".join(f"get(dw, pos + {k}) = w{n}[{k}]" for k in range(n)))
-        rows = rows.withColumn(f"k{n}", at).join(probe, (F.col(f"k{n}") == F.col(f"h{n}")) & same, "left")
+        same = F.expr(" and ".join(f"get(dw, pos + {k}) = w{n}[{k}]" for k in range(n)) if small else f"s{n} = w{n}")
+        rows = rows.join(F.broadcast(probe) if small else probe, (F.col(f"k{n}") == F.col(f"h{n}")) & same, "left")
     found = reduce(lambda x, y: x | y, [F.col(f"w{n}").isNotNull() for n in lengths], F.lit(False))
     hit_list = [F.struct(F.col("pos").alias("s"), (F.col("pos") + n).alias("e"), F.col(f"w{n}").alias("w")) for n in lengths]
     none = F.expr("array(named_struct('s', 0, 'e', 0, 'w', cast(null as array<string>)))")
     hits = F.filter(F.array(*hit_list) if hit_list else none, lambda x: x["w"].isNotNull())
     return (
         rows.filter(found | (F.col("pos") == 0))
-        .select("uid", "doc_id", F.when(F.col("pos") == 0, F.size("dw")).cast("long").alias("nw"), hits.alias("hits"))
+        .select("uid", "doc_id", F.when(F.col("pos") == 0, F.col("size")).cast("long").alias("nw"), hits.alias("hits"))
         .groupBy("uid", "doc_id")
         .agg(F.max("nw").alias("n_words"), F.flatten(F.collect_list("hits")).alias("hits"))
         .select(

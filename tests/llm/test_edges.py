@@ -323,3 +323,12 @@ def test_pipeline_stages_take_any_documents(spark, docs, nothing):
                 assert frame.columns == docs.columns, name
         rows = frame.collect()
         assert len(rows) == 0 or {r.doc_id for r in rows} <= {4, 5, 6, 7, 8, 9, 10, 12, None}
+
+
+def test_decontamination_with_a_benchmark_too_large_to_broadcast(spark, monkeypatch):
+    from tests.conftest import SF
+
+    docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    wanted = sorted(map(str, decontam.judge(docs, bench).collect()))
+    monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", 0)
+    assert sorted(map(str, decontam.judge(docs, bench).collect())) == wanted
