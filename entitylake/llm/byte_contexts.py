@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entitylake.llm.bytetext import batch_column, slices
+from entitylake.llm.common import Spool
 
 DEPTH = 3
 FOLD = np.arange(256, dtype=np.uint8)
@@ -85,6 +86,8 @@ def gram_counts(docs: DataFrame, group: str | None, fold_case: bool) -> DataFram
 def kept_counts(grams: DataFrame, max_contexts: int) -> pd.DataFrame:
     """``(grp, k, ctx, sym, n)`` of all kept contexts of orders 0 to DEPTH; at most ``max_contexts`` contexts of an order
     and a group, so the result is bounded.  ``ctx`` has the nearest byte lowest."""
+    spool = Spool(grams.sparkSession, "contexts")
+    grams = spool.put(grams, "grams")  # read several times, counted once
     out = None
     for k in range(DEPTH + 1):
         part = (
@@ -94,6 +97,7 @@ def kept_counts(grams: DataFrame, max_contexts: int) -> pd.DataFrame:
             .withColumn("k", F.lit(k))
         )
         out = part if out is None else out.unionByName(part)
+    out = spool.put(out, "orders")
     total = grams.groupBy("grp").agg(F.sum("n").alias("total"))  # every byte has one context of each order
     held = out.groupBy("grp", "k", "ctx").agg(F.sum("n").alias("n")).join(total, "grp").filter(F.col("n") * max_contexts >= F.col("total"))
     kept = out.join(held.select("grp", "k", "ctx"), ["grp", "k", "ctx"]).select("grp", "k", "ctx", "sym", "n")
