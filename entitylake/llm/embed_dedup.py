@@ -1,17 +1,21 @@
 """Embedding near-dedup: spherical k-means cells, blocked cosine products, one representative per group.
 
 Vectors of equal label and equal components are one class.  Spherical k-means (Lloyd's steps run
-as Spark jobs over all classes, seeded by id hash) gives at most MAX_CELLS centroids.  Each class
-goes to its nearest cell (home) and to the next nearest ones; pairs are compared in the home cell
-of either member, once each: in the lower-numbered of the two home cells if both members are there,
-else in the other.  Within a cell and label, classes are dealt into blocks of about BLOCK_ROWS
-rows and every pair of blocks is one task's matrix product, so no cell or label grows into one
-task.  A block reports link counts per class and edges to the smallest linked id only (a
-spanning forest), never all pairs of a group.  Components are then found over those edges.
-
-Every linked pair has cosine >= threshold, computed in double precision from the whole vectors.
-A pair can be missed only when no home cell holds both members; with PROBES cells per class the
-measured recall on the given tables is in the README and tested against brute force.
+as Spark jobs over all classes, seeded by id hash) gives at most MAX_CELLS centroids, and of
+centroids within the link angle of each other one stays, so a group of near copies is one cell
+however large it is.  Each class has its nearest cell as home and visits every lower-numbered
+cell that can be the home of a class linked to it; a pair is compared in the lower-numbered of
+its two homes.  Within a cell and label, classes are dealt into blocks of about BLOCK_ROWS
+rows and every pair of blocks with home classes is one task's matrix product, so no cell or
+label grows into one task.  A block reports link counts per class and edges to the smallest
+linked id only (a spanning forest), never all pairs of a group.  Components are then found over
+those edges.
+
+No pair is missed.  Linked x and y are at most the link chord apart, and y is no nearer to the
+home h of x than to its own home c, so x lies at most that chord beyond the plane between h and c.
+The angle from x to c differs from that of y by the link angle at most, so it is within
+the link angle of the range of angles of the classes at home in c.  A class visits all cells that pass
+both tests.  The cosine is computed in double precision from the whole vectors.
 
 Defined results: vectors that are null, empty, all zero or hold null or non-finite components,
 and rows without a label, link with nothing and are kept; vectors of different length do not
@@ -34,9 +38,10 @@ from entitylake.llm.common import Spool, connected_components
 
 MAX_CELLS = 1024
 CELL_ROWS = 500
-PROBES = 4
 STEPS = 4
 BLOCK_ROWS = 400
+CHUNK_ROWS = 2048
+SLACK = 1e-6  # of angles and distances, far above the rounding of double precision
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -57,11 +62,8 @@ def vector_classes(vectors: DataFrame) -> DataFrame:
     )
 
 
-def _nearest(x: np.ndarray, centroids: np.ndarray, m: int) -> np.ndarray:
-    near = x @ centroids.T
-    m = min(m, len(centroids))
-    best = np.argpartition(-near, m - 1, axis=1)[:, :m]
-    return np.take_along_axis(best, np.argsort(-np.take_along_axis(near, best, 1), axis=1, kind="stable"), 1)
+def _nearest(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    return (x @ centroids.T).argmax(axis=1)
 
 
 def spherical_kmeans(classes: DataFrame, dim: int, n_rows: int) -> np.ndarray:
@@ -76,7 +78,7 @@ def spherical_kmeans(classes: DataFrame, dim: int, n_rows: int) -> np.ndarray:
         for batch in batches:
             if len(batch):
                 x = matrix(batch_column(batch, "vec"))
-                np.add.at(total, _nearest(x, centroids, 1)[:, 0], x)
+                np.add.at(total, _nearest(x, centroids), x)
         used = np.flatnonzero(total.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(used), list_array(pa.array(total[used].ravel()), np.full(len(used), dim))], ["cell", "total"])
 
@@ -90,14 +92,73 @@ def spherical_kmeans(classes: DataFrame, dim: int, n_rows: int) -> np.ndarray:
     return centroids
 
 
-def _assign(own: DataFrame, centroids: np.ndarray) -> DataFrame:
+def _apart(centroids: np.ndarray, threshold: float) -> np.ndarray:
+    """The centroids without those within the link angle of an earlier one that stays."""
+    stay: list[int] = []
+    for i, near in enumerate(centroids @ centroids.T):
+        if not stay or near[stay].max() < threshold:
+            stay.append(i)
+    return centroids[stay]
+
+
+def _angles(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(x @ centroids.T, -1, 1))
+
+
+def _chunks(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    x = matrix(batch_column(batch, "vec")) if len(batch) else np.zeros((0, 1))
+    for at in range(0, len(x), CHUNK_ROWS):
+        yield x[at : at + CHUNK_ROWS]
+
+
+def _rings(own: DataFrame, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least and largest angle from each centroid to a class at home there (a tie is at home in all)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, high = np.full(len(centroids), np.inf), np.full(len(centroids), -np.inf)
+        for batch in batches:
+            for x in _chunks(batch):
+                angle = _angles(x, centroids)
+                home = angle <= angle.min(axis=1, keepdims=True) + SLACK
+                low = np.minimum(low, np.where(home, angle, np.inf).min(axis=0))
+                high = np.maximum(high, np.where(home, angle, -np.inf).max(axis=0))
+        used = np.flatnonzero(high >= low)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(low[used]), pa.array(high[used])], ["cell", "low", "high"])
+
+    rows = own.select("vec").mapInArrow(run, "cell long, low double, high double").groupBy("cell").agg(F.min("low").alias("low"), F.max("high").alias("high")).toArrow()
+    low, high = np.full(len(centroids), np.inf), np.full(len(centroids), -np.inf)
+    low[rows.column("cell").to_numpy()] = rows.column("low").to_numpy()
+    high[rows.column("cell").to_numpy()] = rows.column("high").to_numpy()
+    return low, high
+
+
+def visits(x: np.ndarray, centroids: np.ndarray, rings: tuple[np.ndarray, np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Home of each row and the lower-numbered cells that can be home of a row linked to it (rows x cells)."""
+    link, chord = np.arccos(min(1.0, threshold)), np.sqrt(max(0.0, 2 - 2 * threshold))
+    near = x @ centroids.T
+    home = near.argmax(axis=1)
+    between = np.sqrt(np.maximum(0, 2 - 2 * (centroids @ centroids.T)))
+    beyond = np.take_along_axis(near, home[:, None], 1) - near <= chord * between[home] + SLACK
+    angle = np.arccos(np.clip(near, -1, 1))
+    in_ring = (angle >= rings[0] - link - SLACK) & (angle <= rings[1] + link + SLACK)
+    return home, beyond & in_ring & (np.arange(len(centroids)) < home[:, None])
+
+
+def _assign(own: DataFrame, centroids: np.ndarray, rings: tuple[np.ndarray, np.ndarray], threshold: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = _nearest(matrix(batch_column(batch, "vec")), centroids, PROBES) if len(batch) else np.zeros((0, 1), np.int64)
-            cells = list_array(pa.array(near.astype(np.int32).ravel()), np.full(len(batch), near.shape[1]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, cells], [*batch.schema.names, "cells"])
+            homes, lists, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for x in _chunks(batch):
+                home, guest = visits(x, centroids, rings, threshold)
+                guest[np.arange(len(x)), home] = True
+                homes.append(home)
+                lists.append(np.nonzero(guest)[1])
+                sizes.append(guest.sum(axis=1))
+            cells = list_array(pa.array(np.concatenate(lists).astype(np.int32)), np.concatenate(sizes))
+            home = pa.array(np.concatenate(homes).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*batch.columns, home, cells], [*batch.schema.names, "home", "cells"])
 
-    return own.mapInArrow(run, "label string, dim int, rep long, copies long, vec array<double>, cells array<int>")
+    return own.mapInArrow(run, "label string, dim int, rep long, copies long, vec array<double>, home int, cells array<int>")
 
 
 def _compare(threshold: float):
@@ -112,13 +173,9 @@ def _compare(threshold: float):
         near = (xa @ xb.T) / np.linalg.norm(xa, axis=1)[:, None] / np.linalg.norm(xb, axis=1)[None, :] >= threshold
         if lo == hi:
             near = np.triu(near, 1)
+        # two guests meet in the lower-numbered of their own homes
+        near &= (a["home"].to_numpy() == cell)[:, None] | (b["home"].to_numpy() == cell)[None, :]
         i, j = np.nonzero(near)
-        ca, cb = (np.stack(p["cells"].to_numpy()) for p in (a, b))
-        ha, hb = ca[i, 0], cb[j, 0]
-        low, high = np.minimum(ha, hb), np.maximum(ha, hb)
-        both_low = (ca[i] == low[:, None]).any(1) & (cb[j] == low[:, None]).any(1)
-        here = np.where(both_low, low, high) == cell
-        i, j = i[here], j[here]
         ra, rb = a["rep"].to_numpy(), b["rep"].to_numpy()
         na, nb = a["copies"].to_numpy(), b["copies"].to_numpy()
         ids = np.concatenate([ra, rb])
@@ -140,16 +197,28 @@ def _compare(threshold: float):
 
 def _links(spool: Spool, classes: DataFrame, dim: int, n_rows: int, threshold: float) -> DataFrame:
     own = classes.filter(F.col("dim") == dim)
-    centroids = spherical_kmeans(classes, dim, n_rows)
-    placed = spool.put(
-        _assign(own.select("label", "dim", "rep", "copies", "vec"), centroids).withColumn("cell", F.explode("cells")), f"cells-{dim}"
+    centroids = _apart(spherical_kmeans(classes, dim, n_rows), threshold)
+    rings = _rings(own, centroids)
+    placed = spool.put(_assign(own.select("label", "dim", "rep", "copies", "vec"), centroids, rings, threshold), f"cells-{dim}")
+    at_home = F.col("cell") == F.col("home")
+    sizes = placed.select("label", "home", F.explode("cells").alias("cell")).groupBy("label", "cell").agg(
+        F.count(F.when(at_home, 1)).alias("hosts"), F.count(F.when(~at_home, 1)).alias("guests")
     )
-    sizes = placed.groupBy("label", "cell").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    sizes = spool.put(sizes.withColumn("blocks", F.ceil(F.col("m") / BLOCK_ROWS).cast("int")), f"sizes-{dim}")
-    dealt = placed.join(sizes, ["label", "cell"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    # a row meets each block once: as the lower or the higher one of the pair
-    paired = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "label", "cell", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "rep", "copies", "vec", "cells"
+    few = F.col("hosts") + F.col("guests") <= BLOCK_ROWS
+    sizes = sizes.filter("hosts > 0 and hosts + guests > 1").select(
+        "label", "cell",
+        F.ceil(F.col("hosts") / BLOCK_ROWS).cast("int").alias("host_blocks"),
+        F.when(few, 0).otherwise(F.ceil(F.col("guests") / BLOCK_ROWS)).cast("int").alias("guest_blocks"),
+    )
+    sizes = spool.put(sizes, f"sizes-{dim}")
+    dealt = placed.withColumn("cell", F.explode("cells")).drop("cells").join(sizes, ["label", "cell"])
+    spread = lambda blocks: F.pmod(F.xxhash64("rep"), F.greatest(blocks, F.lit(1))).cast("int")
+    guest_block = F.when(F.col("guest_blocks") > 0, F.col("host_blocks") + spread(F.col("guest_blocks"))).otherwise(0)
+    dealt = dealt.withColumn("block", F.when(at_home, spread(F.col("host_blocks"))).otherwise(guest_block))
+    # a row meets each block once, as the lower or the higher one of the pair; blocks of guests meet those of hosts only
+    others = F.when(F.col("block") < F.col("host_blocks"), F.col("host_blocks") + F.col("guest_blocks")).otherwise(F.col("host_blocks"))
+    paired = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), others - 1))).select(
+        "label", "cell", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "rep", "copies", "vec", "home"
     )
     return paired.groupBy("label", "cell", "lo", "hi").applyInPandas(_compare(threshold), "rep long, links long, other long")
 

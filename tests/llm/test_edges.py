@@ -255,6 +255,24 @@ def test_embeddings_in_many_cells_and_blocks(spark, monkeypatch):
     assert all(got[i][0] <= want[i][0] for i in want)
 
 
+def test_embeddings_with_a_hot_third_in_over_100_cells(spark, monkeypatch):
+    """Near copies make up a third of the rows, so many centroids start among them; every link is found."""
+    monkeypatch.setattr(embed_dedup, "CELL_ROWS", 25)
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=64)
+    hot = base / np.linalg.norm(base) + rng.normal(scale=(0.0195 / 64) ** 0.5, size=(1000, 64))
+    spread = rng.normal(size=(1700, 64))
+    pairs = spread[:300] + rng.normal(scale=0.13, size=(300, 64))
+    x = rng.permutation(np.concatenate([hot, spread, pairs]))
+    rows = [(i, [float(v) for v in e], int(i % 5 == 0)) for i, e in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert embed_dedup.spherical_kmeans(embed_dedup.vector_classes(df), 64, len(rows)).shape[0] > 100
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embed_dedup.near_duplicates(df).collect()}
+    want = brute.cosine_links(rows)
+    assert sum(v[0] for v in want.values()) > 100_000
+    assert got == want
+
+
 def test_language(docs, nothing):
     out = lang_ppm.identify(docs)
     got = by_id(out, "lang_pred", "score")
