@@ -65,7 +65,8 @@ TOKEN = re.compile(
     r"|<(?P<open>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|(?P<text>[^<]++|<)",
     re.S | re.I,
 )
-ATTR = re.compile(r"\b(class|id|role|itemprop|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: One attribute after the other, so a name is never read inside a value or inside another name.
+ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 HALF = 2  # a valid class occurs on at least one in HALF of the host's pages
 MOST = 0.8
 
@@ -78,7 +79,9 @@ class Element:
     __slots__ = ("tag", "path", "furniture", "parent", "inside")
 
     def __init__(self, tag: str, attrs: str, parent: Element | None):
-        found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTR.finditer(attrs)} if attrs else {}
+        found: dict[str, str] = {}
+        for m in ATTR.finditer(attrs) if attrs else ():
+            found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
         names = f"{found.get('class', '')} {found.get('id', '')}".lower()
         words = set(re.split(r"[^a-z]+", names)) if names != " " else set()
         self.inside = parent is not None and (parent.inside or parent.tag in ("article", "main"))
@@ -89,6 +92,7 @@ class Element:
             or found.get("role", "").lower() in FURNITURE_ROLES
             or (bool(words & FURNITURE_NAMES) and tag not in ("html", "body", "article", "main"))
             or "hidden" in found
+            or found.get("aria-hidden", "").strip().lower() == "true"
         )
         self.tag, self.parent = tag, parent
         self.path = _hash(f"{parent.path if parent else 0}/{tag}.{' '.join(sorted(words - {''}))}#{found.get('role', '')}")

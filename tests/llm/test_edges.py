@@ -329,6 +329,18 @@ def test_templates_leave_out_fixed_text_without_telling_names(spark):
     assert got == {i: (f"story {i} " * 30).strip() for i in range(6)}
 
 
+@pytest.mark.parametrize(
+    "attrs, shown",
+    [
+        ('style="overflow:hidden"', True), ('aria-hidden="false"', True), ('data-id="related" data-class=ad', True), ("title='x hidden id=ad'", True),
+        ("data-hidden", True), ("class=a class=ad", True), ("hidden", False), ("id=x HIDDEN", False), ('hidden=""', False), ("aria-hidden = 'true'", False), ("data-a=1 id='ad'", False),
+    ],
+)
+def test_html_attributes_are_read_by_whole_names(attrs, shown):
+    page = f"<body style='overflow-x:hidden'><article><p>Before</p><div {attrs}>box</div></article></body>"
+    assert html_template.extract(page, None).split() == (["Before", "box"] if shown else ["Before"])
+
+
 def test_pipeline_stages_take_any_documents(spark, docs, nothing):
     import corpus_pipeline
     from tests.conftest import SF
