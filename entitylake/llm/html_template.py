@@ -2,11 +2,17 @@
 
 A page's tokens are its element paths and its text nodes (with their path).  A token's
 occurrence vector has its count on every page of the host; tokens with equal vectors form an
-equivalence class.  Vectors are compared by fingerprint (xor of a hash of page and count), so
+equivalence class.  Vectors are compared by fingerprint (sums of hashes of page and count), so
 they are never built.  A class is valid when it occurs on at least half of the host's pages;
-element tokens nest by their paths, which makes the valid classes a tree: the template.  Text
-nodes in a valid class are fixed template text, everything else between template tokens is
-a slot.  The article is the template element reached from the root by following, as long
+element tokens nest by their paths, which makes the valid classes a tree: the template.
+
+A text is fixed when its class is that of its block element or of an element around it, so it
+comes and goes with the template.  A block element all of whose texts, on all pages of the host, are
+fixed has no slot: it is template and not printed, wherever it stands.  Blocks with any other
+text are slots and printed whole.  Fixed text needs LEAST different pages; copies of a page count
+as one, and a page of which nothing would be left is printed with its fixed text.
+
+The article is the template element reached from the root by following, as long
 as one does, the element that occurs once a page and whose subtree holds most slot text,
 leaving out elements that are furniture by tag, role, class or id; a template's only
 ``article`` or ``main`` element is taken directly.  A page without that element is deduced from itself.
@@ -69,6 +75,7 @@ TOKEN = re.compile(
 ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 HALF = 2  # a valid class occurs on at least one in HALF of the host's pages
 MOST = 0.8
+LEAST = 3
 
 
 def _hash(text: str) -> int:
@@ -76,7 +83,7 @@ def _hash(text: str) -> int:
 
 
 class Element:
-    __slots__ = ("tag", "path", "furniture", "parent", "inside")
+    __slots__ = ("tag", "path", "furniture", "parent", "inside", "block")
 
     def __init__(self, tag: str, attrs: str, parent: Element | None):
         found: dict[str, str] = {}
@@ -96,6 +103,7 @@ class Element:
         )
         self.tag, self.parent = tag, parent
         self.path = _hash(f"{parent.path if parent else 0}/{tag}.{' '.join(sorted(words - {''}))}#{found.get('role', '')}")
+        self.block = self.path if tag in BLOCK_TAGS or parent is None else parent.block
 
 
 def events(page: str) -> Iterator[tuple[str, Element, str]]:
@@ -137,19 +145,22 @@ def events(page: str) -> Iterator[tuple[str, Element, str]]:
     yield from close_to(1)
 
 
-def page_tokens(page: str) -> dict[int, list]:
-    """Token -> [parent, tag, furniture, is text, count, text length]; a text node's length is also its element's."""
+def page_tokens(page: str, fixed: frozenset[int] = frozenset()) -> dict[int, list]:
+    """Token -> [parent, tag, furniture, is text, count, text length, block, texts]; a text node's length is also its
+    element's.  ``block``: a text's block element; ``texts``: text nodes of a block element.  Texts of ``fixed`` blocks do not count."""
     out: dict[int, list] = {}
     for kind, e, text in events(page):
         if kind == "open":
-            t = out.setdefault(e.path, [e.parent.path, e.tag, e.furniture, False, 0, 0])
+            t = out.setdefault(e.path, [e.parent.path, e.tag, e.furniture, False, 0, 0, 0, 0])
             t[4] += 1
         elif kind == "text":
             text = " ".join(text.split())
-            if text and not e.furniture:
+            if text and not e.furniture and e.block not in fixed:
                 if e.path in out:
                     out[e.path][5] += len(text)
-                t = out.setdefault(_hash(f"{e.path}\0{text}"), [e.path, "", False, True, 0, len(text)])
+                if e.block in out:
+                    out[e.block][7] += 1
+                t = out.setdefault(_hash(f"{e.path}\0{text}"), [e.path, "", False, True, 0, len(text), e.block, 0])
                 t[4] += 1
     return out
 
@@ -193,11 +204,33 @@ def content_path(tokens: list[tuple], n_pages: int) -> int:
     return at
 
 
-def extract(page: str, path: int | None) -> str:
-    """Text blocks below the element ``path`` (or the page's own deduction), joined by newlines."""
+def fixed_blocks(tokens: list[tuple]) -> list[int]:
+    """Block elements without a slot.  ``tokens``: (token, parent, is text, class, total, block, texts, different pages),
+    of all tokens on at least half of the pages; ``class``: what tokens of equal vectors share."""
+    elements = {t[0]: t for t in tokens if not t[2]}
+    inside: dict[int, list[tuple]] = {}
+    for t in tokens:
+        if t[2] and t[5] in elements:
+            inside.setdefault(t[5], []).append(t)
+    out = []
+    for block, texts in inside.items():
+        if sum(t[4] for t in texts) != elements[block][6] or min(t[7] for t in texts) < LEAST:
+            continue
+        missing, at = {t[3] for t in texts}, block
+        while missing and at in elements:
+            missing.discard(elements[at][3])
+            at = elements[at][1]
+        if not missing:
+            out.append(block)
+    return sorted(out)
+
+
+def extract(page: str, path: int | None, fixed: frozenset[int] = frozenset()) -> str:
+    """Text blocks below the element ``path`` (or the page's own deduction) without ``fixed`` ones, joined by newlines."""
     seen = list(events(page))
+    whole = path
     if path is None or not any(kind == "open" and e.path == path for kind, e, _ in seen):
-        path = content_path([(k, *t[:4], 1, t[4], t[5]) for k, t in page_tokens(page).items()], 1)
+        path = content_path([(k, *t[:4], 1, t[4], t[5]) for k, t in page_tokens(page, fixed).items()], 1)
     blocks, inline, depth = [], [], 0
     for kind, e, text in seen:
         if kind == "open" and e.path == path:
@@ -208,21 +241,22 @@ def extract(page: str, path: int | None) -> str:
                 inline = []
             elif e.tag == "br" and kind == "open":
                 inline.append(" ")
-            elif kind == "text" and not e.furniture:
+            elif kind == "text" and not e.furniture and e.block not in fixed:
                 inline.append(text)
         if kind == "close" and e.path == path:
             depth -= 1
     blocks.append("".join(inline))
-    return "\n".join(b for b in (" ".join(html.unescape(x).split()) for x in blocks) if b)
+    out = "\n".join(b for b in (" ".join(html.unescape(x).split()) for x in blocks) if b)
+    return out if out or not fixed else extract(page, whole)
 
 
-TOKENS = "host string, page long, token long, parent long, tag string, furniture boolean, is_text boolean, n long, length long"
+TOKENS = "host string, page long, token long, parent long, tag string, furniture boolean, is_text boolean, n long, length long, block long, texts long"
 
 
 def page_token_rows(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("host", pa.string()), ("page", pa.int64()), ("token", pa.int64()), ("parent", pa.int64()), ("tag", pa.string()),
-                            ("furniture", pa.bool_()), ("is_text", pa.bool_()), ("n", pa.int64()), ("length", pa.int64())])
+                            ("furniture", pa.bool_()), ("is_text", pa.bool_()), ("n", pa.int64()), ("length", pa.int64()), ("block", pa.int64()), ("texts", pa.int64())])
         for batch in batches:
             rows = []
             hosts, ids, texts = (batch_column(batch, c) for c in ("host", "page", "html"))
@@ -238,43 +272,52 @@ def page_token_rows(pages: DataFrame) -> DataFrame:
 
 
 def deduce(pages: DataFrame) -> DataFrame:
-    """``pages``: host, page (a row's hash), html.  Per host: ``path`` of the article, number of valid classes."""
+    """``pages``: host, page (hash of the html), html.  Per host: ``path`` of the article, ``fixed`` block elements."""
     sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
     vectors = page_token_rows(pages).groupBy("host", "token").agg(
         F.count(F.lit(1)).alias("pages"),
         F.sum("n").alias("total"),
-        F.bit_xor(F.xxhash64("page", "n")).alias("vector"),
+        F.sum(F.expr("xxhash64(page, n) & 2147483647L")).alias("vector"),
+        F.sum(F.expr("shiftrightunsigned(xxhash64(page, n), 33)")).alias("vector2"),
+        # one bit a page: at least so many different pages
+        F.greatest(*[F.bit_count(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(page, {m}) as int))"))) for m in (61, 63)]).alias("different"),
         F.min("parent").alias("parent"),
         F.min("tag").alias("tag"),
         F.min("furniture").alias("furniture"),
         F.min("is_text").alias("is_text"),
         F.when(F.min("is_text"), F.min("length")).otherwise(F.sum("length")).alias("length"),
+        F.min("block").alias("block"),
+        F.sum("texts").alias("texts"),
     )
     valid = vectors.join(sizes, "host").filter(F.col("pages") * HALF >= F.col("n_pages"))
 
     def solve(part: pd.DataFrame) -> pd.DataFrame:
         rows = list(part[["token", "parent", "tag", "furniture", "is_text", "pages", "total", "length"]].itertuples(index=False, name=None))
         path = content_path(rows, int(part["n_pages"].iloc[0]))
-        return pd.DataFrame({"host": [part["host"].iloc[0]], "path": [path], "classes": [part["vector"].nunique()]})
+        classes = zip(part["vector"], part["vector2"], part["pages"], part["total"])
+        columns = (part[c] for c in ("total", "block", "texts", "different"))
+        fixed = fixed_blocks(list(zip(part["token"], part["parent"], part["is_text"], classes, *columns)))
+        return pd.DataFrame({"host": [part["host"].iloc[0]], "path": [path], "fixed": [fixed]})
 
-    return valid.groupBy("host").applyInPandas(solve, "host string, path long, classes long")
+    return valid.groupBy("host").applyInPandas(solve, "host string, path long, fixed array<long>")
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """Per row: page_id, url, text, n_chars."""
     spool = Spool(pages.sparkSession, "html")
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host_of(F.col("url")).alias("host"), "html")
-    keyed = base.select("host", F.xxhash64("page_id", "url", "html").alias("page"), "html")
-    found = spool.put(deduce(keyed), "templates").select(F.col("host").alias("t_host"), "path")
+    keyed = base.select("host", F.xxhash64("html").alias("page"), "html")
+    found = spool.put(deduce(keyed), "templates").select(F.col("host").alias("t_host"), "path", "fixed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             paths = batch_column(batch, "path").to_pylist()
-            text = [extract(x.as_py() or "", p or None) for x, p in zip(batch_column(batch, "html"), paths)]
+            fixed = batch_column(batch, "fixed").to_pylist()
+            text = [extract(x.as_py() or "", p or None, frozenset(f or ())) for x, p, f in zip(batch_column(batch, "html"), paths, fixed)]
             yield pa.RecordBatch.from_arrays(
                 [batch_column(batch, "page_id"), batch_column(batch, "url"), pa.array(text, pa.string()), pa.array([len(x) for x in text], pa.int64())],
                 ["page_id", "url", "text", "n_chars"],
             )
 
-    joined = base.join(found, F.col("host") == F.col("t_host"), "left").select("page_id", "url", "html", "path")
+    joined = base.join(found, F.col("host") == F.col("t_host"), "left").select("page_id", "url", "html", "path", "fixed")
     return joined.mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -341,6 +341,20 @@ def test_html_attributes_are_read_by_whole_names(attrs, shown):
     assert html_template.extract(page, None).split() == (["Before", "box"] if shown else ["Before"])
 
 
+def test_fixed_blocks_inside_the_article_are_template(spark):
+    """Neutrally named boxes that come with the template go, also when only most pages have them; copies of a page make no template."""
+    page = "<body><article><h1>{0}</h1><p>Story {0}</p>{1}<p>End of {0}</p><div class=k><span>Read</span> <b>more</b></div></article></body>"
+    some = "<div class=z><p>Buy this</p><p>Buy that</p></div>"
+    rows = [(i, f"http://q.de/{i}", page.format(f"title {i}", some if i else "")) for i in range(6)]
+    rows += [(10 + i, f"http://copy.de/{i}", page.format("same", some)) for i in range(4)]
+    rows += [(20 + i, f"http://two.de/{i}", page.format(f"title {i}", "")) for i in range(2)]
+    rows += [(30 + i, f"http://all.de/{i}", f"<body><!-- {i} --><article><p>only this</p></article></body>") for i in range(4)]
+    got = {r.page_id: r.text.split("\n") for r in html_template.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == [f"title {i}", f"Story title {i}", f"End of title {i}"] for i in range(6))
+    assert all(got[10 + i] == ["same", "Story same", "Buy this", "Buy that", "End of same", "Read more"] for i in range(4))
+    assert all(got[20 + i][-1] == "Read more" for i in range(2)) and all(got[30 + i] == ["only this"] for i in range(4))
+
+
 def test_pipeline_stages_take_any_documents(spark, docs, nothing):
     import corpus_pipeline
     from tests.conftest import SF
