@@ -9,8 +9,9 @@ without any rule is allowed.
 Edges come from the page itself: ``<link rel="canonical" href>`` and ``<meta
 http-equiv="refresh" content="..;url=..">``, outside comments and scripts.  Urls are equal
 when host, path and query are (scheme, fragment and letter case of the host do not count);
-targets that start with ``//`` or ``/`` are resolved against the page's host; other relative
-targets and targets without a host are ignored.
+targets that start with ``//`` or ``/`` are resolved against the page's host, other relative
+targets against its path (``.`` and ``..`` are followed); ``<base>`` is not looked at.  Targets
+of other kinds (``mailto:x``) and targets without a host are ignored.
 
 Scale: host, path and edges are column expressions on one scan; only urls that have an edge
 take part in the component search, which is distributed (``connected_components``) and its
@@ -77,6 +78,20 @@ def rule_columns(host: Column, path: Column, rules: tuple[Rule, ...]) -> tuple[C
     return (none, none) if name is None else (name.otherwise(none), verdict.otherwise(none))
 
 
+def _beside(url: Column, target: Column) -> Column:
+    """A relative target (``page2.html``, ``../x``, ``?p=1``) as host and path of the page's url give it."""
+    folder = F.coalesce(F.nullif(F.regexp_extract(path_of(url), r"(?s)^(.*/)", 1), F.lit("")), F.lit("/"))
+    steps = F.split(F.concat(folder, F.regexp_extract(target, r"(?s)^([^?#]*)", 1)), "/", -1)
+    walked = F.aggregate(
+        F.slice(steps, 2, F.size(steps)),
+        F.array().cast("array<string>"),
+        lambda done, step: F.when(step == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).when(step == ".", done).otherwise(F.array_append(done, step)),
+    )
+    walked = F.when(F.element_at(steps, -1).isin(".", ".."), F.array_append(walked, F.lit(""))).otherwise(walked)
+    path = F.when(target.startswith("?"), path_of(url)).otherwise(F.concat(F.lit("/"), F.array_join(walked, "/")))
+    return F.concat(F.lit("x://"), host_of(url), path, F.regexp_extract(target, r"(?s)^[^?#]*(.*)$", 1))
+
+
 def link_edges(spool: Spool, pages: DataFrame) -> DataFrame:
     """``(src, dst)`` url identities of redirect and canonical links."""
     bare = F.regexp_replace("html", r"(?is)<!--.*?-->|<script\b.*?</script\s*>", "")
@@ -89,9 +104,10 @@ def link_edges(spool: Spool, pages: DataFrame) -> DataFrame:
     hinted = F.lower("html")
     tag = F.col("tag")
     absolute = (
-        F.when(F.instr("target", "://") > 0, F.col("target"))
+        F.when(F.col("target").rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), F.col("target"))
         .when(F.col("target").startswith("//"), F.concat(F.lit("x:"), "target"))
         .when(F.col("target").startswith("/"), F.concat(F.lit("x://"), "host", "target"))
+        .when(~F.col("target").rlike("^(#|[A-Za-z][A-Za-z0-9+.-]*:)"), _beside(F.col("url"), F.col("target")))
     )
     found = (
         pages.filter(hinted.contains("canonical") | hinted.contains("http-equiv"))

@@ -107,6 +107,21 @@ def test_url_filter(spark):
     assert url_filter.judge(pages.filter("false")).count() == 0
 
 
+def test_relative_targets_are_resolved_against_the_page(spark):
+    """Alias groups by way of relative canonical targets; other kinds of targets give none."""
+    links = {
+        ("http://h.de/a/b/1.html", "2.html"): "h.de/a/b/2.html", ("http://h.de/a/b/3", "../x?y=../z"): "h.de/a/x?y=../z", ("http://h.de/a/b/4?q=1", "?p=1#t"): "h.de/a/b/4?p=1",
+        ("http://h.de", "p5"): "h.de/p5", ("http://h.de/6", "../../up/./."): "h.de/up/", ("http://h.de/a/7/", "go?u=http://o.fr/"): "h.de/a/7/go?u=http://o.fr/",
+        ("http://h.de/8", "mailto:x@o.fr"): None, ("http://h.de/9", "#top"): None, ("nohost", "x"): None, ("http://h.de/10", "//o.fr/a"): "o.fr/a", ("http://h.de/11", "/r"): "h.de/r",
+    }
+    rows = [(i, url, f'<link rel="canonical" href="{target}">') for i, (url, target) in enumerate(links)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {(r.src, r.dst) for r in url_filter.link_edges(url_filter.Spool(spark, "test"), pages).collect()}
+    assert got == {(url.removeprefix("http://"), dst) for (url, _), dst in links.items() if dst}
+    blocked = spark.createDataFrame([(1, "http://q.net/es/1", '<link rel="canonical" href="../x">'), (2, "http://q.net/x", "")], pages.schema)
+    assert {r.page_id: r.verdict for r in url_filter.judge(blocked).collect()} == {1: "block", 2: "block"}
+
+
 def test_mixing(docs, nothing):
     out = mixing.draw(docs)
     assert out.columns == [c for c in docs.columns if c != "epoch"] + ["epoch"]
