@@ -7,6 +7,10 @@ the next shorter one, at last to the uniform distribution.  The statistics are f
 text's code length under a language is a sum of table entries.  The shortest code wins;
 the score is its posterior under equal priors.
 
+A text is in no learned language (``foreign``) when even its shortest code is longer than the text
+itself at 8 bits a byte and, once, 8 bits for each distinct byte it has.  Hex dumps, encoded blobs and
+other scripts take far more a byte than that; the second term covers what little a short text says.
+
 Scale: one pass counts grams per task with numpy and Spark sums them; contexts below one in
 MAX_CONTEXTS of a language's bytes are pruned, which bounds the broadcast tables whatever the
 corpus (about MAX_CONTEXTS rows of each order and language).  One pass without a shuffle scores.
@@ -76,8 +80,16 @@ def train(docs: DataFrame, max_contexts: int = MAX_CONTEXTS) -> dict:
     return freeze(kept_counts(gram_counts(known, "lang", True), max_contexts))
 
 
+def foreign(data: np.ndarray, off: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Texts whose code length ``bits`` (of the best language) is longer than the bytes and a list of the distinct ones."""
+    out = bits > 8 * np.diff(off)
+    for i in np.flatnonzero(out):
+        out[i] = bits[i] > 8 * (off[i + 1] - off[i] + len(np.unique(data[off[i] : off[i + 1]])))
+    return out
+
+
 def predict(docs: DataFrame, model: dict, *keep: str) -> DataFrame:
-    """``keep`` columns of ``docs`` (from text alone) with ``lang_pred`` and ``score``."""
+    """``keep`` columns of ``docs`` (from text alone) with ``lang_pred``, ``score`` and ``foreign``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,14 +105,16 @@ def predict(docs: DataFrame, model: dict, *keep: str) -> DataFrame:
                     best = bits.argmin(axis=0)
                     score = 1 / np.exp2(np.maximum(bits.min(axis=0) - bits, -1000)).sum(axis=0)
                     pred = [model["names"][k] if ok else "und" for k, ok in zip(best, lettered)]
+                    other = foreign(data, off, bits.min(axis=0))
                 else:
-                    pred, score = ["und"] * (b - a), np.zeros(b - a)
+                    pred, score, other = ["und"] * (b - a), np.zeros(b - a), np.zeros(b - a, bool)
                 score = np.where(lettered, score, 0.0)
                 kept = [batch_column(batch, c).slice(a, b - a) for c in keep]
-                fields = [batch.schema.field(c) for c in keep] + [pa.field("lang_pred", pa.string()), pa.field("score", pa.float64())]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(pred, pa.string()), pa.array(score)], schema=pa.schema(fields))
+                fields = [batch.schema.field(c) for c in keep] + [pa.field("lang_pred", pa.string()), pa.field("score", pa.float64()), pa.field("foreign", pa.bool_())]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(pred, pa.string()), pa.array(score), pa.array(other)], schema=pa.schema(fields))
 
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    new = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("foreign", T.BooleanType())]
+    schema = T.StructType([docs.schema[c] for c in keep] + new)
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
 
 
@@ -112,9 +126,9 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, least_score: float = 0.0) -> DataFrame:
-    """Documents that have a language (not ``und``) with at least ``least_score``, all columns.  By default a
-    text is rejected only when it has no letters: short texts have honest scores well below 1."""
+    """Documents that have a language (not ``und``, not ``foreign``) with at least ``least_score``, all columns.
+    By default the score rejects nothing: short texts have honest scores well below 1."""
     held_out = remainder(F.col("doc_id"), 4) == 2
     model = train(docs.filter(~held_out))
     rows = docs.select(whole_row(docs).alias("row"), "text")
-    return predict(rows, model, "row").filter((F.col("lang_pred") != "und") & (F.col("score") >= least_score)).select("row.*")
+    return predict(rows, model, "row").filter((F.col("lang_pred") != "und") & ~F.col("foreign") & (F.col("score") >= least_score)).select("row.*")

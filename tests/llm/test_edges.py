@@ -298,6 +298,24 @@ def test_language(docs, nothing):
     assert kept.columns == docs.columns and {1, 2, 3, 11}.isdisjoint({r.doc_id for r in kept.collect()})
 
 
+def test_texts_in_no_learned_language_go(spark):
+    """Dumps, blobs and unknown scripts are rejected though they have letters; short clean texts stay."""
+    import base64
+
+    from tests.conftest import SF
+
+    blob = b"".join(hashlib.sha256(bytes([i])).digest() for i in range(20))
+    greek = "Η γλώσσα αυτή δεν υπάρχει στα δεδομένα και κανείς δεν την έχει μάθει εδώ. " * 4
+    dump = "\n".join(f"{i:08x}  {blob[i : i + 16].hex(' ')}" for i in range(0, 640, 16))
+    junk = [blob.hex(), base64.b64encode(blob).decode(), greek, dump]
+    clean = ["hello", "one", "two words", "a text without an id", "The cat", "Call +1 (252) 555-8630 or 72.224.129.199"]
+    given = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    rows = [(10_000_000 + i, x, None) for i, x in enumerate(junk + clean)]
+    kept = {r.doc_id for r in lang_ppm.keep_known(given.union(spark.createDataFrame(rows, given.schema))).collect()}
+    assert [i for i, _, _ in rows if i in kept] == [i for i, _, _ in rows[len(junk) :]]
+    assert {r.doc_id for r in given.collect() if any(c.isalpha() for c in r.text)} <= kept
+
+
 def test_decontamination(spark, docs, nothing):
     items = [(1, LONG[:200]), (2, "one"), (2, "one"), (3, None), (4, ""), (None, "two words"), (5, "!!!"), (6, LONG[:200])]
     bench = spark.createDataFrame(items, "item_id long, text string").withColumns({"win": F.lit(1), "h": F.lit(2)})
