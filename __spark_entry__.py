@@ -48,13 +48,18 @@ def _optional(module: str, name: str) -> dict:
     return getattr(importlib.import_module(module), name) if found else {}
 
 
+def _pipeline(name: str) -> dict:
+    """``corpus_pipeline.name`` if both the pipeline and the operators it is made of are there."""
+    return _optional("corpus_pipeline", name) if importlib.util.find_spec("entitylake.llm") else {}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    extra = _optional("entitylake.llm.queries", "QUERIES") | _optional("corpus_pipeline", "QUERIES")
+    extra = _optional("entitylake.llm.queries", "QUERIES") | _pipeline("QUERIES")
     return library_queries() | {name: _q(fn) for name, fn in extra.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return library_oracle_sql() | _optional("entitylake.llm.queries", "ORACLE_SQL") | _optional("corpus_pipeline", "ORACLES")
+    return library_oracle_sql() | _optional("entitylake.llm.queries", "ORACLE_SQL") | _pipeline("ORACLES")
 
 
 def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -93,6 +98,8 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "convention_roundtrip": _q(w.convention_roundtrip),
         "log_since_read": _q(w.log_since_read),
         "stream_ingest": _q(w.stream_ingest),
+        "stream_resized": _q(w.stream_resized),
+        "full_sync_latest_off": _q(w.full_sync_latest_off),
     }
 
 
@@ -160,12 +167,14 @@ def _customer_flat() -> str:
     )
 
 
+_CUSTOMER_ROWS = (
+    f"select concat('{CU}id/', c_custkey) as id, {L2} as recorded, false as deleted, 'customers' as dataset, "
+    f"c_name as name, c_mktsegment as segment, concat('{NA}', c_nationkey) as nation from customer"
+)
+
+
 def _customers(tbl_rows: bool = True) -> str:
-    c = (
-        f"select concat('{CU}id/', c_custkey) as id, {L2} as recorded, false as deleted, 'customers' as dataset, "
-        f"c_name as name, c_mktsegment as segment, concat('{NA}', c_nationkey) as nation from customer"
-    )
-    return f"with c as ({c}) select *, 'log' as tbl from c union all select *, 'latest' as tbl from c"
+    return f"with c as ({_CUSTOMER_ROWS}) select *, 'log' as tbl from c union all select *, 'latest' as tbl from c"
 
 
 def _two_level_latest(batch_expr: str, dataset: str, recorded: str) -> str:
@@ -320,4 +329,12 @@ select concat('{US}', user_id) as id, event_id, {_tok("'1700000000000000000'")}
        {_tok("'1700000100000000000'")} as token
 from events where ts >= timestamp '2024-01-16 00:00:00'""",
         "stream_ingest": _two_level_latest(STREAM_FILE, "events_stream", "cast(1700001000000000000 + b as bigint)"),
+        "stream_resized": _two_level_latest(STREAM_FILE, "events_stream", "cast(1700001000000000000 + b as bigint)"),
+        "full_sync_latest_off": f"""
+with c as ({_CUSTOMER_ROWS}), n as (
+  select concat('{NA}', n_nationkey) as id, {L1} as recorded, false as deleted, 'customers' as dataset,
+         n_name as name, cast(null as varchar) as segment, cast(null as varchar) as nation from nation)
+select *, 'log' as tbl from c
+union all select * replace ({L1} as recorded), 'latest' as tbl from c
+union all select *, 'latest' as tbl from n""",
     }

@@ -126,9 +126,10 @@ class Lake:
         batch_key: str,
         order_by: tuple[str, ...] | None = None,
         stage: bool = True,
+        rising: bool = False,
     ) -> TableState:
         ds = self._write_ds(name)
-        return ingest_incremental(self.store, ds, entities, load_ns, batch_key, self.latest_active(ds), order_by, stage)
+        return ingest_incremental(self.store, ds, entities, load_ns, batch_key, self.latest_active(ds), order_by, stage, rising)
 
     def full_sync(self, name: str, sync_id: str) -> FullSync:
         ds = self._write_ds(name)

@@ -32,7 +32,7 @@ from entitylake.operators.outgoing import entity_json
 from entitylake.operators.upsert import bucket_of, fold_deltas
 from entitylake.sinks import fs
 from entitylake.sinks.stage import write_stage
-from entitylake.sinks.store import BUCKET_BYTES, CommitConflict, TableState, TableStore, newest_load
+from entitylake.sinks.store import BUCKET_BYTES, CommitConflict, LoadOrderConflict, TableState, TableStore, newest_load
 from entitylake.sources.entity_files import STAGE_ORDER, read_stage
 
 MAX_DELTAS = 64  # pending latest deltas before a compaction, bounds the read-side union
@@ -101,13 +101,15 @@ def ingest_incremental(
     latest: bool = False,
     order_by: tuple[str, ...] | None = None,
     stage: bool = True,
+    rising: bool = False,
 ) -> TableState:
     """I4: load one batch of entities into the log (and latest) table.
 
     ``stage=False`` skips K1/S6 for sources that are durable and replayable on
     their own (streaming landing files); ``order_by`` must then name the
     (file, position) arrival columns, and ``load_ns`` may be a column: the load
-    time of each row's request.
+    time of each row's request.  ``rising`` demands load numbers above every one
+    that is committed when this batch is; otherwise ``LoadOrderConflict``.
     """
     spark = store.spark
     loc = store.location(ds)
@@ -128,7 +130,7 @@ def ingest_incremental(
         rows = _direct_rows(ds, entities, load_ns, tuple(order_by))
     cols = [f.name for f in schema]
     seen = Observation(f"batch-{attempt}")
-    measures = (F.count(F.lit(1)).alias("rows"), F.max("recorded").alias("load"))
+    measures = (F.count(F.lit(1)).alias("rows"), F.min("recorded").alias("first"), F.max("recorded").alias("load"))
     with _step("log"):  # K3; the row count rides along with the write
         rows.select(*_log_columns(cols)).observe(seen, *measures).write.parquet(entry["path"])
     if seen.get["rows"] == 0:  # empty batch loads nothing
@@ -145,7 +147,9 @@ def ingest_incremental(
             newest.observe(sized, *size_cols).write.parquet(delta_path)
         delta_entry = {"key": batch_key, "path": delta_path, "rows": int(sized.get["rows"]), "id_bytes": int(sized.get["id_bytes"])}
     for _ in range(COMMIT_ATTEMPTS):
-        new = replace(st, version=st.version + 1, log=[*st.log, entry], dropped=[])
+        if rising and (newest := st.newest_load()) is not None and newest >= int(seen.get["first"]):
+            raise LoadOrderConflict(f"batch {batch_key} of {loc} starts at {seen.get['first']}, {newest} is committed")
+        new = replace(st, version=st.version + 1, log=[*st.log, entry], dropped=[], load_max=st.newest_load())
         if delta_entry is not None:
             seq = max([d["seq"] for d in st.deltas], default=0) + 1
             new.deltas = [*st.deltas, {**delta_entry, "seq": seq}]
@@ -236,6 +240,7 @@ class FullSync:
         self.sync_id = sync_id.replace("-", "_")
         self.loc = store.location(ds)
         self.schema = table_schema(ds)
+        self.attempt: str | None = None  # set by ``start``; another object may go on with an open sync
 
     def start(self) -> TableState:
         """Open the sync; whatever sync of the dataset is unfinished becomes void."""
@@ -243,7 +248,9 @@ class FullSync:
         for _ in range(COMMIT_ATTEMPTS):
             st = self.store.open(self.loc, self.schema, self.latest)
             try:
-                return self.store.commit(self.loc, replace(st, version=st.version + 1, sync=sync, dropped=[]))
+                done = self.store.commit(self.loc, replace(st, version=st.version + 1, sync=sync, dropped=[]))
+                self.attempt = sync["attempt"]
+                return done
             except CommitConflict:
                 continue
         raise CommitConflict(f"gave up opening sync {self.sync_id} of {self.loc}")
@@ -270,14 +277,14 @@ class FullSync:
     def _build(self, st: TableState, load_ns: int) -> TableState:
         """Log and latest of this attempt's stage, in new directories."""
         spark, stage = self.store.spark, self._stage(st)
+        kept = {} if not st.latest else {"latest_paths": {}, "deltas": []}  # latest off: that table stays as it is
+        done = {"sync": None, "synced": st.sync["attempt"], "dropped": [], "load_max": st.newest_load()}
         if not any(b.isdigit() for b in fs.list_names(spark, stage)):
-            return replace(st, log=[], latest_paths={}, deltas=[], sync=None, dropped=[])
+            return replace(st, log=[], **kept, **done)
         cols = [f.name for f in self.schema]
         base = f"{self.loc}/fs/{st.sync['attempt']}-{_attempt()}"
         rows = _staged_rows(self.store, self.ds, stage, load_ns)
         rows.select(*_log_columns(cols)).write.parquet(f"{base}/log")
-        latest_paths: dict[int, str] = {}
-        buckets = st.buckets
         if st.latest:
             n_bytes = fs.size_of(spark, f"{base}/log")
             buckets = self.store.bucket_count(n_bytes)
@@ -288,9 +295,9 @@ class FullSync:
                 F.col("_bucket"), F.pmod(F.xxhash64(F.col("id"), F.lit("sub")), F.lit(splits))
             )
             dealt.write.partitionBy("_bucket").parquet(f"{base}/latest")
-            latest_paths = _bucket_dirs(self.store, f"{base}/latest")
+            kept = {"latest_paths": _bucket_dirs(self.store, f"{base}/latest"), "deltas": [], "buckets": buckets}
         entry = {"key": f"fs-{st.sync['attempt']}", "path": f"{base}/log", "load_ns_max": int(load_ns), "level": 1}
-        return replace(st, log=[entry], latest_paths=latest_paths, deltas=[], buckets=buckets, sync=None, dropped=[])
+        return replace(st, log=[entry], **kept, **done)
 
     def commit(self, load_ns: int) -> TableState:
         """Build log + latest from this sync alone and switch both at once (K4).
@@ -298,16 +305,34 @@ class FullSync:
         The table holds this sync's rows only, also when batches were loaded
         meanwhile: a concurrent commit makes the switch repeat on the newer
         state, not the build.  Keys of replaced batches stay marked as loaded.
+        With latest off the latest table stays as it is, whatever it holds by
+        then.  A commit that is repeated after it succeeded returns the state.
         """
+        if (st := self._committed()) is not None:
+            return st
         st = self._check_open()
         built = self._build(st, load_ns)
         attempt = st.sync["attempt"]
         for _ in range(COMMIT_ATTEMPTS):
             self.store.mark_loaded(self.loc, st.keys())
+            new = replace(built, version=st.version + 1, load_max=st.newest_load())
+            if not st.latest:
+                new = replace(new, latest_paths=st.latest_paths, deltas=st.deltas, buckets=st.buckets)
             try:
-                return self.store.commit(self.loc, replace(built, version=st.version + 1))
+                return self.store.commit(self.loc, new)
             except CommitConflict:
+                if (done := self._committed(attempt)) is not None:  # ours, and its answer was lost
+                    return done
                 st = self._check_open()
                 if st.sync["attempt"] != attempt:
                     raise RuntimeError(f"full sync {self.sync_id} of {self.ds.name} was started again") from None
         raise CommitConflict(f"gave up committing sync {self.sync_id} of {self.loc}")
+
+    def _committed(self, attempt: str | None = None) -> TableState | None:
+        """The state, when this attempt (else the last one of this sync id) is the sync that was committed last."""
+        st = self.store.state(self.loc)
+        if st is None or not st.synced or (st.sync or {}).get("id") == self.sync_id:
+            return None
+        attempt = attempt or self.attempt
+        mine = st.synced == attempt if attempt else st.synced.rpartition("-")[0] == self.sync_id
+        return st if mine else None

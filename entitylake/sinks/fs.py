@@ -45,35 +45,70 @@ def list_files(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
     return sorted(out)
 
 
-def write_text_exclusive(spark: SparkSession, path: str, text: str) -> bool:
-    """Create ``path`` with ``text``; False when it exists, whoever created it.
+#: Stores where a rename copies, but where a create shows the object only once it is whole.
+OBJECT_STORES = ("s3a", "s3", "s3n", "gs", "oss", "cosn", "obs")
+
 
-    The file system decides: a create without overwrite of the final name, which
-    is atomic on HDFS and on object stores with conditional writes; on a local
-    file system the operating system's exclusive create is used.  A reader may
-    meet a file that is still being written and must check that it is complete.
+def write_text_exclusive(spark: SparkSession, path: str, text: str) -> bool:
+    """Publish ``path`` with the whole ``text``; False when it exists, whoever published it.
+
+    The text is written in full under a name of its own and then takes the final
+    name in one step that fails if the name is taken: a hard link on a local
+    disk, elsewhere a rename without overwrite (atomic on HDFS).  In an object
+    store the object is put under its final name directly, on the condition that
+    there is none; it appears when it is complete.  A reader never meets half a
+    file, and a writer that pauses or dies leaves at most its own temporary one.
     """
     fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
     data = bytearray(text.encode("utf-8"))
-    if str(fs.getUri().getScheme()) == "file":
+    scheme = str(fs.getUri().getScheme())
+    if scheme in OBJECT_STORES:
+        if fs.exists(p):
+            return False
         try:
-            os.makedirs(os.path.dirname(str(p.toUri().getPath())), exist_ok=True)
-            with open(str(p.toUri().getPath()), "xb") as f:
-                f.write(data)
+            _write_whole(fs.createFile(p).overwrite(False).opt("fs.option.create.conditional.overwrite", True).build(), data)
+        except Py4JJavaError:
+            if fs.exists(p):  # another writer's object was there when ours was complete
+                return False
+            raise
+        return True
+    fs.mkdirs(p.getParent())
+    tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}.tmp")
+    _write_whole(fs.create(tmp, False), data)
+    try:
+        return _publish(spark, scheme, tmp, p)
+    finally:
+        fs.delete(tmp, False)
+
+
+def _write_whole(out, data: bytearray) -> None:
+    try:
+        out.write(data)
+    finally:
+        out.close()
+
+
+def _publish(spark: SparkSession, scheme: str, tmp, p) -> bool:
+    """Give the complete file ``tmp`` the name ``p``; False when that name is taken."""
+    if scheme == "file":
+        try:
+            os.link(str(tmp.toUri().getPath()), str(p.toUri().getPath()))
             return True
         except FileExistsError:
             return False
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs
+    context = hadoop.FileContext.getFileContext(p.toUri(), sc._jsc.hadoopConfiguration())
+    options = sc._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.NONE
     try:
-        out = fs.create(p, False)
-    except Py4JJavaError:
-        if fs.exists(p):
+        context.rename(tmp, p, options)
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in str(e.java_exception.getClass().getName()):
             return False
         raise
-    try:
-        out.write(data)
-    finally:
-        out.close()
-    return True
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
@@ -124,6 +159,15 @@ def set_mtime(spark: SparkSession, path: str, millis: int) -> None:
     fs.setTimes(p, int(millis), -1)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file, its folder made if need be."""
+    fs, p = _fs(spark, path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(p, target):
+        raise OSError(f"could not move {path} to {to}")
+
+
 def mkdirs(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.mkdirs(p)

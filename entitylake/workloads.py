@@ -615,6 +615,21 @@ def full_sync_same_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tables_out(lake, "customers")
 
 
+def full_sync_latest_off(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I5 with latest switched off: the log is replaced, the latest table stays; a repeated commit changes nothing."""
+    lake = _lake(spark, "fullsync-off", latest_default=True)
+    lake.define(DatasetDefinition("customers", incoming=CUSTOMER_IN))
+    cust, nations = _customer_entities(spark, sf_dir).drop("_batch"), _nation_entities(spark, sf_dir)
+    lake.write_incremental("customers", cust.unionByName(nations), LOAD_NS_1, "older", ("_arrival",))
+    lake.define(DatasetDefinition("customers", SourceConfig(latest_table=False), incoming=CUSTOMER_IN))
+    sync = lake.full_sync("customers", "sync-1")
+    sync.start()
+    sync.add(cust, seq=0, order_by=("_arrival",))
+    done = sync.commit(LOAD_NS_2)
+    assert sync.commit(LOAD_NS_2).version == done.version
+    return _tables_out(lake, "customers")
+
+
 # --- K5 ---------------------------------------------------------------------
 CUSTOMER_FEED_OUT = OutgoingMapping(
     base_uri=CUSTOMER,
@@ -679,10 +694,8 @@ def log_since_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- I4 via Structured Streaming ----------------------------------------------
-def _stream(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int) -> DataFrame:
-    from entitylake.streaming.landing import ingest_stream
-
-    landing = scratch_dir(spark, "landing")
+def _landing_files(spark: SparkSession, sf_dir: str, landing: str) -> list[str]:
+    """Payload files of the events in arrival order, one minute apart."""
     ev = event_entities(_t(spark, sf_dir, "events"), prefix=True)
     file_no = F.floor(F.col("_arrival") / STREAM_FILE_EVENTS).cast("bigint")  # files of a bounded size
     write_payloads(ev.withColumn("file_no", file_no), landing, "file_no", "_arrival", {"e": EVENT, "u": USER})
@@ -694,6 +707,14 @@ def _stream(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int) -
     )
     for i, (_, f) in enumerate(files):  # arrival order = file number
         fs.set_mtime(spark, f, 1_700_000_000_000 + i * 60_000)
+    return [f for _, f in files]
+
+
+def _stream(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int) -> DataFrame:
+    from entitylake.streaming.landing import ingest_stream
+
+    landing = scratch_dir(spark, "landing")
+    _landing_files(spark, sf_dir, landing)
     lake = _lake(spark, "stream", latest_default=True)
     lake.define(DatasetDefinition(name, incoming=_events_mapping()))
     ingest_stream(lake, name, landing, scratch_dir(spark, "stream-ckpt"), STREAM_LOAD_NS, files_per_batch)
@@ -708,3 +729,19 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_ingest_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I4 as a stream, one file in a micro-batch: the same result."""
     return _stream(spark, sf_dir, "events_stream", 1)
+
+
+def stream_resized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I4 as a stream restarted with another batch size: the last file arrives after the others were loaded, four at a time."""
+    from entitylake.streaming.landing import ingest_stream
+
+    ready, landing, checkpoint = (scratch_dir(spark, p) for p in ("ready", "landing", "stream-ckpt"))
+    files = _landing_files(spark, sf_dir, ready)
+    lake = _lake(spark, "stream-resized", latest_default=True)
+    lake.define(DatasetDefinition("events_stream", incoming=_events_mapping()))
+    for names, files_per_batch in ((files[:-1], 4), (files[-1:], 1)):
+        for f in names:
+            fs.move(spark, f, f"{landing}/{f.rsplit('/', 2)[1]}.json")
+        fs.mkdirs(spark, landing)
+        ingest_stream(lake, "events_stream", landing, checkpoint, STREAM_LOAD_NS, files_per_batch)
+    return lake.latest("events_stream")

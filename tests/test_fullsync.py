@@ -185,3 +185,23 @@ def test_vacuum_spares_a_running_ingest(spark, tmp):
     lake.store.commit = vacuumed
     lake.write_incremental("t", _ents(spark, [("b", "2")]), 2, "b2")
     assert _ids(lake.log("t")) == _ids(lake.latest("t")) == [("a", "1", 1), ("b", "2", 2)]
+
+
+def test_commit_with_latest_off_keeps_the_latest_table_and_can_be_repeated(spark, tmp):
+    lake = Lake(spark, tmp + "/lake", latest_default=True, buckets=4)
+    lake.define(DatasetDefinition("t", incoming=MAP_V))
+    lake.write_incremental("t", _ents(spark, [("old", "o")]), 1, "b1")
+    lake.define(DatasetDefinition("t", SourceConfig(latest_table=False), incoming=MAP_V))
+    sync = lake.full_sync("t", "s-1")
+    sync.start()
+    sync.add(_ents(spark, [("new", "n")]), seq=0)
+    done = sync.commit(2)
+    assert [r.id for r in lake.log("t").collect()] == ["new"] and [r.id for r in lake.latest("t").collect()] == ["old"]
+    assert sync.commit(2).version == done.version  # the answer was lost: asked again
+    assert lake.full_sync("t", "s-1").commit(2).version == done.version  # also by a driver that took over
+    with pytest.raises(RuntimeError, match="not open"):
+        lake.full_sync("t", "s-2").commit(2)
+    again = lake.full_sync("t", "s-1")
+    again.start()  # the id is used for a second sync, left empty
+    assert again.commit(3).version == done.version + 2 and lake.log("t").count() == 0
+    assert [r.id for r in lake.latest("t").collect()] == ["old"]

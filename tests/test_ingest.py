@@ -300,3 +300,56 @@ def test_record_token_in_custom_expressions():
     assert entity_expression('$1:props:"urn:a"::string') == """variant_get(entity, '$["props"]["urn:a"]', 'variant')::string"""
     assert entity_expression("concat('$1 ', $1:id::string)") == """concat('$1 ', variant_get(entity, '$["id"]', 'variant')::string)"""
     assert entity_expression("to_json($1)") == "to_json(entity)" and entity_expression("$10 + x") == "$10 + x"
+
+
+def test_a_writer_that_pauses_before_it_publishes_loses_nothing(spark, tmp, monkeypatch):
+    from entitylake.sinks import fs
+
+    a = Lake(spark, tmp + "/lake", latest_default=True, buckets=4)
+    b = Lake(spark, tmp + "/lake", latest_default=True, buckets=4)
+    for lake in (a, b):
+        lake.define(DatasetDefinition("t", incoming=MAP_V))
+    a.write_incremental("t", _ents(spark, [("x", 1, "x0", 1)]), 1, "b0")
+    publish, paused = fs._publish, []
+
+    def slow(spark_, scheme, tmp_, p):
+        if str(p.getName()).startswith("v") and not paused:  # the text is written, the name not yet taken
+            paused.append(str(p.getName()))
+            assert a.state("t").version == 1  # nobody sees half a version
+            b.write_incremental("t", _ents(spark, [("y", 1, "y-from-b", 1)]), 3, "from-b")
+        return publish(spark_, scheme, tmp_, p)
+
+    monkeypatch.setattr(fs, "_publish", slow)
+    a.write_incremental("t", _ents(spark, [("z", 1, "z-from-a", 1)]), 2, "from-a")
+    assert paused == ["v00000002.json"] and a.state("t").version == 3
+    assert {"b0", "from-a", "from-b"} == a.state("t").keys()
+    assert sorted(r.id for r in a.log("t").collect()) == sorted(r.id for r in b.latest("t").collect()) == ["x", "y", "z"]
+    assert fs.list_names(spark, f"{tmp}/lake/DB/PUBLIC/T/_manifest") == ["_last"] + [f"v0000000{k}.json" for k in (1, 2, 3)]
+
+
+def test_publishing_through_a_file_context(spark, tmp):
+    """Other schemes than ``file`` take their name by a rename without overwrite."""
+    from entitylake.sinks import fs
+
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    for n, want in ((1, True), (2, False)):
+        fs.write_text(spark, f"{tmp}/whole-{n}", f"text {n}")
+        assert fs._publish(spark, "hdfs", path(f"file:{tmp}/whole-{n}"), path(f"file:{tmp}/final")) is want
+    assert fs.read_text(spark, f"{tmp}/final") == "text 1"
+
+
+def test_rising_load_numbers_are_checked_at_the_commit(spark, tmp):
+    from entitylake.sinks.store import LoadOrderConflict
+
+    lake = Lake(spark, tmp + "/lake")
+    lake.define(DatasetDefinition("t", incoming=MAP_V))
+    lake.write_incremental("t", _ents(spark, [("a", 1, "x", 1)]), 10, "b1")
+    with pytest.raises(LoadOrderConflict, match="starts at 10, 10 is committed"):
+        lake.write_incremental("t", _ents(spark, [("b", 1, "y", 1)]), 10, "b2", rising=True)
+    lake.write_incremental("t", _ents(spark, [("b", 1, "y", 1)]), 11, "b2", rising=True)
+    sync = lake.full_sync("t", "s")
+    sync.start()
+    sync.add(_ents(spark, [("c", 1, "z", 1)]))
+    sync.commit(5)  # replaces the rows, not the numbers already given out
+    assert lake.state("t").newest_load() == 11

@@ -59,3 +59,40 @@ def test_files_of_one_micro_batch_load_as_if_one_by_one(spark, tmp):
         assert lake.log("s").count() == 27
     assert results[0] == results[1] == results[2]
     assert ("http://example.org/5", "file5", 1005) in results[0] and ("None", "none0", 1000) in results[0]
+
+
+def test_load_numbers_rise_when_the_batch_size_changes_at_a_restart(spark, tmp):
+    landing, ckpt, now = tmp + "/landing", tmp + "/ckpt", time.time() - 1000
+    lake = Lake(spark, tmp + "/lake", latest_default=True, buckets=4)
+    lake.define(DatasetDefinition("s", incoming=MAP))
+    for k in range(16):
+        _land(landing, f"f{k:02d}", [f'{{"id":"x:1","props":{{"x:v":"old{k}"}}}}'], now + 10 * k)
+    ingest_stream(lake, "s", landing, ckpt, 1000, files_per_batch=4)
+    assert lake.state("s").newest_load() == 1015
+    _land(landing, "late", ['{"id":"x:1","props":{"x:v":"NEW"}}'], now + 500)
+    ingest_stream(lake, "s", landing, ckpt, 1000, files_per_batch=1)
+    rows = [(r.v, r.recorded) for df in (lake.latest("s"), lake.newest("s")) for r in df.collect()]
+    assert rows == [("NEW", 1016)] * 2
+
+
+def test_a_batch_is_numbered_anew_when_another_writer_was_faster(spark, tmp):
+    landing, now = tmp + "/landing", time.time() - 1000
+    lake, other = (Lake(spark, tmp + "/lake", latest_default=True, buckets=4) for _ in range(2))
+    for x in (lake, other):
+        x.define(DatasetDefinition("s", incoming=MAP))
+    _land(landing, "a", ['{"id":"x:1","props":{"x:v":"streamed"}}'], now)
+    real, raced = lake.store.commit, []
+
+    def racing(loc, state):
+        if not raced:
+            raced.append(True)
+            _land(tmp + "/other", "b", ['{"id":"x:1","props":{"x:v":"other"}}'], now)
+            ingest_stream(other, "s", tmp + "/other", tmp + "/ckpt2", 1000)
+        return real(loc, state)
+
+    lake.store.commit = racing
+    # both streams start their batches at 0, so the keys differ by what other writers may use
+    other.write_incremental, plain = (lambda *a, **k: plain(a[0], a[1], a[2], "other", *a[4:], **k)), other.write_incremental
+    ingest_stream(lake, "s", landing, tmp + "/ckpt", 1000)
+    assert raced and sorted((r.v, r.recorded) for r in lake.log("s").collect()) == [("other", 1000), ("streamed", 1001)]
+    assert [r.v for r in lake.latest("s").collect()] == ["streamed"]
