@@ -139,7 +139,8 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Da
     spool = Spool(docs.sparkSession, "decontam")
     key = F.xxhash64("doc_id", "text")
     # rows are told apart by id and content, so no text is shuffled unless something was found
-    keyed = docs.select(key.alias("doc_id"), F.col("text").alias("text"))
+    keyed = docs.select(F.struct(key.alias("h"), F.col("doc_id").alias("id")).alias("doc_id"), F.col("text").alias("text"))
     per_doc, _ = find_hits(spool, keyed, benchmark, size)
-    bad = spool.put(per_doc.filter(F.size("hits") > 0).select(F.col("doc_id").alias("__bad")).distinct(), "bad")
-    return docs.join(bad, key == F.col("__bad"), "left_anti")
+    found = per_doc.filter(F.size("hits") > 0).select(F.col("doc_id.h").alias("__bad"), F.col("doc_id.id").alias("__bad_id"))
+    bad = spool.put(found.distinct(), "bad")
+    return docs.join(bad, (key == F.col("__bad")) & docs["doc_id"].eqNullSafe(F.col("__bad_id")), "left_anti")

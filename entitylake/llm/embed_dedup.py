@@ -44,10 +44,15 @@ CHUNK_ROWS = 2048
 SLACK = 1e-6  # of angles and distances, far above the rounding of double precision
 
 
+def even(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each (exact) that brings their largest component to [0.5, 1): no square is lost or infinite."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def matrix(column: pa.Array) -> np.ndarray:
     """Rows of a list<double> column of one common length, scaled to length 1."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    x = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    x = even(column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1))
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -169,7 +174,7 @@ def _compare(threshold: float):
         b = part[part["block"] == hi]
         if not len(a) or not len(b):
             return pd.DataFrame([], columns=out_columns)
-        xa, xb = (np.stack(p["vec"].to_numpy()) for p in (a, b))
+        xa, xb = (even(np.stack(p["vec"].to_numpy())) for p in (a, b))
         near = (xa @ xb.T) / np.linalg.norm(xa, axis=1)[:, None] / np.linalg.norm(xb, axis=1)[None, :] >= threshold
         if lo == hi:
             near = np.triu(near, 1)

@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -46,13 +47,15 @@ from entitylake.llm.url_filter import host_of
 # Names of HTML elements by their role in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = "script|style|noscript|template|textarea|title|iframe|svg"
-FURNITURE_TAGS = frozenset("head nav footer aside form script style noscript template iframe button select option textarea menu dialog svg input label title".split())
+FURNITURE_TAGS = frozenset("head nav footer aside form script style noscript template iframe button select option textarea menu dialog svg input title".split())
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu".split())
 FURNITURE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr header "
-    "masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted related respond share sharing "
-    "sidebar social sponsor sponsored subscribe toolbar widget".split()
+    "masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted related replies respond share sharing "
+    "sidebar social sponsor sponsored subscribe teaser toolbar widget".split()
 )
+#: Words that say nothing of a name's own: a class "cookie-bar" or "top-nav" is named by the other word.
+PLAIN_NAMES = frozenset("area bar block bottom box container content group inner item left links list main outer page panel right row section site top wrap wrapper".split())
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li "
     "main nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -63,6 +66,7 @@ IMPLIED_END = {
     "thead": {"tr", "td", "th", "thead", "tbody"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "thead", "tbody"},
 }
 BOUNDARY = frozenset("html body table ul ol dl div section article main td th nav aside header footer form select blockquote".split())
+P = frozenset({"p"})
 CLOSES_P = BLOCK_TAGS - {"html", "body", "tbody", "thead", "tfoot", "tr", "td", "th", "li", "dd", "dt"}
 
 TOKEN = re.compile(
@@ -82,6 +86,12 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
+def furniture_name(name: str) -> bool:
+    """Whether a whole class or id says furniture: every word of it does or is plain, and one does ("share-price" does not)."""
+    words = set(re.split(r"[^a-z]+", name)) - {""}
+    return bool(words & FURNITURE_NAMES) and words <= FURNITURE_NAMES | PLAIN_NAMES
+
+
 class Element:
     __slots__ = ("tag", "path", "furniture", "parent", "inside", "block")
 
@@ -89,20 +99,21 @@ class Element:
         found: dict[str, str] = {}
         for m in ATTR.finditer(attrs) if attrs else ():
             found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
-        names = f"{found.get('class', '')} {found.get('id', '')}".lower()
-        words = set(re.split(r"[^a-z]+", names)) if names != " " else set()
+        names = set(f"{found.get('class', '')} {found.get('id', '')}".lower().split())
         self.inside = parent is not None and (parent.inside or parent.tag in ("article", "main"))
         self.furniture = (
             (parent is not None and parent.furniture)
             or tag in FURNITURE_TAGS
             or (tag == "header" and not self.inside)
             or found.get("role", "").lower() in FURNITURE_ROLES
-            or (bool(words & FURNITURE_NAMES) and tag not in ("html", "body", "article", "main"))
+            or (any(map(furniture_name, names)) and tag not in ("html", "body", "article", "main"))
             or "hidden" in found
             or found.get("aria-hidden", "").strip().lower() == "true"
         )
         self.tag, self.parent = tag, parent
-        self.path = _hash(f"{parent.path if parent else 0}/{tag}.{' '.join(sorted(words - {''}))}#{found.get('role', '')}")
+        # digits left out: "post-17" and "post-18" are one element of the template
+        words = sorted({w for name in names for w in re.split(r"[^a-z]+", name)} - {""})
+        self.path = _hash(f"{parent.path if parent else 0}/{tag}.{' '.join(words)}#{found.get('role', '')}")
         self.block = self.path if tag in BLOCK_TAGS or parent is None else parent.block
 
 
@@ -110,38 +121,39 @@ def events(page: str) -> Iterator[tuple[str, Element, str]]:
     """``(kind, element, text)`` in page order; kind is open, close or text.  Scripts, styles and comments are no events."""
     root = Element("#page", "", None)
     stack = [root]
+    open_at: dict[str, list[int]] = {}  # tag -> places of its open elements in the stack, rising
 
     def close_to(k: int):
         while len(stack) > k:
-            yield "close", stack.pop(), ""
+            e = stack.pop()
+            open_at[e.tag].pop()
+            yield "close", e, ""
+
+    def ended_by(tag: str) -> int:
+        """Place of the outermost open element that a new ``tag`` ends: none beyond the nearest boundary."""
+        ends = IMPLIED_END.get(tag, frozenset()) | (P if tag in CLOSES_P else frozenset())
+        found = [places for t in ends if (places := open_at.get(t))]
+        if not found:
+            return len(stack)
+        wall = max((places[-1] for t in BOUNDARY - ends if (places := open_at.get(t))), default=0)
+        beyond = [places[i] for places in found if (i := bisect_right(places, wall)) < len(places)]
+        return min(beyond, default=len(stack))
 
     for m in TOKEN.finditer(page):
         if m["text"]:
             yield "text", stack[-1], m["text"]
         elif m["open"]:
             tag = m["open"].lower()
-            ends = IMPLIED_END.get(tag, frozenset())
-            if tag in CLOSES_P:
-                ends = ends | {"p"}
-            at = len(stack)
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in ends:
-                    at = k
-                elif stack[k].tag in BOUNDARY:
-                    break
-            yield from close_to(at)
+            yield from close_to(ended_by(tag))
             e = Element(tag, m["attrs"], stack[-1])
             yield "open", e, ""
             if tag in VOID or m["attrs"].endswith("/"):
                 yield "close", e, ""
             else:
+                open_at.setdefault(tag, []).append(len(stack))
                 stack.append(e)
-        elif m["end"]:
-            tag = m["end"].lower()
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    yield from close_to(k)
-                    break
+        elif m["end"] and (places := open_at.get(m["end"].lower())):
+            yield from close_to(places[-1])
     yield from close_to(1)
 
 
@@ -226,7 +238,7 @@ def fixed_blocks(tokens: list[tuple]) -> list[int]:
 
 
 def extract(page: str, path: int | None, fixed: frozenset[int] = frozenset()) -> str:
-    """Text blocks below the element ``path`` (or the page's own deduction) without ``fixed`` ones, joined by newlines."""
+    """Text blocks below the element ``path`` (or the page's own deduction) without ``fixed`` ones, joined by two newlines."""
     seen = list(events(page))
     whole = path
     if path is None or not any(kind == "open" and e.path == path for kind, e, _ in seen):
@@ -246,7 +258,7 @@ def extract(page: str, path: int | None, fixed: frozenset[int] = frozenset()) ->
         if kind == "close" and e.path == path:
             depth -= 1
     blocks.append("".join(inline))
-    out = "\n".join(b for b in (" ".join(html.unescape(x).split()) for x in blocks) if b)
+    out = "\n\n".join(b for b in (" ".join(html.unescape(x).split()) for x in blocks) if b)
     return out if out or not fixed else extract(page, whole)
 
 

@@ -256,6 +256,12 @@ def test_embeddings(spark):
     assert embed_dedup.near_duplicates(df.filter("false")).count() == 0
 
 
+def test_embeddings_of_extreme_magnitude(spark):
+    rows = [(k, [float(f"{a}e{e}"), float(f"{b}e{e}")], 1) for k, (a, b, e) in enumerate([(1, 0.1, 200), (1, 0.1, -200), (1, 0.1, 0), (-1, 0.1, 300), (1, -9, -300), (1, 0.1, -320)])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {0: (3, 0), 1: (3, 0), 2: (3, 0), 3: (0, 3), 4: (0, 4), 5: (3, 0)}
+
+
 def test_embeddings_in_many_cells_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(embed_dedup, "BLOCK_ROWS", 40)
     monkeypatch.setattr(embed_dedup, "CELL_ROWS", 50)
@@ -348,7 +354,7 @@ def test_html(spark):
     got = {r.page_id: r.text for r in html_template.main_texts(pages).collect()}
     assert html_template.main_texts(pages).count() == len(rows)
     for i in range(4):
-        assert got[i] == f"Title {i}\nFirst & bold\nSecond part of Title {i}"
+        assert got[i] == f"Title {i}\n\nFirst & bold\n\nSecond part of Title {i}"
     assert got[10] == got[11] == "" and got[12] == "plain <text> only"
     assert got[13].startswith("Cut") and got[14] == ("long text " * 5_000).strip() and got[17] == "deep"
     assert html_template.main_texts(pages.filter("false")).count() == 0
@@ -374,6 +380,28 @@ def test_html_attributes_are_read_by_whole_names(attrs, shown):
     assert html_template.extract(page, None).split() == (["Before", "box"] if shown else ["Before"])
 
 
+@pytest.mark.parametrize(
+    "markup, shown",
+    [
+        ("<p class='share-price'>box</p>", True), ("<section id=social-history>box</section>", True), ("<div class='notice-of-intent'>box</div>", True),
+        ("<p><label>box</label></p>", True), ("<div class=replies>box</div>", False), ("<div class='cookie-bar'>box</div>", False),
+        ("<div class='x sidebar-right'>box</div>", False), ("<form><label>box</label></form>", False),
+    ],
+)
+def test_html_furniture_is_named_by_whole_names(markup, shown):
+    assert html_template.extract(f"<body><article><p>Before</p>{markup}</article></body>", None).split() == ["Before", "box"][: 1 + shown]
+
+
+@pytest.mark.parametrize("unit, rest", [("<b>", "</i>"), ("<p><b>", "</p>"), ("<div>", "</section>"), ("<li><span>", "<li>"), ("<td>", "<tr>"), ("<table>", "<td>")])
+def test_html_nesting_takes_linear_time(unit, rest):
+    import time
+
+    n = 1_000_000 // len(unit + rest)
+    page, began = "<body>" + unit * n + rest * n + "end", time.process_time()
+    seen = sum(1 for _ in html_template.events(page))
+    assert seen > n and time.process_time() - began < 20  # each some 400,000 elements deep; a walk up the stack would take hours
+
+
 def test_fixed_blocks_inside_the_article_are_template(spark):
     """Neutrally named boxes that come with the template go, also when only most pages have them; copies of a page make no template."""
     page = "<body><article><h1>{0}</h1><p>Story {0}</p>{1}<p>End of {0}</p><div class=k><span>Read</span> <b>more</b></div></article></body>"
@@ -382,7 +410,7 @@ def test_fixed_blocks_inside_the_article_are_template(spark):
     rows += [(10 + i, f"http://copy.de/{i}", page.format("same", some)) for i in range(4)]
     rows += [(20 + i, f"http://two.de/{i}", page.format(f"title {i}", "")) for i in range(2)]
     rows += [(30 + i, f"http://all.de/{i}", f"<body><!-- {i} --><article><p>only this</p></article></body>") for i in range(4)]
-    got = {r.page_id: r.text.split("\n") for r in html_template.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    got = {r.page_id: r.text.split("\n\n") for r in html_template.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(got[i] == [f"title {i}", f"Story title {i}", f"End of title {i}"] for i in range(6))
     assert all(got[10 + i] == ["same", "Story same", "Buy this", "Buy that", "End of same", "Read more"] for i in range(4))
     assert all(got[20 + i][-1] == "Read more" for i in range(2)) and all(got[30 + i] == ["only this"] for i in range(4))

@@ -79,7 +79,7 @@ def test_op10_article_text(spark):
     for r in QUERIES["op10_html_extraction"](spark, SF).collect():
         body = re.search(r"<article>(.*?)</article>", pages[r.page_id], re.S)[1]
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1)>", body)]
-        assert r.text == "\n".join(b for b in blocks if b)
+        assert r.text == "\n\n".join(b for b in blocks if b)
         assert r.n_chars == len(r.text)
 
 
