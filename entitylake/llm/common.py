@@ -49,6 +49,11 @@ class Spool:
         out._spooled_at = where
         return out
 
+    def folder(self, name: str) -> str:
+        """A folder for a table that is written piece by piece."""
+        self._n += 1
+        return f"{self.root}/{self._n:02d}-{name}"
+
     def drop(self, df: DataFrame) -> None:
         path, fs = self._fs(df._spooled_at)
         fs.delete(path, True)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from entitylake.llm import ctw, decontam, embed_dedup, html_template, jaccard_join, lang_ppm, line_dedup, mixing, pii_crf, url_filter
+from entitylake.llm import ctw, decontam, embed_dedup, hard_negatives, html_template, jaccard_join, lang_ppm, line_dedup, mixing, pii_crf, prefix_tree, turn_repair, url_filter
 from entitylake.llm.common import table
 from entitylake.llm.oracles import ORACLES
 
@@ -52,6 +53,42 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_template.main_texts(table(spark, sf_dir, "pages"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(hard_negatives.quantised(table(spark, sf_dir, "embeddings"), shifted), F.col("vec_id") % 100 == 0)
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with planted faults, by crc32 of conv_id:turn modulo 20 (nulls: one space)."""
+    role, text = (turn_repair.or_space(F.col(c)) for c in ("role", "text"))
+    kind = F.crc32(F.concat(turn_repair.or_space(F.col("conv_id")), F.lit(":"), turn_repair.or_space(F.col("turn")))) % 20
+    rows = conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"), kind.alias("kind")).filter("kind <> 0")
+    rows = rows.withColumn("text", F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")))
+    rows = rows.withColumn("role", F.when(F.col("kind") == 4, turn_repair.USER).otherwise(F.col("role")))
+    return rows.select("conv_id", "turn", "role", "text", F.explode(F.array_repeat(F.lit(0), F.when(F.col("kind") == 3, 2).otherwise(1))).alias("copy"))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    ids = conversations.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    found = turn_repair.digests(damaged(conversations)).withColumnRenamed("conv_id", "found_id")
+    joined = ids.join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    sha = F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    return joined.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), sha)
+
+
+def control_turns(spark: SparkSession) -> DataFrame:
+    """Conversation -1: a user, then an assistant, both with control strings of the template as text."""
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    return spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+
+
+def op13_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    return prefix_tree.read_back(prefix_tree.build(given.unionByName(control_turns(spark))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_url_filter": op2_url_filter,
@@ -63,6 +100,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
     "op10_html_extraction": op10_html_extraction,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_turn_repair": op12_turn_repair,
+    "op13_prefix_tree": op13_prefix_tree,
 }
 
 ORACLE_SQL: dict[str, str] = {k: v for k, v in ORACLES.items() if k in QUERIES}
