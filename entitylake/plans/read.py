@@ -11,13 +11,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from entitylake.functions.tokens import decode_token, literal_text, token_column, token_literal, typed_literal
 from entitylake.model import DatasetDefinition
 from entitylake.session import scratch_dir
+from entitylake.sinks import fs
 from entitylake.sources.tables import to_entities
 
 
@@ -75,18 +76,89 @@ def since_window(rows: DataFrame, column: str, token: str = "", limit: int = 0)
     return SinceWindow(lower.where(col <= typed_literal(literal_text(row["m"]), dtype)), row["t"])
 
 
-def value_ranks(rows: DataFrame, column: str) -> DataFrame:
+#: Size of the quantile sketches (a few KB each) and the error of rank they are taken to have; the sketch's own is half of it.
+SKETCH_K, RANK_ERROR = 800, 0.007
+#: Ranks at which a bound is read off a sketch.
+RANKS = (0.01, 0.02, 0.05, 0.1, 0.2, 0.4)
+
+
+def _ordered_code(col: Column, dtype: T.DataType) -> tuple[Column, str] | None:
+    """A number that never falls as the value rises, and its kind; None for types without one."""
+    if isinstance(dtype, T.IntegralType):
+        return col.cast("bigint"), "bigint"
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(col).cast("bigint"), "bigint"
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(col), "bigint"
+    if isinstance(dtype, T.TimestampNTZType):
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return F.timestamp_diff("MICROSECOND", epoch, col), "bigint"
+    if isinstance(dtype, (T.FractionalType, T.DecimalType)):
+        return col.cast("double"), "double"
+    if isinstance(dtype, T.StringType):  # the first seven bytes as a number
+        head = F.rpad(F.substring(F.hex(F.substring(col, 1, 7)), 1, 14), 14, "0")
+        return F.conv(head, 16, 10).cast("bigint"), "bigint"
+    return None
+
+
+def _up_to(col: Column, dtype: T.DataType, code: Column, bound) -> Column:
+    """``code <= bound`` on the column itself where the code has an inverse, so that it reaches the scan."""
+    at = F.lit(bound)
+    if isinstance(dtype, T.IntegralType):
+        return col <= at.cast(dtype)
+    if isinstance(dtype, T.DateType):
+        return col <= F.date_from_unix_date(at.cast("int"))
+    if isinstance(dtype, T.TimestampType):
+        return col <= F.timestamp_micros(at)
+    if isinstance(dtype, T.TimestampNTZType):
+        return col <= F.timestamp_add("MICROSECOND", at, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return col <= at.cast(dtype)
+    return code <= at
+
+
+def narrowed(rows: DataFrame, column: str, n: int) -> DataFrame:
+    """The rows up to some since value with at least ``n`` rows up to it, few more than ``n`` of them if values differ.
+
+    A quantile sketch of the since column (one of a few KB from each task) gives an upper bound, which goes
+    down to the scan; the next sketch sees only the rows below it.  Each round leaves some hundredth of
+    the rows, so a page of n among N rows takes about log(N / n) / log(100) + 1 rounds.  Every bound is
+    checked by the count of the next round; one that cuts too deep is given up.
+    """
+    field = resolve_column(rows, column)
+    col = F.col(f"`{field.name}`")
+    coded = _ordered_code(col, field.dataType)
+    if coded is None:
+        return rows
+    code, kind = coded
+    agg, quantile = getattr(F, f"kll_sketch_agg_{kind}"), getattr(F, f"kll_sketch_get_quantile_{kind}")
+    ranks = F.array(*[F.lit(r) for r in RANKS])
+    kept, before = rows, None
+    while True:
+        sketched = rows.where(col.isNotNull()).agg(F.count(code).alias("m"), agg(code, F.lit(SKETCH_K)).alias("s"))
+        m, bounds = sketched.select("m", F.when(F.col("m") > 0, quantile("s", ranks)).alias("b")).first()
+        if m < n and before is not None:
+            return kept
+        kept = rows
+        bound = next((b for r, b in zip(RANKS, bounds or ()) if (r - RANK_ERROR) * m >= n), None)
+        if bound is None or m == before:  # near enough, or ties that no bound parts
+            return kept
+        rows, before = kept.where(_up_to(col, field.dataType, code, bound)), m
+
+
+def value_ranks(rows: DataFrame, column: str, where: str | None = None) -> DataFrame:
     """Distinct non-null since values ``_v`` with ``_before``, the number of rows with a smaller value.
 
     Rows are counted per value with partial aggregation, the values are range
-    partitioned and written once; running sums are taken inside each range and
+    partitioned and written once (to ``where``); running sums are taken inside each range and
     shifted by the totals of the ranges before it (one row per range).  No task
     sees more than its range, however many rows, values or ties there are.
     """
     field = resolve_column(rows, column)
     col = F.col(f"`{field.name}`")
     counts = rows.where(col.isNotNull()).groupBy(col.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    where = scratch_dir(rows.sparkSession, "ranks")
+    where = where or scratch_dir(rows.sparkSession, "ranks")
+    fs.delete_on_exit(rows.sparkSession, where)
     counts.repartitionByRange("_v").withColumn("_p", F.spark_partition_id()).write.parquet(where)
     ranged = rows.sparkSession.read.parquet(where)
     ahead = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
@@ -97,8 +169,17 @@ def value_ranks(rows: DataFrame, column: str) -> DataFrame:
 
 
 def page_bound(lower: DataFrame, column: str, n: int) -> DataFrame:
-    """One row ``_m``: the smallest since value up to which there are ``n`` rows, else the largest (NULL: none)."""
-    return value_ranks(lower, column).where(F.col("_before") < n).agg(F.max("_v").alias("_m"))
+    """One row ``_m``: the smallest since value up to which there are ``n`` rows, else the largest (NULL: none).
+
+    Exact counts are taken only of the narrowed rows; they are gone when this returns.
+    """
+    spark, dtype = lower.sparkSession, resolve_column(lower, column).dataType
+    where = scratch_dir(spark, "ranks")
+    ranks = value_ranks(narrowed(lower, column, n), column, where)
+    row = ranks.where(F.col("_before") < n).agg(F.max("_v").alias("_m")).select(token_literal(F.col("_m"), dtype).alias("m")).first()
+    fs.delete(spark, where)
+    bound = F.lit(None).cast(dtype) if row["m"] is None else typed_literal(literal_text(row["m"]), dtype)
+    return spark.range(1).select(bound.alias("_m"))
 
 
 def read_entities(rows: DataFrame, ds: DatasetDefinition, token: str = "", limit: int = 0) -> EntityPage:

@@ -176,3 +176,9 @@ def mkdirs(spark: SparkSession, path: str) -> None:
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
+
+
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` when the application ends, if it is still there."""
+    fs, p = _fs(spark, path)
+    fs.deleteOnExit(p)

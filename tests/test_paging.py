@@ -106,3 +106,43 @@ def test_limited_read_without_since_column_ignores_the_token(spark):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     page = read_entities(orders, DatasetDefinition("orders"), token="MTIz", limit=3)
     assert page.token == "" and page.entities.count() == 3
+
+
+def test_a_page_shuffles_its_own_rows_only(spark):
+    """The sketch's bound reaches the scan, and what is counted exactly follows the page."""
+    from entitylake.plans import read
+
+    n, total = 50, 200_000
+    values = F.col("id") * 7919 % total
+    types = {"bigint": values, "int": values.cast("int"), "double": values / 3, "decimal(20,2)": values, "string": F.lpad(values.cast("string"), 9, "0"),
+             "date": F.date_from_unix_date((values / 10).cast("int")), "timestamp": F.timestamp_micros(values), "timestamp_ntz": F.timestamp_micros(values)}
+    wide = spark.range(total).select(*[v.cast(t).alias(f"c{i}") for i, (t, v) in enumerate(types.items())])
+    from entitylake.session import scratch_dir
+
+    path = scratch_dir(spark, "page-test")
+    wide.write.parquet(path)
+    df = spark.read.parquet(path)
+    for i, t in enumerate(types):
+        kept = read.narrowed(df, f"c{i}", n)
+        assert n <= kept.count() <= 40 * n, t
+        pushed = kept._jdf.queryExecution().executedPlan().toString().split("PushedFilters: [", 1)[1].split("]")[0]
+        assert ("LessThanOrEqual" in pushed) == (t not in ("string", "decimal(20,2)")), (t, pushed)
+    tied = spark.range(5_000).select(F.lit(7).alias("s"))
+    assert read.narrowed(tied, "s", 3).count() == 5_000 and page_bound(tied, "s", 3).first()[0] == 7
+    assert read.narrowed(df.where("c0 < 0"), "c0", 3).count() == 0 and page_bound(df.where("c0 < 0"), "c0", 3).first()[0] is None
+    hidden = spark.range(9_000).select(F.when(F.col("id") % 3 == 0, F.col("id").cast("double")).when(F.col("id") % 3 == 1, float("nan")).alias("s"))
+    assert page_bound(hidden, "s", 10).first()[0] == 27.0 and str(page_bound(hidden, "s", 10**6).first()[0]) == "nan"
+    skewed = spark.range(20_000).select(F.when(F.col("id") < 15_000, 5).otherwise(F.col("id")).alias("s"))
+    assert page_bound(skewed, "s", 1).first()[0] == 5 and page_bound(skewed, "s", 15_001).first()[0] == 15_000
+
+
+def test_a_limited_read_leaves_no_folder_behind(spark):
+    import os
+
+    from entitylake.session import ensure_checkpoint_dir
+
+    root = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    assert since_window(orders, "o_orderdate", "", 100).rows.count() >= 100
+    assert set(os.listdir(root)) == before
