@@ -1,83 +1,58 @@
-"""Upsert into the latest table (J1): bucketed copy-on-write plus merge-on-read deltas.
+"""Upsert into the latest table (J1): a bucketed base, one bucketed run of changes, and small pending deltas.
 
 MERGE semantics: a batch row replaces the stored row with the same id
 unconditionally (even a newer one), unmatched rows are inserted, nothing is
 deleted, and NULL ids never match (they are always inserted).
 
-The latest table is stored as ``_bucket = pmod(xxhash64(id), N)`` directories.
-Between compactions a batch only writes its newest rows as a delta; readers
-apply pending deltas with a broadcast anti join (``apply_deltas``).  The store
-keeps the pending delta ids under a byte bound, so that broadcast is checked.
-
-A compaction rewrites only the buckets the deltas hit.  While the delta ids fit
-the broadcast bound (``fold_deltas``), the base rows of those buckets are only
-scanned, anti-joined against the broadcast ids and written back: the base is
-never shuffled, only the delta rows are (once, on ``_bucket``).  Beyond the
-bound (one very large batch), both sides are shuffled once on ``_bucket`` and a
-sub-hash of the id and the newest-wins choice is a window inside each bucket (``merge_latest``).
+Base and run are tables bucketed by ``id`` with the same bucket count, so they
+meet bucket by bucket: the run's ids of a bucket are a task's hash table, the
+base streams past it, and neither is shuffled or sorted (``merge_run``).  A batch
+writes its newest rows as a plain delta; readers apply the pending deltas with a
+broadcast anti join (``apply_deltas``), which the store keeps under a byte bound.
+
+A compaction folds the deltas into the run (``fold_deltas``), or, once run and
+deltas pass a share of the base, both into a new base.  Delta rows are shuffled
+once to their buckets; base and run never are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def bucket_of(id_col: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(id_col), F.lit(buckets)).cast("int")
-
-
-def _winners(rows: DataFrame, rank: str, splits: int) -> DataFrame:
-    """One row per id with the largest ``rank``; NULL ids all stay.  Carries ``_bucket``.
-
-    One exchange on the bucket and a sub-hash of the id, so a bucket is split
-    over ``splits`` tasks and a task writes few buckets.  NULL ids need no
-    choice and are not shuffled.
-    """
-    sub = F.pmod(F.xxhash64(F.col("id"), F.lit("sub")), F.lit(splits))
-    w = Window.partitionBy("_bucket", "_sub", "id").orderBy(F.col(rank).desc())
-    known = rows.where(F.col("id").isNotNull()).withColumn("_sub", sub).repartition("_bucket", "_sub")
-    best = known.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn", "_sub", rank)
-    return best.unionByName(rows.where(F.col("id").isNull()).drop(rank))
+def _ids(rows: DataFrame) -> DataFrame:
+    return rows.select("id").where(F.col("id").isNotNull())
 
 
-def merge_latest(current: DataFrame | None, batch: DataFrame, splits: int = 1) -> DataFrame:
-    """Rows of ``current`` whose id is not in ``batch``, plus all of ``batch``; both carry ``_bucket``."""
-    cols = batch.columns
-    src = batch.withColumn("_src", F.lit(1))
-    if current is not None:
-        src = current.select(*cols).withColumn("_src", F.lit(0)).unionByName(src)
-    return _winners(src, "_src", splits)
+def merge_run(base: DataFrame, run: DataFrame) -> DataFrame:
+    """Base rows not replaced by the run, and the run's (one per id); both bucketed alike: no exchange, no sort."""
+    return base.join(_ids(run).hint("shuffle_hash"), "id", "left_anti").unionByName(run)
 
 
-def newest_per_bucket(deltas: DataFrame, buckets: int, splits: int = 1) -> DataFrame:
-    """Newest delta row per id with its ``_bucket`` (one shuffle of the delta rows)."""
-    return _winners(deltas.withColumn("_bucket", bucket_of(F.col("id"), buckets)), "_seq", splits)
+def newest_delta_rows(deltas: DataFrame) -> DataFrame:
+    """Across pending deltas (each already one row per id) the last batch wins; NULL ids all stay."""
+    w = Window.partitionBy("id").orderBy(F.col("_seq").desc())
+    ranked = deltas.withColumn("_rn", F.row_number().over(w))
+    return ranked.where((F.col("_rn") == 1) | F.col("id").isNull()).drop("_rn", "_seq")
 
 
-def fold_deltas(base: DataFrame | None, deltas: DataFrame, buckets: int, broadcast_ids: bool, splits: int = 1) -> DataFrame:
-    """Copy-on-write J1: the hit buckets' base rows merged with the pending deltas.
+def fold_deltas(base: DataFrame | None, deltas: DataFrame, buckets: int, broadcast_ids: bool) -> DataFrame:
+    """``base`` with the pending deltas merged in, dealt to ``buckets`` by id.
 
-    With ``broadcast_ids`` (delta ids within the store's byte bound) the base is
-    filtered map-side by a broadcast anti join and never shuffled; otherwise
-    both sides go through ``merge_latest``.  The result carries ``_bucket``.
+    The delta rows are shuffled to their buckets, where the newest of an id is
+    chosen.  With ``broadcast_ids`` (delta ids within the store's byte bound) the
+    base is filtered map-side; otherwise by a sort-merge join bucket by bucket,
+    for which a bucketed base is not shuffled either.
     """
-    newest = newest_per_bucket(deltas, buckets, splits)
+    dealt = deltas.repartition(buckets, "id")
+    newest = newest_delta_rows(dealt)
     if base is None:
         return newest
-    if not broadcast_ids:
-        return merge_latest(base, newest, splits)
-    ids = F.broadcast(deltas.select("id").where(F.col("id").isNotNull()))
+    ids = F.broadcast(_ids(deltas)) if broadcast_ids else _ids(dealt).hint("merge")
     return base.join(ids, "id", "left_anti").unionByName(newest)
 
 
-def newest_delta_rows(deltas: DataFrame) -> DataFrame:
-    """Across pending deltas (each already one row per id) the last batch wins; NULL ids all stay."""
-    w = Window.partitionBy("id").orderBy(F.col("_seq").desc())
-    ranked = deltas.withColumn("_rn", F.row_number().over(w))
-    return ranked.where((F.col("_rn") == 1) | F.col("id").isNull()).drop("_rn", "_seq")
-
-
 def apply_deltas(base: DataFrame, deltas: DataFrame, broadcast_ids: bool) -> DataFrame:
     """Merge-on-read J1: base rows not replaced by a delta, plus the newest delta rows.
 
@@ -86,7 +61,7 @@ def apply_deltas(base: DataFrame, deltas: DataFrame, broadcast_ids: bool) -> Dat
     join: the base is scanned, never shuffled.  Without a known size the join
     is left to the planner (sort-merge, or AQE's runtime broadcast).
     """
-    ids = deltas.select("id").where(F.col("id").isNotNull())
+    ids = _ids(deltas)
     if broadcast_ids:
         ids = F.broadcast(ids)
     return base.join(ids, "id", "left_anti").unionByName(newest_delta_rows(deltas))

@@ -3,8 +3,8 @@
 Incremental: batch -> stage (K1) -> staged scan (S6/S7) -> log append (K3)
 -> newest per id (W1) written as a latest-table delta -> one manifest commit.
 Deltas are applied on read (J1, merge-on-read) until their rows exceed the
-store's bound; then they are folded into the hash buckets they hit
-(copy-on-write J1) in the same commit.  A batch is keyed: replaying a key that
+store's bound; then they are folded into the bucketed run beside the base, now
+and then into the base itself, in the same commit.  A batch is keyed: replaying a key that
 was ever loaded is a no-op.  Every attempt writes to directories of its own, so
 a retry (task, job or ``foreachBatch`` replay) never touches what a committed
 state names.
@@ -29,12 +29,13 @@ from entitylake.model import ENTITY_COLUMN, DatasetDefinition
 from entitylake.operators.dedup import newest_per_id
 from entitylake.operators.incoming import entities_to_rows, table_schema
 from entitylake.operators.outgoing import entity_json
-from entitylake.operators.upsert import bucket_of, fold_deltas
+from entitylake.operators.upsert import fold_deltas
 from entitylake.sinks import fs
 from entitylake.sinks.stage import write_stage
-from entitylake.sinks.store import BUCKET_BYTES, CommitConflict, LoadOrderConflict, TableState, TableStore, newest_load
+from entitylake.sinks.store import CommitConflict, LoadOrderConflict, TableState, TableStore, newest_load
 from entitylake.sources.entity_files import STAGE_ORDER, read_stage
 
+RUN_SHARE = 4  # a run and deltas of more than 1/RUN_SHARE of the base's bytes are folded into it
 MAX_DELTAS = 64  # pending latest deltas before a compaction, bounds the read-side union
 COMMIT_ATTEMPTS = 5
 log = logging.getLogger("entitylake.ingest")
@@ -84,14 +85,6 @@ def _log_columns(cols: list[str]) -> list:
     return [*cols, "_erec", F.struct(*STAGE_ORDER).alias("_arrival")]
 
 
-def _bucket_dirs(store: TableStore, path: str) -> dict[int, str]:
-    out = {}
-    for name in fs.list_names(store.spark, path):
-        if name.startswith("_bucket="):
-            out[int(name.split("=", 1)[1])] = f"{path}/{name}"
-    return out
-
-
 def ingest_incremental(
     store: TableStore,
     ds: DatasetDefinition,
@@ -145,7 +138,7 @@ def ingest_incremental(
             source = spark.read.parquet(entry["path"])
             newest = newest_per_id(source, "_erec", ("_arrival",), load="recorded").select(*cols)
             newest.observe(sized, *size_cols).write.parquet(delta_path)
-        delta_entry = {"key": batch_key, "path": delta_path, "rows": int(sized.get["rows"]), "id_bytes": int(sized.get["id_bytes"])}
+        delta_entry = {"key": batch_key, "path": delta_path, "rows": int(sized.get["rows"]), "id_bytes": int(sized.get["id_bytes"]), "bytes": fs.size_of(spark, delta_path)}
     for _ in range(COMMIT_ATTEMPTS):
         if rising and (newest := st.newest_load()) is not None and newest >= int(seen.get["first"]):
             raise LoadOrderConflict(f"batch {batch_key} of {loc} starts at {seen.get['first']}, {newest} is committed")
@@ -191,39 +184,45 @@ def _log_compacted(store: TableStore, loc: str, st: TableState, batch_key: str)
     return st
 
 
-def _compacted(store: TableStore, loc: str, st: TableState) -> TableState:
-    """Fold pending deltas into the base buckets they hit (copy-on-write J1).
+def _compacted(store: TableStore, loc: str, st: TableState, whole: bool = False) -> TableState:
+    """Fold pending deltas into the run, or run and deltas into a new base once they pass a share of it (or ``whole``).
 
-    Within the broadcast bound the base buckets are scanned and filtered
-    map-side, never shuffled; a larger delta set (one huge batch) takes the
-    shuffle merge.  The first base of a table fixes its bucket count.
+    So a row of the base is rewritten once for some 1/RUN_SHARE of the base that
+    changed, not for every set of deltas that a read can broadcast.  Only delta
+    rows are shuffled.  The first base of a table fixes its bucket count; a base
+    that has outgrown it by far is dealt to more buckets.
     """
-    if not st.deltas:
+    if not st.deltas and not (whole and st.run):
         return st
-    n_bytes = sum(fs.size_of(store.spark, d["path"]) for d in st.deltas)
-    if not st.latest_paths:
-        st = replace(st, buckets=store.bucket_count(n_bytes))
-    deltas = store.read_deltas(st)
-    hit_col = bucket_of(F.col("id"), st.buckets).alias("_bucket")
-    hit = sorted(r[0] for r in deltas.select(hit_col).distinct().collect())  # at most ``buckets`` ints
-    n_bytes += sum(fs.size_of(store.spark, st.latest_paths[b]) for b in hit if b in st.latest_paths)
-    splits = max(1, -(-n_bytes // (BUCKET_BYTES * max(1, len(hit)))))
-    out = f"{loc}/latest/base-{_attempt()}"
+    new_bytes = sum(d["bytes"] if "bytes" in d else fs.size_of(store.spark, d["path"]) for d in st.deltas)
+    changed = new_bytes + (st.run["bytes"] if st.run else 0)
+    total = changed + (st.base["bytes"] if st.base else 0)
+    dropped = [*st.dropped, *[d["path"] for d in st.deltas]]
+    buckets, wanted = st.buckets, store.bucket_count(total)
+    if st.base is None:
+        buckets = wanted
+
+    def folded(rows: DataFrame | None) -> DataFrame:
+        return fold_deltas(rows, store.read_deltas(st), buckets, store.can_broadcast(st)) if st.deltas else rows
+
     with _step("compact"):
-        merged = fold_deltas(store.read_buckets(st, hit), deltas, st.buckets, store.can_broadcast(st), splits)
-        merged.write.partitionBy("_bucket").parquet(out)
-    paths = dict(st.latest_paths)
-    paths.update(_bucket_dirs(store, out))
-    return replace(st, latest_paths=paths, deltas=[], dropped=[*st.dropped, *[d["path"] for d in st.deltas]])
+        if st.base is not None and not whole and changed * RUN_SHARE <= st.base["bytes"]:
+            run = store.write_bucketed(folded(store.read_run(st)), f"{loc}/latest/run-{_attempt()}", buckets)
+            return replace(st, run=run, deltas=[], dropped=dropped)
+        rows = folded(store.read_compacted(st))
+        if "paths" in (st.base or {}) or wanted >= 4 * buckets:
+            buckets, rows = wanted, rows.repartition(wanted, "id")
+        base = store.write_bucketed(rows, f"{loc}/latest/base-{_attempt()}", buckets)
+    return replace(st, base=base, run=None, buckets=buckets, deltas=[], dropped=dropped)
 
 
 def compact(store: TableStore, ds: DatasetDefinition) -> TableState | None:
-    """Compact the latest table now (one manifest commit)."""
+    """Compact the latest table now: everything into a new base (one manifest commit)."""
     loc = store.location(ds)
     st = store.state(loc)
-    if st is None or not st.deltas:
+    if st is None or not (st.deltas or st.run):
         return st
-    return store.commit(loc, _compacted(store, loc, replace(st, version=st.version + 1, dropped=[])))
+    return store.commit(loc, _compacted(store, loc, replace(st, version=st.version + 1, dropped=[]), whole=True))
 
 
 class FullSync:
@@ -277,7 +276,7 @@ class FullSync:
     def _build(self, st: TableState, load_ns: int) -> TableState:
         """Log and latest of this attempt's stage, in new directories."""
         spark, stage = self.store.spark, self._stage(st)
-        kept = {} if not st.latest else {"latest_paths": {}, "deltas": []}  # latest off: that table stays as it is
+        kept = {} if not st.latest else {"base": None, "run": None, "deltas": []}  # latest off: that table stays as it is
         done = {"sync": None, "synced": st.sync["attempt"], "dropped": [], "load_max": st.newest_load()}
         if not any(b.isdigit() for b in fs.list_names(spark, stage)):
             return replace(st, log=[], **kept, **done)
@@ -286,16 +285,11 @@ class FullSync:
         rows = _staged_rows(self.store, self.ds, stage, load_ns)
         rows.select(*_log_columns(cols)).write.parquet(f"{base}/log")
         if st.latest:
-            n_bytes = fs.size_of(spark, f"{base}/log")
-            buckets = self.store.bucket_count(n_bytes)
-            # at most one row per id and task is shuffled to choose the newest, then each once to its bucket's tasks
+            buckets = self.store.bucket_count(fs.size_of(spark, f"{base}/log"))
+            # at most one row per id and task is shuffled to choose the newest, then each once to its bucket
             newest = newest_per_id(spark.read.parquet(f"{base}/log"), "_erec", ("_arrival",)).select(*cols)
-            splits = max(1, -(-n_bytes // (BUCKET_BYTES * buckets)))
-            dealt = newest.withColumn("_bucket", bucket_of(F.col("id"), buckets)).repartition(
-                F.col("_bucket"), F.pmod(F.xxhash64(F.col("id"), F.lit("sub")), F.lit(splits))
-            )
-            dealt.write.partitionBy("_bucket").parquet(f"{base}/latest")
-            kept = {"latest_paths": _bucket_dirs(self.store, f"{base}/latest"), "deltas": [], "buckets": buckets}
+            kept["base"] = self.store.write_bucketed(newest.repartition(buckets, "id"), f"{base}/latest", buckets)
+            kept["buckets"] = buckets
         entry = {"key": f"fs-{st.sync['attempt']}", "path": f"{base}/log", "load_ns_max": int(load_ns), "level": 1}
         return replace(st, log=[entry], **kept, **done)
 
@@ -317,7 +311,7 @@ class FullSync:
             self.store.mark_loaded(self.loc, st.keys())
             new = replace(built, version=st.version + 1, load_max=st.newest_load())
             if not st.latest:
-                new = replace(new, latest_paths=st.latest_paths, deltas=st.deltas, buckets=st.buckets)
+                new = replace(new, base=st.base, run=st.run, deltas=st.deltas, buckets=st.buckets)
             try:
                 return self.store.commit(self.loc, new)
             except CommitConflict:

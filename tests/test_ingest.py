@@ -176,7 +176,7 @@ def test_concurrent_commit_is_retried_on_the_newer_state(spark, tmp):
 
 
 def test_delta_sizes_recorded_and_fold_never_shuffles_the_base(spark, tmp):
-    from entitylake.operators.upsert import bucket_of, fold_deltas
+    from entitylake.operators.upsert import fold_deltas
 
     lake = Lake(spark, tmp + "/lake", latest_default=True, buckets=4)
     lake.define(DatasetDefinition("t", incoming=MAP_V))
@@ -185,7 +185,6 @@ def test_delta_sizes_recorded_and_fold_never_shuffles_the_base(spark, tmp):
     assert (d["rows"], d["id_bytes"]) == (2, 3)
     assert lake.store.can_broadcast(lake.state("t"))
     base = spark.createDataFrame([("a", "old"), ("z", "z")], "id string, v string")
-    base = base.withColumn("_bucket", bucket_of(F.col("id"), 4))
     deltas = spark.createDataFrame([("a", "new", 1)], "id string, v string, _seq int")
     plan = fold_deltas(base, deltas, 4, True)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1  # the delta rows only
@@ -353,3 +352,45 @@ def test_rising_load_numbers_are_checked_at_the_commit(spark, tmp):
     sync.add(_ents(spark, [("c", 1, "z", 1)]))
     sync.commit(5)  # replaces the rows, not the numbers already given out
     assert lake.state("t").newest_load() == 11
+
+
+def test_base_and_run_meet_without_an_exchange(spark, tmp):
+    from entitylake.plans.ingest import RUN_SHARE
+
+    lake = Lake(spark, tmp + "/lake", latest_default=True, buckets=4, delta_rows_max=1)
+    lake.define(DatasetDefinition("t", incoming=MAP_V))
+    lake.write_incremental("t", _ents(spark, [(f"id{i}", 1, f"v{i}" * 50, i) for i in range(4_000)] + [(None, 1, "n1", 0)]), 1, "b1")
+    st = lake.state("t")
+    assert st.base and not st.run and not st.deltas and st.buckets == 4
+    lake.write_incremental("t", _ents(spark, [("id7", 2, "seven", 1), ("new", 2, "new", 2), (None, 1, "n2", 0)]), 2, "b2")
+    st2 = lake.state("t")
+    assert st2.base == st.base and st2.run["bytes"] * RUN_SHARE <= st2.base["bytes"] and not st2.deltas  # the base is not rewritten
+    lake.write_incremental("t", _ents(spark, [("id7", 3, "again", 1), ("id8", 3, "eight", 2)]), 3, "b3")
+    st3 = lake.state("t")
+    assert st3.base == st.base and st3.run != st2.run
+    rows = lake.latest("t")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan and plan.count("Bucketed: true") >= 2, plan
+    got = {r.id: (r.v, r.recorded) for r in rows.where("id is not null").collect()}
+    assert len(got) == 4_001 and got["id7"] == ("again", 3) and got["id8"] == ("eight", 3) and got["new"] == ("new", 2) and got["id9"] == ("v9" * 50, 1)
+    assert sorted(r.v for r in rows.where("id is null").collect()) == ["n1", "n2"]
+    one = rows.where(F.col("id") == "id7")
+    assert "SelectedBucketsCount: 1 out of 4" in one._jdf.queryExecution().executedPlan().toString() and [r.v for r in one.collect()] == ["again"]
+    assert "latest_paths" not in st3.to_json() and len(st3.to_json()) < 4_000
+    done = lake.compact("t")
+    assert done.base != st.base and not done.run and {r.id: (r.v, r.recorded) for r in lake.latest("t").where("id is not null").collect()} == got
+
+
+def test_a_base_that_outgrew_its_buckets_is_dealt_anew(spark, tmp, monkeypatch):
+    from entitylake.sinks import store
+
+    lake = Lake(spark, tmp + "/lake", latest_default=True, delta_rows_max=1)
+    lake.define(DatasetDefinition("t", incoming=MAP_V))
+    lake.write_incremental("t", _ents(spark, [(f"id{i}", 1, f"v{i}", i) for i in range(100)]), 1, "b1")
+    assert lake.state("t").buckets == 8
+    monkeypatch.setattr(store, "BUCKET_BYTES", 400)
+    lake.write_incremental("t", _ents(spark, [(f"id{i}", 2, f"w{i}", i) for i in range(90, 400)]), 2, "b2")
+    assert lake.state("t").buckets >= 32
+    lake.write_incremental("t", _ents(spark, [("id5", 3, "x5", 1)]), 3, "b3")
+    got = {r.id: r.v for r in lake.latest("t").collect()}
+    assert got == {f"id{i}": "x5" if i == 5 else f"w{i}" if i >= 90 else f"v{i}" for i in range(400)}
