@@ -100,6 +100,8 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_ingest": _q(w.stream_ingest),
         "stream_resized": _q(w.stream_resized),
         "full_sync_latest_off": _q(w.full_sync_latest_off),
+        "log_since_event_time": _q(w.log_since_event_time),
+        "upsert_latest_run": _q(w.upsert_latest_run),
     }
 
 
@@ -330,6 +332,10 @@ select concat('{US}', user_id) as id, event_id, {_tok("'1700000000000000000'")}
 from events where ts >= timestamp '2024-01-16 00:00:00'""",
         "stream_ingest": _two_level_latest(STREAM_FILE, "events_stream", "cast(1700001000000000000 + b as bigint)"),
         "stream_resized": _two_level_latest(STREAM_FILE, "events_stream", "cast(1700001000000000000 + b as bigint)"),
+        "log_since_event_time": f"""
+select concat('{EV}', event_id) as id, (select {_tok(_ts_lit("max(ts)"))} from events) as token from events where ts > {win_from}""",
+        "upsert_latest_run": f"""
+select {_events_log_cols(f"concat('{EV}', event_id)", 'events_run', f"case when ts >= timestamp '2024-01-28 00:00:00' then {L2} else {L1} end")} from events""",
         "full_sync_latest_off": f"""
 with c as ({_CUSTOMER_ROWS}), n as (
   select concat('{NA}', n_nationkey) as id, {L1} as recorded, false as deleted, 'customers' as dataset,

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import re
+from datetime import date, datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -88,3 +89,22 @@ def typed_literal(text: str, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)) and text.endswith("Z"):
         text = text[:-1] + "+00:00" if isinstance(dtype, T.TimestampType) else text[:-1]
     return F.lit(text).cast(dtype)
+
+
+#: Types whose literals can be compared here as their values compare in Spark.
+RANGED_TYPES = (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def ordered_value(text: str, dtype: T.DataType):
+    """The value of a literal's text for comparisons on the driver; None where that is not certain."""
+    try:
+        if isinstance(dtype, T.IntegralType):
+            return int(text)
+        if isinstance(dtype, T.DateType):
+            return date.fromisoformat(text)
+        value = datetime.fromisoformat(text)
+    except ValueError:
+        return None
+    if isinstance(dtype, T.TimestampType):
+        return value if value.tzinfo else None
+    return value if isinstance(dtype, T.TimestampNTZType) and not value.tzinfo else None

@@ -4,29 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from entitylake.model import LATEST_SUFFIX, DatasetDefinition
 from entitylake.plans.ingest import FullSync, compact, ingest_incremental
-from entitylake.plans.read import EntityPage, all_pages, changes, read_entities
-from entitylake.functions.tokens import decode_token
+from entitylake.plans.read import EntityPage, all_pages, changes, footer_rows, newest_value, read_entities, resolve_column
+from entitylake.functions.tokens import decode_token, typed_literal
 from entitylake.operators.dedup import newest_from_log
 from entitylake.sinks import fs
-from entitylake.sinks.store import TableState, TableStore, normalise
+from entitylake.sinks.store import TableState, TableStore, largest_literal, normalise
 from entitylake.sources.tables import resolve
 
 
-def _recorded_after(since_column: str | None, token: str) -> int | None:
-    """The integer lower bound of a ``recorded`` since-read, else None."""
-    if not token or not since_column or since_column.lower() != "recorded":
-        return None
-    literal = decode_token(token)
-    try:
-        return int(literal) if literal is not None else None
-    except ValueError:
-        return None  # not an integer: the read itself rejects or handles it
-
-
 def catalog_name(spark: SparkSession, database: str, schema: str, table: str) -> str:
     """Catalog name of a table outside the lake's folders: catalog.schema.table, else schema.table, else table."""
     parts = [p for p in (database, schema, table) if p]
@@ -77,11 +67,19 @@ class Lake:
         return ds.source.latest_table if ds.source.latest_table is not None else self.latest_default
 
     # -- reading tables -------------------------------------------------------
+    def _managed_log(self, ds: DatasetDefinition) -> str | None:
+        """Location of the managed log a dataset reads, if it reads one."""
+        sc = ds.source
+        if sc.path or sc.catalog_table:
+            return None
+        loc = f"{self.store.root}/{normalise(sc.database)}/{normalise(sc.schema)}/{normalise(sc.table_name or ds.name)}"
+        return loc if fs.exists(self.spark, f"{loc}/_manifest") else None
+
     def table(self, ds: DatasetDefinition, since: str = "") -> DataFrame:
         """Rows of the dataset's source table.
 
-        For a managed log read by ``recorded`` after a token, batches loaded at
-        or before the token are pruned through the manifest.
+        For a managed log read after a token, batches whose since values all lie
+        at or before the token are pruned through the manifest.
         """
         sc = ds.source
         if sc.path:
@@ -92,19 +90,38 @@ class Lake:
         base = f"{self.store.root}/{normalise(sc.database)}/{normalise(sc.schema)}"
         if name.endswith(LATEST_SUFFIX) and fs.exists(self.spark, f"{base}/{name[: -len(LATEST_SUFFIX)]}/_manifest"):
             return self.store.read_latest(f"{base}/{name[: -len(LATEST_SUFFIX)]}")
-        if fs.exists(self.spark, f"{base}/{name}/_manifest"):
-            return self.store.read_log(f"{base}/{name}", recorded_after=_recorded_after(sc.since_column, since))
+        if (loc := self._managed_log(ds)) is not None:
+            after = decode_token(since) if sc.since_column else None
+            return self.store.read_log(loc, since=None if after is None else (sc.since_column, after))
         if fs.exists(self.spark, f"{base}/{name}"):
             return self.spark.read.parquet(f"{base}/{name}")
         return self.spark.table(catalog_name(self.spark, sc.database, sc.schema, sc.table_name or ds.name))
 
+    def newest_of(self, ds: DatasetDefinition, rows: DataFrame) -> DataFrame | None:
+        """One row ``_m``, the MAX of the dataset's since column without opening a data file, where that can be had:
+        from a managed log's manifest, or from the footers of the files at a path."""
+        column = ds.source.since_column
+        if not column:
+            return None
+        if ds.source.path:
+            footers = footer_rows(self.spark, ds.source.path, column)
+            return None if footers is None else newest_value(footers, column)
+        if (loc := self._managed_log(ds)) is None or (st := self.store.state(loc)) is None:
+            return None
+        known, literal = largest_literal(st, column)
+        dtype = resolve_column(rows, column).dataType
+        bound = F.lit(None).cast(dtype) if literal is None else typed_literal(literal, dtype)
+        return self.spark.range(1).select(bound.alias("_m")) if known else None
+
     def entities(self, name: str, since: str = "", limit: int = 0) -> EntityPage:
         ds = self.dataset(name)
-        return read_entities(self.table(ds, since), ds, since, limit)
+        rows = self.table(ds, since)
+        return read_entities(rows, ds, since, limit, None if limit else self.newest_of(ds, rows))
 
     def changes(self, name: str, since: str = "", limit: int = 0, latest_only: bool = False) -> EntityPage:
         ds = self.dataset(name)
-        return changes(self.table(ds, since), ds, since, limit, latest_only)
+        rows = self.table(ds, since)
+        return changes(rows, ds, since, limit, latest_only, None if limit else self.newest_of(ds, rows))
 
     def all_pages(self, name: str, page_rows: int, since: str = "") -> DataFrame:
         """Every page of a feed after ``since`` in one frame: entities with ``page`` and its ``token``."""

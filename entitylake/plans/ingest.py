@@ -24,7 +24,9 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from entitylake.functions.tokens import token_literal
 from entitylake.model import ENTITY_COLUMN, DatasetDefinition
 from entitylake.operators.dedup import newest_per_id
 from entitylake.operators.incoming import entities_to_rows, table_schema
@@ -32,7 +34,7 @@ from entitylake.operators.outgoing import entity_json
 from entitylake.operators.upsert import fold_deltas
 from entitylake.sinks import fs
 from entitylake.sinks.stage import write_stage
-from entitylake.sinks.store import CommitConflict, LoadOrderConflict, TableState, TableStore, newest_load
+from entitylake.sinks.store import CommitConflict, LoadOrderConflict, TableState, TableStore, joined_ranges, newest_load, ranged_fields
 from entitylake.sources.entity_files import STAGE_ORDER, read_stage
 
 RUN_SHARE = 4  # a run and deltas of more than 1/RUN_SHARE of the base's bytes are folded into it
@@ -81,6 +83,16 @@ def _direct_rows(ds: DatasetDefinition, entities: DataFrame, load_ns: int | Colu
     return entities_to_rows(_own_recorded(staged), ds, F.col("_load"), keep=("_erec", *STAGE_ORDER))
 
 
+def _ranges(schema: StructType) -> list[Column]:
+    """Least and largest literal of each column that since-reads can be pruned by."""
+    fields = ranged_fields(schema)
+    return [token_literal(end(f"`{f.name}`"), f.dataType).alias(f"{name}{k}") for k, f in enumerate(fields) for name, end in (("lo", F.min), ("hi", F.max))]
+
+
+def _observed_ranges(schema: StructType, seen: Observation) -> dict:
+    return {f.name: [seen.get[f"lo{k}"], seen.get[f"hi{k}"]] for k, f in enumerate(ranged_fields(schema))}
+
+
 def _log_columns(cols: list[str]) -> list:
     return [*cols, "_erec", F.struct(*STAGE_ORDER).alias("_arrival")]
 
@@ -123,12 +135,13 @@ def ingest_incremental(
         rows = _direct_rows(ds, entities, load_ns, tuple(order_by))
     cols = [f.name for f in schema]
     seen = Observation(f"batch-{attempt}")
-    measures = (F.count(F.lit(1)).alias("rows"), F.min("recorded").alias("first"), F.max("recorded").alias("load"))
-    with _step("log"):  # K3; the row count rides along with the write
+    measures = [F.count(F.lit(1)).alias("rows"), F.min("recorded").alias("first"), F.max("recorded").alias("load"), *_ranges(schema)]
+    with _step("log"):  # K3; row count and column ranges ride along with the write
         rows.select(*_log_columns(cols)).observe(seen, *measures).write.parquet(entry["path"])
     if seen.get["rows"] == 0:  # empty batch loads nothing
         return st
     entry["load_ns_max"] = int(seen.get["load"])
+    entry["ranges"] = _observed_ranges(schema, seen)
     delta_entry = None
     if st.latest:
         delta_path = f"{loc}/latest/deltas/{attempt}"
@@ -179,7 +192,7 @@ def _log_compacted(store: TableStore, loc: str, st: TableState, batch_key: str)
             ordered.write.parquet(seg)
         loads = [newest_load(b) for b in same]
         load_max = None if any(x is None for x in loads) else max(loads)  # lets since-reads skip the segment
-        entry = {"key": seg.rpartition("/")[2], "path": seg, "load_ns_max": load_max, "level": level + 1}
+        entry = {"key": seg.rpartition("/")[2], "path": seg, "load_ns_max": load_max, "level": level + 1, "ranges": joined_ranges(st.schema, same)}
         st = replace(st, log=[*[b for b in st.log if b not in same], entry], dropped=[*st.dropped, *[b["path"] for b in same]])
     return st
 
@@ -283,14 +296,16 @@ class FullSync:
         cols = [f.name for f in self.schema]
         base = f"{self.loc}/fs/{st.sync['attempt']}-{_attempt()}"
         rows = _staged_rows(self.store, self.ds, stage, load_ns)
-        rows.select(*_log_columns(cols)).write.parquet(f"{base}/log")
+        seen = Observation(f"sync-{st.sync['attempt']}")
+        ranges = _ranges(self.schema) or [F.count(F.lit(1)).alias("rows")]
+        rows.select(*_log_columns(cols)).observe(seen, *ranges).write.parquet(f"{base}/log")
         if st.latest:
             buckets = self.store.bucket_count(fs.size_of(spark, f"{base}/log"))
             # at most one row per id and task is shuffled to choose the newest, then each once to its bucket
             newest = newest_per_id(spark.read.parquet(f"{base}/log"), "_erec", ("_arrival",)).select(*cols)
             kept["base"] = self.store.write_bucketed(newest.repartition(buckets, "id"), f"{base}/latest", buckets)
             kept["buckets"] = buckets
-        entry = {"key": f"fs-{st.sync['attempt']}", "path": f"{base}/log", "load_ns_max": int(load_ns), "level": 1}
+        entry = {"key": f"fs-{st.sync['attempt']}", "path": f"{base}/log", "load_ns_max": int(load_ns), "level": 1, "ranges": _observed_ranges(self.schema, seen)}
         return replace(st, log=[entry], **kept, **done)
 
     def commit(self, load_ns: int) -> TableState:

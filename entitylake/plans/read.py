@@ -1,7 +1,8 @@
 """Windowed incremental reads (I1-I3) built from A1/A2, F1/F2 and L1.
 
-One small action computes the window bound (a MAX, partial + final
-aggregate) together with the next token; the rows themselves stay a lazy
+One small action computes the window bound (a MAX: from Parquet footers or a
+log's manifest where they have it, else partial + final aggregate) together
+with the next token; the rows themselves stay a lazy
 DataFrame whose ``since`` filters are pushed into the Parquet scan.  A bound
 travels as the token's literal, which keeps the type's full precision and, for
 zone-aware timestamps, the offset.
@@ -9,9 +10,12 @@ zone-aware timestamps, the offset.
 
 from __future__ import annotations
 
+from contextlib import suppress
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,38 +48,75 @@ def resolve_column(rows: DataFrame, name: str) -> T.StructField:
     return found[0]
 
 
-def high_water_mark(rows: DataFrame, column: str, after: str | None = None) -> DataFrame:
-    """A1 / A2 (+X4-X6): one row ``(max_value text, token)``; empty -> NULLs."""
+def footer_rows(spark: SparkSession, path: str, column: str) -> DataFrame | None:
+    """Rows of Parquet files through the reader that answers a MAX from their footers; None for types that have none there.
+
+    Integers and dates only: text statistics may be cut short, those of floats leave out NaN, and
+    timestamps are not pushed.  The reader is chosen by settings, so it gets a session of its own.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    rows = own.read.parquet(path)
+    return rows if isinstance(resolve_column(rows, column).dataType, (T.IntegralType, T.DateType)) else None
+
+
+def newest_value(rows: DataFrame, column: str) -> DataFrame:
+    """A1: one row ``_m``, the column's MAX (NULL: none)."""
+    return rows.agg(F.max(F.col(f"`{resolve_column(rows, column).name}`")).alias("_m"))
+
+
+def _after(newest: DataFrame, after: str | None, dtype: T.DataType) -> DataFrame:
+    """A2 from A1: the largest value after the token is the largest value, if that is after it."""
+    return newest if after is None else newest.select(F.when(F.col("_m") > typed_literal(after, dtype), F.col("_m")).alias("_m"))
+
+
+def high_water_mark(rows: DataFrame, column: str, after: str | None = None, newest: DataFrame | None = None) -> DataFrame:
+    """A1 / A2 (+X4-X6): one row ``(max_value text, token)``; empty -> NULLs.
+
+    ``newest`` is the column's MAX where it is known without a scan (``footer_rows``, a log's manifest).
+    """
     field = resolve_column(rows, column)
     col, dtype = F.col(f"`{field.name}`"), field.dataType
-    src = rows if after is None else rows.where(col > typed_literal(after, dtype))
-    m = F.max(col)
-    return src.agg(m.alias("_m")).select(
+    if newest is not None:
+        bound = _after(newest, after, dtype)
+    else:
+        bound = newest_value(rows if after is None else rows.where(col > typed_literal(after, dtype)), column)
+    return bound.select(
         F.col("_m").cast("string").alias("max_value"),
         token_literal(F.col("_m"), dtype).alias("literal"),
         token_column(F.col("_m"), dtype).alias("token"),
     )
 
 
-def since_window(rows: DataFrame, column: str, token: str = "", limit: int = 0) -> SinceWindow:
+def since_window(rows: DataFrame, column: str, token: str = "", limit: int = 0, newest: DataFrame | None = None) -> SinceWindow:
     """I1 / I2 with L1: rows in ``(token, bound]`` and the next token.
 
-    Without a limit the bound is the window's MAX.  With a limit the bound is
-    the smallest since value up to which there are at least ``limit`` rows;
-    every row up to the bound is returned, so ties stay on one page and the
-    next page starts right after them.
+    Without a limit the bound is the window's MAX, from ``newest`` if that is
+    given and can be had.  With a limit the bound is the smallest since value up
+    to which there are at least ``limit`` rows; every row up to the bound is
+    returned, so ties stay on one page and the next page starts right after them.
     """
     field = resolve_column(rows, column)
     col, dtype = F.col(f"`{field.name}`"), field.dataType
     after = decode_token(token)
     lower = rows if after is None else rows.where(col > typed_literal(after, dtype))
-    bound = page_bound(lower, column, limit) if limit and limit > 0 else lower.agg(F.max(col).alias("_m"))
-    row = bound.select(token_literal(F.col("_m"), dtype).alias("m"), token_column(F.col("_m"), dtype).alias("t")).first()
-    if row is None or row["m"] is None:  # I2: nothing new -> same token, no rows (D4: "" stays "")
+    row = None
+    if limit and limit > 0:
+        row = _bound_row(page_bound(lower, column, limit), dtype)
+    elif newest is not None:
+        with suppress(PySparkException, Py4JJavaError):  # files without statistics: scan
+            row = _bound_row(_after(newest, after, dtype), dtype)
+    row = row or _bound_row(newest_value(lower, column), dtype)
+    if row["m"] is None:  # I2: nothing new -> same token, no rows (D4: "" stays "")
         return SinceWindow(rows.where(F.lit(False)), token)
     return SinceWindow(lower.where(col <= typed_literal(literal_text(row["m"]), dtype)), row["t"])
 
 
+def _bound_row(bound: DataFrame, dtype: T.DataType) -> Row:
+    return bound.select(token_literal(F.col("_m"), dtype).alias("m"), token_column(F.col("_m"), dtype).alias("t")).first()
+
+
 #: Size of the quantile sketches (a few KB each) and the error of rank they are taken to have; the sketch's own is half of it.
 SKETCH_K, RANK_ERROR = 800, 0.007
 #: Ranks at which a bound is read off a sketch.
@@ -182,11 +223,13 @@ def page_bound(lower: DataFrame, column: str, n: int) -> DataFrame:
     return spark.range(1).select(bound.alias("_m"))
 
 
-def read_entities(rows: DataFrame, ds: DatasetDefinition, token: str = "", limit: int = 0) -> EntityPage:
+def read_entities(
+    rows: DataFrame, ds: DatasetDefinition, token: str = "", limit: int = 0, newest: DataFrame | None = None
+) -> EntityPage:
     """The ``entities`` request: window (if a since column is set), limit, map."""
     since = ds.source.since_column
     if since:
-        win = since_window(rows, since, token, limit)
+        win = since_window(rows, since, token, limit, newest)
         window_rows, next_token = win.rows, win.token
     else:  # token ignored, "" returned
         window_rows = rows.limit(limit) if limit and limit > 0 else rows
@@ -195,13 +238,20 @@ def read_entities(rows: DataFrame, ds: DatasetDefinition, token: str = "", limit
     return EntityPage(entities, next_token, rejects)
 
 
-def changes(rows: DataFrame, ds: DatasetDefinition, token: str = "", limit: int = 0, latest_only: bool = False) -> EntityPage:
+def changes(
+    rows: DataFrame,
+    ds: DatasetDefinition,
+    token: str = "",
+    limit: int = 0,
+    latest_only: bool = False,
+    newest: DataFrame | None = None,
+) -> EntityPage:
     """The changes feed is the windowed read; ``latest_only`` is accepted and ignored.
 
     Deletions are not events of a table read: they arrive through a full sync.
     """
     del latest_only
-    return read_entities(rows, ds, token, limit)
+    return read_entities(rows, ds, token, limit, newest)
 
 
 def all_pages(rows: DataFrame, ds: DatasetDefinition, page_rows: int, token: str = "") -> DataFrame:

@@ -26,7 +26,7 @@ from entitylake.model import (
     SourceConfig,
     Construction,
 )
-from entitylake.plans.read import EntityPage, all_pages, high_water_mark, read_entities, since_window
+from entitylake.plans.read import EntityPage, all_pages, footer_rows, high_water_mark, newest_value, read_entities, since_window
 from entitylake.session import scratch_dir
 from entitylake.sinks import fs
 from entitylake.sinks.feed import read_feed, write_feed
@@ -48,6 +48,7 @@ STREAM_LOAD_NS = 1_700_001_000_000_000_000  # + micro-batch id
 SPLIT_TS = "2024-01-16 00:00:00"  # two-batch split of events
 LOG_LOAD1_END = "2024-01-20 00:00:00"  # log loads overlap between these
 LOG_LOAD2_START = "2024-01-10 00:00:00"
+RUN_SPLIT = ("2024-01-28 00:00:00", "2024-01-30 00:00:00")  # the second batch starts, the first one ends
 WINDOW_FROM = "2024-01-15T00:00:00.000000"
 PAGE_ROWS = 500
 CHANGES_PAGE_ROWS = 5000
@@ -201,7 +202,8 @@ def high_water_mark_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     after_ts = WINDOW_FROM
 
     def one(col: str, after: str | None) -> DataFrame:
-        hw = high_water_mark(ev, col, after)
+        footers = footer_rows(spark, f"{sf_dir}/events.parquet", col)  # answers integers, here event_id
+        hw = high_water_mark(ev, col, after, newest_value(footers, col) if footers is not None else None)
         return hw.select(
             F.lit(col).alias("since_column"), F.lit(after or "").alias("after"), "literal", "token"
         )
@@ -693,6 +695,43 @@ def log_since_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def log_since_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 / F2 over a log by a mapped column: the event time, in weekly batches; older batches are not opened."""
+    lake = _lake(spark, "log-event-time")
+    mapping = IncomingMapping(
+        property_mappings=(
+            IncomingPropertyMapping("event_id", EVENT + "event_id", "integer"),
+            IncomingPropertyMapping("at", EVENT + "at", "timestamp_ntz"),
+        )
+    )
+    lake.define(DatasetDefinition("events_timed", incoming=mapping))
+    feed = SourceConfig(table_name="EVENTS_TIMED", since_column="AT")
+    out = OutgoingMapping(property_mappings=(OutgoingPropertyMapping("event_id", is_identity=True, uri_value_pattern=EVENT + "{value}"),))
+    lake.define(DatasetDefinition("events_timed_feed", feed, outgoing=out))
+    ents = event_entities(_t(spark, sf_dir, "events"), id_of="event")
+    at = F.create_map(F.lit(EVENT + "at"), F.date_format("_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").cast("variant"))
+    ents = ents.withColumn("props", F.to_variant_object(F.map_concat(F.col("props").cast("map<string,variant>"), at)))
+    week = F.floor(F.datediff("_ts", F.lit("2024-01-01")) / 7)
+    for wk in range(5):
+        last = week >= wk if wk == 4 else week == wk
+        lake.write_incremental("events_timed", ents.where(last), LOAD_NS_1 + wk, f"w{wk}")
+    token = encode_token(f"'{WINDOW_FROM}'")  # the first day of the third week
+    page = lake.entities("events_timed_feed", since=token)
+    opened = {f.rsplit("/", 2)[1] for f in lake.table(lake.dataset("events_timed_feed"), token).inputFiles()}
+    assert all(folder[:2] in ("w2", "w3", "w4") for folder in opened), opened
+    return page.entities.select("id", F.lit(page.token).alias("token"))
+
+
+def upsert_latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 where few ids change: the second batch becomes a bucketed run beside the base."""
+    lake = _lake(spark, "upsert-run", latest_default=True, delta_rows_max=1)
+    lake.define(DatasetDefinition("events_run", incoming=_events_mapping()))
+    ev = event_entities(_t(spark, sf_dir, "events"), id_of="event")
+    lake.write_incremental("events_run", ev.where(F.col("_ts") < F.lit(RUN_SPLIT[1]).cast("timestamp_ntz")), LOAD_NS_1, "b1")
+    lake.write_incremental("events_run", ev.where(F.col("_ts") >= F.lit(RUN_SPLIT[0]).cast("timestamp_ntz")), LOAD_NS_2, "b2")
+    return lake.latest("events_run")
+
+
 # --- I4 via Structured Streaming ----------------------------------------------
 def _landing_files(spark: SparkSession, sf_dir: str, landing: str) -> list[str]:
     """Payload files of the events in arrival order, one minute apart."""

@@ -146,3 +146,27 @@ def test_a_limited_read_leaves_no_folder_behind(spark):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     assert since_window(orders, "o_orderdate", "", 100).rows.count() >= 100
     assert set(os.listdir(root)) == before
+
+
+def test_bounds_come_from_footers_and_manifests(spark, tmp):
+    import datetime
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from entitylake.functions.tokens import decode_token, encode_token
+    from entitylake.lake import Lake
+    from entitylake.model import DatasetDefinition, SourceConfig
+
+    lake = Lake(spark, tmp + "/lake")
+    days = [datetime.date(2024, 1, d) for d in (3, 1, 2)]
+    for name, stats in (("with", True), ("without", False)):
+        pq.write_table(pa.table({"k": [5, 9, 7], "d": days, "x": [1.0, float("nan"), 2.0]}), f"{tmp}/{name}.parquet", write_statistics=stats)
+        for column, after, rows, literal in (("k", "5", 2, "9"), ("K", "9", 0, None), ("d", "2024-01-01", 2, "2024-01-03"), ("x", "1.5", 2, "NaN")):
+            ds = lake.define(DatasetDefinition("f", SourceConfig(path=f"{tmp}/{name}.parquet", since_column=column)))
+            newest = lake.newest_of(ds, lake.table(ds))
+            pushed = "" if newest is None else newest._jdf.queryExecution().executedPlan().toString()
+            assert ("PushedAggregation: [MAX(" in pushed) == (column != "x")
+            token = encode_token(after if column in "kK" else f"'{after}'")
+            page = lake.entities("f", since=token)
+            assert page.entities.count() == rows and (decode_token(page.token) == literal if literal else page.token == token), (name, column)
