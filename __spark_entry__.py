@@ -101,6 +101,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_resized": _q(w.stream_resized),
         "full_sync_latest_off": _q(w.full_sync_latest_off),
         "log_since_event_time": _q(w.log_since_event_time),
+        "ingest_rejects": _q(w.ingest_rejects),
         "upsert_latest_run": _q(w.upsert_latest_run),
     }
 
@@ -334,6 +335,12 @@ from events where ts >= timestamp '2024-01-16 00:00:00'""",
         "stream_resized": _two_level_latest(STREAM_FILE, "events_stream", "cast(1700001000000000000 + b as bigint)"),
         "log_since_event_time": f"""
 select concat('{EV}', event_id) as id, (select {_tok(_ts_lit("max(ts)"))} from events) as token from events where ts > {win_from}""",
+        "ingest_rejects": f"""
+with e as (select concat('{EV}', event_id) as id, {L1} as recorded, event_id, value as amount,
+  concat_ws('; ', case when event_id % 5 = 0 then 'column amount is not double' end,
+            case when event_type = 'signup' then 'required column own_time is null' end) as reason from events)
+select 'rejects' as tbl, id, recorded, event_id, cast(null as double) as amount, reason from e where reason <> ''
+union all select t.tbl, id, recorded, event_id, amount, null from e, (values ('log'), ('latest')) t(tbl) where reason = ''""",
         "upsert_latest_run": f"""
 select {_events_log_cols(f"concat('{EV}', event_id)", 'events_run', f"case when ts >= timestamp '2024-01-28 00:00:00' then {L2} else {L1} end")} from events""",
         "full_sync_latest_off": f"""

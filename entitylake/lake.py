@@ -144,13 +144,21 @@ class Lake:
         order_by: tuple[str, ...] | None = None,
         stage: bool = True,
         rising: bool = False,
+        strict: bool = True,
     ) -> TableState:
+        """I4; not ``strict``: rows that cannot be loaded go to ``rejects`` instead of failing the batch."""
         ds = self._write_ds(name)
-        return ingest_incremental(self.store, ds, entities, load_ns, batch_key, self.latest_active(ds), order_by, stage, rising)
+        return ingest_incremental(
+            self.store, ds, entities, load_ns, batch_key, self.latest_active(ds), order_by, stage, rising, strict
+        )
 
-    def full_sync(self, name: str, sync_id: str) -> FullSync:
+    def full_sync(self, name: str, sync_id: str, strict: bool = True) -> FullSync:
         ds = self._write_ds(name)
-        return FullSync(self.store, ds, sync_id, self.latest_active(ds))
+        return FullSync(self.store, ds, sync_id, self.latest_active(ds), strict)
+
+    def rejects(self, name: str) -> DataFrame:
+        """Rows that could not be loaded: id, recorded (load time), reason, raw."""
+        return self.store.read_rejects(self.store.location(self.dataset(name)))
 
     def compact(self, name: str) -> TableState | None:
         """Fold pending latest-table deltas into the base buckets."""

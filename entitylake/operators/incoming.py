@@ -80,45 +80,81 @@ def entity_expression(sql: str) -> str:
     return _RECORD.sub(named, sql)
 
 
-def mapped_value(pm: IncomingPropertyMapping, e: Column) -> Column:
-    """P10-P15, in precedence custom > recorded > deleted > identity > property."""
-    t = column_type(pm)
-    if pm.custom_expression:  # P15: SQL over column ``entity``
-        v = F.expr(entity_expression(pm.custom_expression)).cast(t)
-    elif pm.is_recorded:  # P12
-        v = get(e, "$.recorded", "bigint")
-    elif pm.is_deleted:  # P13: no coalesce
-        v = get(e, "$.deleted", "boolean")
-    elif pm.is_identity:  # P14
-        v = get(e, "$.id", t)
-    else:  # P10 / P11
-        section = "refs" if pm.is_reference else "props"
-        v = get(e, json_path(section, pm.entity_property), t)
-    if pm.required:
+def source_path(pm: IncomingPropertyMapping) -> str | None:
+    """Where a mapped value stands in the entity (None: a custom expression)."""
+    if pm.custom_expression:
+        return None
+    if pm.is_recorded:  # P12
+        return "$.recorded"
+    if pm.is_deleted:  # P13: no coalesce
+        return "$.deleted"
+    if pm.is_identity:  # P14
+        return "$.id"
+    return json_path("refs" if pm.is_reference else "props", pm.entity_property)  # P10 / P11
+
+
+def mapped_value(pm: IncomingPropertyMapping, e: Column, strict: bool = True) -> Column:
+    """P10-P15, in precedence custom > recorded > deleted > identity > property; not strict: a value that cannot be cast is null."""
+    t, path = column_type(pm), source_path(pm)
+    if path is None:  # P15: SQL over column ``entity``
+        v = F.expr(entity_expression(pm.custom_expression))
+        v = v.cast(t) if strict else v.try_cast(t)
+    else:
+        v = get(e, path, t, strict)
+    if pm.required and strict:
         v = F.when(v.isNull(), F.raise_error(F.lit(f"required column {pm.property} is null"))).otherwise(v)
     return v.alias(pm.property)
 
 
-def system_columns(e: Column, load_ns: int | Column, dataset: str) -> list[Column]:
+def reject_reasons(ds: DatasetDefinition, e: Column) -> Column:
+    """Why a row cannot be loaded (null: it can): what stands in the entity but cannot be cast, and nulls in required columns."""
+
+    def uncast(path: str, t: str) -> Column:
+        raw = F.try_variant_get(e, path, "variant")
+        return raw.isNotNull() & ~F.is_variant_null(raw) & get(e, path, t, False).isNull()
+
+    reasons = [F.when(uncast("$.deleted", "boolean"), "deleted is not boolean")]
+    for pm in ds.column_mappings():
+        path, t, null = source_path(pm), column_type(pm), mapped_value(pm, e, strict=False).isNull()
+        reason = F.when(null, f"required column {pm.property} is null") if pm.required else F.lit(None).cast("string")
+        if path is not None:
+            reason = F.when(uncast(path, t), f"column {pm.property} is not {t}").otherwise(reason)
+        reasons.append(reason)
+    text = F.concat_ws("; ", *reasons)
+    return F.when(text != "", text)
+
+
+def system_columns(e: Column, load_ns: int | Column, dataset: str, strict: bool = True) -> list[Column]:
     """Id, recorded = load time of the request (not the entity's), deleted, dataset."""
     load = load_ns if isinstance(load_ns, Column) else F.lit(int(load_ns))
     return [
         get(e, "$.id", "string").alias("id"),
         load.cast("bigint").alias("recorded"),
-        F.coalesce(get(e, "$.deleted", "boolean"), F.lit(False)).alias("deleted"),
+        F.coalesce(get(e, "$.deleted", "boolean", strict), F.lit(False)).alias("deleted"),
         F.lit(dataset).alias("dataset"),
     ]
 
 
-def entity_columns(ds: DatasetDefinition, e: Column) -> list[Column]:
+def entity_columns(ds: DatasetDefinition, e: Column, strict: bool = True) -> list[Column]:
     pms = ds.column_mappings()
     if not pms:
         return [e.alias(ENTITY_COLUMN)]  # P9
-    return [mapped_value(pm, e) for pm in pms]
+    return [mapped_value(pm, e, strict) for pm in pms]
 
 
-def entities_to_rows(staged: DataFrame, ds: DatasetDefinition, load_ns: int | Column, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Staged frame (``entity`` variant + metadata) -> table rows (+ ``keep`` columns)."""
+def entities_to_rows(
+    staged: DataFrame, ds: DatasetDefinition, load_ns: int | Column, keep: tuple[str, ...] = (), strict: bool = True
+) -> DataFrame:
+    """Staged frame (``entity`` variant + metadata) -> table rows (+ ``keep`` columns).
+
+    Strict: a value that cannot be cast or a null in a required column fails the
+    job.  Otherwise rows have ``_reason`` (null: good) and, with one, ``_raw``,
+    the entity as JSON text.
+    """
     _check(ds)
     e = F.col(ENTITY_COLUMN)
-    return staged.select(*system_columns(e, load_ns, ds.name), *entity_columns(ds, e), *[F.col(k) for k in keep])
+    cols = [*system_columns(e, load_ns, ds.name, strict), *entity_columns(ds, e, strict), *[F.col(k) for k in keep]]
+    if strict:
+        return staged.select(*cols)
+    rows = staged.select(*cols, reject_reasons(ds, e).alias("_reason"), e.alias("_raw"))
+    return rows.withColumn("_raw", F.when(F.col("_reason").isNotNull(), F.to_json("_raw")))

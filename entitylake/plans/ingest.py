@@ -58,11 +58,11 @@ def _own_recorded(staged: DataFrame) -> DataFrame:
     return staged.withColumn("_erec", F.try_variant_get(F.col(ENTITY_COLUMN), "$.recorded", "bigint"))
 
 
-def _staged_rows(store: TableStore, ds: DatasetDefinition, stage: str, load_ns: int) -> DataFrame:
-    return entities_to_rows(_own_recorded(read_stage(store.spark, stage)), ds, load_ns, keep=("_erec", *STAGE_ORDER))
+def _staged_rows(store: TableStore, ds: DatasetDefinition, stage: str, load_ns: int, strict: bool) -> DataFrame:
+    return entities_to_rows(_own_recorded(read_stage(store.spark, stage)), ds, load_ns, ("_erec", *STAGE_ORDER), strict)
 
 
-def _direct_rows(ds: DatasetDefinition, entities: DataFrame, load_ns: int | Column, arrival: tuple[str, ...]) -> DataFrame:
+def _direct_rows(ds: DatasetDefinition, entities: DataFrame, load_ns: int | Column, arrival: tuple[str, ...], strict: bool) -> DataFrame:
     """Rows straight from an entity frame whose source is already durable.
 
     The entity goes through the same JSON form the stage would hold, so the
@@ -80,21 +80,40 @@ def _direct_rows(ds: DatasetDefinition, entities: DataFrame, load_ns: int | Colu
         F.col(pos).cast("bigint").alias("_ix"),
         F.lit(0).alias("_elem"),
     )
-    return entities_to_rows(_own_recorded(staged), ds, F.col("_load"), keep=("_erec", *STAGE_ORDER))
+    return entities_to_rows(_own_recorded(staged), ds, F.col("_load"), ("_erec", *STAGE_ORDER), strict)
 
 
-def _ranges(schema: StructType) -> list[Column]:
-    """Least and largest literal of each column that since-reads can be pruned by."""
-    fields = ranged_fields(schema)
-    return [token_literal(end(f"`{f.name}`"), f.dataType).alias(f"{name}{k}") for k, f in enumerate(fields) for name, end in (("lo", F.min), ("hi", F.max))]
-
+def _log_columns(cols: list[str]) -> list:
+    return [*cols, "_erec", F.struct(*STAGE_ORDER).alias("_arrival")]
 
-def _observed_ranges(schema: StructType, seen: Observation) -> dict:
-    return {f.name: [seen.get[f"lo{k}"], seen.get[f"hi{k}"]] for k, f in enumerate(ranged_fields(schema))}
 
+def _write_log(store: TableStore, rows: DataFrame, schema: StructType, path: str, key: str, strict: bool) -> tuple[dict, dict, dict | None]:
+    """K3 in one pass: what was seen, fields of the log entry, and the entry of the rejects, if there are any.
 
-def _log_columns(cols: list[str]) -> list:
-    return [*cols, "_erec", F.struct(*STAGE_ORDER).alias("_arrival")]
+    Row counts and the range of each column that since-reads can be pruned by
+    ride along with the write.  Not strict: good and rejected rows are two
+    folders of the same write.
+    """
+    good = F.lit(True) if strict else F.col("_reason").isNull()
+    ranged = ranged_fields(schema)
+    measures = [F.count_if(good).alias("rows"), F.count_if(~good).alias("rejected")]
+    for k, f in enumerate([schema["recorded"], *ranged]):
+        value = F.when(good, F.col(f"`{f.name}`"))
+        measures += [token_literal(F.min(value), f.dataType).alias(f"lo{k}"), token_literal(F.max(value), f.dataType).alias(f"hi{k}")]
+    seen = Observation(f"log-{_attempt()}")
+    cols = _log_columns([f.name for f in schema])
+    if strict:
+        rows.select(*cols).observe(seen, *measures).write.parquet(path)
+    else:
+        parted = rows.select(*cols, "_reason", "_raw", (~good).alias("_rejected"))
+        parted.observe(seen, *measures).write.partitionBy("_rejected").parquet(path)
+    got = seen.get
+    ranges = {f.name: [got[f"lo{k}"], got[f"hi{k}"]] for k, f in enumerate(ranged, 1)}
+    entry = {"path": path if strict else f"{path}/_rejected=false", "ranges": ranges}
+    if got["rows"]:
+        entry["load_ns_max"] = int(got["hi0"])
+    rejects = {"key": key, "path": f"{path}/_rejected=true", "rows": got["rejected"]} if got["rejected"] else None
+    return got, entry, rejects
 
 
 def ingest_incremental(
@@ -107,6 +126,7 @@ def ingest_incremental(
     order_by: tuple[str, ...] | None = None,
     stage: bool = True,
     rising: bool = False,
+    strict: bool = True,
 ) -> TableState:
     """I4: load one batch of entities into the log (and latest) table.
 
@@ -114,7 +134,9 @@ def ingest_incremental(
     their own (streaming landing files); ``order_by`` must then name the
     (file, position) arrival columns, and ``load_ns`` may be a column: the load
     time of each row's request.  ``rising`` demands load numbers above every one
-    that is committed when this batch is; otherwise ``LoadOrderConflict``.
+    that is committed when this batch is; otherwise ``LoadOrderConflict``.  Not
+    ``strict``: rows that cannot be loaded go to the table's rejects (D15)
+    instead of failing the batch.
     """
     spark = store.spark
     loc = store.location(ds)
@@ -128,22 +150,19 @@ def ingest_incremental(
         entry["stage"] = f"{loc}/_stage/inc/{attempt}"
         with _step("stage"):  # arrival only matters where the newest of an id is chosen
             write_stage(entities, entry["stage"], order_by=order_by)  # K1
-        rows = _staged_rows(store, ds, entry["stage"], load_ns)
+        rows = _staged_rows(store, ds, entry["stage"], load_ns, strict)
     else:
         if not order_by or len(order_by) != 2:
             raise ValueError("an unstaged batch needs (file, position) arrival columns")
-        rows = _direct_rows(ds, entities, load_ns, tuple(order_by))
+        rows = _direct_rows(ds, entities, load_ns, tuple(order_by), strict)
     cols = [f.name for f in schema]
-    seen = Observation(f"batch-{attempt}")
-    measures = [F.count(F.lit(1)).alias("rows"), F.min("recorded").alias("first"), F.max("recorded").alias("load"), *_ranges(schema)]
-    with _step("log"):  # K3; row count and column ranges ride along with the write
-        rows.select(*_log_columns(cols)).observe(seen, *measures).write.parquet(entry["path"])
-    if seen.get["rows"] == 0:  # empty batch loads nothing
+    with _step("log"):
+        seen, fields, rejects = _write_log(store, rows, schema, entry["path"], batch_key, strict)
+    entry |= fields
+    if not seen["rows"] and not rejects:  # empty batch loads nothing
         return st
-    entry["load_ns_max"] = int(seen.get["load"])
-    entry["ranges"] = _observed_ranges(schema, seen)
     delta_entry = None
-    if st.latest:
+    if st.latest and seen["rows"]:
         delta_path = f"{loc}/latest/deltas/{attempt}"
         sized = Observation(f"delta-{attempt}")  # rows and id bytes bound the read-side broadcast
         size_cols = (F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length("id")), F.lit(0)).alias("id_bytes"))
@@ -153,9 +172,11 @@ def ingest_incremental(
             newest.observe(sized, *size_cols).write.parquet(delta_path)
         delta_entry = {"key": batch_key, "path": delta_path, "rows": int(sized.get["rows"]), "id_bytes": int(sized.get["id_bytes"]), "bytes": fs.size_of(spark, delta_path)}
     for _ in range(COMMIT_ATTEMPTS):
-        if rising and (newest := st.newest_load()) is not None and newest >= int(seen.get["first"]):
-            raise LoadOrderConflict(f"batch {batch_key} of {loc} starts at {seen.get['first']}, {newest} is committed")
-        new = replace(st, version=st.version + 1, log=[*st.log, entry], dropped=[], load_max=st.newest_load())
+        if rising and seen["rows"] and (newest := st.newest_load()) is not None and newest >= int(seen["lo0"]):
+            raise LoadOrderConflict(f"batch {batch_key} of {loc} starts at {seen['lo0']}, {newest} is committed")
+        new = replace(st, version=st.version + 1, dropped=[], load_max=st.newest_load())
+        new.log = [*st.log, *([entry] if seen["rows"] else [])]
+        new.rejects = [*st.rejects, *([rejects] if rejects else [])]
         if delta_entry is not None:
             seq = max([d["seq"] for d in st.deltas], default=0) + 1
             new.deltas = [*st.deltas, {**delta_entry, "seq": seq}]
@@ -245,10 +266,10 @@ class FullSync:
     own, named in the manifest; using a sync id again starts from nothing.
     """
 
-    def __init__(self, store: TableStore, ds: DatasetDefinition, sync_id: str, latest: bool = False):
+    def __init__(self, store: TableStore, ds: DatasetDefinition, sync_id: str, latest: bool = False, strict: bool = True):
         if not sync_id:
             raise ValueError("a full sync needs a sync id")  # D13
-        self.store, self.ds, self.latest = store, ds, latest
+        self.store, self.ds, self.latest, self.strict = store, ds, latest, strict
         self.sync_id = sync_id.replace("-", "_")
         self.loc = store.location(ds)
         self.schema = table_schema(ds)
@@ -290,22 +311,24 @@ class FullSync:
         """Log and latest of this attempt's stage, in new directories."""
         spark, stage = self.store.spark, self._stage(st)
         kept = {} if not st.latest else {"base": None, "run": None, "deltas": []}  # latest off: that table stays as it is
-        done = {"sync": None, "synced": st.sync["attempt"], "dropped": [], "load_max": st.newest_load()}
+        done = {"sync": None, "synced": st.sync["attempt"], "dropped": [], "load_max": st.newest_load(), "rejects": []}
         if not any(b.isdigit() for b in fs.list_names(spark, stage)):
             return replace(st, log=[], **kept, **done)
         cols = [f.name for f in self.schema]
-        base = f"{self.loc}/fs/{st.sync['attempt']}-{_attempt()}"
-        rows = _staged_rows(self.store, self.ds, stage, load_ns)
-        seen = Observation(f"sync-{st.sync['attempt']}")
-        ranges = _ranges(self.schema) or [F.count(F.lit(1)).alias("rows")]
-        rows.select(*_log_columns(cols)).observe(seen, *ranges).write.parquet(f"{base}/log")
+        base, key = f"{self.loc}/fs/{st.sync['attempt']}-{_attempt()}", f"fs-{st.sync['attempt']}"
+        rows = _staged_rows(self.store, self.ds, stage, load_ns, self.strict)
+        seen, fields, rejects = _write_log(self.store, rows, self.schema, f"{base}/log", key, self.strict)
+        done["rejects"] = [rejects] if rejects else []
+        if not seen["rows"]:
+            return replace(st, log=[], **kept, **done)
+        log_path = fields["path"]
         if st.latest:
-            buckets = self.store.bucket_count(fs.size_of(spark, f"{base}/log"))
+            buckets = self.store.bucket_count(fs.size_of(spark, log_path))
             # at most one row per id and task is shuffled to choose the newest, then each once to its bucket
-            newest = newest_per_id(spark.read.parquet(f"{base}/log"), "_erec", ("_arrival",)).select(*cols)
+            newest = newest_per_id(spark.read.parquet(log_path), "_erec", ("_arrival",)).select(*cols)
             kept["base"] = self.store.write_bucketed(newest.repartition(buckets, "id"), f"{base}/latest", buckets)
             kept["buckets"] = buckets
-        entry = {"key": f"fs-{st.sync['attempt']}", "path": f"{base}/log", "load_ns_max": int(load_ns), "level": 1, "ranges": _observed_ranges(self.schema, seen)}
+        entry = {"key": key, **fields, "load_ns_max": int(load_ns), "level": 1}
         return replace(st, log=[entry], **kept, **done)
 
     def commit(self, load_ns: int) -> TableState:

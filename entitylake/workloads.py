@@ -396,6 +396,30 @@ def record_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.log("events_record").select("id", *text, "kind", F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("at"), "label")
 
 
+def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nulls in a required column and values that cannot be cast are rejected with their reasons, the rest is loaded."""
+    mapping = IncomingMapping(
+        property_mappings=(
+            IncomingPropertyMapping("event_id", EVENT + "event_id", "integer"),
+            IncomingPropertyMapping("amount", EVENT + "value", "float"),
+            IncomingPropertyMapping("own_time", is_recorded=True, required=True),
+        )
+    )
+    ents = event_entities(_t(spark, sf_dir, "events"), id_of="event")
+    spoiled = F.when(F.col("_arrival") % 5 == 0, F.lit("n/a").cast("variant")).otherwise(F.variant_get("props", f'$["{EVENT}value"]', "variant"))
+    props = F.map_filter(F.col("props").cast("map<string,variant>"), lambda k, v: k != EVENT + "value")
+    ents = ents.withColumn("props", F.to_variant_object(F.map_concat(props, F.create_map(F.lit(EVENT + "value"), spoiled))))
+    lake = _lake(spark, "rejects", latest_default=True)
+    lake.define(DatasetDefinition("events_checked", incoming=mapping))
+    lake.write_incremental("events_checked", ents, LOAD_NS_1, "b1", ("_arrival",), strict=False)
+    bad = lake.rejects("events_checked")
+    event_id = F.get_json_object("raw", f"$.props['{EVENT}event_id']").cast("bigint")
+    frames = [bad.select(F.lit("rejects").alias("tbl"), "id", "recorded", event_id.alias("event_id"), F.lit(None).cast("double").alias("amount"), "reason")]
+    for tbl, rows in (("log", lake.log("events_checked")), ("latest", lake.latest("events_checked"))):
+        frames.append(rows.select(F.lit(tbl).alias("tbl"), "id", "recorded", "event_id", "amount", F.lit(None).cast("string").alias("reason")))
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
 def array_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     """References that are arrays keep all their URIs, as JSON text in a string column and as elements in a variant."""
     c = _t(spark, sf_dir, "customer")

@@ -394,3 +394,32 @@ def test_a_base_that_outgrew_its_buckets_is_dealt_anew(spark, tmp, monkeypatch):
     lake.write_incremental("t", _ents(spark, [("id5", 3, "x5", 1)]), 3, "b3")
     got = {r.id: r.v for r in lake.latest("t").collect()}
     assert got == {f"id{i}": "x5" if i == 5 else f"w{i}" if i >= 90 else f"v{i}" for i in range(400)}
+
+
+def test_rejects_are_kept_with_their_reasons(spark, tmp):
+    lake = Lake(spark, tmp + "/lake", latest_default=True, buckets=4)
+    mapping = IncomingMapping(property_mappings=(IncomingPropertyMapping("v", "v", "integer", required=True), IncomingPropertyMapping("rec", is_recorded=True)))
+    lake.define(DatasetDefinition("t", incoming=mapping))
+    good, bad = [("a", 1, "1", 1), ("b", None, "2", 2)], [("c", 1, "x", 3), ("d", 1, None, 4)]
+    with pytest.raises(Exception, match="required column v is null|CAST"):
+        lake.write_incremental("t", _ents(spark, good + bad), 1, "b1")
+    assert lake.state("t") is None
+    lake.write_incremental("t", _ents(spark, good + bad), 1, "b1", strict=False)
+    assert sorted((r.id, r.v) for r in lake.log("t").collect()) == sorted((r.id, r.v) for r in lake.latest("t").collect()) == [("a", 1), ("b", 2)]
+    assert sorted((r.id, r.recorded, r.reason) for r in lake.rejects("t").collect()) == [("c", 1, "column v is not bigint"), ("d", 1, "required column v is null")]
+    assert [json.loads(r.raw)["props"] for r in lake.rejects("t").where("id = 'c'").collect()] == [{"v": "x"}]
+    assert lake.state("t").rejects[0]["rows"] == 2 and lake.state("t").log[0]["ranges"]["v"] == ["1", "2"]
+    lake.write_incremental("t", _ents(spark, bad), 2, "b2", strict=False)  # nothing to load
+    lake.write_incremental("t", _ents(spark, bad), 2, "b2", strict=False)  # a replay
+    lake.write_incremental("t", _ents(spark, [("a", 1, "7", 1)]), 3, "b3")
+    assert lake.rejects("t").count() == 4 and len(lake.state("t").log) == 2 and {r.v for r in lake.latest("t").collect()} == {7, 2}
+    sync = lake.full_sync("t", "s", strict=False)
+    sync.start()
+    sync.add(_ents(spark, good + bad[:1]))
+    sync.commit(9)
+    assert sorted(r.v for r in lake.latest("t").collect()) == [1, 2] and [(r.id, r.recorded) for r in lake.rejects("t").collect()] == [("c", 9)]
+    again = lake.full_sync("t", "s2", strict=False)
+    again.start()
+    again.add(_ents(spark, bad))
+    again.commit(10)
+    assert lake.log("t").count() == lake.latest("t").count() == 0 and lake.rejects("t").count() == 2
