@@ -102,6 +102,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "full_sync_latest_off": _q(w.full_sync_latest_off),
         "log_since_event_time": _q(w.log_since_event_time),
         "ingest_rejects": _q(w.ingest_rejects),
+        "catalog_convention": _q(w.catalog_convention),
         "upsert_latest_run": _q(w.upsert_latest_run),
     }
 
@@ -308,12 +309,13 @@ from events""",
         "full_sync_replace": _customers(),
         "full_sync_restart": _customers(),
         "entity_feed": f"""
-select 0 as section, '{{"id":"@context","namespaces":{{}}}}' as line
+select 0 as section, '{{"id":"@context","namespaces":{{}}}}' as line, cast(0 as bigint) as position
 union all
-select 2, '{{"id":"@continuation","token":""}}'
+select 2, '{{"id":"@continuation","token":""}}', count(*) + 1 from customer
 union all
 select 1, concat('{{"id":"{CU}id/', c_custkey, '","refs":{{"{CU}nation":"{NA}', c_nationkey,
-                 '"}},"props":{{"{CU}key":', c_custkey, ',"{CU}name":', to_json(c_name), '}}}}')
+                 '"}},"props":{{"{CU}key":', c_custkey, ',"{CU}name":', to_json(c_name), '}}}}'),
+       row_number() over (order by c_custkey)  -- the table stands in this order
 from customer""",
         "convention_roundtrip": _flat(
             f"concat('{US}', user_id)",
@@ -335,6 +337,8 @@ from events where ts >= timestamp '2024-01-16 00:00:00'""",
         "stream_resized": _two_level_latest(STREAM_FILE, "events_stream", "cast(1700001000000000000 + b as bigint)"),
         "log_since_event_time": f"""
 select concat('{EV}', event_id) as id, (select {_tok(_ts_lit("max(ts)"))} from events) as token from events where ts > {win_from}""",
+        "catalog_convention": f"""
+select "by", concat('{US}', user_id) as id, {REC} as recorded, event_id from events, (values ('full name'), ('short name')) t("by")""",
         "ingest_rejects": f"""
 with e as (select concat('{EV}', event_id) as id, {L1} as recorded, event_id, value as amount,
   concat_ws('; ', case when event_id % 5 = 0 then 'column amount is not double' end,

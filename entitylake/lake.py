@@ -13,6 +13,7 @@ from entitylake.plans.read import EntityPage, all_pages, changes, footer_rows, n
 from entitylake.functions.tokens import decode_token, typed_literal
 from entitylake.operators.dedup import newest_from_log
 from entitylake.sinks import fs
+from entitylake.sinks.feed import write_feed
 from entitylake.sinks.store import TableState, TableStore, largest_literal, normalise
 from entitylake.sources.tables import resolve
 
@@ -123,6 +124,32 @@ class Lake:
         rows = self.table(ds, since)
         return changes(rows, ds, since, limit, latest_only, None if limit else self.newest_of(ds, rows))
 
+    def ordered_table(self, ds: DatasetDefinition, since: str = "") -> tuple[DataFrame, tuple[str, ...]]:
+        """The source table with columns that give its natural order (none for a view or a latest table).
+
+        Files of a path are ordered by name and their rows as they stand; rows of a
+        managed log by load, then arrival, so an entity's newest version comes last.
+        """
+        if (loc := self._managed_log(ds)) is not None:
+            after = decode_token(since) if since and ds.source.since_column else None
+            rows = self.store.read_log(loc, since=None if after is None else (ds.source.since_column, after), ordered=True)
+            own = [f"`{f.name}`" for f in self.store.state(loc).schema]
+            rank = [F.col("recorded"), F.coalesce("_erec", F.lit(2**63 - 1)), F.col("_arrival")]  # as newest_from_log ranks
+            return rows.select(*own, *[c.alias(f"_order{k}") for k, c in enumerate(rank)]), ("_order0", "_order1", "_order2")
+        rows = self.table(ds, since)
+        if not ds.source.path:
+            return rows, ()
+        place = [F.col("_metadata.file_path").alias("_order0"), F.col("_metadata.row_index").alias("_order1")]
+        return rows.select("*", *place), ("_order0", "_order1")
+
+    def feed(self, name: str, path: str, since: str = "", limit: int = 0) -> str:
+        """K5: write the entities after ``since`` as a feed in the table's natural order; the next token."""
+        ds = self.dataset(name)
+        rows, order = self.ordered_table(ds, since)
+        page = read_entities(rows, ds, since, limit, None if limit else self.newest_of(ds, rows), keep=order)
+        write_feed(page.entities, page.token, path, order)
+        return page.token
+
     def all_pages(self, name: str, page_rows: int, since: str = "") -> DataFrame:
         """Every page of a feed after ``since`` in one frame: entities with ``page`` and its ``token``."""
         ds = self.dataset(name)

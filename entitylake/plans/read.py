@@ -224,9 +224,14 @@ def page_bound(lower: DataFrame, column: str, n: int) -> DataFrame:
 
 
 def read_entities(
-    rows: DataFrame, ds: DatasetDefinition, token: str = "", limit: int = 0, newest: DataFrame | None = None
+    rows: DataFrame,
+    ds: DatasetDefinition,
+    token: str = "",
+    limit: int = 0,
+    newest: DataFrame | None = None,
+    keep: tuple[str, ...] = (),
 ) -> EntityPage:
-    """The ``entities`` request: window (if a since column is set), limit, map."""
+    """The ``entities`` request: window (if a since column is set), limit, map; ``keep`` columns stay beside the entity."""
     since = ds.source.since_column
     if since:
         win = since_window(rows, since, token, limit, newest)
@@ -234,7 +239,7 @@ def read_entities(
     else:  # token ignored, "" returned
         window_rows = rows.limit(limit) if limit and limit > 0 else rows
         next_token = ""
-    entities, rejects = to_entities(window_rows, ds)
+    entities, rejects = to_entities(window_rows, ds, keep=keep)
     return EntityPage(entities, next_token, rejects)
 
 

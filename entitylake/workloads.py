@@ -29,7 +29,7 @@ from entitylake.model import (
 from entitylake.plans.read import EntityPage, all_pages, footer_rows, high_water_mark, newest_value, read_entities, since_window
 from entitylake.session import scratch_dir
 from entitylake.sinks import fs
-from entitylake.sinks.feed import read_feed, write_feed
+from entitylake.sinks.feed import read_feed
 from entitylake.sinks.payload import write_payloads
 from entitylake.sinks.stage import write_stage
 from entitylake.sources.entity_files import STAGE_ORDER, payload_entities, read_stage
@@ -669,11 +669,11 @@ CUSTOMER_FEED_OUT = OutgoingMapping(
 
 
 def entity_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K5: the whole customer table as a feed: context, entity lines, continuation."""
-    ds = DatasetDefinition("customer", SourceConfig(path=f"{sf_dir}/customer.parquet"), outgoing=CUSTOMER_FEED_OUT)
-    page = read_entities(_t(spark, sf_dir, "customer"), ds)
+    """K5: the whole customer table as a feed in its order: context, entity lines, continuation."""
+    lake = _lake(spark, "feed")
+    lake.define(DatasetDefinition("customer", SourceConfig(path=f"{sf_dir}/customer.parquet"), outgoing=CUSTOMER_FEED_OUT))
     path = scratch_dir(spark, "feed")
-    write_feed(page.entities, page.token, path)
+    lake.feed("customer", path)
     return read_feed(spark, path)
 
 
@@ -695,6 +695,23 @@ def catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_entities(lake.entities("catalog_customers").entities)
 
 
+def catalog_convention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog table of JSON entities found by name alone: ``database.schema.table``, without a definition."""
+    schema = f"events_{uuid.uuid4().hex[:8]}"
+    ents = event_entities(_t(spark, sf_dir, "events"))
+    spark.sql(f"CREATE SCHEMA {schema}")
+    try:
+        text = F.to_json(F.struct("id", "recorded", "deleted", "refs", "props")).alias("ENTITY")
+        ents.select(text).write.option("path", scratch_dir(spark, "catalog-table")).saveAsTable(f"{schema}.raw_events")
+        lake = Lake(spark, scratch_dir(spark, "catalog-lake"), database="DB", schema=schema)
+        pages = [lake.entities(name).entities for name in (f"DB.{schema}.RAW_EVENTS", "raw.events")]
+        both = pages[0].withColumn("by", F.lit("full name")).unionByName(pages[1].withColumn("by", F.lit("short name")))
+        flat = both.select("by", "id", "recorded", F.variant_get("props", f'$["{EVENT}event_id"]', "bigint").alias("event_id"))
+    finally:  # the files stay, and the frame has found them
+        spark.sql(f"DROP SCHEMA {schema} CASCADE")
+    return flat
+
+
 def log_since_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I1 over a log table: a consumer reads after each load and follows the token."""
     lake = _lake(spark, "log-since")

@@ -86,6 +86,35 @@ def test_raw_feed(spark, tmp):
     ]
 
 
+def test_feeds_follow_the_table(spark, tmp):
+    from entitylake.lake import Lake
+    from entitylake.model import IncomingMapping, IncomingPropertyMapping
+    from entitylake.session import scratch_dir
+
+    lake = Lake(spark, tmp + "/lake")
+    path = scratch_dir(spark, "feed-table")
+    spark.range(3_000).selectExpr("cast(id * 7919 % 3000 as string) as k").repartition(5).write.parquet(path)
+    out = OutgoingMapping(property_mappings=(OutgoingPropertyMapping("k", is_identity=True),))
+    lake.define(DatasetDefinition("t", SourceConfig(path=path), outgoing=out))
+    assert lake.feed("t", tmp + "/feed") == ""
+    rows = sorted((r.position, r.section, r.line) for r in read_feed(spark, tmp + "/feed").collect())
+    assert [p for p, _, _ in rows] == list(range(3_002)) and [s for _, s, _ in rows] == [0] + [1] * 3_000 + [2]
+    table = spark.read.parquet(path).select("k", "_metadata.file_path", "_metadata.row_index").orderBy("file_path", "row_index")
+    assert [json.loads(x)["id"] for _, _, x in rows[1:-1]] == [r.k for r in table.collect()]
+    lake.define(DatasetDefinition("log", incoming=IncomingMapping(property_mappings=(IncomingPropertyMapping("k", "k", "integer"),))))
+    versions = SourceConfig(table_name="LOG", since_column="recorded")
+    lake.define(DatasetDefinition("versions", versions, outgoing=OutgoingMapping(property_mappings=(OutgoingPropertyMapping("k", is_identity=True), OutgoingPropertyMapping("recorded", "load")))))
+    none = F.lit(None).cast("bigint")
+    for load in (2, 3):
+        props = F.to_variant_object(F.create_map(F.lit("k"), (F.col("id") * load).cast("variant")))
+        ents = spark.range(200).select(F.lit("x").alias("id"), none.alias("recorded"), F.lit(False).alias("deleted"), F.parse_json(F.lit("{}")).alias("refs"), props.alias("props"), (-F.col("id")).alias("_at"))
+        lake.write_incremental("log", ents, load, f"b{load}", ("_at",))
+    token = lake.feed("versions", tmp + "/log-feed")
+    got = [json.loads(r.line)["id"] for r in read_feed(spark, tmp + "/log-feed").where("section = 1").orderBy("position").collect()]
+    assert got == [str(k * load) for load in (2, 3) for k in range(199, -1, -1)]
+    assert lake.feed("versions", tmp + "/later", since=token) == token and read_feed(spark, tmp + "/later").count() == 2
+
+
 def test_malformed_raw_json_goes_to_rejects(spark):
     df = spark.createDataFrame([('{"id": "1"}',), ("{bad",), (None,), ("[1,2]",), ("7",), ("",)], "ENTITY string")
     page = read_entities(df, DatasetDefinition("raw", SourceConfig(raw_column="ENTITY")))
