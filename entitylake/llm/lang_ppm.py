@@ -1,6 +1,6 @@
 """Language identification by prediction by partial matching.
 
-Each language has a variable-order tree of byte contexts (orders 0 to 3, A-Z folded) with
+Each language has a variable-order tree of byte contexts (orders 0 to DEPTH, A-Z folded) with
 the counts of all its training texts.  A byte that a context has seen c times of n, with q
 distinct bytes, has probability c / (n + q); otherwise the context escapes with q / (n + q) to
 the next shorter one, at last to the uniform distribution.  The statistics are frozen, so a
@@ -11,9 +11,10 @@ A text is in no learned language (``foreign``) when even its shortest code is lo
 itself at 8 bits a byte and, once, 8 bits for each distinct byte it has.  Hex dumps, encoded blobs and
 other scripts take far more a byte than that; the second term covers what little a short text says.
 
-Scale: one pass counts grams per task with numpy and Spark sums them; contexts below one in
-MAX_CONTEXTS of a language's bytes are pruned, which bounds the broadcast tables whatever the
-corpus (about MAX_CONTEXTS rows of each order and language).  One pass without a shuffle scores.
+Scale: one pass counts grams per task with numpy and Spark sums them; contexts of at least LEAST bytes of a
+language are kept, so their number grows with the corpus.  Probabilities are solved in tasks, by subtrees
+of contexts, and looked up as ``byte_contexts`` says: from a broadcast table while it is small, else the rarer
+contexts by a join.
 
 Defined results: null, empty and letterless texts are ``und`` with score 0; without training
 texts everything is ``und``; equal code lengths go to the first language in alphabetical
@@ -25,16 +26,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from entitylake.llm.byte_contexts import DEPTH, FOLD, byte_codes, gram_counts, kept_counts, state_index, states, sum_by_text
+from entitylake.llm.byte_contexts import FOLD, OPEN, TABLES, Lookup, Scored, gram_counts, kept_counts, levels_of, lookup, parents, settled, subtrees, sum_by_text, table_rows, top_contexts
 from entitylake.llm.bytetext import batch_column, slices
-from entitylake.llm.common import whole_row
+from entitylake.llm.common import Spool, whole_row
 
-MAX_CONTEXTS = 4096
+DEPTH = 4
+LEAST = 16
 LETTER = np.zeros(256, bool)
 LETTER[97:123] = True
 
@@ -44,78 +47,84 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % modulus
 
 
-def freeze(counts) -> dict:
-    """Frozen tables: ``names``, ``code`` of bytes, and per language an index of states and log2 probabilities."""
-    names, code = sorted(counts["grp"].unique()), byte_codes(counts["sym"].to_numpy())
-    tables = []
-    for name in names:
-        own = counts[counts["grp"] == name]
-        probs, rows_of, above = [], [], {}
-        for k in range(DEPTH + 1):
-            rows = {}
-            for ctx, part in own[own["k"] == k].groupby("ctx"):
-                shorter = probs[above[ctx & ((1 << (8 * (k - 1))) - 1)]] if k else np.full(int(code.max()) + 1, 1 / 256)
-                sym, n = part["sym"].to_numpy(), part["n"].to_numpy()
-                p = shorter * (len(n) / (n.sum() + len(n)))
-                p[code[sym]] = n / (n.sum() + len(n))
-                rows[int(ctx)] = len(probs)
-                probs.append(p)
-            above = rows
-            if k:
-                rows_of.append(rows)
-        tables.append((state_index(code, rows_of, 0), np.log2(np.array(probs)).astype(np.float32).reshape(-1)))
-    return {"names": names, "code": code, "tables": tables}
-
-
-def code_lengths(model: dict, data: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Code length in bits per language (row) and text (column)."""
-    code = model["code"]
-    at, sym, size = states(code, data, off), code[data].astype(np.int64), np.int64(code.max()) + 1
-    return np.array([-sum_by_text(table[index[at] * size + sym], off) for index, table in model["tables"]])
-
-
-def train(docs: DataFrame, max_contexts: int = MAX_CONTEXTS) -> dict:
-    """From the texts and languages of ``docs``; rows without either are left out."""
-    known = docs.filter("text is not null and lang is not null").select("text", F.col("lang").cast("string").alias("lang"))
-    return freeze(kept_counts(gram_counts(known, "lang", True), max_contexts))
-
-
-def foreign(data: np.ndarray, off: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Texts whose code length ``bits`` (of the best language) is longer than the bytes and a list of the distinct ones."""
-    out = bits > 8 * np.diff(off)
-    for i in np.flatnonzero(out):
-        out[i] = bits[i] > 8 * (off[i + 1] - off[i] + len(np.unique(data[off[i] : off[i + 1]])))
-    return out
+def _probabilities(n: np.ndarray, shorter: np.ndarray) -> np.ndarray:
+    """Of the 256 bytes in contexts with counts ``n`` (contexts x 256), given those of their next shorter contexts."""
+    total, distinct = n.sum(axis=1, keepdims=True), (n > 0).sum(axis=1, keepdims=True)
+    return np.where(n > 0, n, shorter * distinct) / (total + distinct)
 
 
-def predict(docs: DataFrame, model: dict, *keep: str) -> DataFrame:
+def train(docs: DataFrame, depth: int = DEPTH, least: int = LEAST) -> Lookup:
+    """From the texts and languages of ``docs``; rows without either are left out."""
+    spool = Spool(docs.sparkSession, "contexts")
+    known = docs.filter("text is not null and lang is not null").select("text", F.col("lang").cast("string").alias("lang"))
+    kept = kept_counts(spool, gram_counts(known, "lang", True, depth), depth, least)
+    rows, near = [], {}
+    for name, part in top_contexts(kept).groupby("grp"):
+        levels, p = levels_of(part, 0, 1), np.full((1, 256), 1 / 256)
+        for k, (ctx, n) in enumerate(levels):
+            p = _probabilities(n, p[parents(levels, 0, k)] if k else p)
+            rows.append(table_rows(name, k, ctx, n, np.log2(p)))
+        near[name] = dict(zip(levels[1][0].tolist(), p))
+    shared = docs.sparkSession.sparkContext.broadcast(near)
+
+    def solve(part: pd.DataFrame) -> pd.DataFrame:
+        name, levels, out = part["grp"].iloc[0], levels_of(part, 2, depth), []
+        p = shared.value[name][int(levels[0][0][0]) & 255][None, :]
+        for i, (ctx, n) in enumerate(levels):
+            p = _probabilities(n, p[parents(levels, 2, i)] if i else p)
+            out.append(table_rows(name, i + 2, ctx, n, np.log2(p)))
+        return pd.concat(out)
+
+    model = subtrees(kept, solve, TABLES)
+    if rows:
+        model = model.unionByName(docs.sparkSession.createDataFrame(pa.Table.from_pandas(pd.concat(rows), preserve_index=False)).select("grp", "k", "ctx", "n", F.col("logs").cast("array<float>").alias("logs")))
+    return lookup(spool.put(model, "model"), depth)
+
+
+def predict(docs: DataFrame, model: Lookup, *keep: str) -> DataFrame:
     """``keep`` columns of ``docs`` (from text alone) with ``lang_pred``, ``score`` and ``foreign``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model.shared())
+    some_open = model.rest is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
             for a, b, data, off in slices(batch_column(batch, "text")):
                 data = FOLD[data]
                 lettered = sum_by_text(LETTER[data], off) > 0
                 for i in np.flatnonzero(~lettered & (np.diff(off) > 0)):
                     lettered[i] = any(c.isalpha() for c in data[off[i] : off[i + 1]].tobytes().decode("utf-8", "replace"))
-                if model["names"]:
-                    bits = code_lengths(model, data, off)
-                    best = bits.argmin(axis=0)
-                    score = 1 / np.exp2(np.maximum(bits.min(axis=0) - bits, -1000)).sum(axis=0)
-                    pred = [model["names"][k] if ok else "und" for k, ok in zip(best, lettered)]
-                    other = foreign(data, off, bits.min(axis=0))
-                else:
-                    pred, score, other = ["und"] * (b - a), np.zeros(b - a), np.zeros(b - a, bool)
-                score = np.where(lettered, score, 0.0)
+                scored = Scored(shared.value, data, off)
+                bits, size = -scored.sums, np.diff(off)
+                # distinct bytes matter where the code is longer than the text; with open grams that is not known yet
+                alien = np.ones(b - a, bool) if some_open or not len(bits) else bits.min(axis=0) > 8 * size
+                distinct = np.zeros(b - a, np.int64)
+                for i in np.flatnonzero(alien):
+                    distinct[i] = len(np.unique(data[off[i] : off[i + 1]]))
+                each = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * len(bits)), pa.array(bits.T.ravel()))
                 kept = [batch_column(batch, c).slice(a, b - a) for c in keep]
-                fields = [batch.schema.field(c) for c in keep] + [pa.field("lang_pred", pa.string()), pa.field("score", pa.float64()), pa.field("foreign", pa.bool_())]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(pred, pa.string()), pa.array(score), pa.array(other)], schema=pa.schema(fields))
-
-    new = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("foreign", T.BooleanType())]
-    schema = T.StructType([docs.schema[c] for c in keep] + new)
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
+                own = [each, pa.array(lettered), pa.array(8 * (size + distinct)), scored.open_lists(b - a)]
+                yield pa.RecordBatch.from_arrays([*kept, *own], schema=pa.schema([*[batch.schema.field(c) for c in keep], *[pa.field(n, x.type) for n, x in zip(added, own)]]))
+
+    added = ["__bits", "__lettered", "__limit", "__open"]
+    new = T._parse_datatype_string(f"__bits array<double>, __lettered boolean, __limit long, __open {OPEN}")
+    rows = docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, T.StructType([*[docs.schema[c] for c in keep], *new.fields]))
+    if some_open:
+        spool = Spool(docs.sparkSession, "open-grams")
+        rows = spool.put(rows.withColumn("__uid", F.monotonically_increasing_id()), "scored")
+        more = settled(spool, model, rows.select(F.col("__uid").alias("uid"), F.col("__open").alias("open")))
+        more = more.groupBy(F.col("uid").alias("__uid")).agg(F.map_from_entries(F.collect_list(F.struct("g", "more"))).alias("__more"))
+        added_bits = F.transform("__bits", lambda x, g: x - F.coalesce(F.element_at("__more", g), F.lit(0.0)))
+        rows = rows.join(more, "__uid", "left").withColumn("__bits", F.when(F.col("__more").isNull(), F.col("__bits")).otherwise(added_bits))
+    least = F.array_min("__bits")
+    judged = F.col("__lettered") & (F.size("__bits") > 0)
+    names = F.array(*[F.lit(x) for x in model.names]).cast("array<string>")
+    score = 1 / F.aggregate("__bits", F.lit(0.0), lambda s, x: s + F.pow(F.lit(2.0), F.greatest(least - x, F.lit(-1000.0))))
+    return rows.select(
+        *keep,
+        F.when(judged, F.element_at(names, F.array_position("__bits", least).cast("int"))).otherwise("und").alias("lang_pred"),
+        F.when(judged, score).otherwise(0.0).alias("score"),
+        F.coalesce(least > F.col("__limit"), F.lit(False)).alias("foreign"),
+    )
 
 
 def identify(docs: DataFrame) -> DataFrame:
