@@ -9,9 +9,9 @@ of at most 256^(depth - 2) contexts per byte by the alphabet.  What meets on the
 order 0 and 1, at most 257 a group.
 
 The result is a written table with one row of 256 logarithms a context.  Up to BROADCAST_CONTEXTS contexts are
-broadcast whole.  Beyond, only those that hold the largest shares of the bytes are, at most as many by arithmetic; a gram
-whose context may go on in the written table is looked up by a join: distinct grams once, then their values
-join the documents they occur in.  Either way a gram gets the value of its deepest kept context.
+broadcast whole.  Beyond, only the ones that hold the most bytes are, at most as many; a gram whose context may go on in the
+written table is looked up by a join: distinct grams once, then their values join the documents they occur
+in.  Either way a gram gets the value of its deepest kept context.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from entitylake.llm.bytetext import batch_column, slices
 from entitylake.llm.common import Spool
 
-BROADCAST_CONTEXTS = 200_000  # rows of 1 KB
+BROADCAST_CONTEXTS = 50_000  # rows of 1 KB
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] = FOLD[97:123]  # A-Z as a-z
 TABLES = "grp string, k int, ctx long, n long, logs array<float>"
@@ -169,24 +169,36 @@ def _key(k: Column, ctx: Column) -> Column:
     return ctx + F.shiftleft(k.cast("long"), 56)
 
 
+def least_broadcast(contexts: DataFrame, weight: Column, limit: int) -> int:
+    """0 if the weights of all contexts (with their bytes ``n``) sum to ``limit`` at most, else the least power of two such
+    that those of the contexts with at least so many bytes do."""
+    by_size = contexts.groupBy(F.floor(F.log2("n")).cast("int").alias("b")).agg(F.sum(weight).alias("w")).collect()  # 64 rows at most
+    total = 0
+    for r in sorted(by_size, key=lambda r: -r["b"]):
+        total += r["w"]
+        if total > limit:
+            return 1 << (r["b"] + 1)
+    return 0
+
+
 def lookup(model: DataFrame, depth: int) -> Lookup:
     """``model``: a written table (TABLES)."""
-    rows = model.select("grp", "k", "ctx", "n", "logs")
-    total = rows.count()
-    rest = None
-    if total > BROADCAST_CONTEXTS:
-        all_bytes = rows.filter("k = 0").agg(F.sum("n")).first()[0] or 0
-        # of each order at most BROADCAST_CONTEXTS / (depth + 1) contexts hold so many bytes
-        bound = -(-all_bytes * (depth + 1) // BROADCAST_CONTEXTS)
+    rows, rest = model.select("grp", "k", "ctx", "n", "logs"), None
+    bound = least_broadcast(rows.filter("k >= 2"), F.lit(1), BROADCAST_CONTEXTS)
+    if bound:
         often = (F.col("k") < 2) | (F.col("n") >= bound)
         rest = rows.filter(~often)
-        above = rest.select("grp", (F.col("k") - 1).alias("k"), F.expr("ctx & (shiftleft(1L, 8 * (k - 1)) - 1)").alias("ctx")).distinct().withColumn("more", F.lit(True))
-        rows = rows.filter(often).join(above, ["grp", "k", "ctx"], "left")
+        rows = rows.filter(often).join(goes_on(rest), ["grp", "k", "ctx"], "left")
     else:
         rows = rows.withColumn("more", F.lit(False))
     held = rows.select("grp", _key(F.col("k"), F.col("ctx")).alias("key"), F.coalesce("more", F.lit(False)).alias("more"), "logs").toArrow()
     grp, key, more = (held.column(c).to_numpy(zero_copy_only=False) for c in ("grp", "key", "more"))
-    logs = held.column("logs").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, 256) if len(key) else np.zeros((0, 256), np.float32)
+    logs = np.empty((len(key), 256), np.float32)
+    at = 0
+    for chunk in held.column("logs").chunks:
+        logs[at : at + len(chunk)] = chunk.flatten().to_numpy(zero_copy_only=False).reshape(-1, 256)
+        at += len(chunk)
+    del held
     out = Lookup(depth, sorted(set(grp)), [], [], [], rest)
     for name in out.names:
         at = np.flatnonzero(grp == name)
@@ -197,9 +209,15 @@ def lookup(model: DataFrame, depth: int) -> Lookup:
     return out
 
 
+def goes_on(rest: DataFrame) -> DataFrame:
+    """``(grp, k, ctx, more)``: the parents of the contexts in ``rest``."""
+    up = F.expr("ctx & (shiftleft(1L, 8 * (k - 1)) - 1)")
+    return rest.select("grp", (F.col("k") - 1).alias("k"), up.alias("ctx")).distinct().withColumn("more", F.lit(True))
+
+
 class Scored:
-    """Sums of a slice of texts: ``sums`` (groups x texts), and for grams that the broadcast rows may not settle
-    ``text``, ``group``, ``gram``, ``times`` and the value they have if nothing else is found."""
+    """Sums of a slice of texts: ``sums`` (groups x texts), and ``open``: per text the grams that the broadcast rows may not
+    settle, with the value they have if nothing else is found."""
 
     def __init__(self, shared: tuple, data: np.ndarray, off: np.ndarray):
         depth, all_keys, all_logs, all_more = shared
@@ -227,17 +245,18 @@ class Scored:
                 value.append(own[pair[1]])
                 own = np.where(open_, 0.0, own)
             self.sums[g] = sum_by_text(own[place], off)
-        none = [np.zeros(0, np.int64)]
-        self.text, self.group, self.gram, self.times = (np.concatenate(x or none) for x in (text, group, grams_, times))
-        self.value = np.concatenate(value or [np.zeros(0)])
-
-    def open_lists(self, n_texts: int) -> pa.Array:
-        """Per text a list of (g, gram, times, value)."""
-        order = np.argsort(self.text, kind="stable")
-        off = np.searchsorted(self.text[order], np.arange(n_texts + 1)).astype(np.int32)
-        names, kinds = ("g", "gram", "times", "value"), (pa.int32(), pa.int64(), pa.int64(), pa.float64())
-        fields = [pa.array(x[order], kind) for x, kind in zip((self.group, self.gram, self.times, self.value), kinds)]
-        return pa.ListArray.from_arrays(pa.array(off), pa.StructArray.from_arrays(fields, names))
+        self.open = open_lists(len(off) - 1, text, group, grams_, times, value)
+
+
+def open_lists(n_texts: int, text: list, group: list, gram: list, times: list, value: list) -> pa.Array:
+    """Per text a list of (g, gram, times, value), from pieces of the five columns."""
+    none = [np.zeros(0, np.int64)]
+    text, group, gram, times = (np.concatenate(x or none) for x in (text, group, gram, times))
+    order = np.argsort(text, kind="stable")
+    off = np.searchsorted(text[order], np.arange(n_texts + 1)).astype(np.int32)
+    names, kinds = ("g", "gram", "times", "value"), (pa.int32(), pa.int64(), pa.int64(), pa.float64())
+    fields = [pa.array(x[order], kind) for x, kind in zip((group, gram, times, np.concatenate(value or [np.zeros(0)])), kinds)]
+    return pa.ListArray.from_arrays(pa.array(off), pa.StructArray.from_arrays(fields, names))
 
 
 OPEN = "array<struct<g: int, gram: long, times: long, value: double>>"

@@ -34,7 +34,7 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_ctw_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ctw.score(table(spark, sf_dir, "documents"), depth=4, least=32)
+    return ctw.score(table(spark, sf_dir, "documents"), depth=4, least=128)
 
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
