@@ -6,16 +6,19 @@ boundaries depend on four neighbouring lines only: text put in front of a passag
 it does not move the boundaries inside, and no two boundaries are adjacent.  A line of at
 least ``long_words`` words is a chunk of its own, as a passage of that size repeats on its own.
 
-A chunk of several lines (or one long line) that occurs more than once in the whole table is
-kept at its first occurrence (smallest doc_id, then position) and removed elsewhere.  Chunks
-are grouped by their bytes, not just by a digest; a digest that stands for two different
-chunks removes nothing.
+A second, finer level finds passages that hold no whole chunk: every line begins a run that ends with the
+line in which ``long_words`` words are reached.  Both ends depend on the run's own lines alone, so
+a passage of that many words has its runs wherever it stands, however short its lines are.
 
-Scale: chunk texts are counted with partial aggregation, so a passage that a third of the
-documents hold costs one row per task.  Only digests with their keepers return to the
-documents' chunks (sort-merge with skew splitting), and only documents that lose a chunk are
-rebuilt; the rest pass through a join by row key.  Row keys are digests of id and text, so a
-recomputed task gives the same keys.
+A chunk of several lines (or one long line) or a run that occurs more than once in the whole table is kept
+at its first occurrence (smallest doc_id, then position); elsewhere its lines are removed.  Every removed
+line thus has an equal one at an earlier place, so one copy of it stays.  Pieces are found by a digest and
+compared by their bytes; a digest that stands for two different texts removes nothing.
+
+Scale: pieces travel as digests with their places, counted with partial aggregation, so a passage that a third of
+the documents hold costs one row per task.  Only places of repeated digests return to the documents (one
+shuffle of the texts, sort-merge with skew splitting; written), and only the texts of repeated pieces are compared, each
+once per task.  Row keys are digests of id and text, so a recomputed task gives the same keys.
 
 Defined results: null text stays null and has no chunks; the empty text is one empty line; rows repeating
 an id and text are one document and treated alike; a null id sorts first; an empty table gives
@@ -30,6 +33,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from entitylake.llm.bytetext import batch_column
 from entitylake.llm.common import Spool, whole_row
@@ -55,38 +59,51 @@ def chunk_lines(text: str, long_words: int) -> list[tuple[int, int, bool]]:
     return [(a, b, b - a > 1 or big[a]) for a, b in zip(begins, ends)]
 
 
-CHUNKS = "doc_id long, dkey binary, seq int, n_lines int, digest binary, movable boolean"
+def pieces(text: str, long_words: int) -> list[tuple[int, int]]:
+    """``(first line, end line)`` of what may be removed: chunks of several lines or one long line, and the runs."""
+    out = {(a, b) for a, b, movable in chunk_lines(text, long_words) if movable}
+    words = [len(x.split()) for x in text.encode().split(b"\n")]
+    total, end = 0, 0
+    for begin, n in enumerate(words):
+        while end < len(words) and total < long_words:
+            total += words[end]
+            end += 1
+        if total < long_words:
+            break
+        out.add((begin, end))
+        total -= n
+    return sorted(out)
+
+
+def digest_of(piece: str) -> bytes:
+    return hashlib.md5(piece.encode()).digest()
+
+
+PLACES = "doc_id long, dkey binary, first int, end int, digest binary"
 
 
-def _chunks(docs: DataFrame, long_words: int, with_text: bool) -> DataFrame:
+def _places(docs: DataFrame, long_words: int) -> DataFrame:
+    """Every piece of every text: its place and digest."""
+    names, kinds = ["doc_id", "dkey", "first", "end", "digest"], (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = (batch_column(batch, c) for c in ("doc_id", "text"))
-            out, size = ([], [], [], [], [], [], []), 0
+            out: list[tuple] = []
             for i in range(len(texts)):
                 text = texts[i].as_py()
                 if text is None:
                     continue
                 doc_id = ids[i].as_py()
                 dkey, lines = row_key(doc_id, text), text.split("\n")
-                for seq, (a, b, movable) in enumerate(chunk_lines(text, long_words)):
-                    chunk = "\n".join(lines[a:b])
-                    row = (doc_id, dkey, seq, b - a, hashlib.md5(chunk.encode()).digest(), movable, chunk)
-                    for column, value in zip(out, row):
-                        column.append(value)
-                size += len(text)
-                if size > 1 << 22:
-                    yield from batch_of(out)
-                    out, size = ([], [], [], [], [], [], []), 0
-            yield from batch_of(out)
-
-    def batch_of(out) -> Iterator[pa.RecordBatch]:
-        if out[0]:
-            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.bool_(), pa.string())
-            arrays = [pa.array(c, k) for c, k in zip(out, kinds)][: 7 if with_text else 6]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "dkey", "seq", "n_lines", "digest", "movable", "chunk"][: len(arrays)])
+                out += [(doc_id, dkey, a, b, digest_of("\n".join(lines[a:b]))) for a, b in pieces(text, long_words)]
+                if len(out) > 50_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+                    out = []
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, CHUNKS + (", chunk string" if with_text else ""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PLACES)
 
 
 def row_key(doc_id: int | None, text: str) -> bytes:
@@ -97,50 +114,70 @@ def _key_column():
     return F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("text"))))
 
 
-def removals(spool: Spool, docs: DataFrame, long_words: int = LONG_WORDS) -> DataFrame:
-    """Per document that has any: ``dkey`` and ``seqs``, its chunks that repeat an earlier one."""
-    at = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "dkey", "seq")
-    texts = (
-        _chunks(docs, long_words, True).filter("movable").groupBy("digest", "chunk")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("keeper"))
-        .select("digest", "n", "keeper")
-    )
-    seen = spool.put(texts, "chunk-texts")
-    clash = seen.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
-    repeated = spool.put(seen.filter("n > 1").join(clash, "digest", "left_anti").select("digest", "keeper"), "repeated")
-    held = _chunks(docs, long_words, False).filter("movable").drop("movable")
-    gone = (
-        held.join(repeated, "digest")
-        .filter("not (dkey = keeper.dkey and seq = keeper.seq)")
-        .select("dkey", "seq", "n_lines").distinct()
-        .groupBy("dkey").agg(F.collect_list("seq").alias("seqs"), F.sum("n_lines").alias("lines_gone"))
-    )
-    return spool.put(gone, "gone")
+def repeated_places(spool: Spool, docs: DataFrame, long_words: int) -> DataFrame:
+    """``(dkey, first, end, digest, kept)`` of all pieces whose digest occurs more than once, written."""
+    at = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "dkey", "first")
+    places = spool.put(_places(docs, long_words), "places")
+    seen = places.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("keeper"))
+    repeated = spool.put(seen.filter("n > 1").select("digest", "keeper"), "repeated")
+    kept = (F.col("dkey") == F.col("keeper.dkey")) & (F.col("first") == F.col("keeper.first"))
+    return spool.put(places.join(repeated, "digest").select("dkey", "first", "end", "digest", kept.alias("kept")).distinct(), "repeats")
+
+
+def _with_pieces(rows: DataFrame, repeats: DataFrame) -> DataFrame:
+    """``rows`` (with dkey and text) and ``found``: their repeated pieces in order, null without any."""
+    found = repeats.groupBy("dkey").agg(F.array_sort(F.collect_list(F.struct("first", "end", "digest", "kept"))).alias("found"))
+    # both sides grow with the data: the same plan at every size
+    return rows.join(found.withColumnRenamed("dkey", "found_key").hint("merge"), F.col("dkey") == F.col("found_key"), "left").drop("found_key")
+
+
+def clashing(joined: DataFrame) -> DataFrame:
+    """Digests of repeated pieces that stand for more than one text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, size = [], 0
+            for text, found in zip(batch_column(batch, "text").to_pylist(), batch_column(batch, "found").to_pylist()):
+                lines = text.split("\n")
+                for x in found:
+                    out.append((x["digest"], "\n".join(lines[x["first"] : x["end"]])))
+                    size += len(out[-1][1])
+                if size > 1 << 22:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.binary(), pa.string()))], ["digest", "piece"])
+                    out, size = [], 0
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.binary(), pa.string()))], ["digest", "piece"])
+
+    texts = joined.filter("found is not null").select("text", "found").mapInArrow(run, "digest binary, piece string").distinct()
+    return texts.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("digest")
 
 
 def dedup_lines(docs: DataFrame, long_words: int = LONG_WORDS) -> DataFrame:
     """All rows and columns; ``text`` without repeated chunks.  Adds the struct ``dedup``:
     ``n_lines`` (before) and ``lines_gone``; a column of that name is replaced."""
     spool = Spool(docs.sparkSession, "lines")
-    gone = removals(spool, docs.select("doc_id", "text"), long_words).withColumnRenamed("dkey", "gone_key")
+    repeats = repeated_places(spool, docs.select("doc_id", "text"), long_words)
     rows = docs.select(whole_row(docs, "text").alias("row"), "text", _key_column().alias("dkey"))
-    n_lines = F.when(F.col("text").isNotNull(), F.size(F.split("text", "\n", -1))).otherwise(0).cast("long")
-    # both sides grow with the data: the same plan at every size
-    joined = rows.join(gone.hint("merge"), F.col("dkey") == F.col("gone_key"), "left").select(
-        "row", "text", "seqs", F.struct(n_lines.alias("n_lines"), F.coalesce("lines_gone", F.lit(0)).cast("long").alias("lines_gone")).alias("dedup")
-    )
+    joined = spool.put(_with_pieces(rows, repeats), "documents")
+    clash = spool.put(clashing(joined), "clashes")
+    if clash.count():  # equal digests of different texts: without them once more
+        joined = _with_pieces(rows, repeats.join(clash, "digest", "left_anti"))
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            new = []
-            for text, seqs in zip(batch_column(batch, "text").to_pylist(), batch_column(batch, "seqs").to_pylist()):
-                if seqs:
-                    lines, drop = text.split("\n"), set(seqs)
-                    text = "\n".join("\n".join(lines[a:b]) for k, (a, b, _) in enumerate(chunk_lines(text, long_words)) if k not in drop)
-                new.append(text)
-            fields = [batch.schema.field("row"), pa.field("text", pa.string()), batch.schema.field("dedup")]
-            arrays = [batch_column(batch, "row"), pa.array(new, pa.string()), batch_column(batch, "dedup")]
-            yield pa.RecordBatch.from_arrays(arrays, schema=pa.schema(fields))
-
-    out = joined.mapInArrow(rebuild, joined.drop("seqs").schema)
+            new, n_lines, gone = [], [], []
+            for text, found in zip(batch_column(batch, "text").to_pylist(), batch_column(batch, "found").to_pylist()):
+                lines, drop = [] if text is None else text.split("\n"), set()
+                for x in found or ():
+                    if not x["kept"]:
+                        drop.update(range(x["first"], x["end"]))
+                new.append("\n".join(x for i, x in enumerate(lines) if i not in drop) if drop else text)
+                n_lines.append(len(lines))
+                gone.append(len(drop))
+            counts = pa.StructArray.from_arrays([pa.array(n_lines, pa.int64()), pa.array(gone, pa.int64())], ["n_lines", "lines_gone"])
+            fields = [batch.schema.field("row"), pa.field("text", pa.string()), pa.field("dedup", counts.type)]
+            yield pa.RecordBatch.from_arrays([batch_column(batch, "row"), pa.array(new, pa.string()), counts], schema=pa.schema(fields))
+
+    schema = joined.select("row", "text").schema.add("dedup", T._parse_datatype_string("n_lines long, lines_gone long"))
+    out = joined.select("row", "text", "found").mapInArrow(rebuild, schema)
     return out.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns if c != "dedup"], "dedup")

@@ -110,9 +110,17 @@ l2 as (select *, (h * 1000003 + lead(h) over {w}) % 2147483647 as r from l1),
 l3 as (select *, lag(r, 2) over {w} as r0, lag(r) over {w} as r1, lag(big) over {w} as pbig from l2),
 l4 as (select *, case when i = 1 or big or pbig or coalesce(r0 > r1 and r1 < r, false) then 1 else 0 end as b from l3),
 l5 as (select *, sum(b) over (partition by rid order by i rows unbounded preceding) as seq from l4),
-c as (select rid, doc_id, seq, string_agg(line, chr(10) order by i) as chunk, count(*) as n, count(*) > 1 or bool_or(big) as movable from l5 group by rid, doc_id, seq),
-c1 as (select *, case when movable then row_number() over (partition by chunk, movable order by doc_id nulls first, rid, seq) else 1 end as nth from c),
-o as (select rid, string_agg(case when nth = 1 then chunk end, chr(10) order by seq) as text, sum(n) as n_lines, sum(case when nth > 1 then n else 0 end) as lines_gone from c1 group by rid)
+c as (select rid, min(i) as a, max(i) as b from l5 group by rid, seq having count(*) > 1 or bool_or(big)),
+w0 as (select rid, i, line, len(list_filter(regexp_split_to_array(line, '[ \t-\r]+'), lambda x: x <> '')) as n from l0),
+w1 as (select *, sum(n) over (partition by rid order by i rows unbounded preceding) as upto from w0),
+w2 as (select rid, i, upto - n + {long_words} as goal from w1),
+r as (select w2.rid, w2.i as a, e.i as b from w2 asof join (select * from w1 where n > 0) e on w2.rid = e.rid and w2.goal <= e.upto),
+u as (select * from c union select * from r),
+t as (select u.rid, a, b, string_agg(line, chr(10) order by i) as piece from u join l0 on u.rid = l0.rid and i between a and b group by u.rid, a, b),
+t1 as (select t.rid, a, b, row_number() over (partition by piece order by doc_id nulls first, t.rid, a) as nth from t join d on d.rid = t.rid),
+g as (select distinct l0.rid, i from l0 join t1 on t1.rid = l0.rid and i between a and b where nth > 1),
+o as (select l0.rid, string_agg(case when g.i is null then line end, chr(10) order by l0.i) as text, count(*) as n_lines, count(g.i) as lines_gone
+   from l0 left join g on g.rid = l0.rid and g.i = l0.i group by l0.rid)
 select d.doc_id, case when d.text is null then null else coalesce(o.text, '') end as text,
    cast(coalesce(n_lines, 0) as bigint) as n_lines, cast(coalesce(lines_gone, 0) as bigint) as lines_gone from d left join o on d.rid = o.rid"""
 

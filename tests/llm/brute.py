@@ -115,18 +115,23 @@ def sha_of_spans(spans):
     return hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()
 
 
-def lines_kept(rows, chunks_of):
-    """{doc_id: text} with repeated chunks removed; rows by id, chunks by first occurrence."""
+def lines_kept(rows, chunks_of, long_words=50):
+    """{doc_id: text} without the lines of repeated chunks and of repeated runs of ``long_words`` words; rows by id, pieces by first occurrence."""
     seen, out = set(), {}
     for i, text in sorted(rows):
-        lines, kept = text.split("\n"), []
-        for a, b, movable in chunks_of(text):
-            chunk = "\n".join(lines[a:b])
-            if not movable or chunk not in seen:
-                kept.append(chunk)
-            if movable:
-                seen.add(chunk)
-        out[i] = "\n".join(kept)
+        lines, gone = text.split("\n"), set()
+        found = {(a, b) for a, b, movable in chunks_of(text) if movable}
+        for a in range(len(lines)):
+            for b in range(a + 1, len(lines) + 1):
+                if sum(len(SPACE.findall(x)) for x in lines[a:b]) >= long_words:
+                    found.add((a, b))
+                    break
+        for a, b in sorted(found):
+            piece = "\n".join(lines[a:b])
+            if piece in seen:
+                gone.update(range(a, b))
+            seen.add(piece)
+        out[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
     return out
 
 

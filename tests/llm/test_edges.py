@@ -75,6 +75,34 @@ def test_chunk_boundaries_do_not_shift():
     assert line_dedup.chunk_lines(f"a\n{long_line}\nb", 50) == [(0, 1, False), (1, 2, True), (2, 3, False)]
 
 
+def test_passages_of_short_lines_are_found(spark):
+    """A repeated run of whole lines with 50 words goes, whatever its lines and its neighbours; shorter ones stay."""
+    import random
+
+    rng = random.Random(2)
+    passages = {n: [f"p{n} line {k} " + " ".join(f"w{rng.random():.4f}" for _ in range(words - 3)) for k in range(n)] for n, words in ((2, 26), (3, 18), (5, 11), (9, 7), (17, 4))}
+    short = [f"short {k} with nine more words in it, no more" for k in range(4)]
+    rows = []
+    for i in range(40):
+        own = lambda n: [f"doc {i} line {k} {rng.random()}" for k in range(n)]
+        n = rng.choice(list(passages))
+        rows.append((i, "\n".join(own(rng.randint(0, 4)) + passages[n] + own(rng.randint(1, 3)) + short + own(rng.randint(0, 2))), n))
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).collect()}
+    first = {}
+    for i, text, n in rows:
+        kept = got[i].text.split("\n")
+        assert (first.setdefault(n, i) == i) == all(x in kept for x in passages[n]) == any(x in kept for x in passages[n]), (i, n)
+        assert [x for x in text.split("\n") if x not in passages[n] and x not in short] == [x for x in kept if x not in passages[n] and x not in short]
+
+
+def test_equal_digests_of_different_pieces_remove_nothing(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "digest_of", lambda piece: b"same" if "clash" in piece else hashlib.md5(piece.encode()).digest())
+    long_line = " ".join(["word"] * 60)
+    rows = [(1, f"clash one {long_line}"), (2, f"clash two {long_line}"), (3, f"equal {long_line}"), (4, f"equal {long_line}")]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: rows[1][1], 3: rows[2][1], 4: ""}
+
+
 def test_url_filter(spark):
     canonical, refresh = '<link rel="canonical" href="{}">', "<meta http-equiv='Refresh' content='0; URL={}'>"
     rows = [
