@@ -171,7 +171,8 @@ def build(conversations: DataFrame) -> Forest:
     narrow = turns.select("conv", "depth", "node", "parent", size.cast("long").alias("size"))
     rows = spool.put(narrow.join(leaves, "conv").select("leaf", "conv", "depth", "node", "parent", "size"), "rows")
     tree_nodes = rows.groupBy("node").agg(F.min("parent").alias("parent"))
-    branching = tree_nodes.filter("length(parent) > 0").groupBy("parent").count().filter("count > 1").select("parent")
+    # written, so that the join below deals its rows anew and a first turn that many conversations share can be split
+    branching = spool.put(tree_nodes.filter("length(parent) > 0").groupBy("parent").count().filter("count > 1").select("parent"), "branching")
     turning = rows.filter("depth = 0").select("conv", "depth", "node").unionByName(
         rows.filter("depth > 0").join(branching, "parent", "left_semi").select("conv", "depth", "node")
     )
