@@ -15,7 +15,7 @@ as one, and a page of which nothing would be left is printed with its fixed text
 The article is the template element reached from the root by following, as long
 as one does, the element that occurs once a page and whose subtree holds most slot text,
 leaving out elements that are furniture by tag, role, class or id; a template's only
-``article`` or ``main`` element is taken directly.  A page without that element is deduced from itself.
+``article`` or ``main`` element (of several, the one that holds most of their text) is taken directly.  A page without that element is deduced from itself.
 
 Scale: two passes over the pages, each a per-page function; between them token rows are summed by
 host and token with partial aggregation, so a host with a third of all pages costs no task more
@@ -204,8 +204,9 @@ def content_path(tokens: list[tuple], n_pages: int) -> int:
         return not furniture and total == pages and pages * HALF >= n_pages
 
     for name in ("article", "main"):
-        named = [t for t in order if elements[t][2] == name and single(t) and slot[t]]
-        if len(named) == 1:
+        named = sorted((t for t in order if elements[t][2] == name and single(t) and slot[t]), key=lambda t: -slot[t])
+        # teasers are articles as well: the one with most of their text is the page's own
+        if named and (len(named) == 1 or slot[named[0]] >= MOST * sum(slot[t] for t in named)):
             return named[0]
     at, below = 0, top
     while below:
