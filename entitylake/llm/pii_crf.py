@@ -87,6 +87,27 @@ ISBN 978-3-16-148410-0 printed
 between 100-200 and 3000-4000
 room 12-34, floor 5-6
 plain words only, nothing else here
+cell [phone|743.555.3824] or [phone|(136) 555-7479]
+call [phone|604-555-0199] after six
+her number: [phone|252.555.8630], his [phone|017-555-7713]
+office [phone|743-555-0100], ext. 12
+fax no. [phone|20-7946-0958]
+text [phone|555-382-7713] for help
+numbers [phone|(252) 555-8630] [phone|(604) 555-0123] both work
+two cards, [card|4111111111111111] and [card|5500000000000004]
+pans [card|4012888888881881] [card|4111111111111111] leaked
+cards: [card|5105105105105100], [card|4111111111111111]
+stored as [card|4111.1111.1111.1111] in the log
+old card [card|5500/0000/0000/0004] replaced
+[email|max@mail.example.com], [email|eva@mail.example.com] wrote
+route [ip|10.1.2.3] via [ip|10.0.0.1]
+due 2024-03-31, paid 2024-04-02
+between 2023-12-24 and 2024-01-06 closed
+2021-06-30 to 2021-07-04 in week 26
+at 12.30.2021 and 31.12.2021
+version 2.4.10-beta and 10.15.7 run
+part no. 555-0199-A and 20-30-40
+sizes 10x20x30, 100-200-300 mm
 """
 
 
