@@ -19,14 +19,20 @@ with recursive rules(verdict, rhost, rpath) as (values ('allow','com','/'), ('bl
   ('allow','www.example.com','/en/'), ('block','net','/es/'), ('block','net','/fr/')),
 p as (select row_number() over () as rid, page_id, html, {parts("url")} from pages),
 n as (select *, case when host <> '' then host || path || query end as node from p),
-bare as (select node, host, regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>', '', 'g') as b from n where node is not null),
-tags as (select node, host, unnest(regexp_extract_all(b, '(?is)<(?:link|meta)\\b[^>]*>')) as tag from bare),
-t1 as (select node, host, case
+bare as (select node, host, path, regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>', '', 'g') as b from n where node is not null),
+tags as (select node, host, path, unnest(regexp_extract_all(b, '(?is)<(?:link|meta)\\b[^>]*>')) as tag from bare),
+t1 as (select node, host, path, case
    when lower(regexp_extract(tag, '(?is)\\srel\\s*=\\s*["'']?([^"''\\s>]*)', 1)) = 'canonical' then regexp_extract(tag, '(?is)\\shref\\s*=\\s*["'']?([^"''\\s>]*)', 1)
    when lower(regexp_extract(tag, '(?is)\\shttp-equiv\\s*=\\s*["'']?([^"''\\s>]*)', 1)) = 'refresh' then regexp_extract(tag, '(?is)url\\s*=\\s*[''"]?([^''">]*)', 1) end as target from tags),
-t1b as (select node, host, replace(target, '&amp;', '&') as target from t1),
-t2 as (select node, case when instr(target, '://') > 0 then target when starts_with(target, '//') then 'x:' || target
-   when starts_with(target, '/') then 'x://' || host || target end as u from t1b where target <> ''),
+t1b as (select node, host, path, trim(replace(target, '&amp;', '&')) as target, regexp_extract(replace(target, '&amp;', '&'), '^ *([^?#]*)', 1) as own,
+   coalesce(nullif(regexp_extract(path, '(?s)^(.*/)', 1), ''), '/') as folder from t1),
+t1c as (select *, string_split(folder || own, '/') as steps from t1b where target <> ''),
+t1d as (select *, list_reduce(list_concat([''], steps[2:]), lambda a, x: case when x = '..' then regexp_replace(a, '/[^/]*$', '') when x = '.' then a else a || '/' || x end)
+   || case when steps[-1] in ('.', '..') then '/' else '' end as walked from t1c),
+t2 as (select node, case when regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') then target when starts_with(target, '//') then 'x:' || target
+   when starts_with(target, '/') then 'x://' || host || target
+   when not regexp_matches(target, '^(#|[A-Za-z][A-Za-z0-9+.-]*:)') then 'x://' || host || case when starts_with(target, '?') then path else walked end || substr(target, length(own) + 1)
+   end as u from t1d),
 e0 as (select node as src, {parts("u")} from t2),
 e as (select distinct src, host || path || query as dst from e0 where host <> '' and host || path || query <> src),
 sym as (select src as a, dst as b from e union select dst, src from e),

@@ -75,6 +75,24 @@ def test_chunk_boundaries_do_not_shift():
     assert line_dedup.chunk_lines(f"a\n{long_line}\nb", 50) == [(0, 1, False), (1, 2, True), (2, 3, False)]
 
 
+def test_url_filter_sql_follows_links_too(spark):
+    import duckdb
+
+    from entitylake.llm.oracles import url_filter_sql
+
+    links = [("http://h.de/a/b/1.html", "2.html"), ("http://h.de/a/b/3", "../x?y=../z"), ("http://h.de/a/b/4?q=1", "?p=1#t"), ("http://h.de", "c/./d"), ("http://h.de/a/b/5", "../../../up"),
+             ("http://h.de/e/f", ".."), ("http://h.de/e/g", "."), ("http://h.de/k", "http://q.net/fr/9"), ("http://h.de/l", "//q.net/es/9"), ("http://h.de/m", "/n//o"), ("http://h.de/p/q", "mailto:x@y"),
+             ("http://h.de/p/r", "#top"), ("http://h.de/p/s", "t?u=http://v.com/"), ("http://q.net/fr/1", "2"), ("http://q.net/x/y", "../fr/3?a&amp;b"), (None, "x"), ("http://h.de/p//s", "..")]
+    rows = [(i, u, f'<link rel="canonical" href="{t}">') for i, (u, t) in enumerate(links)]
+    rows += [(100, "http://h.de/a/x?y=../z", None), (101, "http://h.de/up", ""), (102, "http://q.net/fr/3?a&b", "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    con = duckdb.connect()
+    con.register("pages", pages.toPandas())
+    want = {r[0]: r[1:] for r in con.execute(url_filter_sql()).fetchall()}
+    got = url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict", "component").collect()
+    assert {r.page_id: tuple(r)[1:] for r in got} == want and {want[7][3], want[8][3], want[14][3]} == {"block"}
+
+
 def test_passages_of_short_lines_are_found(spark):
     """A repeated run of whole lines with 50 words goes, whatever its lines and its neighbours; shorter ones stay."""
     import random
