@@ -163,6 +163,35 @@ select v.vec_id, cast(coalesce(n.n, 0) as bigint) as n_links, c.component as com
 from v join c on c.a = v.vec_id left join n on n.a = v.vec_id"""
 
 
+def hard_negatives_sql(positives: int = 5, negatives: int = 10, low: int = 30, high: int = 90) -> str:
+    return f"""
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+   list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as q from embeddings
+   where vec_id is not null and label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as anchor_id, a.label = b.label as own, b.vec_id as id,
+   cast(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) as bigint) as score
+   from v a join v b on a.vec_id <> b.vec_id and len(a.q) = len(b.q) where a.vec_id % 100 = 0),
+p as (select anchor_id, id as positive_id, score as positive_score from s where own
+   qualify row_number() over (partition by anchor_id order by score desc, id) <= {positives})
+select p.anchor_id, positive_id, cast(row_number() over (partition by p.anchor_id, positive_id order by score desc, id) as int) as rank,
+   id as negative_id, positive_score, score as negative_score
+from p join s on p.anchor_id = s.anchor_id and not own and {low} * positive_score <= 100 * score and 100 * score <= {high} * positive_score
+qualify rank <= {negatives}"""
+
+
+def prefix_tree_sql() -> str:
+    # a control string, however often it is escaped, gets one more character
+    longer = "length({0}) + len(regexp_extract_all({0}, '<\\\\*/?s>|\\[\\\\*/?(?:INST|SYS|TURN)\\]'))"
+    return f"""
+with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+   union all select * from (values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))),
+t as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as k,
+   {longer.format("text")} + case role when 'user' then 15 when 'system' then 13 when 'assistant' then 5 else 23 + {longer.format("role")} end as chars from c),
+d as (select conv_id, count(*) as n, string_agg(role || chr(10) || text || chr(10), '' order by k) as turns,
+   coalesce(string_agg(case when role = 'assistant' then text end, '' order by k), '') as loss, sum(chars) + 3 as chars from t group by conv_id)
+select conv_id, n as n_turns, sha256(turns) as turns_sha256, length(loss) as loss_chars, sha256(loss) as loss_sha256, cast(chars as bigint) as formatted_chars from d"""
+
+
 ORACLES = {
     "op5_jaccard_join": jaccard_sql(),
     "op7_embedding_dedup": embedding_sql(),
@@ -170,4 +199,6 @@ ORACLES = {
     "op2_url_filter": url_filter_sql(),
     "op3_mixing": mixing_sql(),
     "op9_decontamination": decontamination_sql(),
+    "op11_hard_negatives": hard_negatives_sql(),
+    "op13_prefix_tree": prefix_tree_sql(),
 }

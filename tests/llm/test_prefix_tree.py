@@ -116,3 +116,20 @@ def test_controls_never_stand_inside_a_turn(spark, forest):
 def test_empty(spark):
     empty = prefix_tree.build(spark.createDataFrame([], SCHEMA))
     assert empty.nodes.count() == 0 and prefix_tree.read_back(empty).count() == 0
+
+
+def test_sql_counts_escapes(spark, monkeypatch):
+    """Control strings, escaped or not, in the texts of a table: SQL and query agree on every column."""
+    import duckdb
+
+    from entitylake.llm import queries
+    from entitylake.llm.oracles import prefix_tree_sql
+
+    rows = [r for r in ROWS if r[0] is not None]
+    table = spark.createDataFrame(rows, SCHEMA)
+    monkeypatch.setattr(queries, "table", lambda *_: table)
+    con = duckdb.connect()
+    con.register("conversations", table.toPandas().astype({"turn": "Int64"}))
+    want = {r[0]: tuple(r[1:]) for r in con.execute(prefix_tree_sql()).fetchall()}
+    got = {r.conv_id: tuple(r)[1:] for r in QUERIES["op13_prefix_tree"](spark, "").collect()}
+    assert got == want
