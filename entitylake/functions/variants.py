@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -131,9 +132,16 @@ def flatten_entities(entities) -> "DataFrame":  # noqa: F821
     One scan: the entries of both objects are tagged and exploded together.
     """
 
+    rows = entities.select("id", _tagged_entries().alias("e"))
+    return rows.select("id", "e.kind", "e.key", value_text(F.col("e.v")).alias("value"), value_kind(F.col("e.v")).alias("value_type"))
+
+
+@lru_cache(maxsize=1)
+def _tagged_entries() -> Column:
+    """One row for each prop and ref, built once (lambdas are costly to construct)."""
+
     def tagged(kind: str) -> Column:
         entries = F.map_entries(F.coalesce(F.col(f"{kind}s"), empty_object()).cast("map<string,variant>"))
         return F.transform(entries, lambda e: F.struct(F.lit(kind).alias("kind"), e["key"].alias("key"), e["value"].alias("v")))
 
-    rows = entities.select("id", F.explode(F.concat(tagged("prop"), tagged("ref"))).alias("e"))
-    return rows.select("id", "e.kind", "e.key", value_text(F.col("e.v")).alias("value"), value_kind(F.col("e.v")).alias("value_type"))
+    return F.explode(F.concat(tagged("prop"), tagged("ref")))
