@@ -114,5 +114,21 @@ def test_pipeline_stages_against_plain_versions(spark):
 
 
 def test_pipeline_runs_all_stages(spark):
+    """run() is the stages one after the other, each on what the one before wrote; what a document keeps is its own."""
+    from entitylake.session import scratch_dir
+
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "epoch"] and out.count() > 0
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    frame, ids = given, [{r.doc_id for r in given.select("doc_id").collect()}]
+    for name, stage in corpus_pipeline.STAGES:
+        path = scratch_dir(spark, f"stage-{name}")
+        stage(spark, frame, SF).write.parquet(path)
+        frame = spark.read.parquet(path)
+        ids.append({r.doc_id for r in frame.select("doc_id").collect()})
+    assert Counter(map(tuple, out.collect())) == Counter(map(tuple, frame.select(*out.columns).collect()))
+    assert all(after <= before for before, after in zip(ids, ids[1:])) and all(len(a) < len(b) for a, b in zip(ids[2:5], ids[1:]))
+    texts = {r.doc_id: r for r in given.collect()}
+    for r in frame.collect():
+        lines = iter(texts[r.doc_id].text.split("\n"))
+        assert all(x in lines for x in r.text.split("\n")) and (r.lang, r.source, r.n_chars) == (*texts[r.doc_id][2:4], len(r.text))  # lines in their order
