@@ -779,15 +779,9 @@ def _landing_files(spark: SparkSession, sf_dir: str, landing: str) -> list[str]:
     ev = event_entities(_t(spark, sf_dir, "events"), prefix=True)
     file_no = F.floor(F.col("_arrival") / STREAM_FILE_EVENTS).cast("bigint")  # files of a bounded size
     write_payloads(ev.withColumn("file_no", file_no), landing, "file_no", "_arrival", {"e": EVENT, "u": USER})
-    files = sorted(
-        (int(d.split("=")[1]), f)
-        for d in fs.list_names(spark, landing)
-        if d.startswith("file_no=")
-        for f in fs.list_files(spark, f"{landing}/{d}")
-    )
-    for i, (_, f) in enumerate(files):  # arrival order = file number
-        fs.set_mtime(spark, f, 1_700_000_000_000 + i * 60_000)
-    return [f for _, f in files]
+    files = sorted(fs.files_below(spark, landing), key=lambda f: (int(f.rsplit("/", 2)[1].split("=")[1]), f))
+    fs.set_mtimes(spark, landing, {f: 1_700_000_000_000 + i * 60_000 for i, f in enumerate(files)})  # arrival order = file number
+    return files
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int) -> DataFrame:
@@ -820,8 +814,6 @@ def stream_resized(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _lake(spark, "stream-resized", latest_default=True)
     lake.define(DatasetDefinition("events_stream", incoming=_events_mapping()))
     for names, files_per_batch in ((files[:-1], 4), (files[-1:], 1)):
-        for f in names:
-            fs.move(spark, f, f"{landing}/{f.rsplit('/', 2)[1]}.json")
-        fs.mkdirs(spark, landing)
+        fs.move_into(spark, {f: f"{f.rsplit('/', 2)[1]}.json" for f in names}, landing)
         ingest_stream(lake, "events_stream", landing, checkpoint, STREAM_LOAD_NS, files_per_batch)
     return lake.latest("events_stream")

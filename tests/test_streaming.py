@@ -5,6 +5,7 @@ import time
 
 from entitylake.lake import Lake
 from entitylake.model import DatasetDefinition, IncomingMapping, IncomingPropertyMapping
+from entitylake.sinks import fs
 from entitylake.streaming.landing import ingest_stream
 
 NS = '{"id":"@context","namespaces":{"x":"http://example.org/"}}'
@@ -96,3 +97,45 @@ def test_a_batch_is_numbered_anew_when_another_writer_was_faster(spark, tmp):
     ingest_stream(lake, "s", landing, tmp + "/ckpt", 1000)
     assert raced and sorted((r.v, r.recorded) for r in lake.log("s").collect()) == [("other", 1000), ("streamed", 1001)]
     assert [r.v for r in lake.latest("s").collect()] == ["streamed"]
+
+
+def test_a_micro_batch_writes_its_rows_once(spark, tmp):
+    landing, now = tmp + "/landing", time.time() - 1000
+    lake = Lake(spark, tmp + "/lake", latest_default=True, buckets=4)
+    lake.define(DatasetDefinition("s", incoming=MAP))
+    for k in range(3):  # an id many times in a file and over files, and rows without id
+        rows = [f'{{"id":"x:{i}","recorded":{10 - j},"props":{{"x:v":"{k}.{j}"}}}}' for i in range(k, 4) for j in range(3)]
+        _land(landing, f"f{k}", [*rows, f'{{"props":{{"x:v":"none{k}"}}}}'], now + 10 * k)
+    ingest_stream(lake, "s", landing, tmp + "/ckpt", 1000)
+    st = lake.state("s")
+    assert [d["path"] for d in st.deltas] == [b["path"] for b in st.log] and not os.path.exists(f"{lake.store.location(lake.dataset('s'))}/latest")
+    assert [d["rows"] for d in st.deltas] == [13, 10, 7]  # all rows of the folder bound what a read broadcasts
+
+    def rows(df):
+        return sorted((str(r.id), r.v, r.recorded) for r in df.collect())
+
+    x = "http://example.org/"
+    want = [("None", f"none{k}", 1000 + k) for k in range(3)] + [(f"{x}{i}", f"{min(i, 2)}.0", 1000 + min(i, 2)) for i in range(4)]
+    assert rows(lake.latest("s")) == rows(lake.newest("s")) == sorted(want)
+    ddl = "id string, recorded bigint, deleted boolean, refs variant, props variant"
+    plain = spark.createDataFrame([(f"{x}1", None, False, None, None)], ddl)
+    lake.write_incremental("s", plain, 500, "plain")  # a batch with a lower load number than the stream's: it came later
+    _land(landing, "f3", ['{"id":"x:3","props":{"x:v":"3.0"}}'], now + 50)
+    ingest_stream(lake, "s", landing, tmp + "/ckpt", 1000)
+    want = [w for w in want if w[0] not in (f"{x}1", f"{x}3")] + [(f"{x}1", None, 500), (f"{x}3", "3.0", 1003)]
+    assert rows(lake.latest("s")) == sorted(want)
+    logged = {b["path"] for b in lake.state("s").log}
+    folded = lake.compact("s")
+    assert not folded.deltas and not logged & set(folded.dropped)  # the log still has the folders
+    assert rows(lake.latest("s")) == sorted(want)
+
+
+def test_landing_files_are_listed_dated_and_moved_by_folder(spark, tmp):
+    for k in (2, 10):
+        _land(f"{tmp}/ready/n={k}", "part", ["{}"], 5)
+    open(f"{tmp}/ready/n=2/_mark", "w").close()
+    files = fs.files_below(spark, f"{tmp}/ready")
+    assert [f.rsplit("/", 2)[1:] for f in files] == [["n=10", "part.json"], ["n=2", "part.json"]]
+    fs.set_mtimes(spark, tmp, {f: 1_000_000 * (i + 1) for i, f in enumerate(files)})
+    fs.move_into(spark, {f: f.rsplit("/", 2)[1] for f in files}, f"{tmp}/landing")
+    assert {n: os.path.getmtime(f"{tmp}/landing/{n}") for n in os.listdir(f"{tmp}/landing") if n[0] != "."} == {"n=10": 1000, "n=2": 2000}
