@@ -60,6 +60,18 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """The rows dealt over all tasks: else a table of few splits is mapped, staged and compressed by as many tasks."""
+    return rows.repartition(*rows.columns)
+
+
+def _week(events: DataFrame, wk: int, last: bool = False) -> DataFrame:
+    """Events of a week since 2024-01-01 (``last``: and all after it), chosen in the scan."""
+    lo, hi = (F.lit(datetime(2024, 1, 1) + timedelta(days=7 * k)).cast("timestamp_ntz") for k in (wk, wk + 1))
+    since = events.where(F.col("ts") >= lo)
+    return since if last else since.where(F.col("ts") < hi)
+
+
 def _epoch_ns(ts: str) -> Column:
     return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts})") * F.lit(1000)
 
@@ -510,8 +522,7 @@ def log_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     week0 = datetime(2024, 1, 1)
     span = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()  # one batch per week: a handful
     for wk in range((span["lo"] - week0).days // 7, (span["hi"] - week0).days // 7 + 1):
-        lo, hi = (F.lit(week0 + timedelta(days=7 * k)).cast("timestamp_ntz") for k in (wk, wk + 1))
-        ev = event_entities(events.where((F.col("ts") >= lo) & (F.col("ts") < hi)), id_of="event")  # pushed to the scan
+        ev = event_entities(_dealt(_week(events, wk)), id_of="event")
         lake.write_incremental("events_weekly", ev, LOAD_NS_1 + wk, f"w{wk}", ("_arrival",))
     return lake.log("events_weekly")
 
