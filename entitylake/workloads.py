@@ -760,13 +760,12 @@ def log_since_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = SourceConfig(table_name="EVENTS_TIMED", since_column="AT")
     out = OutgoingMapping(property_mappings=(OutgoingPropertyMapping("event_id", is_identity=True, uri_value_pattern=EVENT + "{value}"),))
     lake.define(DatasetDefinition("events_timed_feed", feed, outgoing=out))
-    ents = event_entities(_t(spark, sf_dir, "events"), id_of="event")
+    events = _t(spark, sf_dir, "events")
     at = F.create_map(F.lit(EVENT + "at"), F.date_format("_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").cast("variant"))
-    ents = ents.withColumn("props", F.to_variant_object(F.map_concat(F.col("props").cast("map<string,variant>"), at)))
-    week = F.floor(F.datediff("_ts", F.lit("2024-01-01")) / 7)
+    props = F.to_variant_object(F.map_concat(F.col("props").cast("map<string,variant>"), at))
     for wk in range(5):
-        last = week >= wk if wk == 4 else week == wk
-        lake.write_incremental("events_timed", ents.where(last), LOAD_NS_1 + wk, f"w{wk}")
+        ents = event_entities(_dealt(_week(events, wk, last=wk == 4)), id_of="event").withColumn("props", props)
+        lake.write_incremental("events_timed", ents, LOAD_NS_1 + wk, f"w{wk}")
     token = encode_token(f"'{WINDOW_FROM}'")  # the first day of the third week
     page = lake.entities("events_timed_feed", since=token)
     opened = {f.rsplit("/", 2)[1] for f in lake.table(lake.dataset("events_timed_feed"), token).inputFiles()}

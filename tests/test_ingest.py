@@ -423,3 +423,22 @@ def test_rejects_are_kept_with_their_reasons(spark, tmp):
     again.add(_ents(spark, bad))
     again.commit(10)
     assert lake.log("t").count() == lake.latest("t").count() == 0 and lake.rejects("t").count() == 2
+
+
+@pytest.mark.parametrize("query", ["log_compacted", "log_since_event_time"])
+def test_weekly_batches_are_chosen_in_the_scan_and_dealt_over_the_tasks(spark, tmp, monkeypatch, query):
+    from entitylake import workloads
+
+    rows = [(k, f"2024-01-{d:02d} 23:59:59.999999", k, "view", 1.0, '{"k": 1}') for k, d in enumerate((1, 7, 8, 16, 30))] + [(9, None, 1, "view", None, None)]
+    cols = "event_id bigint, ts string, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(rows, cols).withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.parquet(tmp + "/events.parquet")
+    plans, real = [], Lake.write_incremental
+
+    def seen(self, name, entities, *a, **k):
+        plans.append(entities._jdf.queryExecution().executedPlan().toString())
+        return real(self, name, entities, *a, **k)
+
+    monkeypatch.setattr(Lake, "write_incremental", seen)
+    got = getattr(workloads, query)(spark, tmp)
+    assert sorted(r.id[-1] for r in got.collect()) == (["0", "1", "2", "3", "4"] if query == "log_compacted" else ["3", "4"])
+    assert len(plans) == 5 and all("GreaterThanOrEqual(ts," in p and "Exchange hashpartitioning(event_id" in p for p in plans)
