@@ -1,8 +1,11 @@
 """Landing-folder stream: one file per micro-batch, restarts load nothing twice."""
 
+import json
 import os
 import time
+from datetime import datetime
 
+from entitylake import workloads
 from entitylake.lake import Lake
 from entitylake.model import DatasetDefinition, IncomingMapping, IncomingPropertyMapping
 from entitylake.sinks import fs
@@ -139,3 +142,39 @@ def test_landing_files_are_listed_dated_and_moved_by_folder(spark, tmp):
     fs.set_mtimes(spark, tmp, {f: 1_000_000 * (i + 1) for i, f in enumerate(files)})
     fs.move_into(spark, {f: f.rsplit("/", 2)[1] for f in files}, f"{tmp}/landing")
     assert {n: os.path.getmtime(f"{tmp}/landing/{n}") for n in os.listdir(f"{tmp}/landing") if n[0] != "."} == {"n=10": 1000, "n=2": 2000}
+
+
+def test_a_micro_batch_reads_the_manifest_once(spark, tmp, monkeypatch):
+    landing, now = tmp + "/landing", time.time() - 1000
+    lake = Lake(spark, tmp + "/lake", latest_default=True, buckets=4)
+    lake.define(DatasetDefinition("s", incoming=MAP))
+    for k in range(4):
+        _land(landing, f"f{k}", [f'{{"id":"x:{k % 2}","props":{{"x:v":"\u00e9{k}"}}}}'], now + 10 * k)
+    read, plain = [], fs.read_text
+    monkeypatch.setattr(fs, "read_text", lambda s, path: read.append(path) or plain(s, path))
+    ingest_stream(lake, "s", landing, tmp + "/ckpt", 1000)
+    monkeypatch.undo()
+    manifests = sorted(p.rsplit("/", 1)[1] for p in read if p.endswith(".json"))
+    assert manifests == ["v00000001.json", "v00000002.json", "v00000003.json"]
+    assert sorted((r.v, r.recorded) for r in lake.latest("s").collect()) == [("\u00e92", 1002), ("\u00e93", 1003)]
+
+
+def test_landing_events_are_dealt_by_file_before_they_are_mapped(spark, tmp, monkeypatch):
+    ddl = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    at = datetime(2024, 1, 1)
+    rows = [(k, at, k % 7, "signup" if k % 3 else "error", None if k % 5 else k / 2, f'{{"k": {k}}}') for k in range(4100)]
+    spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(f"{tmp}/events.parquet")
+    mapped, real = [], workloads.write_payloads
+    monkeypatch.setattr(workloads, "write_payloads", lambda ev, *a, **k: mapped.append(ev) or real(ev, *a, **k))
+    files = workloads._landing_files(spark, tmp, f"{tmp}/landing")
+    plan = mapped[0]._jdf.queryExecution().toString().rsplit("Physical Plan", 1)[1]
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.index("to_variant_object") < plan.index("Exchange")
+    assert [f.rsplit("/", 2)[1] for f in files] == ["file_no=0", "file_no=1", "file_no=2"]
+    ids = [[e["props"]["e:event_id"] for e in json.loads(open(f.removeprefix("file:")).read())[1:]] for f in files]
+    assert ids == [list(range(2000)), list(range(2000, 4000)), list(range(4000, 4100))]
+
+
+def test_small_texts_are_read_whole(spark, tmp):
+    with open(f"{tmp}/t", "wb") as f:
+        f.write("a\u00e9\r\nb\rc\n".encode() + b"\xff\n")
+    assert fs.read_text(spark, f"{tmp}/t") == "a\u00e9\nb\nc\n\ufffd"
