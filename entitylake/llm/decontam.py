@@ -10,7 +10,9 @@ Scale: one pass over the texts, no shuffle of texts.  The windows are distinct a
 hash; they are written and counted first and broadcast up to BROADCAST_WINDOWS (a benchmark
 of ordinary size); beyond that the positions, each with its window, are shuffled.  Per document
 one header row and one row per hit position are grouped; a position hits at most one distinct
-window of a length, however many items share it.
+window of a length, however many items share it.  Where only the documents are asked for that hold a window
+(``clean_documents``), nothing is gathered per document: hashes alone are broadcast, up to BROADCAST_HASHES, and
+the positions they let through meet the windows' words in a join that Spark plans by the written sizes.
 
 Defined results: null or empty texts and texts without words have no words and no hits; an
 empty benchmark hits nothing; null item ids and null item texts are left out; equal items all
@@ -27,8 +29,10 @@ from pyspark.sql import functions as F
 
 from entitylake.llm.common import Spool, ascii_lower
 
-#: Up to so many distinct windows (about 100 MB) the hash set is broadcast; beyond, positions are shuffled.
+#: Up to so many distinct windows the hash set is broadcast with their words (some 700 bytes each); beyond, positions are shuffled.
 BROADCAST_WINDOWS = 400_000
+#: Up to so many hashes alone are broadcast.
+BROADCAST_HASHES = 1_000_000
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -98,6 +102,25 @@ def find_hits(spool: Spool, docs: DataFrame, benchmark: DataFrame, size: int = 1
     ), members
 
 
+def rows_with_windows(spool: Spool, docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
+    """The distinct ``doc_id`` of the rows that hold a window."""
+    windows, _, lengths = benchmark_windows(spool, benchmark, size)
+    hashes, few = windows.select("h").distinct(), windows.count() <= BROADCAST_HASHES
+    texts = docs.select("doc_id", normal_words(F.col("text")).alias("dw"))
+    starts = texts.select("doc_id", "dw", F.posexplode("dw").alias("pos", "first_word"))
+    if not lengths:
+        return docs.select("doc_id").limit(0)
+    each = [F.when(F.col("pos") + n <= F.size("dw"), F.struct(F.lit(n).alias("n"), _window_hash("dw", "pos", n).alias("h"))) for n in lengths]
+    starts = starts.select("doc_id", "dw", "pos", (F.explode(F.array(*each)) if each[1:] else each[0]).alias("at")).filter("at is not null")
+    starts = starts.select("doc_id", "dw", "pos", "at.n", "at.h")
+    win = F.slice("dw", F.col("pos") + 1, F.col("n")).alias("win")
+    if few:
+        found = starts.join(F.broadcast(hashes), "h", "left_semi").select("doc_id", "h", win)
+    else:  # what is shuffled is a position with its window, not the text
+        found = starts.select("doc_id", "h", win).join(hashes, "h", "left_semi")
+    return found.distinct().join(windows.select("h", "win"), ["h", "win"], "left_semi").select("doc_id").distinct()
+
+
 def covered(hits: str) -> Column:
     """Number of word positions inside the union of sorted ``(s, e)`` ranges."""
     return F.expr(
@@ -140,7 +163,6 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Da
     key = F.xxhash64("doc_id", "text")
     # rows are told apart by id and content, so no text is shuffled unless something was found
     keyed = docs.select(F.struct(key.alias("h"), F.col("doc_id").alias("id")).alias("doc_id"), F.col("text").alias("text"))
-    per_doc, _ = find_hits(spool, keyed, benchmark, size)
-    found = per_doc.filter(F.size("hits") > 0).select(F.col("doc_id.h").alias("__bad"), F.col("doc_id.id").alias("__bad_id"))
-    bad = spool.put(found.distinct(), "bad")
+    found = rows_with_windows(spool, keyed, benchmark, size)
+    bad = spool.put(found.select(F.col("doc_id.h").alias("__bad"), F.col("doc_id.id").alias("__bad_id")), "bad")
     return docs.join(bad, (key == F.col("__bad")) & docs["doc_id"].eqNullSafe(F.col("__bad_id")), "left_anti")
