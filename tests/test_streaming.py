@@ -5,10 +5,14 @@ import os
 import time
 from datetime import datetime
 
+import pytest
+
 from entitylake import workloads
 from entitylake.lake import Lake
 from entitylake.model import DatasetDefinition, IncomingMapping, IncomingPropertyMapping
+from entitylake.plans import ingest
 from entitylake.sinks import fs
+from entitylake.streaming import landing as landing_module
 from entitylake.streaming.landing import ingest_stream
 
 NS = '{"id":"@context","namespaces":{"x":"http://example.org/"}}'
@@ -178,3 +182,102 @@ def test_small_texts_are_read_whole(spark, tmp):
     with open(f"{tmp}/t", "wb") as f:
         f.write("a\u00e9\r\nb\rc\n".encode() + b"\xff\n")
     assert fs.read_text(spark, f"{tmp}/t") == "a\u00e9\nb\nc\n\ufffd"
+
+
+def _store_calls(lake, monkeypatch):
+    """Batch keys whose rows a job of their own wrote, and the folders written ahead."""
+    alone, many = [], []
+    plain, ahead = ingest._write_log, landing_module.write_ahead
+    monkeypatch.setattr(ingest, "_write_log", lambda store, rows, schema, path, key, strict: alone.append(key) or plain(store, rows, schema, path, key, strict))
+    monkeypatch.setattr(landing_module, "write_ahead", lambda store, ds, path, *a: many.append(path) or ahead(store, ds, path, *a))
+    return alone, many
+
+
+def _rows(df):
+    return sorted((str(r.id), r.v, r.recorded) for r in df.collect())
+
+
+def test_rows_of_coming_micro_batches_are_written_in_one_job(spark, tmp, monkeypatch):
+    landing, now = tmp + "/landing", time.time() - 1000
+    for k in range(9):  # names sort against times; an id in many files, rows without id, a file without entities
+        rows = [f'{{"id":"x:{i}","recorded":{50 - k},"props":{{"x:v":"{k}.{i}"}}}}' for i in range(k % 4, 6)] + [f'{{"props":{{"x:v":"none{k}"}}}}']
+        _land(landing, f"z{9 - k}", rows if k != 7 else [], now + 10 * k)
+    results = {}
+    for n in (1, 2):
+        for size in (64, 1):
+            lake = Lake(spark, f"{tmp}/lake{n}-{size}", latest_default=True, buckets=4)
+            lake.define(DatasetDefinition("s", incoming=MAP))
+            with monkeypatch.context() as m:
+                m.setattr(landing_module, "AHEAD_BATCHES", size)
+                alone, many = _store_calls(lake, m)
+                ingest_stream(lake, "s", landing, f"{tmp}/ckpt{n}-{size}", 1000, files_per_batch=n)
+            st = lake.state("s")
+            assert len(st.log) == (8 if n == 1 else 5) and st.version == len(st.log)  # one commit for each micro-batch with rows
+            assert [d["path"] for d in st.deltas] == [b["path"] for b in st.log] and len({b["path"] for b in st.log}) == len(st.log)
+            assert [b["key"] for b in st.log] == [f"stream-{k:08d}" for k in range(9 if n == 1 else 5) if n == 2 or k != 7]
+            assert not many if size == 1 else many
+            assert len(alone) == (-(-9 // n) if size == 1 else 1)  # ahead: the one after the empty file, or the last, which is not full
+            stats = [{k: b.get(k) for k in ("key", "load_ns_max", "level", "ranges")} for b in st.log], [(d["rows"], d["id_bytes"]) for d in st.deltas]
+            results[n, size] = stats, _rows(lake.log("s")), _rows(lake.latest("s")), _rows(lake.newest("s"))
+            assert _rows(lake.compact("s") and lake.latest("s")) == results[n, size][2]
+    assert results[1, 64] == results[1, 1] and results[2, 64] == results[2, 1]
+
+
+def test_what_does_not_fit_its_micro_batch_is_not_taken(spark, tmp, monkeypatch):
+    landing, now = tmp + "/landing", time.time() - 1000
+    lake = Lake(spark, tmp + "/lake", latest_default=True, buckets=4)
+    lake.define(DatasetDefinition("s", incoming=MAP))
+    for k in range(6):
+        _land(landing, f"f{k}", [f'{{"id":"x:{k}","props":{{"x:v":"{k}"}}}}'], now + 10 * k)
+    alone, many = _store_calls(lake, monkeypatch)
+    ddl = "id string, recorded bigint, deleted boolean, refs variant, props variant"
+    commit, seen = lake.store.commit, []
+
+    def between(loc, state):
+        done = commit(loc, state)
+        if len(seen) == 1:  # after the second micro-batch: another writer takes the next numbers
+            lake.store.commit = commit
+            lake.write_incremental("s", spark.createDataFrame([("http://example.org/9", None, False, None, None)], ddl), 2000, "other")
+        seen.append(done.version)
+        return done
+
+    lake.store.commit = between
+    ingest_stream(lake, "s", landing, tmp + "/ckpt", 1000)
+    x = "http://example.org/"
+    want = [(f"{x}0", "0", 1000), (f"{x}1", "1", 1001), (f"{x}9", None, 2000)] + [(f"{x}{k}", f"{k}", 1999 + k) for k in range(2, 6)]
+    assert _rows(lake.log("s")) == _rows(lake.latest("s")) == sorted(want)
+    assert [k for k in alone if k != "other"] == ["stream-00000002"] and len(many) == 2
+    kept = {b["path"] for b in lake.state("s").log}
+    assert all(p in kept for m in many for p in (f"{m}/{n}" for n in fs.list_names(spark, m)) if "_ahead=" in p)  # the others are gone
+
+
+def test_a_bad_file_fails_its_own_micro_batch(spark, tmp):
+    landing, now = tmp + "/landing", time.time() - 1000
+    lake = Lake(spark, tmp + "/lake", latest_default=True, buckets=4)
+    lake.define(DatasetDefinition("s", incoming=MAP))
+    for k in range(5):
+        _land(landing, f"f{k}", [f'{{"id":"x:{k}","props":{{"x:v":"{k}"}}}}'], now + 10 * k)
+    with open(f"{landing}/f3.json", "w") as f:
+        f.write("[" + NS + ",{")
+    os.utime(f"{landing}/f3.json", (now + 30, now + 30))
+    with pytest.raises(Exception, match="malformed payload file"):
+        ingest_stream(lake, "s", landing, tmp + "/ckpt", 1000)
+    assert [r[1:] for r in _rows(lake.log("s"))] == [("0", 1000), ("1", 1001), ("2", 1002)]
+    _land(landing, "f3", ['{"id":"x:3","props":{"x:v":"3"}}'], now + 30)
+    ingest_stream(lake, "s", landing, tmp + "/ckpt", 1000)  # goes on where it stopped
+    assert [r[1:] for r in _rows(lake.latest("s"))] == [(f"{k}", 1000 + k) for k in range(5)]
+
+
+def test_small_files_of_the_local_disk(spark, tmp):
+    assert fs.local_path(spark, f"file:{tmp}/a") == fs.local_path(spark, f"file://{tmp}/a") == fs.local_path(spark, f"{tmp}/a") == f"{tmp}/a"
+    assert fs.local_path(spark, "viewfs://store/a") is fs.local_path(spark, "s3a://b/a") is fs.local_path(spark, "file://host/a") is None
+    where = f"file:{tmp}/d/hint"
+    path, hadoop = fs._fs(spark, where)[1], fs._fs(spark, where)[0]
+    fs._write_whole(hadoop.create(path, True), bytearray(b"old"))  # with a checksum beside it
+    assert os.path.exists(f"{tmp}/d/.hint.crc") and fs.read_text(spark, where) == "old"
+    fs.write_text(spark, where, "new")
+    assert fs.read_text(spark, where) == "new" and bytes(hadoop.open(path).readAllBytes()) == b"new"
+    assert fs.size_of(spark, f"file:{tmp}/d") == 3 == hadoop.getContentSummary(path.getParent()).getLength()
+    for text in ("", "x"):
+        assert [fs.write_text_exclusive(spark, f"{tmp}/e/k{len(text)}", t) for t in (text, "late")] == [True, False]
+        assert fs.read_text(spark, f"{tmp}/e/k{len(text)}") == text and sorted(os.listdir(f"{tmp}/e")) == ["k0", "k1"][: len(text) + 1]
